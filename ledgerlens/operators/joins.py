@@ -1,0 +1,24 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# rows we are willing to ship to every executor for a dimension-style side
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def bounded_row_count(df: DataFrame, limit: int) -> int:
+    """Exact row count if it is at most ``limit``, else ``limit + 1``.
+    Reads at most ``limit + 1`` rows (a limit, then a count)."""
+    return df.limit(limit + 1).count()
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows; otherwise the
+    frame unchanged, so Spark plans a shuffled join (AQE may still convert it
+    at runtime from real sizes, and splits skewed partitions)."""
+    if bounded_row_count(df, max_rows) <= max_rows:
+        return F.broadcast(df), True
+    return df, False
