@@ -254,14 +254,19 @@ KPIS = f"""SELECT ds_day, count(*) AS events_total, CAST(sum(is_approved) AS BIG
   {r6('avg(risk_score_num)')} AS risk_score_avg, CAST(sum(is_international_num) AS BIGINT) AS international_events
 FROM gbase GROUP BY ds_day"""
 
-WIDE = f"""SELECT ds_day, count(*) AS events_total, count(*) AS transactions_total,
+def wide_sql(rounded: bool = True) -> str:
+    rr = r6 if rounded else (lambda x: x)
+    return f"""SELECT ds_day, count(*) AS events_total, count(*) AS transactions_total,
   count(DISTINCT card_id) AS distinct_cards, CAST(sum(is_approved) AS BIGINT) AS approved_total,
-  CAST(sum(is_declined) AS BIGINT) AS declined_total, {r6('avg(amount_num)')} AS amount_avg,
-  {r6('min(amount_num)')} AS amount_min, {r6('max(amount_num)')} AS amount_max, {r6('sum(amount_num)')} AS amount_sum,
-  {r6('avg(risk_score_num)')} AS risk_score_avg, {r6('max(risk_score_num)')} AS risk_score_max,
+  CAST(sum(is_declined) AS BIGINT) AS declined_total, {rr('avg(amount_num)')} AS amount_avg,
+  {rr('min(amount_num)')} AS amount_min, {rr('max(amount_num)')} AS amount_max, {rr('sum(amount_num)')} AS amount_sum,
+  {rr('avg(risk_score_num)')} AS risk_score_avg, {rr('max(risk_score_num)')} AS risk_score_max,
   CAST(sum(is_international_num) AS BIGINT) AS international_total
 FROM gbase GROUP BY ds_day"""
-WIDE_RAW = WIDE.replace("round(", "(")  # unrounded, for views computed on top
+
+
+WIDE = wide_sql(True)
+WIDE_RAW = wide_sql(False)  # unrounded, for views computed on top
 
 GEO_ENRICHED = """enriched AS (
 SELECT s.*, r.country_name, r.country_iso2 AS geo_iso2, r.latitude, r.longitude FROM

@@ -27,7 +27,8 @@ def build_session(master: str | None = None, app_name: str = "ledgerlens",
     On a cluster leave ``master`` unset so spark-submit decides.  The UI is
     off: batch jobs do not need it and it opens a port.
     """
-    b = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in LAKE_CONF.items():
