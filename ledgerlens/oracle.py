@@ -241,7 +241,8 @@ C_BRONZE_DEDUP_BASE = (PAYMENTS, BRONZE_PARSED, NORM_BRONZE, SILVER_P, DEDUP_SIL
 
 
 def r6(x: str) -> str:
-    return f"round({x}, 6)"
+    # same tie nudge as registry._finish
+    return f"round(({x}) + 1e-9, 6)"
 
 
 STD = f"""count(*) AS events_total, CAST(sum(is_declined) AS BIGINT) AS events_declined,

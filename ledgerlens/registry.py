@@ -3,7 +3,11 @@ operator, each reading the driver tables (or data Spark derives from them)
 in full, plus the matching DuckDB oracle SQL (``oracle.py``).
 
 Outputs are made engine-comparable by ``_finish``: doubles rounded to 6
-places, timestamps as zone-free values, arrays joined by commas.  Queries
+places, timestamps as zone-free values, arrays joined by commas.  Means of
+cent amounts often sit exactly on a tie at the 7th decimal (1361.89 / 32 =
+42.5590625) and engines break such ties differently (decimal text versus
+binary value), so values are moved off the tie by ``TIE_NUDGE`` first; the
+oracle SQL does the same.  Queries
 that exercise writers put their files under the session's shared
 ``spark.checkpoint.dir`` (a fresh folder per run).
 """
@@ -49,12 +53,15 @@ def as_of():
 
 # ---------------------------------------------------------------- helpers --
 
+TIE_NUDGE = 1e-9
+
+
 def _finish(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, 6)
+            c = F.round(c + F.lit(TIE_NUDGE), 6)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, T.ArrayType):
