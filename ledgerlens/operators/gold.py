@@ -35,26 +35,28 @@ def gold_base(silver: DataFrame, strict: bool = False) -> DataFrame:
     mcc = first_present(df, mcc_names, "string")
     if not strict:
         mcc = F.coalesce(mcc, F.col("merchant_norm.mcc"))
-    return (df
-            .withColumn("approved_norm", approved)
-            .withColumn("is_approved", F.when(F.col("approved_norm") == 1, 1).otherwise(0))
-            .withColumn("is_declined", F.when(F.col("approved_norm") == 0, 1).otherwise(0))
-            .withColumn("status", F.when(F.col("approved_norm") == 1, "APPROVED")
-                        .when(F.col("approved_norm") == 0, "DECLINED").otherwise("UNKNOWN"))
-            .withColumn("amount_num", first_present(df, ["amount_num", "amount_double", "amount"], "double"))
-            .withColumn("risk_score_num", first_present(df, ["risk_score", "risk_score_int"], "double"))
-            .withColumn("is_international_num",
-                        is_international(first_present(df, ["is_international", "is_international_int"], "string")))
-            .withColumn("ds_day", F.to_date("event_ts"))
-            .withColumn("event_hour", F.hour("event_ts"))
-            .withColumn("day_of_week", F.date_format("event_ts", "E"))
-            .withColumn("channel", F.coalesce(safe_col(df, "channel", "string"), F.lit("UNKNOWN")))
-            .withColumn("decline_reason", F.coalesce(safe_col(df, "decline_reason", "string"), F.lit("UNKNOWN")))
-            .withColumn("merchant_id_norm", F.coalesce(F.col("merchant_norm.merchant_id"),
-                                                       safe_col(df, "merchant_id", "string")))
-            .withColumn("merchant_country", F.col("merchant_norm.country"))
-            .withColumn("merchant_city", F.col("merchant_norm.city"))
-            .withColumn("merchant_mcc", mcc))
+    df = df.withColumns({
+        "approved_norm": approved,
+        "amount_num": first_present(df, ["amount_num", "amount_double", "amount"], "double"),
+        "risk_score_num": first_present(df, ["risk_score", "risk_score_int"], "double"),
+        "is_international_num": is_international(
+            first_present(df, ["is_international", "is_international_int"], "string")),
+        "ds_day": F.to_date("event_ts"),
+        "event_hour": F.hour("event_ts"),
+        "day_of_week": F.date_format("event_ts", "E"),
+        "channel": F.coalesce(safe_col(df, "channel", "string"), F.lit("UNKNOWN")),
+        "decline_reason": F.coalesce(safe_col(df, "decline_reason", "string"), F.lit("UNKNOWN")),
+        "merchant_id_norm": F.coalesce(F.col("merchant_norm.merchant_id"), safe_col(df, "merchant_id", "string")),
+        "merchant_country": F.col("merchant_norm.country"),
+        "merchant_city": F.col("merchant_norm.city"),
+        "merchant_mcc": mcc,
+    })
+    a = F.col("approved_norm")
+    return df.withColumns({
+        "is_approved": F.when(a == 1, 1).otherwise(0),
+        "is_declined": F.when(a == 0, 1).otherwise(0),
+        "status": F.when(a == 1, "APPROVED").when(a == 0, "DECLINED").otherwise("UNKNOWN"),
+    })
 
 
 def _total() -> Column:

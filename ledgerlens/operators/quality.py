@@ -22,11 +22,8 @@ def normalize_codes(df: DataFrame, strict: bool = False) -> DataFrame:
     """upper(trim()) of currency, country, channel and status; unless
     ``strict``, producer spellings are mapped (UK -> GB, MOBILE_APP -> MOBILE)."""
     aliases = {} if strict else K.CODE_ALIASES
-    out = df
-    for name in ("currency", "country", "channel", "status"):
-        if name in df.columns:
-            out = out.withColumn(name, normalize_code(F.col(name), aliases.get(name)))
-    return out
+    return df.withColumns({name: normalize_code(F.col(name), aliases.get(name))
+                           for name in ("currency", "country", "channel", "status") if name in df.columns})
 
 
 def _blank(c: Column) -> Column:
@@ -69,20 +66,19 @@ def validate(df: DataFrame, as_of: Column | None = None, strict: bool = False) -
     out = normalize_codes(df, strict)
     ts_text = F.col("event_ts").cast("string")
     ts = F.try_to_timestamp(ts_text) if strict else parse_event_ts(ts_text)
-    out = out.withColumn("event_ts_ts", ts).withColumn("ds_day", F.to_date("event_ts_ts"))
+    extra = {"event_ts_ts": ts}
     if "is_malformed_json" not in out.columns:
-        out = out.withColumn("is_malformed_json", F.lit(False))
+        extra["is_malformed_json"] = F.lit(False)
     if "raw_line" not in out.columns:
-        out = out.withColumn("raw_line", F.lit(None).cast("string"))
+        extra["raw_line"] = F.lit(None).cast("string")
+    out = out.withColumns(extra)
     errors = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in dq_rules(as_of, strict)]))
-    hard = F.array(*[F.lit(c) for c in K.HARD_ERRORS])
-    out = out.withColumn("dq_errors", errors)
-    out = out.withColumn("dq_hard_errors", F.array_intersect(F.col("dq_errors"), hard))
-    return out.withColumn(
-        "dq_status",
-        F.when(F.size("dq_hard_errors") > 0, F.lit("BAD"))
-         .when(F.size("dq_errors") > 0, F.lit("WARN"))
-         .otherwise(F.lit("GOOD")))
+    out = out.withColumns({"ds_day": F.to_date("event_ts_ts"), "dq_errors": errors})
+    hard = F.array_intersect(F.col("dq_errors"), F.array(*[F.lit(c) for c in K.HARD_ERRORS]))
+    status = (F.when(F.size(hard) > 0, F.lit("BAD"))
+              .when(F.size("dq_errors") > 0, F.lit("WARN"))
+              .otherwise(F.lit("GOOD")))
+    return out.withColumns({"dq_hard_errors": hard, "dq_status": status})
 
 
 def good_rows(validated: DataFrame) -> DataFrame:

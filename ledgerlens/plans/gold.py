@@ -10,7 +10,7 @@ from .. import constants as K
 from ..operators import gold as marts
 from ..operators.dedup import dedup_latest
 from ..operators.geo import geo_daily, geo_enrich
-from ..sinks.writers import write_partitioned
+from ..sinks.writers import DEFAULT_PARALLEL_WRITES, run_concurrently, write_partitioned
 
 
 # latest ingest wins; then the later event time; transaction id breaks the
@@ -34,23 +34,27 @@ def touched_days(batch: DataFrame) -> list:
 
 
 def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, days: list,
-                   top_n: int = K.TOP_N_MERCHANTS, strict: bool = False) -> dict[str, str]:
+                   top_n: int = K.TOP_N_MERCHANTS, strict: bool = False,
+                   max_parallel: int = DEFAULT_PARALLEL_WRITES) -> dict[str, str]:
     """Recompute every mart for ``days`` and overwrite exactly those days.
 
     The normalised base is persisted once and feeds all marts (one silver
-    scan instead of one per mart)."""
+    scan instead of one per mart); the mart writes run as concurrent jobs."""
     base = marts.gold_base(silver_days(spark, silver_root, days), strict)
     base = base.select("ds_day", "event_ts", "is_approved", "is_declined", "amount_num", "risk_score_num",
                        "is_international_num", "event_hour", "day_of_week", "channel", "decline_reason",
                        "merchant_id_norm", "merchant_country", "merchant_city", "merchant_mcc",
                        "payment_method", "card_id", "event_type").persist(StorageLevel.MEMORY_AND_DISK)
-    out = {}
+    out = {name: f"{gold_root.rstrip('/')}/{name}" for name in marts.MARTS}
+
+    def job(name):
+        fn = marts.MARTS[name]
+        df = fn(base, top_n) if name == "top_merchants" else fn(base)
+        return lambda: write_partitioned(df, out[name], ["ds_day"])
+
     try:
-        for name, fn in marts.MARTS.items():
-            df = fn(base, top_n) if name == "top_merchants" else fn(base)
-            path = f"{gold_root.rstrip('/')}/{name}"
-            write_partitioned(df, path, ["ds_day"])
-            out[name] = path
+        base.count()  # fill the cache once; the concurrent writes then share it
+        run_concurrently([job(n) for n in marts.MARTS], max_parallel)
     finally:
         base.unpersist()
     return out

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import (boolish_to_int, country_iso2, country_name, is_international,
                          risk_bucket, safe_col)
 from ..operators import quality
-from ..sinks.writers import write_partitioned
+from ..sinks.writers import run_concurrently, write_partitioned
 from ..sources.bronze import parse_events, read_bronze, unglue
 
 SILVER_COLUMNS = [
@@ -93,13 +93,14 @@ def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | No
     try:
         silver = to_silver(quality.good_rows(graded), strict, keep=("_bronze_day",))
         silver = silver.withColumnRenamed("_bronze_day", "bronze_day")
-        write_partitioned(silver, paths["silver"], ["bronze_day", "ds_day"])
         quarantine = quality.quarantine_view(graded, keep=("_bronze_day",))
         quarantine = quarantine.withColumnRenamed("_bronze_day", "bronze_day")
-        write_partitioned(quarantine, paths["quarantine"], ["bronze_day", "ds_day"])
         aud = (graded.groupBy("_bronze_day", "ds_day", "dq_status").agg(F.count(F.lit(1)).alias("records"))
                .withColumn("audit_ts", F.current_timestamp()).withColumnRenamed("_bronze_day", "bronze_day"))
-        write_partitioned(aud, paths["audit"], ["bronze_day", "ds_day"])
+        # the silver write fills the cache; the two small outputs then share it
+        write_partitioned(silver, paths["silver"], ["bronze_day", "ds_day"])
+        run_concurrently([lambda: write_partitioned(quarantine, paths["quarantine"], ["bronze_day", "ds_day"]),
+                          lambda: write_partitioned(aud, paths["audit"], ["bronze_day", "ds_day"])])
     finally:
         graded.unpersist()
     return paths

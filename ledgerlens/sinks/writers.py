@@ -9,8 +9,14 @@ of one task (and one huge file) per value.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
+# concurrent write jobs submitted by one driver (small final stages of many
+# marts overlap instead of leaving executors idle between them)
+DEFAULT_PARALLEL_WRITES = 4
+
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
                       mode: str = "overwrite", compression: str = "snappy") -> None:
@@ -63,3 +69,14 @@ def replace_table_property(spark: SparkSession, table: str, unset: list[str], se
     if set_props:
         kv = ", ".join(f"'{k}'='{v}'" for k, v in set_props.items())
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({kv})")
+
+
+def run_concurrently(actions, max_parallel: int = DEFAULT_PARALLEL_WRITES) -> list:
+    """Run independent Spark actions (zero-argument callables) as concurrent
+    jobs of the same session; re-raises the first failure."""
+    actions = list(actions)
+    if max_parallel <= 1 or len(actions) <= 1:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=min(max_parallel, len(actions))) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]

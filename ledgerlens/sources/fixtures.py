@@ -37,38 +37,43 @@ def merchant_text(i: Column) -> Column:
             .when(i % 4 == 2, F.lit('{"city":"Recife"}')))
 
 
+def _merchant_sql(i: str = "event_id") -> str:
+    return (f"CASE {i} % 4 WHEN 0 THEN concat('{{\"city\":\"', CASE {i} % 3 WHEN 0 THEN 'Sao Paulo' WHEN 1 THEN 'Miami' "
+            f"ELSE 'London' END, '\",\"country\":\"', CASE {i} % 3 WHEN 0 THEN 'BR' WHEN 1 THEN 'US' ELSE 'GB' END, "
+            f"'\",\"mcc\":\"', CAST(5000 + {i} % 9 AS STRING), '\",\"merchant_id\":\"m_', CAST({i} % 50 AS STRING), "
+            f"'\"}}') WHEN 1 THEN concat('m_', CAST({i} % 50 AS STRING)) WHEN 2 THEN '{{\"city\":\"Recife\"}}' END")
+
+
+# One SQL expression per column (FIXTURES.md section 7): a single projection,
+# built with one call per column.
+PAYMENT_COLUMNS = [
+    "CASE WHEN event_id % 211 = 0 THEN NULL ELSE concat('evt_', CAST(event_id - CASE WHEN event_id % 97 = 1 THEN 1 ELSE 0 END AS STRING)) END AS event_id",
+    "concat('txn_', CAST(event_id AS STRING)) AS transaction_id",
+    "concat('user_', CAST(user_id AS STRING)) AS user_id",
+    "concat('card_', CAST(user_id % 61 AS STRING)) AS card_id",
+    "concat('m_', CAST(event_id % 50 AS STRING)) AS merchant_id",
+    "CASE WHEN event_id % 173 = 0 THEN -value WHEN event_id % 179 = 0 THEN NULL ELSE value END AS amount",
+    "CASE event_id % 4 WHEN 0 THEN 'BRL' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' ELSE 'ARS' END AS currency",
+    "CASE event_id % 6 WHEN 0 THEN 'CREDIT_CARD' WHEN 1 THEN 'DEBIT_CARD' WHEN 2 THEN 'PIX' WHEN 3 THEN 'BOLETO' WHEN 4 THEN 'APPLE_PAY' ELSE 'GOOGLE_PAY' END AS payment_method",
+    "CASE event_type WHEN 'view' THEN 'web' WHEN 'click' THEN ' MOBILE ' WHEN 'purchase' THEN 'POS' WHEN 'signup' THEN 'ECOMMERCE' ELSE 'MOBILE_APP' END AS channel",
+    "CASE WHEN event_id % 191 = 0 THEN 'XX' ELSE CASE event_id % 4 WHEN 0 THEN 'BR' WHEN 1 THEN 'US' WHEN 2 THEN 'UK' ELSE 'AR' END END AS country",
+    "concat(CAST(1 + user_id % 223 AS STRING), '.', CAST(event_id % 256 AS STRING), '.0.', CAST(user_id % 256 AS STRING)) AS device_ip",
+    "CASE WHEN event_id % 199 = 0 THEN CAST(1.5 AS DOUBLE) ELSE CAST(event_id % 101 AS DOUBLE) / 100 END AS risk_score",
+    "CASE WHEN event_id % 4 = 0 THEN 0 ELSE 1 END AS is_international",
+    "CASE WHEN event_id % 101 > 75 THEN 'DECLINED' ELSE 'APPROVED' END AS status",
+    "CASE WHEN event_id % 101 > 75 THEN 'false' WHEN event_id % 13 = 0 THEN NULL ELSE 'yes' END AS approved",
+    "CASE WHEN event_id % 101 > 75 THEN CASE event_id % 3 WHEN 0 THEN 'INSUFFICIENT_FUNDS' WHEN 1 THEN 'SUSPECTED_FRAUD' ELSE 'LIMIT' END END AS decline_reason",
+    "event_type",
+    "ts AS event_ts",
+    "CAST(ts AS DATE) AS ds",
+    _merchant_sql() + " AS merchant",
+]
+
+
 def payment_events(events: DataFrame, keep_source_id: bool = False) -> DataFrame:
     """One payment event per driver event (FIXTURES.md section 7 plus ``merchant``)."""
-    i, u, v = F.col("event_id"), F.col("user_id"), F.col("value")
-    et = F.col("event_type")
-    declined = (i % 101) > 75
-    cols = [
-        F.when(i % 211 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("evt_"), _s(i - F.when(i % 97 == 1, 1).otherwise(0)))).alias("event_id"),
-        F.concat(F.lit("txn_"), _s(i)).alias("transaction_id"),
-        F.concat(F.lit("user_"), _s(u)).alias("user_id"),
-        F.concat(F.lit("card_"), _s(u % 61)).alias("card_id"),
-        F.concat(F.lit("m_"), _s(i % 50)).alias("merchant_id"),
-        F.when(i % 173 == 0, -v).when(i % 179 == 0, F.lit(None).cast("double")).otherwise(v).alias("amount"),
-        _case(i % 4, ["BRL", "USD", "GBP", "ARS"]).alias("currency"),
-        _case(i % 6, ["CREDIT_CARD", "DEBIT_CARD", "PIX", "BOLETO", "APPLE_PAY", "GOOGLE_PAY"]).alias("payment_method"),
-        F.when(et == "view", "web").when(et == "click", " MOBILE ").when(et == "purchase", "POS")
-         .when(et == "signup", "ECOMMERCE").otherwise("MOBILE_APP").alias("channel"),
-        F.when(i % 191 == 0, F.lit("XX")).otherwise(_case(i % 4, ["BR", "US", "UK", "AR"])).alias("country"),
-        F.concat(_s(1 + u % 223), F.lit("."), _s(i % 256), F.lit(".0."), _s(u % 256)).alias("device_ip"),
-        F.when(i % 199 == 0, F.lit(1.5)).otherwise((i % 101).cast("double") / 100).alias("risk_score"),
-        F.when(i % 4 == 0, 0).otherwise(1).alias("is_international"),
-        F.when(declined, "DECLINED").otherwise("APPROVED").alias("status"),
-        F.when(declined, "false").when(i % 13 == 0, F.lit(None).cast("string")).otherwise("yes").alias("approved"),
-        F.when(declined, _case(i % 3, ["INSUFFICIENT_FUNDS", "SUSPECTED_FRAUD", "LIMIT"])).alias("decline_reason"),
-        et.alias("event_type"),
-        F.col("ts").alias("event_ts"),
-        F.col("ts").cast("date").alias("ds"),
-        merchant_text(i).alias("merchant"),
-    ]
-    if keep_source_id:
-        cols.append(i.alias("src_id"))
-    return events.select(*cols)
+    cols = PAYMENT_COLUMNS + (["event_id AS src_id"] if keep_source_id else [])
+    return events.selectExpr(*cols)
 
 
 def untidy_text(events: DataFrame, keep: tuple = ()) -> DataFrame:
