@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import normalize_code, parse_event_ts
@@ -64,8 +65,13 @@ def validate(df: DataFrame, as_of: Column | None = None, strict: bool = False) -
     ``strict=True`` reproduces the original lists and ISO-only time parsing.
     """
     out = normalize_codes(df, strict)
-    ts_text = F.col("event_ts").cast("string")
-    ts = F.try_to_timestamp(ts_text) if strict else parse_event_ts(ts_text)
+    if isinstance(df.schema["event_ts"].dataType, (T.TimestampType, T.TimestampNTZType)):
+        # already typed: no text parsing (which the optimizer may otherwise
+        # copy into every pushed-down filter that depends on it)
+        ts = F.col("event_ts").cast("timestamp")
+    else:
+        ts_text = F.col("event_ts").cast("string")
+        ts = F.try_to_timestamp(ts_text) if strict else parse_event_ts(ts_text)
     extra = {"event_ts_ts": ts}
     if "is_malformed_json" not in out.columns:
         extra["is_malformed_json"] = F.lit(False)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (boolish_to_int, country_iso2, country_name, is_international,
-                         risk_bucket, safe_col)
+                         parse_event_ts, risk_bucket, safe_col)
 from ..operators import quality
 from ..sinks.writers import run_concurrently, write_partitioned
 from ..sources.bronze import parse_events, read_bronze, unglue
@@ -47,7 +47,11 @@ def to_silver(validated: DataFrame, strict: bool = False, keep: tuple = ()) -> D
         "risk_score": safe_col(df, "risk_score", "double"),
         "is_international": safe_col(df, "is_international", "int"),
         "event_ts": F.col("event_ts_ts"),
-        "ingestion_ts": safe_col(df, "ingestion_ts", "timestamp"),
+        # the producer's ingest time when the event carries one, else the
+        # time the batch read the line
+        "ingestion_ts": F.coalesce(parse_event_ts(safe_col(df, "ingest_time", "string")),
+                                   safe_col(df, "ingest_timestamp", "timestamp"),
+                                   safe_col(df, "ingestion_ts", "timestamp")),
         "dq_errors": F.col("dq_errors"),
         "amount_double": safe_col(df, "amount", "double"),
         "approved_int": approved_int(df, strict),

@@ -20,14 +20,32 @@ QUARANTINE_DDL = """ingestion_ts timestamp, source_file string, raw_line string,
 AUDIT_DDL = "dq_status string, records bigint, audit_ts timestamp, bronze_day date, ds_day date"
 
 
-def ensure_tables(spark: SparkSession, database: str, root: str, suffix: str = "") -> dict[str, str]:
+def create_table_sql(name: str, ddl: str, location: str, table_format: str = "parquet",
+                     partitioned_by: str = "bronze_day, ds_day") -> str:
+    """DDL for one table.  ``table_format='iceberg'`` (needs the Iceberg
+    runtime and catalog configured on the cluster) partitions by the hidden
+    ``days(event_ts)`` transform; parquet tables cannot take transforms, so
+    they partition by explicit date columns."""
+    if table_format == "iceberg":
+        return (f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING iceberg "
+                f"PARTITIONED BY (days(event_ts)) LOCATION '{location}' "
+                "TBLPROPERTIES ('write.format.default'='parquet')")
+    return (f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
+            f"PARTITIONED BY ({partitioned_by}) LOCATION '{location}'")
+
+
+def ensure_tables(spark: SparkSession, database: str, root: str, suffix: str = "",
+                  table_format: str = "parquet") -> dict[str, str]:
     """Create the database and the three silver tables if absent.
     Returns logical name -> qualified table name."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = {}
     for logical, ddl in (("silver", SILVER_DDL), ("quarantine", QUARANTINE_DDL), ("audit", AUDIT_DDL)):
         t = f"{database}.{logical}_events{suffix}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {t} ({ddl}) USING parquet "
-                  f"PARTITIONED BY (bronze_day, ds_day) LOCATION '{root.rstrip('/')}/{logical}'")
+        if table_format == "iceberg" and logical != "silver":
+            # only the silver table has a typed event time to transform
+            spark.sql(create_table_sql(t, ddl, f"{root.rstrip('/')}/{logical}", "parquet"))
+        else:
+            spark.sql(create_table_sql(t, ddl, f"{root.rstrip('/')}/{logical}", table_format))
         names[logical] = t
     return names

@@ -23,7 +23,7 @@ RAW_EVENT_SCHEMA = T.StructType([T.StructField(n, _S) for n in [
     "amount", "currency", "payment_method", "channel", "country", "region", "city",
     "device_id", "ip_address", "risk_score", "is_international", "status", "approved",
     "decline_reason", "event_type", "event_ts", "event_year", "event_month", "event_day",
-    "event_time", "_corrupt_record",
+    "event_time", "ingest_time", "ingest_timestamp", "_corrupt_record",
 ]])
 
 
@@ -75,21 +75,42 @@ def parse_events(fragments: DataFrame, col: str = "raw_line",
     corrupt = F.col("_j._corrupt_record").isNotNull() if "_corrupt_record" in schema.fieldNames() else F.lit(False)
     fields = {n: F.col(f"_j.{n}") for n in names}
     intl = fields.get("is_international")
-    typed = {
-        **fields,
-        "amount": clean_amount(fields["amount"], strict=strict_amount),
-        "risk_score": fields["risk_score"].try_cast("double"),
-        "is_international": F.coalesce(intl.try_cast("int"), boolish_to_int(intl)),
-        "event_ts": F.coalesce(fields["event_ts"], fields.get("event_time", F.lit(None).cast("string"))),
-    }
+    def text(name):
+        return fields[name].cast("string") if name in fields else F.lit(None).cast("string")
+
+    typed = {**fields}
+    if "amount" in fields:
+        typed["amount"] = clean_amount(text("amount"), strict=strict_amount)
+    if "risk_score" in fields:
+        typed["risk_score"] = text("risk_score").try_cast("double")
+    if intl is not None:
+        typed["is_international"] = F.coalesce(text("is_international").try_cast("int"),
+                                               boolish_to_int(text("is_international")))
+    typed["event_ts"] = F.coalesce(text("event_ts"), text("event_time"))
+    if "event_ts" not in names:
+        names = names + ["event_ts"]
     return df.select(*keep, (F.col("_j").isNull() | corrupt).alias("is_malformed_json"),
                      *[typed[n].alias(n) for n in names])
 
 
-def infer_event_schema(fragments: DataFrame, col: str = "raw_line") -> DataFrame:
-    """Merged schema of every parsable fragment (one row, DDL-like text).
+def infer_event_schema(fragments: DataFrame, col: str = "raw_line", sample_rows: int | None = None) -> DataFrame:
+    """Merged schema of the parsable fragments (one row, DDL-like text).
 
-    A distributed aggregate over all lines instead of a driver-side sample,
-    so fields that first appear late are not lost.  Unparsable fragments are
-    skipped (``try_parse_json``)."""
-    return fragments.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("event_schema"))
+    By default a distributed aggregate over all lines (partial merge per
+    task), so fields that first appear late are not lost.  ``sample_rows``
+    reproduces the original sampling behaviour (first N fragments) when a
+    cheap guess is wanted.  Unparsable fragments are skipped."""
+    src = fragments.limit(sample_rows) if sample_rows else fragments
+    return src.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("event_schema"))
+
+
+def inferred_struct(fragments: DataFrame, col: str = "raw_line", sample_rows: int | None = None) -> T.StructType:
+    """The inferred schema as a ``StructType`` usable by ``parse_events``
+    (one small row comes back to the driver: the schema text).  Raises if no
+    fragment parses, as the original job does."""
+    text = infer_event_schema(fragments, col, sample_rows).first()["event_schema"]
+    if not text or not text.startswith("OBJECT<"):
+        raise ValueError("no JSON object found to infer a schema from")
+    inferred = T._parse_datatype_string("STRUCT<" + text[len("OBJECT<"):])
+    fields = [f for f in inferred.fields if f.name != "_corrupt_record"]
+    return T.StructType(fields + [T.StructField("_corrupt_record", T.StringType())])

@@ -98,3 +98,24 @@ def test_routing_and_audit_invariants(spark):
     assert good + bad == total and bad > 0
     assert quality.audit(graded).agg(F.sum("records")).first()[0] == total
     assert quality.quarantine_view(graded).count() == bad
+
+
+def test_inferred_schema_mode(spark):
+    from ledgerlens.sources.bronze import inferred_struct
+    frags = unglue(spark.createDataFrame([('{"event_id":"a","amount":10.5}',), ('{"event_id":"b","late_field":1}',),
+                                          ("{bad",)], "raw_line string"))
+    st = inferred_struct(frags)
+    assert {"event_id", "amount", "late_field", "_corrupt_record"} <= set(st.fieldNames())
+    sample = inferred_struct(frags, sample_rows=1)
+    assert "late_field" not in sample.fieldNames()
+    rows = {r.event_id: r for r in parse_events(frags, schema=st).collect()}
+    assert rows["a"].amount == 10.5 and rows[None].is_malformed_json
+
+
+def test_ingest_time_from_event(spark):
+    from ledgerlens.plans.silver import to_silver
+    line = _with(ingest_time="1704067200")
+    v = quality.validate(parse_events(unglue(spark.createDataFrame([(line,)], "raw_line string"))),
+                         as_of=F.lit("2024-01-31").cast("timestamp"))
+    got = to_silver(v).select(F.col("ingestion_ts").cast("timestamp_ntz").alias("t")).first().t
+    assert got == dt.datetime(2024, 1, 1, 0, 0, 0)
