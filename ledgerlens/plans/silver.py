@@ -103,7 +103,8 @@ def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | No
                .withColumn("audit_ts", F.current_timestamp()).withColumnRenamed("_bronze_day", "bronze_day"))
         # the silver write fills the cache; the two small outputs then share it
         write_partitioned(silver, paths["silver"], ["bronze_day", "ds_day"])
-        run_concurrently([lambda: write_partitioned(quarantine, paths["quarantine"], ["bronze_day", "ds_day"]),
+        run_concurrently([lambda: write_partitioned(quarantine, paths["quarantine"], ["bronze_day", "ds_day"],
+                                                    rebalance=True),
                           lambda: write_partitioned(aud, paths["audit"], ["bronze_day", "ds_day"])])
     finally:
         graded.unpersist()

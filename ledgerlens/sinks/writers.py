@@ -2,9 +2,16 @@
 
 Partitioned writes use dynamic partition overwrite: a rerun replaces exactly
 the partitions its output touches and leaves every other one alone, so a
-rerun never doubles a mart.  A ``rebalance`` hint before the write lets AQE
-split a hot partition value over several tasks and merge tiny ones, instead
-of one task (and one huge file) per value.
+rerun never doubles a mart.
+
+``rebalance=True`` adds a ``rebalance`` hint: AQE then splits a hot
+partition value over several tasks and merges tiny outputs.  It is meant for
+sparse row-level outputs written straight from thousands of map tasks (the
+quarantine), where every task would otherwise write a tiny file into every
+day.  It is off by default: aggregate outputs already come out of a shuffle
+hashed on (day, key) that AQE coalesces, and row-level layers written from
+their input splits (silver) get files sized by the input; a second full
+shuffle of silver would only cost network.
 """
 
 from __future__ import annotations
@@ -19,9 +26,10 @@ DEFAULT_PARALLEL_WRITES = 4
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
-                      mode: str = "overwrite", compression: str = "snappy") -> None:
-    (df.hint("rebalance", *partition_cols)
-       .write.mode(mode)
+                      mode: str = "overwrite", compression: str = "snappy", rebalance: bool = False) -> None:
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
+    (df.write.mode(mode)
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", compression)
        .partitionBy(*partition_cols)

@@ -81,7 +81,7 @@ def validate_stream(spark: SparkSession, bronze_root: str, out_root: str, checkp
             write_partitioned(to_silver(quality.good_rows(batch), strict).withColumn("batch_id", bid),
                               silver_path, ["batch_id", "ds_day"])
             write_partitioned(quality.quarantine_view(batch).withColumn("batch_id", bid),
-                              quarantine_path, ["batch_id", "ds_day"])
+                              quarantine_path, ["batch_id", "ds_day"], rebalance=True)
         finally:
             batch.unpersist()
 
