@@ -18,13 +18,30 @@ from ..sinks.writers import DEFAULT_PARALLEL_WRITES, run_concurrently, write_par
 DEDUP_ORDER = ["ingestion_ts", "event_ts", "transaction_id"]
 
 
-def silver_days(spark: SparkSession, silver_root: str, days: list) -> DataFrame:
+# silver columns the marts read (gold_base dispatches on what is present)
+GOLD_INPUT_COLUMNS = [
+    "event_id", "transaction_id", "event_ts", "ingestion_ts", "merchant", "merchant_id", "approved",
+    "approved_int", "status", "amount", "amount_double", "risk_score", "is_international",
+    "is_international_int", "channel", "decline_reason", "payment_method", "card_id", "event_type", "ds_day",
+]
+# silver columns the geo mart reads
+GEO_INPUT_COLUMNS = [
+    "event_id", "transaction_id", "event_ts", "ingestion_ts", "device_ip", "ds", "approved_int",
+    "amount_double", "risk_score", "is_international_int", "ds_day",
+]
+
+
+def silver_days(spark: SparkSession, silver_root: str, days: list, columns: list | None = None) -> DataFrame:
     """Silver rows of the given event days from every bronze batch, latest
     copy per event id (copies arrive in several batches).  The day filter is
-    a partition filter: only those folders are read."""
+    a partition filter: only those folders are read.  ``columns`` projects
+    before the dedup: the dedup packs whole rows into its shuffle, so only
+    what the consumer reads should travel."""
     df = spark.read.parquet(silver_root)
     if days:
         df = df.where(F.col("ds_day").isin([F.lit(str(d)).cast("date") for d in days]))
+    if columns:
+        df = df.select(*[c for c in columns if c in df.columns])
     return dedup_latest(df, "event_id", DEDUP_ORDER)
 
 
@@ -40,7 +57,7 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, days:
 
     The normalised base is persisted once and feeds all marts (one silver
     scan instead of one per mart); the mart writes run as concurrent jobs."""
-    base = marts.gold_base(silver_days(spark, silver_root, days), strict)
+    base = marts.gold_base(silver_days(spark, silver_root, days, GOLD_INPUT_COLUMNS), strict)
     base = base.select("ds_day", "event_ts", "is_approved", "is_declined", "amount_num", "risk_score_num",
                        "is_international_num", "event_hour", "day_of_week", "channel", "decline_reason",
                        "merchant_id_norm", "merchant_country", "merchant_city", "merchant_mcc",
@@ -64,6 +81,6 @@ def geo_to_gold(spark: SparkSession, silver_root: str, ranges: DataFrame, geo_ro
                 keep_unknown: bool = False) -> str:
     """Geo mart for ``days``: enrich by the binned range join, aggregate,
     overwrite those days (partition column ``ds``)."""
-    silver = silver_days(spark, silver_root, days)
+    silver = silver_days(spark, silver_root, days, GEO_INPUT_COLUMNS)
     write_partitioned(geo_daily(geo_enrich(silver, ranges), keep_unknown), geo_root, ["ds"])
     return geo_root

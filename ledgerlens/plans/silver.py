@@ -90,8 +90,12 @@ def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | No
     three writes scan and parse bronze once; lost cached blocks are recomputed
     from lineage.  Returns the three output roots.
     """
-    validated = validated.withColumn(
-        "_bronze_day", F.lit(bronze_day).cast("date") if bronze_day else bronze_day_of(validated))
+    validated = validated.withColumns({
+        "_bronze_day": F.lit(bronze_day).cast("date") if bronze_day else bronze_day_of(validated),
+        # the raw text is only kept for replay of quarantined rows; dropping it
+        # elsewhere keeps the cached rows about half as large
+        "raw_line": F.when(F.col("dq_status") == "BAD", F.col("raw_line")),
+    })
     paths = {k: f"{out_root.rstrip('/')}/{k}" for k in ("silver", "quarantine", "audit")}
     graded = validated.persist(StorageLevel.MEMORY_AND_DISK)
     try:
