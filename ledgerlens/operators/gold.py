@@ -175,3 +175,77 @@ MARTS = {
     "by_payment_method": by_payment_method,
     "events_daily_wide": events_daily_wide,
 }
+
+
+# Key sets of the marts that share algebraic measures; one GROUPING SETS
+# aggregate computes them all in a single pass (Expand, then partial
+# aggregation, then one shuffle).
+MART_KEYS = {
+    "kpis_daily": ["ds_day"],
+    "by_region": ["ds_day", "merchant_country", "merchant_city"],
+    "by_channel": ["ds_day", "channel"],
+    "by_merchant": ["ds_day", "merchant_id_norm"],
+    "hourly": ["ds_day", "event_hour", "day_of_week"],
+    "by_decline_reason": ["ds_day", "decline_reason"],
+    "by_payment_method": ["ds_day", "payment_method"],
+}
+# extra set feeding the wide mart's distinct card count
+CARD_KEYS = ["ds_day", "card_id"]
+
+
+def marts_one_pass(base: DataFrame) -> tuple[DataFrame, dict]:
+    """All marts of ``MART_KEYS`` from one aggregate.
+
+    Also yields the wide daily mart: min/max are algebraic, and the distinct
+    card count is the number of (day, card) groups of one more set.
+    Returns the combined aggregate (small: one row per group of every set;
+    persist it when several marts are written) and a function per mart that
+    selects its rows and columns.  ``grouping_id`` tells the sets apart, so a
+    real NULL key is never confused with a rolled-up one."""
+    df = base.withColumns({
+        "payment_method": F.coalesce(safe_col(base, "payment_method", "string"), F.lit("UNKNOWN")),
+        "card_id": safe_col(base, "card_id", "string")})
+    key_sets = list(MART_KEYS.values()) + [CARD_KEYS]
+    all_keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
+    agg = df.groupingSets([[F.col(k) for k in ks] for ks in key_sets], *all_keys).agg(
+        F.grouping_id(*all_keys).alias("_gid"),
+        F.count(F.lit(1)).alias("events_total"),
+        F.sum("is_approved").alias("events_approved"),
+        F.sum("is_declined").alias("events_declined"),
+        F.sum("amount_num").alias("amount_sum"),
+        F.avg("amount_num").alias("amount_avg"),
+        F.avg("risk_score_num").alias("risk_score_avg"),
+        F.sum("is_international_num").alias("international_events"),
+        F.min("amount_num").alias("amount_min"),
+        F.max("amount_num").alias("amount_max"),
+        F.max("risk_score_num").alias("risk_score_max"))
+    rate = F.try_divide(F.col("events_declined"), F.col("events_total")).alias("decline_rate")
+    standard = ["events_total", "events_declined", rate, "amount_sum", "risk_score_avg"]
+    cols = {
+        "kpis_daily": ["events_total", "events_approved", "events_declined", rate, "amount_sum", "amount_avg",
+                       "risk_score_avg", "international_events"],
+        "by_decline_reason": ["events_total", "events_declined", rate],
+    }
+
+    def gid(keys):
+        # bit i (from the left, highest first) is 1 when key i is rolled up
+        return sum(1 << (len(all_keys) - 1 - i) for i, k in enumerate(all_keys) if k not in keys)
+
+    def pick(name):
+        keys = MART_KEYS[name]
+        return lambda combined: combined.where(F.col("_gid") == gid(keys)).select(*keys, *cols.get(name, standard))
+
+    def wide(combined):
+        day = combined.where(F.col("_gid") == gid(MART_KEYS["kpis_daily"]))
+        cards = (combined.where((F.col("_gid") == gid(CARD_KEYS)) & F.col("card_id").isNotNull())
+                 .groupBy("ds_day").agg(F.count(F.lit(1)).alias("distinct_cards")))
+        return day.join(cards, "ds_day", "left").select(
+            "ds_day", "events_total", F.col("events_total").alias("transactions_total"),
+            F.coalesce("distinct_cards", F.lit(0)).alias("distinct_cards"),
+            F.col("events_approved").alias("approved_total"), F.col("events_declined").alias("declined_total"),
+            "amount_avg", "amount_min", "amount_max", "amount_sum", "risk_score_avg", "risk_score_max",
+            F.col("international_events").alias("international_total"))
+
+    picks = {name: pick(name) for name in MART_KEYS}
+    picks["events_daily_wide"] = wide
+    return agg, picks

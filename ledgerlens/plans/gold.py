@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -52,11 +52,17 @@ def touched_days(batch: DataFrame) -> list:
 
 def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, days: list,
                    top_n: int = K.TOP_N_MERCHANTS, strict: bool = False,
-                   max_parallel: int = DEFAULT_PARALLEL_WRITES) -> dict[str, str]:
+                   max_parallel: int = DEFAULT_PARALLEL_WRITES, strategy: str = "persist") -> dict[str, str]:
     """Recompute every mart for ``days`` and overwrite exactly those days.
 
-    The normalised base is persisted once and feeds all marts (one silver
-    scan instead of one per mart); the mart writes run as concurrent jobs."""
+    ``strategy='persist'``: the normalised base (needed columns only) is
+    persisted once and feeds every mart (one silver scan instead of one per
+    mart).  ``strategy='grouping_sets'``: the standard marts come from one
+    GROUPING SETS aggregate (silver scanned and deduplicated once, no cache
+    of the base); its small result is persisted and split per mart, top-N
+    and the wide mart included.  Mart writes run as concurrent jobs."""
+    if strategy == "grouping_sets":
+        return _silver_to_gold_grouping_sets(spark, silver_root, gold_root, days, top_n, strict, max_parallel)
     base = marts.gold_base(silver_days(spark, silver_root, days, GOLD_INPUT_COLUMNS), strict)
     base = base.select("ds_day", "event_ts", "is_approved", "is_declined", "amount_num", "risk_score_num",
                        "is_international_num", "event_hour", "day_of_week", "channel", "decline_reason",
@@ -84,3 +90,22 @@ def geo_to_gold(spark: SparkSession, silver_root: str, ranges: DataFrame, geo_ro
     silver = silver_days(spark, silver_root, days, GEO_INPUT_COLUMNS)
     write_partitioned(geo_daily(geo_enrich(silver, ranges), keep_unknown), geo_root, ["ds"])
     return geo_root
+
+
+def _silver_to_gold_grouping_sets(spark, silver_root, gold_root, days, top_n, strict, max_parallel):
+    base = marts.gold_base(silver_days(spark, silver_root, days, GOLD_INPUT_COLUMNS), strict)
+    combined, pick = marts.marts_one_pass(base)
+    combined = combined.persist(StorageLevel.MEMORY_AND_DISK)
+    out = {name: f"{gold_root.rstrip('/')}/{name}" for name in marts.MARTS}
+    frames = {name: fn(combined) for name, fn in pick.items()}
+    w = Window.partitionBy("ds_day").orderBy(F.desc("events_declined"), F.desc("events_total"),
+                                             F.asc_nulls_first("merchant_id_norm"))
+    frames["top_merchants"] = (frames["by_merchant"].withColumn("rank", F.row_number().over(w))
+                               .where(F.col("rank") <= F.lit(int(top_n))))
+    try:
+        combined.count()
+        run_concurrently([(lambda n=n: write_partitioned(frames[n], out[n], ["ds_day"])) for n in marts.MARTS],
+                         max_parallel)
+    finally:
+        combined.unpersist()
+    return out
