@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import oracle as O
 from .functions import (boolish_to_int, clean_amount, country_iso2, country_name, event_ts_fallback,
                         ingest_ts, is_international, merchant_struct, parse_event_ts)
 from .operators import gold, quality
@@ -31,7 +30,7 @@ from .operators.geo import geo_daily, geo_enrich
 from .plans import gold as gold_jobs
 from .plans import views
 from .plans.silver import bronze_to_silver, to_silver
-from .session import checkpoint_root, lake_session, scratch_path
+from .session import lake_session, scratch_path
 from .sinks import catalog
 from .sinks.writers import append_table, replace_table_property, snapshot_table, write_partitioned
 from .sources import bronze as B

@@ -92,7 +92,12 @@ def validate_stream(spark: SparkSession, bronze_root: str, out_root: str, checkp
 def dedup_events(stream: DataFrame, key: str = "event_id", event_time: str = "event_ts",
                  delay: str = "1 day") -> DataFrame:
     """First copy of each ``key`` within ``delay`` of event time.  Rows with a
-    NULL key are not duplicates of each other and are kept."""
+    NULL key are not duplicates of each other and are kept.
+
+    State holds one entry per key for ``delay`` and is evicted by the
+    watermark.  Known limit: the state operator has no map-side step, so all
+    copies of one key in a micro-batch reach the same task; the batch
+    deduplication (``operators.dedup``) collapses copies before its shuffle."""
     s = stream.withWatermark(event_time, delay)
     kept = s.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
     return kept.unionByName(s.where(F.col(key).isNull()))
@@ -105,3 +110,13 @@ def dedup_stream(spark: SparkSession, source: str, schema: T.StructType, out_pat
     w = (dedup_events(stream, key, event_time, delay).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).option("path", out_path).outputMode("append"))
     return _run(w, available_now)
+
+
+def rows_dropped_by_watermark(query) -> int:
+    """Late rows a stateful query dropped (older than its watermark), summed
+    over the progress reports Spark keeps for the query."""
+    total = 0
+    for progress in query.recentProgress or []:
+        for op in progress.get("stateOperators", []):
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total
