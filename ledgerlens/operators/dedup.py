@@ -4,7 +4,12 @@ Expressed as ``groupBy(key).agg(max(struct(order..., rest...)))`` instead of
 a ``row_number`` window: ``max`` is algebraic, so each map task collapses its
 copies of a key before the shuffle.  A key holding a third of all rows then
 costs one row per task, not one giant sorted partition.  Rows with a NULL key
-are not duplicates of each other and bypass the aggregation unchanged.
+are not duplicates of each other: each gets its own group through a second
+grouping column (a row id that is set only when the key is NULL), so the
+input is read once and NULL-key rows spread over all reducers.  The row id
+(``monotonically_increasing_id``) carries the partition index in its upper
+bits; a retried task renumbers only rows of its own partition, so every row
+still lands in exactly one group.
 """
 
 from __future__ import annotations
@@ -32,8 +37,8 @@ def dedup_latest(df: DataFrame, key: str, order_by: list[str]) -> DataFrame:
     if not all(_orderable(df.schema[c].dataType) for c in order_by + rest):
         raise TypeError("dedup_latest needs orderable columns (no maps)")
     packed = F.struct(*[F.col(c) for c in order_by + rest])
-    kept = (df.where(F.col(key).isNotNull())
-              .groupBy(key).agg(F.max(packed).alias("_row"))
-              .select(key, "_row.*"))
-    nulls = df.where(F.col(key).isNull())
-    return kept.select(*df.columns).unionByName(nulls)
+    null_row = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return (df.withColumn("_null_row", null_row)
+              .groupBy(key, "_null_row").agg(F.max(packed).alias("_row"))
+              .select(key, "_row.*")
+              .select(*df.columns))
