@@ -461,3 +461,4 @@ FROM (SELECT *, coalesce({boolish('approved')}, CASE WHEN upper(trim(status)) =
     "stream_dedup": with_ctes(*C_PAY, body="""SELECT DISTINCT event_id FROM payments WHERE event_id IS NOT NULL
   UNION ALL SELECT event_id FROM payments WHERE event_id IS NULL"""),
 }
+ORACLE_SQL["stream_dedup_batched"] = ORACLE_SQL["stream_dedup"]

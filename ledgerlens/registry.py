@@ -545,6 +545,16 @@ def q_stream_dedup(spark, sf):
     return spark.read.parquet(out).select("event_id")
 
 
+def q_stream_dedup_batched(spark, sf):
+    src = scratch_path(spark, "stream-src")
+    p = _payments(spark, sf).withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    p.write.mode("overwrite").parquet(src)
+    out, seen, ckpt = (scratch_path(spark, "stream-dedup-b"), scratch_path(spark, "stream-seen"),
+                       scratch_path(spark, "ckpt-dedup-b"))
+    stream_jobs.dedup_stream_batched(spark, src, p.schema, out, seen, ckpt)
+    return spark.read.parquet(out).select("event_id")
+
+
 # ------------------------------------------------------------- registry --
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -95,9 +95,10 @@ def dedup_events(stream: DataFrame, key: str = "event_id", event_time: str = "ev
     NULL key are not duplicates of each other and are kept.
 
     State holds one entry per key for ``delay`` and is evicted by the
-    watermark.  Known limit: the state operator has no map-side step, so all
-    copies of one key in a micro-batch reach the same task; the batch
-    deduplication (``operators.dedup``) collapses copies before its shuffle."""
+    watermark.  The state operator has no map-side step, so all copies of one
+    key in a micro-batch reach the same task; when one id can carry a large
+    share of the stream use ``dedup_stream_batched``, which collapses copies
+    inside each task before any shuffle."""
     s = stream.withWatermark(event_time, delay)
     kept = s.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
     return kept.unionByName(s.where(F.col(key).isNull()))
@@ -120,3 +121,57 @@ def rows_dropped_by_watermark(query) -> int:
         for op in progress.get("stateOperators", []):
             total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
     return total
+
+
+def dedup_stream_batched(spark: SparkSession, source: str, schema: T.StructType, out_path: str, seen_path: str,
+                         checkpoint: str, key: str = "event_id", event_time: str = "event_ts",
+                         delay_days: int = 1, max_files_per_trigger: int | None = None,
+                         available_now: bool = True):
+    """Skew-safe streaming dedup (first copy of each key wins).
+
+    Each micro-batch is deduplicated with the batch operator first (partial
+    aggregation: all copies of a hot key collapse inside each task), then
+    anti-joined on the key against the ids already emitted, read from a
+    ``seen`` store partitioned by event day and pruned to the days within
+    ``delay_days`` of the batch's oldest event.  Both outputs are written
+    under ``batch_id=N`` with dynamic overwrite, and batch N only consults
+    ids of earlier batches, so a replayed micro-batch reproduces its own
+    output exactly.  Rows with a NULL key pass through.
+    """
+    from ..operators.dedup import dedup_latest
+
+    src = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        src = src.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = src.parquet(source)
+    seen_schema = T.StructType([T.StructField(key, schema[key].dataType),
+                                T.StructField("batch_id", T.LongType()), T.StructField("ds_day", T.DateType())])
+    # create the (possibly empty) store up front so every batch can read it
+    (spark.createDataFrame([], seen_schema).write.mode("append")
+          .partitionBy("batch_id", "ds_day").parquet(seen_path))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        # earliest copy wins: order by the negated time
+        ranked = batch.withColumn("_neg_ts", -F.col(event_time).cast("double"))
+        others = [c for c in batch.columns if c not in (key, event_time)]
+        first = dedup_latest(ranked, key, ["_neg_ts", *others]).drop("_neg_ts").persist()
+        try:
+            low = first.agg(F.min(F.to_date(event_time))).first()[0]
+            fresh = first
+            if low is not None:
+                seen = (spark.read.schema(seen_schema).parquet(seen_path)
+                        .where((F.col("batch_id") < batch_id)
+                               & (F.col("ds_day") >= F.date_sub(F.lit(str(low)).cast("date"), delay_days)))
+                        .select(key).distinct())
+                fresh = first.join(seen, key, "left_anti")
+            bid = F.lit(batch_id).cast("long")
+            out = fresh.withColumn("batch_id", bid)
+            write_partitioned(out, out_path, ["batch_id"])
+            ids = (fresh.where(F.col(key).isNotNull())
+                   .select(key, F.to_date(event_time).alias("ds_day"), bid.alias("batch_id")))
+            write_partitioned(ids, seen_path, ["batch_id", "ds_day"])
+        finally:
+            first.unpersist()
+
+    w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return _run(w, available_now)
