@@ -156,3 +156,20 @@ def test_batched_stream_dedup_first_copy_and_replay(spark):
     stream_jobs.dedup_stream_batched(spark, src, st, out, seen, ckpt)
     rows = {(r.event_id, r.v) for r in spark.read.parquet(out).collect()}
     assert rows == {("hot", "h0"), ("b", "b0"), (None, "n0"), (None, "n1"), ("c", "c0")}
+
+
+def test_catalog_partition_overwrite_is_idempotent(spark):
+    from ledgerlens.sinks.writers import overwrite_table_partitions
+    spark.sql("CREATE DATABASE IF NOT EXISTS ledgerlens_test")
+    root = scratch_path(spark, "tbl")
+    name = "ledgerlens_test.daily_counts_t2"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (n bigint, ds_day date) USING parquet "
+              f"PARTITIONED BY (ds_day) LOCATION '{root}'")
+    d1 = spark.createDataFrame([(5, "2024-01-01"), (7, "2024-01-02")], "n bigint, ds string") \
+        .selectExpr("n", "CAST(ds AS DATE) AS ds_day")
+    overwrite_table_partitions(d1, name)
+    overwrite_table_partitions(d1, name)  # rerun: no doubling
+    d2 = spark.createDataFrame([(9, "2024-01-02")], "n bigint, ds string").selectExpr("n", "CAST(ds AS DATE) AS ds_day")
+    overwrite_table_partitions(d2, name)  # replaces only 2024-01-02
+    got = sorted((str(r.ds_day), r.n) for r in spark.table(name).collect())
+    assert got == [("2024-01-01", 5), ("2024-01-02", 9)]
