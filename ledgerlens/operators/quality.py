@@ -78,13 +78,31 @@ def validate(df: DataFrame, as_of: Column | None = None, strict: bool = False) -
     if "raw_line" not in out.columns:
         extra["raw_line"] = F.lit(None).cast("string")
     out = out.withColumns(extra)
-    errors = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in dq_rules(as_of, strict)]))
-    out = out.withColumns({"ds_day": F.to_date("event_ts_ts"), "dq_errors": errors})
-    hard = F.array_intersect(F.col("dq_errors"), F.array(*[F.lit(c) for c in K.HARD_ERRORS]))
-    status = (F.when(F.size(hard) > 0, F.lit("BAD"))
-              .when(F.size("dq_errors") > 0, F.lit("WARN"))
-              .otherwise(F.lit("GOOD")))
-    return out.withColumns({"dq_hard_errors": hard, "dq_status": status})
+    rules = dq_rules(as_of, strict)
+    errors = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in rules]))
+    hard = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in rules
+                                     if code in K.HARD_ERRORS]))
+    out = out.withColumns({"ds_day": F.to_date("event_ts_ts"), "dq_errors": errors, "dq_hard_errors": hard})
+    # The grade is decided on the rule predicates (short-circuit booleans),
+    # not on the code arrays: routing filters (``dq_status IN ...``) are
+    # pushed below this projection and would otherwise build every array
+    # once more per row just to take its size.
+    return out.withColumn("dq_status", grade(rules))
+
+
+def grade(rules: list[tuple[str, Column]]) -> Column:
+    """BAD if a hard rule fires, WARN if any other rule fires, else GOOD
+    (a rule whose predicate is NULL does not fire)."""
+    hard_any = _any([F.coalesce(fires, F.lit(False)) for code, fires in rules if code in K.HARD_ERRORS])
+    soft_any = _any([F.coalesce(fires, F.lit(False)) for code, fires in rules if code not in K.HARD_ERRORS])
+    return F.when(hard_any, F.lit("BAD")).when(soft_any, F.lit("WARN")).otherwise(F.lit("GOOD"))
+
+
+def _any(conds: list[Column]) -> Column:
+    out = F.lit(False)
+    for c in conds:
+        out = out | c
+    return out
 
 
 def good_rows(validated: DataFrame) -> DataFrame:

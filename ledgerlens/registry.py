@@ -71,7 +71,7 @@ def _finish(df: DataFrame) -> DataFrame:
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     lake_session(spark)
-    return spark.read.parquet(f"{sf}/events.parquet")
+    return tables.spread(spark.read.parquet(f"{sf}/events.parquet"))
 
 
 def _payments(spark, sf):

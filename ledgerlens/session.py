@@ -28,7 +28,10 @@ def build_session(master: str | None = None, app_name: str = "ledgerlens",
     off: batch jobs do not need it and it opens a port.
     """
     b = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false"))
+         .config("spark.ui.showConsoleProgress", "false")
+         # call-site capture for error messages costs several py4j round
+         # trips per function call while a plan is built
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if master:
         b = b.master(master)
     for k, v in LAKE_CONF.items():

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import boolish_to_int, clean_amount, unglue_fragments
+from .tables import spread
 
 _S = T.StringType()
 # Declared raw event schema: producer fields plus the optional payment fields.
@@ -46,9 +47,7 @@ def read_bronze(spark: SparkSession, root: str, day: str | None = None,
                    F.col("_metadata.file_path").alias("source_file"),
                    (as_of if as_of is not None else F.current_timestamp()).alias("ingestion_ts"),
                    "year", "month", "day")
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return spread(df, min_partitions) if min_partitions else df
 
 
 def unglue(raw: DataFrame, col: str = "raw_line") -> DataFrame:
