@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
-from ..functions import normalize_code, parse_event_ts
+from ..functions import normalize_code, parse_event_ts, with_columns_once
+
+_TS_TYPES = (T.TimestampType, T.TimestampNTZType)
 
 
 def valid_countries(strict: bool) -> list[str]:
@@ -65,19 +67,23 @@ def validate(df: DataFrame, as_of: Column | None = None, strict: bool = False) -
     ``strict=True`` reproduces the original lists and ISO-only time parsing.
     """
     out = normalize_codes(df, strict)
-    if isinstance(df.schema["event_ts"].dataType, (T.TimestampType, T.TimestampNTZType)):
+    ts_type = df.schema["event_ts"].dataType
+    if isinstance(ts_type, _TS_TYPES):
         # already typed: no text parsing (which the optimizer may otherwise
         # copy into every pushed-down filter that depends on it)
         ts = F.col("event_ts").cast("timestamp")
     else:
         ts_text = F.col("event_ts").cast("string")
         ts = F.try_to_timestamp(ts_text) if strict else parse_event_ts(ts_text)
-    extra = {"event_ts_ts": ts}
+    extra = {}
     if "is_malformed_json" not in out.columns:
         extra["is_malformed_json"] = F.lit(False)
     if "raw_line" not in out.columns:
         extra["raw_line"] = F.lit(None).cast("string")
     out = out.withColumns(extra)
+    # the text time parser runs once per row (not once per rule referencing it)
+    out = out.withColumn("event_ts_ts", ts) if isinstance(ts_type, _TS_TYPES) else \
+        with_columns_once(out, {"event_ts_ts": ts})
     rules = dq_rules(as_of, strict)
     errors = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in rules]))
     hard = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in rules

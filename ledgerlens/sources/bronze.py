@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import boolish_to_int, clean_amount, unglue_fragments
+from ..functions import boolish_to_int, clean_amount, unglue_fragments, with_columns_once
 from .tables import spread
 
 _S = T.StringType()
@@ -88,8 +88,10 @@ def parse_events(fragments: DataFrame, col: str = "raw_line",
     typed["event_ts"] = F.coalesce(text("event_ts"), text("event_time"))
     if "event_ts" not in names:
         names = names + ["event_ts"]
-    return df.select(*keep, (F.col("_j").isNull() | corrupt).alias("is_malformed_json"),
-                     *[typed[n].alias(n) for n in names])
+    # parsed and typed once per row: grading filters downstream must not pull
+    # the parser and the money-text regexes up into one copy per reference
+    return with_columns_once(df.select(*keep, "_j"), {
+        "is_malformed_json": F.col("_j").isNull() | corrupt, **{n: typed[n] for n in names}}).drop("_j")
 
 
 def infer_event_schema(fragments: DataFrame, col: str = "raw_line", sample_rows: int | None = None) -> DataFrame:

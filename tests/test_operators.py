@@ -95,3 +95,19 @@ def test_grouping_sets_marts_equal_separate_marts(spark):
                 else:
                     assert u == v, name
     combined.unpersist()
+
+
+def test_grading_filter_parses_each_line_once(spark):
+    """Routing on dq_status must not copy the JSON parser or the time parser
+    into the pushed-down filter (one copy per referenced field before)."""
+    from ledgerlens.sources import bronze as B
+    from ledgerlens.sources.fixtures import bronze_lines
+    lines = bronze_lines(spark.read.parquet(f"{SF}/events.parquet")).select(F.col("value").alias("raw_line"))
+    validated = quality.validate(B.parse_events(B.unglue(lines)), as_of=F.lit("2024-01-31").cast("timestamp"))
+    for routed in (quality.good_rows(validated), quality.bad_rows(validated)):
+        plan = _plan(to_silver(routed))
+        assert plan.count("from_json(") == 1
+        assert plan.count("try_to_timestamp") <= 2  # the two text formats, once each
+    assert "_j" not in B.parse_events(B.unglue(lines)).columns
+    n_good, n_bad = quality.good_rows(validated).count(), quality.bad_rows(validated).count()
+    assert n_good + n_bad == validated.count() and n_bad > 0
