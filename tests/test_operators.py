@@ -48,6 +48,10 @@ def test_geo_enrich_plan_is_hash_join(spark):
     plan = _plan(e)
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    # the not-null filter the join infers on the bin must not carry the
+    # address parser (it would run once per reference, before any shuffle)
+    kept = e.where(F.col("country_iso2") != "UNK")
+    assert not [ln for ln in _plan(kept).splitlines() if "Filter" in ln and "split(" in ln]
 
 
 def test_top_merchants_uses_window_group_limit(spark):
