@@ -90,10 +90,10 @@ def validate(df: DataFrame, as_of: Column | None = None, strict: bool = False) -
                                      if code in K.HARD_ERRORS]))
     out = out.withColumns({"ds_day": F.to_date("event_ts_ts"), "dq_errors": errors, "dq_hard_errors": hard})
     # The grade is decided on the rule predicates (short-circuit booleans),
-    # not on the code arrays: routing filters (``dq_status IN ...``) are
-    # pushed below this projection and would otherwise build every array
-    # once more per row just to take its size.
-    return out.withColumn("dq_status", grade(rules))
+    # not on the code arrays, and computed once per row: routing filters
+    # (``dq_status IN ...``) stay above it instead of being pushed down with
+    # a copy of every rule (ahead of any repartition of a narrow input).
+    return with_columns_once(out, {"dq_status": grade(rules)})
 
 
 def grade(rules: list[tuple[str, Column]]) -> Column:
