@@ -73,7 +73,7 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, days:
     def job(name):
         fn = marts.MARTS[name]
         df = fn(base, top_n) if name == "top_merchants" else fn(base)
-        return lambda: write_partitioned(df, out[name], ["ds_day"])
+        return lambda: write_partitioned(df, out[name], ["ds_day"], rebalance=True)
 
     try:
         base.count()  # fill the cache once; the concurrent writes then share it
@@ -88,7 +88,7 @@ def geo_to_gold(spark: SparkSession, silver_root: str, ranges: DataFrame, geo_ro
     """Geo mart for ``days``: enrich by the binned range join, aggregate,
     overwrite those days (partition column ``ds``)."""
     silver = silver_days(spark, silver_root, days, GEO_INPUT_COLUMNS)
-    write_partitioned(geo_daily(geo_enrich(silver, ranges), keep_unknown), geo_root, ["ds"])
+    write_partitioned(geo_daily(geo_enrich(silver, ranges), keep_unknown), geo_root, ["ds"], rebalance=True)
     return geo_root
 
 
@@ -104,7 +104,8 @@ def _silver_to_gold_grouping_sets(spark, silver_root, gold_root, days, top_n, st
                                .where(F.col("rank") <= F.lit(int(top_n))))
     try:
         combined.count()
-        run_concurrently([(lambda n=n: write_partitioned(frames[n], out[n], ["ds_day"])) for n in marts.MARTS],
+        run_concurrently([(lambda n=n: write_partitioned(frames[n], out[n], ["ds_day"], rebalance=True))
+                          for n in marts.MARTS],
                          max_parallel)
     finally:
         combined.unpersist()

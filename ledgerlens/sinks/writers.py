@@ -4,14 +4,15 @@ Partitioned writes use dynamic partition overwrite: a rerun replaces exactly
 the partitions its output touches and leaves every other one alone, so a
 rerun never doubles a mart.
 
-``rebalance=True`` adds a ``rebalance`` hint: AQE then splits a hot
-partition value over several tasks and merges tiny outputs.  It is meant for
-sparse row-level outputs written straight from thousands of map tasks (the
-quarantine), where every task would otherwise write a tiny file into every
-day.  It is off by default: aggregate outputs already come out of a shuffle
-hashed on (day, key) that AQE coalesces, and row-level layers written from
-their input splits (silver) get files sized by the input; a second full
-shuffle of silver would only cost network.
+``rebalance=True`` adds a ``rebalance`` hint on the partition columns: AQE
+then gathers each partition value into few files, splitting a hot value over
+several tasks and merging tiny outputs.  It is used for the marts and the
+quarantine.  A mart grouped by (day, key) comes out of a shuffle hashed on
+both, so without it every reducer would write a small file into every day it
+holds (reducers x days files per mart); the extra shuffle moves only the
+aggregated rows.  The quarantine is sparse and written from thousands of map
+tasks.  Silver is written without it, from its input splits: files are sized
+by the input, and a second full shuffle of silver would only cost network.
 """
 
 from __future__ import annotations
