@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import compression_quality, toxicity_fm
+from .common import id_crc32, table
+from .pii_crf import pii_spans
 from .quality_rules import quality_rules
 from .simhash import fingerprint_hex, simhash_groups
 
@@ -19,6 +21,28 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def _held_out(spark: SparkSession, sf_dir: str, divisor: int, rest: int):
+    """The documents and labels, and whether an id is held out of learning."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return docs, labels, F.coalesce(id_crc32() % divisor == rest, F.lit(False))
+
+
+def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels, held_out = _held_out(spark, sf_dir, 4, 2)
+    scored = compression_quality.compression_quality(docs, labels, "quality", usable=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op8_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels, held_out = _held_out(spark, sf_dir, 3, 1)
+    scored = toxicity_fm.toxicity(docs, labels, "toxic", usable=~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op9_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans(table(spark, sf_dir, "documents")).drop("masked")
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return groups.select("doc_id", fingerprint_hex("fp").alias("fingerprint"), "component_id")
