@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, toxicity_fm
+from . import compression_quality, mixing, toxicity_fm
 from .common import id_crc32, table
+from .packing import pack_documents
 from .pii_crf import pii_spans
 from .quality_rules import quality_rules
 from .simhash import fingerprint_hex, simhash_groups
@@ -21,6 +22,17 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def _held_out(spark: SparkSession, sf_dir: str, divisor: int, rest: int):
     """The documents and labels, and whether an id is held out of learning."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -33,6 +45,10 @@ def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op8_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels, held_out = _held_out(spark, sf_dir, 3, 1)
     scored = toxicity_fm.toxicity(docs, labels, "toxic", usable=~held_out)
@@ -53,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_source_mix": mixing.oracle_sql()}
