@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from . import compression_quality, mixing, toxicity_fm
 from .common import id_crc32, table
+from .license_templates import license_scan
 from .packing import pack_documents
 from .pii_crf import pii_spans
+from .pivot_index import embedding_groups
 from .quality_rules import quality_rules
 from .simhash import fingerprint_hex, simhash_groups
 
@@ -45,10 +47,18 @@ def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op5_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op7_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op8_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels, held_out = _held_out(spark, sf_dir, 3, 1)
     scored = toxicity_fm.toxicity(docs, labels, "toxic", usable=~held_out)

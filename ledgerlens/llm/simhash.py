@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import in_blocks, whole_groups
 from .common import column, id_text, map_batches, materialize, shuffle_partitions, texts
 from .graph import components, local_forest
 
@@ -192,27 +193,9 @@ def link_buckets(max_bits: int):
         return fp[moved].view(np.int64), fp[root[moved]].view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush(last: bool):
-            nonlocal held, size
-            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
-            cut = len(cols[0]) if last else int(np.searchsorted(cols[0], cols[0][-1]))
-            held, size = [tuple(c[cut:] for c in cols)], len(cols[0]) - cut
-            if cut:
-                u, v = compare(*(c[:cut] for c in cols))
-                return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=schema)
-            return None
-
-        for b in batches:
-            held.append((column(b, "bucket").to_numpy(), column(b, "side").to_numpy(), column(b, "fp").to_numpy(),
-                         column(b, "probe").to_numpy(zero_copy_only=False)))
-            size += b.num_rows
-            if size >= CHUNK and (out := flush(False)) is not None:
-                yield out
-        if size and (out := flush(True)) is not None:
-            yield out
+        for t in whole_groups(batches, "bucket", CHUNK):
+            u, v = compare(*(t[c].to_numpy() for c in ("bucket", "side", "fp", "probe")))
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=schema)
 
     return run
 
@@ -234,20 +217,9 @@ def near_links(reps: DataFrame, max_bits: int = 4, partitions: int = 4) -> DataF
                     "probe": np.repeat(probes, len(fps))}
         return run
 
-    spark = reps.sparkSession
     probes = materialize(map_batches(reps, make, fields, rows=4096), "simhash-probes")
-    large = probes.groupBy("bucket").count().where(F.col("count") > BLOCK)
-    blocks = F.coalesce(F.ceil(F.col("count") / BLOCK), F.lit(1)).cast("int")
-    own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("blocks")).cast("int")
-    # rows of a large bucket go to every pair of blocks that has theirs in it
-    split = (probes.join(large, "bucket", "left").withColumn("blocks", blocks).withColumn("own", own)
-             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-             .select("fp", "probe", F.when(F.col("blocks") == 1, F.col("bucket")).otherwise(
-                 F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))).alias("bucket"),
-                 F.when(F.col("own") != F.col("other"), F.col("own"))
-                 .otherwise(-1).alias("side")))
-    parts = shuffle_partitions(spark)
-    return (split.repartition(parts, "bucket").sortWithinPartitions("bucket")
+    split = in_blocks(probes, "bucket", F.xxhash64("fp", F.lit(7)), BLOCK)
+    return (split.repartition(shuffle_partitions(reps.sparkSession), "bucket").sortWithinPartitions("bucket")
             .mapInArrow(link_buckets(max_bits), "u long, v long"))
 
 
