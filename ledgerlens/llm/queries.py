@@ -18,12 +18,17 @@ from .pii_crf import pii_spans
 from .pivot_index import embedding_groups
 from .quality_rules import quality_rules
 from .simhash import fingerprint_hex, simhash_groups
+from .suffix_dedup import remove_repeats
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
