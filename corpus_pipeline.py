@@ -1,23 +1,74 @@
-"""A document pipeline: each stage calls one operator of ``ledgerlens.llm`` and
-its result is written as Parquet and read again as the next stage's documents."""
+"""A document pipeline: toxic documents go, one document of each group of near
+duplicates stays, personal data is masked, sources are mixed to target weights,
+and the texts are packed into training sequences.
+
+Each stage calls one operator of ``ledgerlens.llm``; its result is written as
+Parquet and read again as the next stage's documents.  All stages but the last
+keep the columns of documents.
+
+Defined cases: rows with a null id are never dropped as duplicates and are taken
+once by the mix, as nothing tells them apart; of rows with one id one stays;
+null texts stay null and count as empty; an empty table gives an empty result;
+extra columns are carried along up to the mix.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import materialize, table
+from ledgerlens.llm import mixing, toxicity_fm
+from ledgerlens.llm.common import bound_batches, id_crc32, materialize, table
+from ledgerlens.llm.packing import pack_documents
+from ledgerlens.llm.pii_crf import mask_documents
+from ledgerlens.llm.queries import tokenizer_path
 from ledgerlens.llm.simhash import simhash_groups
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorization machine does not reject."""
+    bound_batches(spark)
+    usable = F.coalesce(id_crc32() % 3 != 1, F.lit(True))
+    model = toxicity_fm.train(docs, table(spark, sf_dir, "labels"), "toxic", usable)
+    return toxicity_fm.drop_toxic(docs, model)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of each group of near-duplicates."""
+    """The document with the smallest id of each group of near duplicates."""
+    bound_batches(spark)
     keep = simhash_groups(docs, shingle=4, max_bits=4).where("doc_id = component_id").select("doc_id")
-    return docs.join(keep.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    first = docs.join(keep, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return first.union(docs.where("doc_id is null"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked."""
+    bound_batches(spark)
+    return mask_documents(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes all its words, to the
+    nearest whole number; documents without words once."""
+    bound_batches(spark)
+    copies = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("taken") / F.col("size"))).cast("int")
+    times = (mixing.mix(docs).where("doc_id is not null").select("doc_id", copies.alias("_copies"))
+             .where("_copies > 0").dropDuplicates(["doc_id"]))
+    columns = docs.columns
+    mixed = (docs.join(times, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+             .select(*columns))
+    return mixed.union(docs.where("doc_id is null"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens with their sequences and offsets."""
+    bound_batches(spark)
+    return pack_documents(docs, tokenizer_path())
 
 
-STAGES = [("simhash near-dedup", near_dedup)]
-ORACLE_SQL = None  # fingerprints have no SQL form; tested against a brute-force version
+STAGES = [("toxicity", drop_toxic), ("simhash near-dedup", near_dedup), ("pii", mask_personal_data),
+          ("source mix", mix_sources), ("packing", pack_sequences)]
+ORACLE_SQL = None  # no stage but the mix has a SQL form; tested against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,11 +24,16 @@ ARROW_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "s
                "array<double>": pa.list_(pa.float64())}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table.  Long texts make batches of Spark's default 10,000
-    rows too large for a Python worker, so the session's batch is lowered."""
+def bound_batches(spark: SparkSession) -> None:
+    """Long texts make batches of Spark's default 10,000 rows too large for a
+    Python worker, so the session's batch is lowered."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -55,6 +60,18 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
     return df.mapInArrow(run, ddl(fields))
 
 
+def rewrite_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+                    rows: int = SLICE_ROWS) -> DataFrame:
+    """Map slices to batches with the columns of ``df``, whatever they are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield fn(batch.slice(at, rows))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; a null text counts as empty."""
     return ["" if t is None else t for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]

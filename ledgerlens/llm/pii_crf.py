@@ -23,9 +23,10 @@ from functools import cache
 from itertools import groupby
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import column, id_text, map_batches, texts
+from .common import column, id_text, map_batches, rewrite_batches, texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -349,5 +350,30 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return map_batches(docs, make, fields)
 
 
+def mask_documents(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The rows with every span of their texts masked; all other columns stay,
+    but a column of text lengths follows the text.  Null texts stay null."""
+    shared = docs.sparkSession.sparkContext.broadcast(trained())
+
+    def make():
+        decode = Decoder(shared.value)
+
+        def run(batch):
+            tx = texts(batch, text_col)
+            new = [mask(t, every) for t, (_, every) in zip(tx, all_spans(tx, decode), strict=True)]
+            old = column(batch, text_col)
+            cells = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            cells[text_col] = pa.array([t if v else None for t, v in zip(new, old.is_valid().to_pylist(), strict=True)],
+                                       old.type)
+            if length_col in cells:
+                lengths = [len(t) if t != was else n for t, was, n in
+                           zip(new, tx, cells[length_col].to_pylist(), strict=True)]
+                cells[length_col] = pa.array(lengths, cells[length_col].type)
+            return pa.RecordBatch.from_arrays(list(cells.values()), schema=batch.schema)
+        return run
+
+    return rewrite_batches(docs, make)
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)

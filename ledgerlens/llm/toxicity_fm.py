@@ -21,10 +21,11 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, id_text, map_batches, texts
+from .common import column, id_text, map_batches, rewrite_batches, texts
 from .labelled import labelled_texts, sigmoid
 
 HASH_BITS = 20
@@ -180,6 +181,18 @@ def score(docs: DataFrame, model: FactorizationMachine, threshold: float = 0.7,
     return map_batches(docs, make, fields)
 
 
+def drop_toxic(docs: DataFrame, model: FactorizationMachine, threshold: float = 0.7,
+               text_col: str = "text") -> DataFrame:
+    """The rows that score below ``threshold``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        scorer = Scorer(shared.value)
+        return lambda b: b.filter(pa.array(scorer(texts(b, text_col)) < threshold))
+
+    return rewrite_batches(docs, make)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", usable: Column | None = None,
              threshold: float = 0.7) -> DataFrame:
     """Train on the usable labelled rows and score every document."""
