@@ -6,20 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def safe_col(df: DataFrame, name: str, dtype: str) -> Column:
-    """``name`` converted to ``dtype`` when present, else a typed NULL.
+def first_present(df: DataFrame, names: list[str], dtype: str) -> Column:
+    """First value of type ``dtype`` over the alternative columns that exist.
 
-    Conversion is ``try_cast``: a value that does not convert becomes NULL
-    instead of failing the job (ANSI mode is on).
+    Values that do not convert count as NULL (ANSI mode is on, so a plain cast
+    would fail the job); with no such column the result is a typed NULL.
     """
-    if name in df.columns:
-        return F.col(name).try_cast(dtype)
-    return F.lit(None).cast(dtype)
+    typed = [F.col(f"`{n}`").try_cast(dtype) for n in names if n in df.columns]
+    return F.coalesce(*typed, F.lit(None).cast(dtype))
 
 
-def first_present(df: DataFrame, names: list[str], dtype: str) -> Column:
-    """First non-null value over the alternative columns that exist."""
-    return F.coalesce(*[safe_col(df, n, dtype) for n in names])
+def safe_col(df: DataFrame, name: str, dtype: str) -> Column:
+    """``first_present`` of a single column."""
+    return first_present(df, [name], dtype)
 
 
 def with_columns_once(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:

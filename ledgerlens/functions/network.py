@@ -1,20 +1,53 @@
-"""IPv4 text -> 32-bit number (for range joins)."""
+"""Internet addresses as ordered keys (for range joins)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DOTTED_QUAD = r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$"
+DOTTED_QUAD = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
+HEX_GROUP = r"^[0-9a-f]{1,4}$"
+KEY_BYTES = 16
+# where IPv4 lies among the 128-bit addresses (::ffff:0:0/96)
+V4_PREFIX = "0" * 20 + "ffff"
+
+
+def _hex(number: Column, digits: int) -> Column:
+    return F.lpad(F.lower(F.hex(number)), digits, "0")
 
 
 def ipv4_to_long(c: Column) -> Column:
     """Dotted IPv4 -> long; anything else (IPv6, octet > 255, junk) -> NULL."""
     s = F.trim(c.cast("string"))
-    parts = F.split(s, r"\.")
-    octs = [F.try_element_at(parts, F.lit(i + 1)).try_cast("long") for i in range(4)]
-    ok = s.rlike(DOTTED_QUAD)
-    for o in octs:
-        ok = ok & (o <= 255)
-    value = octs[0] * 16777216 + octs[1] * 65536 + octs[2] * 256 + octs[3]
-    return F.when(ok, value)
+    octets = F.transform(F.split(s, r"\."), lambda o: o.try_cast("long"))
+    value = F.aggregate(octets, F.lit(0).cast("long"), lambda acc, o: acc * 256 + o)
+    return F.when(s.rlike(DOTTED_QUAD) & F.forall(octets, lambda o: o <= 255), value)
+
+
+def _ipv6_key(s: Column) -> Column:
+    """32 hex digits of an IPv6 address in lower case, else NULL."""
+    halves = F.split(s, "::")
+    gaps = F.size(halves) - 1
+
+    def groups(text: Column) -> Column:
+        return F.filter(F.split(F.coalesce(text, F.lit("")), ":"), lambda g: g != "")
+
+    head, tail = groups(F.get(halves, F.lit(0))), groups(F.get(halves, F.lit(1)))
+    known = F.size(head) + F.size(tail)
+    fill = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - known, F.lit(0)))
+    every = F.concat(head, fill, tail)
+    sound = (s.contains(":") & ~s.rlike(r":::|^:[^:]|[^:]:$") & F.forall(every, lambda g: g.rlike(HEX_GROUP))
+             & (((gaps == 0) & (known == 8)) | ((gaps == 1) & (known <= 7))))
+    return F.when(sound, F.array_join(F.transform(every, lambda g: F.lpad(g, 4, "0")), ""))
+
+
+def ip_key(c: Column) -> Column:
+    """An address of either family as 32 hex digits whose text order is the
+    order of addresses; IPv4 takes its mapped place.  No address -> NULL."""
+    s = F.lower(F.trim(c.cast("string")))
+    # an IPv4 address at the end of an IPv6 one stands for its last two groups
+    last = ipv4_to_long(F.regexp_extract(s, r"([0-9.]+)$", 1))
+    mixed = F.concat(F.regexp_extract(s, r"^(.*:)[0-9.]+$", 1), F.substring(_hex(last, 8), 1, 4), F.lit(":"),
+                     F.substring(_hex(last, 8), 5, 4))
+    v6 = F.when(s.contains(":"), F.when(s.contains("."), mixed).otherwise(s))
+    return F.coalesce(F.concat(F.lit(V4_PREFIX), _hex(ipv4_to_long(s), 8)), _ipv6_key(v6))

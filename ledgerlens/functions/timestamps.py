@@ -9,19 +9,18 @@ from pyspark.sql import types as T
 
 # epoch values at or above this are milliseconds, below it seconds
 MILLIS_FROM = 10**12
-# last millisecond of year 9999; larger digit strings are not a time
-MILLIS_MAX = 253402300799999
+# first second after year 9999; a number from there on is not a time
+SECONDS_END = 253402300800
 BR_FORMAT = "dd/MM/yyyy HH:mm:ss"
 
 
 def parse_event_ts(c: Column) -> Column:
-    """Digits -> epoch (>= 10^12 millis, else seconds); else
+    """Digits -> epoch (>= 10^12 millis, else seconds) up to year 9999; else
     ``dd/MM/yyyy HH:mm:ss``; else ISO-8601.  Anything else is NULL."""
     s = c.cast("string")
     n = F.when(s.rlike(r"^[0-9]+$"), s.try_cast("long"))
-    epoch = (F.when(n >= F.lit(MILLIS_FROM),
-                    F.when(n <= F.lit(MILLIS_MAX), F.timestamp_millis(n)))
-             .when(n.isNotNull(), F.timestamp_seconds(n)))
+    millis = F.when(n >= F.lit(MILLIS_FROM), n).otherwise(F.try_multiply(n, F.lit(1000)))
+    epoch = F.when(millis < F.lit(SECONDS_END) * 1000, F.timestamp_millis(millis))
     return F.coalesce(epoch, F.try_to_timestamp(s, F.lit(BR_FORMAT)), F.try_to_timestamp(s))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import constants as K
-from ..functions import normalize_code, parse_event_ts, with_columns_once
+from ..functions import event_ts_fallback, normalize_code, with_columns_once
 
 _TS_TYPES = (T.TimestampType, T.TimestampNTZType)
 
@@ -21,43 +21,63 @@ def valid_countries(strict: bool) -> list[str]:
     return list(K.VALID_COUNTRIES) if strict else list(K.VALID_COUNTRIES) + ["GB"]
 
 
+def normalized_codes(df: DataFrame, strict: bool = False) -> dict[str, Column]:
+    """The expressions of ``normalize_codes`` by column."""
+    aliases = {} if strict else K.CODE_ALIASES
+    return {name: normalize_code(F.col(name), aliases.get(name))
+            for name in ("currency", "country", "channel", "status") if name in df.columns}
+
+
 def normalize_codes(df: DataFrame, strict: bool = False) -> DataFrame:
     """upper(trim()) of currency, country, channel and status; unless
     ``strict``, producer spellings are mapped (UK -> GB, MOBILE_APP -> MOBILE)."""
-    aliases = {} if strict else K.CODE_ALIASES
-    return df.withColumns({name: normalize_code(F.col(name), aliases.get(name))
-                           for name in ("currency", "country", "channel", "status") if name in df.columns})
+    return df.withColumns(normalized_codes(df, strict))
+
+
+# What a rule fires on; each helper takes a column name.  Three-valued logic is
+# kept on purpose: a NULL passes ``_outside`` (``NOT IN`` is NULL) and fails
+# ``_not_among``.
+
+def _missing(name: str) -> Column:
+    return F.coalesce(F.trim(F.col(name)), F.lit("")) == ""
+
+
+def _outside(name: str, domain: list[str]) -> Column:
+    return ~F.col(name).isin(*domain)
+
+
+def _not_among(name: str, domain: list[str]) -> Column:
+    return F.coalesce(_outside(name, domain), F.lit(True))
 
 
-def _blank(c: Column) -> Column:
-    return c.isNull() | (F.length(F.trim(c)) == 0)
+def _beyond(c: Column, low: Column | None = None, high: Column | None = None) -> Column:
+    """Known, and below ``low`` or above ``high``."""
+    sides = ([c < low] if low is not None else []) + ([c > high] if high is not None else [])
+    return F.coalesce(_any(sides), F.lit(False))
 
 
 def dq_rules(as_of: Column | None = None, strict: bool = False) -> list[tuple[str, Column]]:
     """(code, fires) per rule, in code order.  Expects normalised codes,
     ``event_ts_ts`` (parsed time), ``is_malformed_json`` and ``raw_line``.
 
-    Three-valued logic is kept on purpose: a NULL currency or country passes
-    (``NOT IN`` is NULL), a NULL channel or status fails.
+    A NULL currency or country passes, a NULL channel or status fails.
     """
-    now = as_of if as_of is not None else F.current_timestamp()
-    ts, amount, risk = F.col("event_ts_ts"), F.col("amount"), F.col("risk_score")
-    cur, ctry, chan, st = F.col("currency"), F.col("country"), F.col("channel"), F.col("status")
-    return [
-        ("MALFORMED_JSON", F.col("raw_line").isNotNull() & F.col("is_malformed_json")),
-        ("MISSING_EVENT_ID", _blank(F.col("event_id"))),
-        ("MISSING_TRANSACTION_ID", _blank(F.col("transaction_id"))),
-        ("MISSING_USER_ID", _blank(F.col("user_id"))),
-        ("INVALID_EVENT_TS", ts.isNull()),
-        ("MISSING_AMOUNT", amount.isNull()),
-        ("AMOUNT_NON_POSITIVE", amount.isNotNull() & (amount <= 0)),
-        ("INVALID_CURRENCY", ~cur.isin(*K.VALID_CURRENCIES)),
-        ("INVALID_COUNTRY", ~ctry.isin(*valid_countries(strict))),
-        ("INVALID_CHANNEL", chan.isNull() | ~chan.isin(*K.VALID_CHANNELS)),
-        ("INVALID_STATUS", st.isNull() | ~st.isin(*K.VALID_STATUS)),
-        ("RISK_SCORE_OUT_OF_RANGE", risk.isNotNull() & ((risk < 0) | (risk > 1))),
-        ("EVENT_TS_IN_FUTURE", ts.isNotNull() & (ts > now + F.expr(K.FUTURE_TOLERANCE))),
-    ]
+    latest = (as_of if as_of is not None else F.current_timestamp()) + F.expr(K.FUTURE_TOLERANCE)
+    amount, time = F.col("amount"), F.col("event_ts_ts")
+    fires = {
+        "MALFORMED_JSON": F.col("raw_line").isNotNull() & F.col("is_malformed_json"),
+        **{f"MISSING_{name.upper()}": _missing(name) for name in ("event_id", "transaction_id", "user_id")},
+        "INVALID_EVENT_TS": time.isNull(),
+        "MISSING_AMOUNT": amount.isNull(),
+        "AMOUNT_NON_POSITIVE": F.coalesce(amount <= 0, F.lit(False)),
+        "INVALID_CURRENCY": _outside("currency", K.VALID_CURRENCIES),
+        "INVALID_COUNTRY": _outside("country", valid_countries(strict)),
+        "INVALID_CHANNEL": _not_among("channel", K.VALID_CHANNELS),
+        "INVALID_STATUS": _not_among("status", K.VALID_STATUS),
+        "RISK_SCORE_OUT_OF_RANGE": _beyond(F.col("risk_score"), F.lit(0), F.lit(1)),
+        "EVENT_TS_IN_FUTURE": _beyond(time, high=latest),
+    }
+    return [(code, fires[code]) for code in K.DQ_CODES]
 
 
 def validate(df: DataFrame, as_of: Column | None = None, strict: bool = False) -> DataFrame:
@@ -72,9 +92,12 @@ def validate(df: DataFrame, as_of: Column | None = None, strict: bool = False) -
         # already typed: no text parsing (which the optimizer may otherwise
         # copy into every pushed-down filter that depends on it)
         ts = F.col("event_ts").cast("timestamp")
+    elif strict:
+        ts = F.try_to_timestamp(F.col("event_ts").cast("string"))
     else:
-        ts_text = F.col("event_ts").cast("string")
-        ts = F.try_to_timestamp(ts_text) if strict else parse_event_ts(ts_text)
+        # each candidate is parsed before the choice: a bad first one does not
+        # hide a good second one
+        ts = event_ts_fallback(df, [c for c in ("event_ts", "event_time") if c in df.columns])
     extra = {}
     if "is_malformed_json" not in out.columns:
         extra["is_malformed_json"] = F.lit(False)
@@ -119,6 +142,7 @@ def bad_rows(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("dq_status") == "BAD")
 
 
+# --- fixed values: layout of the quarantine ----------------------------------
 QUARANTINE_COLUMNS = ["ingestion_ts", "source_file", "raw_line", "dq_status", "dq_errors",
                       "dq_hard_errors", "event_id", "transaction_id", "user_id", "event_ts", "ds_day"]
 

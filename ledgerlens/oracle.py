@@ -29,21 +29,26 @@ def merchant_sql(i: str = "event_id") -> str:
      '","country":"', CASE {i} % 3 WHEN 0 THEN 'BR' WHEN 1 THEN 'US' ELSE 'GB' END,
      '","mcc":"', CAST(5000 + {i} % 9 AS VARCHAR), '","merchant_id":"m_', CAST({i} % 50 AS VARCHAR), '"}}')
    WHEN 1 THEN concat('m_', CAST({i} % 50 AS VARCHAR))
-   WHEN 2 THEN '{{"city":"Recife"}}' END"""
+   WHEN 2 THEN '{{"city":"Recife"}}'
+   ELSE CASE WHEN {i} % 28 = 3 THEN 'shop }}{{ annex' END END"""
 
 
 PAYMENTS = f"""payments AS (
-SELECT CASE WHEN event_id % 211 = 0 THEN NULL ELSE concat('evt_', CAST(event_id - CASE WHEN event_id % 97 = 1 THEN 1 ELSE 0 END AS VARCHAR)) END AS event_id,
+SELECT CASE WHEN event_id % 211 = 0 THEN NULL ELSE concat('evt_', CAST(event_id - CASE WHEN event_id % 97 = 1 THEN 1 WHEN event_id % 101 = 7 AND event_id >= 700 THEN 700 ELSE 0 END AS VARCHAR)) END AS event_id,
  concat('txn_', CAST(event_id AS VARCHAR)) AS transaction_id,
  concat('user_', CAST(user_id AS VARCHAR)) AS user_id,
  concat('card_', CAST(user_id % 61 AS VARCHAR)) AS card_id,
  concat('m_', CAST(event_id % 50 AS VARCHAR)) AS merchant_id,
- CASE WHEN event_id % 173 = 0 THEN -value WHEN event_id % 179 = 0 THEN NULL ELSE value END AS amount,
+ CASE WHEN event_id % 173 = 0 THEN -value WHEN event_id % 179 = 0 THEN NULL
+   WHEN event_id % 223 = 0 THEN CAST(10000000 + event_id AS DOUBLE) WHEN event_id % 227 = 0 THEN CAST(1 + event_id % 9 AS DOUBLE) / 10000 ELSE value END AS amount,
  CASE event_id % 4 WHEN 0 THEN 'BRL' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' ELSE 'ARS' END AS currency,
  CASE event_id % 6 WHEN 0 THEN 'CREDIT_CARD' WHEN 1 THEN 'DEBIT_CARD' WHEN 2 THEN 'PIX' WHEN 3 THEN 'BOLETO' WHEN 4 THEN 'APPLE_PAY' ELSE 'GOOGLE_PAY' END AS payment_method,
  CASE event_type WHEN 'view' THEN 'web' WHEN 'click' THEN ' MOBILE ' WHEN 'purchase' THEN 'POS' WHEN 'signup' THEN 'ECOMMERCE' ELSE 'MOBILE_APP' END AS channel,
  CASE WHEN event_id % 191 = 0 THEN 'XX' ELSE CASE event_id % 4 WHEN 0 THEN 'BR' WHEN 1 THEN 'US' WHEN 2 THEN 'UK' ELSE 'AR' END END AS country,
- concat(CAST(1 + user_id % 223 AS VARCHAR), '.', CAST(event_id % 256 AS VARCHAR), '.0.', CAST(user_id % 256 AS VARCHAR)) AS device_ip,
+ CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 43 = 0 THEN 'unknown'
+   WHEN event_id % 7 = 3 THEN concat('2001:DB8:', CAST(event_id % 5 AS VARCHAR), '::', CAST(user_id % 10 AS VARCHAR))
+   WHEN event_id % 7 = 5 THEN concat('2a05:', CAST(user_id % 10 AS VARCHAR), '::1.2.3.4')
+   ELSE concat(CASE WHEN event_id % 7 = 6 THEN '::ffff:' ELSE '' END, CAST(1 + user_id % 223 AS VARCHAR), '.', CAST(event_id % 256 AS VARCHAR), '.0.', CAST(user_id % 256 AS VARCHAR)) END AS device_ip,
  CASE WHEN event_id % 199 = 0 THEN CAST(1.5 AS DOUBLE) ELSE CAST(event_id % 101 AS DOUBLE) / 100 END AS risk_score,
  CASE WHEN event_id % 4 = 0 THEN 0 ELSE 1 END AS is_international,
  CASE WHEN event_id % 101 > 75 THEN 'DECLINED' ELSE 'APPROVED' END AS status,
@@ -81,7 +86,11 @@ RANGES = """ranges AS (SELECT * FROM (VALUES
   (CAST(16777216 AS BIGINT), CAST(671088639 AS BIGINT), 'Brazil', 'BR', CAST(-1.4235E1 AS DOUBLE), CAST(-5.19253E1 AS DOUBLE)),
   (CAST(671088640 AS BIGINT), CAST(1342177279 AS BIGINT), 'United States', 'US', CAST(3.70902E1 AS DOUBLE), CAST(-9.57129E1 AS DOUBLE)),
   (CAST(1342177280 AS BIGINT), CAST(1845493759 AS BIGINT), 'United Kingdom', 'GB', CAST(5.53781E1 AS DOUBLE), CAST(-3.436E0 AS DOUBLE)),
-  (CAST(1845493760 AS BIGINT), CAST(2348810239 AS BIGINT), 'Argentina', 'AR', CAST(-3.84161E1 AS DOUBLE), CAST(-6.36167E1 AS DOUBLE))
+  (CAST(1845493760 AS BIGINT), CAST(2348810239 AS BIGINT), 'Argentina', 'AR', CAST(-3.84161E1 AS DOUBLE), CAST(-6.36167E1 AS DOUBLE)),
+  -- IPv6 ranges, by a number of their own below zero
+  (CAST(-1 AS BIGINT), CAST(-1 AS BIGINT), 'Brazil', 'BR', CAST(-1.4235E1 AS DOUBLE), CAST(-5.19253E1 AS DOUBLE)),
+  (CAST(-2 AS BIGINT), CAST(-2 AS BIGINT), 'United States', 'US', CAST(3.70902E1 AS DOUBLE), CAST(-9.57129E1 AS DOUBLE)),
+  (CAST(-3 AS BIGINT), CAST(-3 AS BIGINT), 'United Kingdom', 'GB', CAST(5.53781E1 AS DOUBLE), CAST(-3.436E0 AS DOUBLE))
 ) AS t(ip_start, ip_end, country_name, country_iso2, latitude, longitude))"""
 
 DIM = """dim AS (SELECT * FROM (VALUES ('BR', CAST(-1.4235E1 AS DOUBLE), CAST(-5.19253E1 AS DOUBLE)),
@@ -93,7 +102,7 @@ DIM = """dim AS (SELECT * FROM (VALUES ('BR', CAST(-1.4235E1 AS DOUBLE), CAST(-5
 def parse_ts(s: str) -> str:
     n = f"(CASE WHEN regexp_full_match({s}, '[0-9]+') THEN TRY_CAST({s} AS BIGINT) END)"
     return (f"coalesce(CASE WHEN {n} >= 1000000000000 THEN (CASE WHEN {n} <= 253402300799999 "
-            f"THEN make_timestamp({n} * 1000) END) WHEN {n} IS NOT NULL THEN make_timestamp({n} * 1000000) END, "
+            f"THEN make_timestamp({n} * 1000) END) WHEN {n} < 253402300800 THEN make_timestamp({n} * 1000000) END, "
             f"try_strptime({s}, '%d/%m/%Y %H:%M:%S'), TRY_CAST({s} AS TIMESTAMP))")
 
 
@@ -105,7 +114,9 @@ def clean_amount(s: str, strict: bool = False) -> str:
         s2 = (f"CASE WHEN contains({s1}, ',') AND regexp_matches({s1}, ',[^.]*$') "
               f"THEN replace(replace({s1}, '.', ''), ',', '.') "
               f"WHEN contains({s1}, ',') THEN replace({s1}, ',', '') ELSE {s1} END")
-    return f"TRY_CAST(regexp_replace({s2}, '[^0-9.\\-]', '', 'g') AS DOUBLE)"
+    plain = f"regexp_full_match(trim({s}), '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')"
+    return (f"CASE WHEN {plain} THEN TRY_CAST(trim({s}) AS DOUBLE) "
+            f"ELSE TRY_CAST(regexp_replace({s2}, '[^0-9.\\-]', '', 'g') AS DOUBLE) END")
 
 
 def iso2(x: str) -> str:
@@ -204,7 +215,13 @@ SELECT src_id, is_malformed,
   CASE WHEN NOT is_malformed THEN currency END AS currency,
   CASE WHEN NOT is_malformed THEN payment_method END AS payment_method,
   CASE WHEN NOT is_malformed THEN channel END AS channel,
-  CASE WHEN NOT is_malformed THEN country END AS country,
+  CASE WHEN NOT is_malformed AND src_id % 5 = 0 THEN country END AS country,
+  CASE WHEN NOT is_malformed AND src_id % 5 <> 0 THEN country END AS other_country,
+  CASE WHEN NOT is_malformed AND src_id % 6 = 1 THEN CAST(4000 + src_id % 7 AS VARCHAR) END AS mcc,
+  CASE WHEN NOT is_malformed THEN concat('{{"model":', CAST(src_id % 3 AS VARCHAR), '}}') END AS device,
+  CASE WHEN NOT is_malformed AND src_id % 2 = 0 THEN concat('{{"k":1,"v":"a}}{{', CAST(src_id % 4 AS VARCHAR), '"}}') END AS metadata,
+  CASE WHEN NOT is_malformed AND src_id % 166 = 0 THEN strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') END AS event_time,
+  CAST(ds AS DATE) + CAST(CASE WHEN src_id % 31 = 0 THEN 1 ELSE 0 END AS INTEGER) AS bronze_day,
   CASE WHEN NOT is_malformed THEN device_ip END AS device_ip,
   CASE WHEN NOT is_malformed THEN risk_score END AS risk_score,
   CASE WHEN NOT is_malformed THEN is_international END AS is_international,
@@ -222,8 +239,12 @@ def with_ctes(*ctes: str, body: str) -> str:
 
 
 NORM_PAYMENTS = _norm("payments", "CAST(event_ts AS TIMESTAMP)", "FALSE")
-NORM_BRONZE = _norm("parsed", parse_ts("event_ts"), "is_malformed")
+NORM_BRONZE = _norm("parsed", f"coalesce({parse_ts('event_ts')}, {parse_ts('event_time')})", "is_malformed")
 SILVER_P = f"silver AS ({SILVER_BODY})"
+# from bronze: one more country field, and the fields that only raw events have
+SILVER_B = "silver AS (" + SILVER_BODY.replace(
+    f"{iso2('country')} AS country_iso2", f"coalesce({iso2('country')}, {iso2('other_country')}) AS country_iso2,\n"
+    "  mcc, device, metadata, bronze_day") + ")"
 
 # CTE chains
 C_PAY = (PAYMENTS,)
@@ -232,11 +253,11 @@ C_SILVER = (PAYMENTS, NORM_PAYMENTS, SILVER_P)
 C_BASE = (PAYMENTS, NORM_PAYMENTS, SILVER_P, BASE)
 C_BRONZE = (PAYMENTS, BRONZE_PARSED)
 C_BRONZE_VAL = (PAYMENTS, BRONZE_PARSED, NORM_BRONZE)
-C_BRONZE_SILVER = (PAYMENTS, BRONZE_PARSED, NORM_BRONZE, SILVER_P)
+C_BRONZE_SILVER = (PAYMENTS, BRONZE_PARSED, NORM_BRONZE, SILVER_B)
 DEDUP_SILVER = """dsilver AS (SELECT * FROM silver WHERE event_id IS NULL
   UNION ALL SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY event_id
   ORDER BY event_ts DESC, transaction_id DESC) AS rn FROM silver WHERE event_id IS NOT NULL) WHERE rn = 1)"""
-C_BRONZE_DEDUP_BASE = (PAYMENTS, BRONZE_PARSED, NORM_BRONZE, SILVER_P, DEDUP_SILVER,
+C_BRONZE_DEDUP_BASE = (PAYMENTS, BRONZE_PARSED, NORM_BRONZE, SILVER_B, DEDUP_SILVER,
                        BASE.replace("FROM silver s", "FROM dsilver s"))
 
 
@@ -270,12 +291,13 @@ WIDE = wide_sql(True)
 WIDE_RAW = wide_sql(False)  # unrounded, for views computed on top
 
 GEO_ENRICHED = """enriched AS (
-SELECT s.*, r.country_name, r.country_iso2 AS geo_iso2, r.latitude, r.longitude FROM
- (SELECT *, CASE WHEN regexp_full_match(trim(device_ip), '[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}')
-   AND list_bool_and(list_transform(string_split(trim(device_ip), '.'), lambda o: TRY_CAST(o AS BIGINT) <= 255))
-   THEN CAST(string_split(trim(device_ip), '.')[1] AS BIGINT) * 16777216 + CAST(string_split(trim(device_ip), '.')[2] AS BIGINT) * 65536
-      + CAST(string_split(trim(device_ip), '.')[3] AS BIGINT) * 256 + CAST(string_split(trim(device_ip), '.')[4] AS BIGINT) END AS ip_num
-  FROM silver) s
+SELECT s.* EXCLUDE (v4), r.country_name, r.country_iso2 AS geo_iso2, r.latitude, r.longitude FROM
+ (SELECT *, CASE WHEN v4 IS NOT NULL THEN CAST(string_split(v4, '.')[1] AS BIGINT) * 16777216 + CAST(string_split(v4, '.')[2] AS BIGINT) * 65536
+      + CAST(string_split(v4, '.')[3] AS BIGINT) * 256 + CAST(string_split(v4, '.')[4] AS BIGINT)
+   WHEN lower(device_ip) LIKE '2001:db8:0:%' THEN -1 WHEN lower(device_ip) LIKE '2001:db8:%' THEN -2
+   WHEN lower(device_ip) LIKE '2a05:%' THEN -3 END AS ip_num
+  FROM (SELECT *, CASE WHEN regexp_full_match(device_ip, '(::ffff:)?[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+')
+    THEN replace(device_ip, '::ffff:', '') END AS v4 FROM silver)) s
  LEFT JOIN ranges r ON s.ip_num BETWEEN r.ip_start AND r.ip_end)"""
 
 
@@ -313,6 +335,8 @@ WIDE_PCT_BODY = f"""SELECT ds_day, events_total, transactions_total, distinct_ca
   international_total,
   {r6('100.0 * declined_total / nullif(transactions_total, 0)')} AS decline_rate_pct,
   {r6('100.0 * international_total / nullif(transactions_total, 0)')} AS international_rate_pct FROM wide"""
+ARRIVED = ("(SELECT CAST(ts AS DATE) + CAST(CASE WHEN event_id % 31 = 0 THEN 1 ELSE 0 END AS INTEGER) AS d "
+           "FROM events)")
 BRONZE_DAY = "(SELECT max(CAST(ts AS DATE)) FROM events)"
 RISK_BUCKET = ("CASE WHEN risk_score IS NULL THEN NULL WHEN risk_score < 0.4 THEN 'LOW' "
                "WHEN risk_score <= 0.75 THEN 'MEDIUM' ELSE 'HIGH' END")
@@ -325,6 +349,21 @@ def _counts_by(keys: str, src: str, chain) -> str:
     return with_ctes(*chain, body=f"SELECT {keys}, count(*) AS records FROM {src} GROUP BY {keys}")
 
 
+SILVER_READBACK = with_ctes(*C_BRONZE_SILVER, body=f"""SELECT transaction_id, event_id, bronze_day, ds_day,
+  dq_status, dq_errors, {r6('amount')} AS amount, currency, channel, country, country_iso2, mcc, device, metadata,
+  approved_int, {RISK_BUCKET} AS risk_bucket FROM silver""")
+BRONZE_FRAGMENTS = """fragments AS (SELECT event_id, fragment_idx, fragment FROM (
+  SELECT event_id, unnest(range(len(parts))) AS fragment_idx, unnest(parts) AS fragment FROM (
+    SELECT event_id, string_split(regexp_replace(raw_line, '\\}\\s*\\{', '}' || chr(10) || '{', 'g'), chr(10)) AS parts FROM untidy))
+  WHERE length(fragment) > 2)"""
+
+
+def rerun_counts(sink: str) -> str:
+    keys = "bronze_day, ds_day, dq_status"
+    where = {"silver": "WHERE dq_status <> 'BAD'", "quarantine": "WHERE dq_status = 'BAD'", "audit": ""}[sink]
+    return with_ctes(*C_BRONZE_VAL, body=f"SELECT {keys}, count(*) AS records FROM checked {where} GROUP BY {keys}")
+
+
 ORACLE_SQL = {
     # gold marts
     "kpis_daily": with_ctes(*C_BASE, body=KPIS),
@@ -400,17 +439,21 @@ FROM (SELECT *, coalesce({boolish('approved')}, CASE WHEN upper(trim(status)) =
     "pipeline_counters": with_ctes(*C_VAL, body="""SELECT count(*) AS rows_total, count(*) FILTER (WHERE dq_status = 'GOOD') AS rows_good,
   count(*) FILTER (WHERE dq_status = 'WARN') AS rows_warn, count(*) FILTER (WHERE dq_status = 'BAD') AS rows_bad FROM checked"""),
     # bronze
-    "bronze_unglue": with_ctes(UNTIDY, body="""SELECT event_id, fragment_idx, fragment FROM (
-  SELECT event_id, unnest(range(len(parts))) AS fragment_idx, unnest(parts) AS fragment FROM (
-    SELECT event_id, string_split(regexp_replace(raw_line, '\\}\\s*\\{', '}' || chr(10) || '{', 'g'), chr(10)) AS parts FROM untidy))
-  WHERE length(fragment) > 2"""),
+    "bronze_unglue": with_ctes(UNTIDY, BRONZE_FRAGMENTS, body="SELECT event_id, fragment_idx, fragment FROM fragments"),
+    "infer_event_schema": with_ctes(UNTIDY, BRONZE_FRAGMENTS, body="""SELECT field, replace(replace(replace(replace(replace(
+    replace(type, '{"', 'struct<'), '"}', '>'), '":"', ':'), '"', ''), 'UBIGINT', 'bigint'), 'VARCHAR', 'string') AS type FROM (
+    SELECT field, CAST(json_extract(st, '$.' || field) AS VARCHAR) AS type FROM (
+      SELECT st, unnest(json_keys(st)) AS field FROM (SELECT json_group_structure(CAST(fragment AS JSON)) AS st FROM fragments)))"""),
     "bronze_parse_typed": with_ctes(*C_BRONZE, body=f"""SELECT transaction_id, event_id, user_id, card_id, merchant_id, merchant,
   {r6('amount')} AS amount, currency, payment_method, channel, country, device_ip AS ip_address, {r6('risk_score')} AS risk_score,
-  is_international, status, approved, decline_reason, event_type, event_ts, is_malformed AS is_malformed_json FROM parsed"""),
+  is_international, status, approved, decline_reason, event_type, event_ts, event_time, mcc, device, metadata,
+  CASE WHEN src_id % 5 = 1 THEN other_country END AS country_code, CASE WHEN src_id % 5 = 2 THEN other_country END AS "countryCode",
+  CASE WHEN src_id % 5 = 3 THEN other_country END AS country_iso, CASE WHEN src_id % 5 = 4 THEN other_country END AS country_iso2,
+  is_malformed AS is_malformed_json FROM parsed"""),
     "bronze_scan_day": f"""SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
-  count(*) AS lines FROM (SELECT CAST(ts AS DATE) AS d FROM events) WHERE d = {BRONZE_DAY} GROUP BY d""",
-    "bronze_scan_lineage": """SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
-  count(*) AS lines, count(*) AS lines_with_source FROM (SELECT CAST(ts AS DATE) AS d FROM events) GROUP BY d""",
+  count(*) AS lines FROM {ARRIVED} WHERE d = {BRONZE_DAY} GROUP BY d""",
+    "bronze_scan_lineage": f"""SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
+  count(*) AS lines, count(*) AS lines_with_source FROM {ARRIVED} GROUP BY d""",
     # tables and sinks
     "silver_scan_day": with_ctes(*C_SILVER, body=f"""SELECT transaction_id, event_id, {r6('amount')} AS amount, channel, ds_day
   FROM silver WHERE ds_day = (SELECT max(ds_day) FROM silver)"""),
@@ -419,10 +462,16 @@ FROM (SELECT *, coalesce({boolish('approved')}, CASE WHEN upper(trim(status)) =
   FROM silver GROUP BY ds_day, channel"""),
     "latest_partition_day": with_ctes(*C_SILVER, body="SELECT max(ds_day) AS latest_day FROM silver"),
     "table_append_readback": _counts_by("ds_day, dq_status", "silver", C_SILVER),
-    "silver_write_readback": with_ctes(*C_BRONZE_SILVER, body=f"""SELECT transaction_id, event_id, ds_day AS bronze_day, ds_day,
-  dq_status, dq_errors, {r6('amount')} AS amount, currency, channel, country, approved_int, {RISK_BUCKET} AS risk_bucket FROM silver"""),
+    "silver_write_readback": SILVER_READBACK,
     "gold_write_readback": KPIS_BRONZE,
     "gold_rerun_idempotent": KPIS_BRONZE,
+    "gold_days_separately": KPIS_BRONZE,
+    "gold_rerun_corrected": KPIS_BRONZE,
+    "silver_rerun_corrected": rerun_counts("silver"),
+    "quarantine_rerun_corrected": rerun_counts("quarantine"),
+    "audit_rerun_corrected": rerun_counts("audit"),
+    "external_table_unpartitioned": with_ctes(*C_BASE, body=KPIS),
+    "external_table_single_file": with_ctes(*C_BASE, body=KPIS),
     "kpi_snapshot_ctas": with_ctes(*C_BASE, f"wide AS ({WIDE_RAW})", body=WIDE_PCT_BODY),
     # geo
     "geoip_range_join": with_ctes(*C_GEO, body=f"""SELECT transaction_id, device_ip, geo_iso2 AS country_iso2, country_name,
@@ -454,10 +503,12 @@ FROM (SELECT *, coalesce({boolish('approved')}, CASE WHEN upper(trim(status)) =
   {r6('CAST(declined_total AS DOUBLE) / nullif(transactions_total, 0)')} AS decline_rate FROM wide"""),
     # streaming
     "stream_land_bronze": with_ctes(*C_PAY, body=f"""SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
-  CAST(day(d) AS INTEGER) AS day, count(*) AS lines FROM (SELECT CASE WHEN src_id % 83 = 0 THEN {AS_OF_DATE} ELSE ds END AS d
+  CAST(day(d) AS INTEGER) AS day, count(*) AS lines FROM (SELECT CASE WHEN src_id % 83 = 0 AND src_id % 166 <> 0
+    OR src_id % 89 = 0 AND src_id % 10 <> 0 THEN {AS_OF_DATE} ELSE ds END AS d
   FROM payments) GROUP BY d"""),
     "stream_validate": with_ctes(*C_BRONZE_VAL, body="""SELECT CASE WHEN dq_status = 'BAD' THEN 'quarantine' ELSE 'silver' END AS sink,
   ds_day, dq_status, count(*) AS records FROM checked GROUP BY 1, 2, 3"""),
+    "stream_audit": _counts_by("ds_day, dq_status", "checked", C_BRONZE_VAL),
     "stream_dedup": with_ctes(*C_PAY, body="""SELECT DISTINCT event_id FROM payments WHERE event_id IS NOT NULL
   UNION ALL SELECT event_id FROM payments WHERE event_id IS NULL"""),
 }

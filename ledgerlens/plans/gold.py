@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +12,8 @@ from .. import constants as K
 from ..operators import gold as marts
 from ..operators.dedup import dedup_latest
 from ..operators.geo import geo_daily, geo_enrich
-from ..sinks.writers import DEFAULT_PARALLEL_WRITES, run_concurrently, write_partitioned
+from ..sinks.writers import (DEFAULT_PARALLEL_WRITES, clear_partitions, replace_folder, run_concurrently,
+                             write_partitioned)
 
 
 # latest ingest wins; then the later event time; transaction id breaks the
@@ -22,7 +25,7 @@ DEDUP_ORDER = ["ingestion_ts", "event_ts", "transaction_id"]
 GOLD_INPUT_COLUMNS = [
     "event_id", "transaction_id", "event_ts", "ingestion_ts", "merchant", "merchant_id", "approved",
     "approved_int", "status", "amount", "amount_double", "risk_score", "is_international",
-    "is_international_int", "channel", "decline_reason", "payment_method", "card_id", "event_type", "ds_day",
+    "is_international_int", "channel", "decline_reason", "payment_method", "card_id", "event_type", "mcc", "ds_day",
 ]
 # silver columns the geo mart reads
 GEO_INPUT_COLUMNS = [
@@ -31,18 +34,33 @@ GEO_INPUT_COLUMNS = [
 ]
 
 
-def silver_days(spark: SparkSession, silver_root: str, days: list, columns: list | None = None) -> DataFrame:
-    """Silver rows of the given event days from every bronze batch, latest
-    copy per event id (copies arrive in several batches).  The day filter is
-    a partition filter: only those folders are read.  ``columns`` projects
-    before the dedup: the dedup packs whole rows into its shuffle, so only
-    what the consumer reads should travel."""
+# all event days of silver, as the ``days`` of a job
+ALL_DAYS = "all"
+
+
+def _on(df: DataFrame, days) -> DataFrame:
+    if isinstance(days, str) and days == ALL_DAYS:
+        return df
+    return df.where(F.col("ds_day").isin([F.lit(str(d)).cast("date") for d in days]) if days else F.lit(False))
+
+
+def silver_days(spark: SparkSession, silver_root: str, days, columns: list | None = None) -> DataFrame:
+    """Silver rows of the given event days (or ``ALL_DAYS``; an empty list: no
+    rows) that are the latest copy of their event id among the copies of all
+    days and all bronze batches, so the result for a day does not depend on the
+    days it is computed with.  Of the other days only the dedup's columns are
+    read, and only for ids that occur on the given ones.  ``columns`` projects
+    before the dedup, whose shuffle carries what the consumer reads."""
     df = spark.read.parquet(silver_root)
-    if days:
-        df = df.where(F.col("ds_day").isin([F.lit(str(d)).cast("date") for d in days]))
     if columns:
         df = df.select(*[c for c in columns if c in df.columns])
-    return dedup_latest(df, "event_id", DEDUP_ORDER)
+    here = _on(df, days)
+    if isinstance(days, str) and days == ALL_DAYS:
+        return dedup_latest(here, "event_id", DEDUP_ORDER)
+    there = df.select("event_id", *DEDUP_ORDER, "ds_day").where("event_id IS NOT NULL")
+    there = there.where(~F.col("ds_day").isin([F.lit(str(d)).cast("date") for d in days]) if days else F.lit(False))
+    there = there.join(here.select("event_id").distinct(), "event_id", "left_semi")
+    return _on(dedup_latest(here.unionByName(there, allowMissingColumns=True), "event_id", DEDUP_ORDER), days)
 
 
 def touched_days(batch: DataFrame) -> list:
@@ -50,10 +68,38 @@ def touched_days(batch: DataFrame) -> list:
     return sorted(r["ds_day"] for r in batch.select("ds_day").distinct().collect() if r["ds_day"] is not None)
 
 
-def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, days: list,
+def affected_days(spark: SparkSession, silver_root: str, days) -> list:
+    """The given days and those that hold other copies of their event ids: a
+    later copy on a given day takes the event away from its old day."""
+    df = spark.read.parquet(silver_root).select("event_id", "ds_day")
+    ids = _on(df, days).select("event_id").where("event_id IS NOT NULL").distinct()
+    others = touched_days(df.join(ids, "event_id", "left_semi"))
+    return sorted({dt.date.fromisoformat(str(d)) for d in days} | set(others))
+
+
+def _days_to_write(spark: SparkSession, silver_root: str, days):
+    if isinstance(days, str) and days == ALL_DAYS:
+        return ALL_DAYS
+    return affected_days(spark, silver_root, days) if days else []
+
+
+def _replace_days(df: DataFrame, path: str, column: str, days, filled: set) -> None:
+    """Overwrite the partitions of ``days``: those with rows by the write, the
+    others by clearing them.  All days: the whole folder."""
+    if isinstance(days, str) and days == ALL_DAYS:
+        replace_folder(df, path, [column], rebalance=True)
+        return
+    write_partitioned(df, path, [column], rebalance=True)
+    clear_partitions(df.sparkSession, path, column, [d for d in days if d not in filled])
+
+
+def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, days,
                    top_n: int = K.TOP_N_MERCHANTS, strict: bool = False,
                    max_parallel: int = DEFAULT_PARALLEL_WRITES, strategy: str = "persist") -> dict[str, str]:
-    """Recompute every mart for ``days`` and overwrite exactly those days.
+    """Recompute every mart for ``days`` and the days that share event ids with
+    them, and replace exactly those days; days left without rows are cleared.
+    An empty list does nothing; ``ALL_DAYS`` recomputes everything.  After a
+    rerun of a bronze day pass ``days`` of ``bronze_to_silver``.
 
     ``strategy='persist'``: the normalised base (needed columns only) is
     persisted once and feeds every mart (one silver scan instead of one per
@@ -61,52 +107,47 @@ def silver_to_gold(spark: SparkSession, silver_root: str, gold_root: str, days:
     GROUPING SETS aggregate (silver scanned and deduplicated once, no cache
     of the base); its small result is persisted and split per mart, top-N
     and the wide mart included.  Mart writes run as concurrent jobs."""
-    if strategy == "grouping_sets":
-        return _silver_to_gold_grouping_sets(spark, silver_root, gold_root, days, top_n, strict, max_parallel)
-    base = marts.gold_base(silver_days(spark, silver_root, days, GOLD_INPUT_COLUMNS), strict)
-    base = base.select("ds_day", "event_ts", "is_approved", "is_declined", "amount_num", "risk_score_num",
-                       "is_international_num", "event_hour", "day_of_week", "channel", "decline_reason",
-                       "merchant_id_norm", "merchant_country", "merchant_city", "merchant_mcc",
-                       "payment_method", "card_id", "event_type").persist(StorageLevel.MEMORY_AND_DISK)
     out = {name: f"{gold_root.rstrip('/')}/{name}" for name in marts.MARTS}
-
-    def job(name):
-        fn = marts.MARTS[name]
-        df = fn(base, top_n) if name == "top_merchants" else fn(base)
-        return lambda: write_partitioned(df, out[name], ["ds_day"], rebalance=True)
-
+    days = _days_to_write(spark, silver_root, days)
+    if not days:
+        return out
+    base = marts.gold_base(silver_days(spark, silver_root, days, GOLD_INPUT_COLUMNS), strict)
+    if strategy == "grouping_sets":
+        held, pick = marts.marts_one_pass(base)
+        held = held.persist(StorageLevel.MEMORY_AND_DISK)
+        frames = {name: fn(held) for name, fn in pick.items()}
+        w = Window.partitionBy("ds_day").orderBy(F.desc("events_declined"), F.desc("events_total"),
+                                                 F.asc_nulls_first("merchant_id_norm"))
+        frames["top_merchants"] = (frames["by_merchant"].withColumn("rank", F.row_number().over(w))
+                                   .where(F.col("rank") <= F.lit(int(top_n))))
+    else:
+        held = base.select("ds_day", "event_ts", "is_approved", "is_declined", "amount_num", "risk_score_num",
+                           "is_international_num", "event_hour", "day_of_week", "channel", "decline_reason",
+                           "merchant_id_norm", "merchant_country", "merchant_city", "merchant_mcc",
+                           "payment_method", "card_id", "event_type").persist(StorageLevel.MEMORY_AND_DISK)
+        frames = {name: fn(held, top_n) if name == "top_merchants" else fn(held) for name, fn in marts.MARTS.items()}
     try:
-        base.count()  # fill the cache once; the concurrent writes then share it
-        run_concurrently([job(n) for n in marts.MARTS], max_parallel)
+        # fills the cache once; the concurrent writes then share it
+        filled = set(touched_days(held))
+        run_concurrently([(lambda n=n: _replace_days(frames[n], out[n], "ds_day", days, filled))
+                          for n in marts.MARTS], max_parallel)
     finally:
-        base.unpersist()
+        held.unpersist()
     return out
 
 
-def geo_to_gold(spark: SparkSession, silver_root: str, ranges: DataFrame, geo_root: str, days: list,
+def geo_to_gold(spark: SparkSession, silver_root: str, ranges: DataFrame, geo_root: str, days,
                 keep_unknown: bool = False) -> str:
-    """Geo mart for ``days``: enrich by the binned range join, aggregate,
-    overwrite those days (partition column ``ds``)."""
+    """Geo mart for ``days`` (as ``silver_to_gold``): enrich by the range join,
+    aggregate, replace those days (partition column ``ds``)."""
+    days = _days_to_write(spark, silver_root, days)
+    if not days:
+        return geo_root
     silver = silver_days(spark, silver_root, days, GEO_INPUT_COLUMNS)
-    write_partitioned(geo_daily(geo_enrich(silver, ranges), keep_unknown), geo_root, ["ds"], rebalance=True)
-    return geo_root
-
-
-def _silver_to_gold_grouping_sets(spark, silver_root, gold_root, days, top_n, strict, max_parallel):
-    base = marts.gold_base(silver_days(spark, silver_root, days, GOLD_INPUT_COLUMNS), strict)
-    combined, pick = marts.marts_one_pass(base)
-    combined = combined.persist(StorageLevel.MEMORY_AND_DISK)
-    out = {name: f"{gold_root.rstrip('/')}/{name}" for name in marts.MARTS}
-    frames = {name: fn(combined) for name, fn in pick.items()}
-    w = Window.partitionBy("ds_day").orderBy(F.desc("events_declined"), F.desc("events_total"),
-                                             F.asc_nulls_first("merchant_id_norm"))
-    frames["top_merchants"] = (frames["by_merchant"].withColumn("rank", F.row_number().over(w))
-                               .where(F.col("rank") <= F.lit(int(top_n))))
+    mart = geo_daily(geo_enrich(silver, ranges), keep_unknown).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        combined.count()
-        run_concurrently([(lambda n=n: write_partitioned(frames[n], out[n], ["ds_day"], rebalance=True))
-                          for n in marts.MARTS],
-                         max_parallel)
+        filled = {r["ds"] for r in mart.select("ds").distinct().collect()}
+        _replace_days(mart, geo_root, "ds", days, filled)
     finally:
-        combined.unpersist()
-    return out
+        mart.unpersist()
+    return geo_root

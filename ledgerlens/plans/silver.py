@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import (boolish_to_int, country_iso2, country_name, is_international,
                          parse_event_ts, risk_bucket, safe_col)
 from ..operators import quality
-from ..sinks.writers import run_concurrently, write_partitioned
+from ..sinks.catalog import AUDIT_DDL, QUARANTINE_DDL, SILVER_DDL
+from ..sinks.writers import folder_exists, replace_folder, run_concurrently
 from ..sources.bronze import parse_events, read_bronze, unglue
 
+# --- fixed values: columns of silver -----------------------------------------
 SILVER_COLUMNS = [
-    "event_id", "transaction_id", "user_id", "card_id", "merchant_id", "merchant", "amount",
-    "currency", "payment_method", "channel", "country", "region", "city", "device_id",
-    "device_ip", "risk_score", "is_international", "status", "approved", "decline_reason",
+    "event_id", "transaction_id", "user_id", "card_id", "customer_id", "merchant_id", "merchant", "mcc", "amount",
+    "currency", "payment_method", "channel", "country", "region", "city", "device_id", "device", "device_os",
+    "device_ip", "velocity_1h", "distance_km_from_home", "metadata", "source", "schema_version", "risk_score", "is_international", "status", "approved", "decline_reason",
     "event_type", "event_ts", "ingestion_ts", "source_file", "dq_status", "dq_errors",
     "amount_double", "approved_int", "is_international_int", "country_iso2", "country_geo",
     "risk_bucket", "ds", "ds_day",
@@ -34,17 +35,21 @@ def approved_int(df: DataFrame, strict: bool = False) -> Column:
 def to_silver(validated: DataFrame, strict: bool = False, keep: tuple = ()) -> DataFrame:
     """Canonical silver layout from validated rows: one schema for every
     writer and reader (event time as timestamp, ``ds``/``ds_day`` dates,
-    ``device_ip``, numeric approval/international flags, ISO2 country)."""
+    ``device_ip``, numeric approval/international flags, ISO2 country).
+    ``keep`` names further columns to carry, such as other event fields."""
     df = validated
     ip = F.coalesce(safe_col(df, "device_ip", "string"), safe_col(df, "ip_address", "string"))
     cols = {
         **{c: safe_col(df, c, "string") for c in (
             "event_id", "transaction_id", "user_id", "card_id", "merchant_id", "merchant",
             "currency", "payment_method", "channel", "country", "region", "city", "device_id",
+            "customer_id", "mcc", "device", "device_os", "metadata", "source", "schema_version",
             "status", "approved", "decline_reason", "event_type", "source_file", "dq_status")},
         "amount": safe_col(df, "amount", "double"),
         "device_ip": ip,
         "risk_score": safe_col(df, "risk_score", "double"),
+        "velocity_1h": safe_col(df, "velocity_1h", "double"),
+        "distance_km_from_home": safe_col(df, "distance_km_from_home", "double"),
         "is_international": safe_col(df, "is_international", "int"),
         "event_ts": F.col("event_ts_ts"),
         # the producer's ingest time when the event carries one, else the
@@ -68,9 +73,9 @@ def to_silver(validated: DataFrame, strict: bool = False, keep: tuple = ()) -> D
 
 def validate_bronze(spark: SparkSession, bronze_root: str, day: str | None = None,
                     as_of: Column | None = None, strict: bool = False,
-                    min_partitions: int = 0) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """Scan (one day or the whole tree), un-glue, parse and grade."""
-    raw = read_bronze(spark, bronze_root, day=day, as_of=as_of, min_partitions=min_partitions)
+    raw = read_bronze(spark, bronze_root, day=day, as_of=as_of, partitions=partitions)
     return quality.validate(parse_events(unglue(raw)), as_of=as_of, strict=strict)
 
 
@@ -79,47 +84,65 @@ def bronze_day_of(df: DataFrame) -> Column:
     return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
 
 
+def read_sink(spark: SparkSession, out_root: str, sink: str) -> DataFrame:
+    """Silver, quarantine or audit as written, empty if it has no files yet."""
+    schema = {"silver": SILVER_DDL, "quarantine": QUARANTINE_DDL, "audit": AUDIT_DDL}[sink]
+    path = f"{out_root.rstrip('/')}/{sink}"
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def event_days(silver: DataFrame) -> set:
+    """Event days present, from the partition columns."""
+    return {r["ds_day"] for r in silver.select("ds_day").distinct().collect() if r["ds_day"] is not None}
+
+
 def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | None,
-                       strict: bool = False) -> dict[str, str]:
+                       strict: bool = False) -> dict:
     """Route one bronze day: GOOD/WARN -> silver, BAD -> quarantine, plus the
-    audit.  Everything lands under ``bronze_day=X/ds_day=Y`` with dynamic
-    overwrite, so rerunning bronze day X replaces exactly its own output and
-    never touches other batches that hold rows of the same event day.
-
-    The graded rows are persisted once (memory, spilling to disk) so the
-    three writes scan and parse bronze once; lost cached blocks are recomputed
-    from lineage.  Returns the three output roots.
-    """
-    validated = validated.withColumns({
-        "_bronze_day": F.lit(bronze_day).cast("date") if bronze_day else bronze_day_of(validated),
-        # the raw text is only kept for replay of quarantined rows; dropping it
-        # elsewhere keeps the cached rows about half as large
-        "raw_line": F.when(F.col("dq_status") == "BAD", F.col("raw_line")),
-    })
-    paths = {k: f"{out_root.rstrip('/')}/{k}" for k in ("silver", "quarantine", "audit")}
-    graded = validated.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        silver = to_silver(quality.good_rows(graded), strict, keep=("_bronze_day",))
-        silver = silver.withColumnRenamed("_bronze_day", "bronze_day")
-        quarantine = quality.quarantine_view(graded, keep=("_bronze_day",))
-        quarantine = quarantine.withColumnRenamed("_bronze_day", "bronze_day")
-        aud = (graded.groupBy("_bronze_day", "ds_day", "dq_status").agg(F.count(F.lit(1)).alias("records"))
-               .withColumn("audit_ts", F.current_timestamp()).withColumnRenamed("_bronze_day", "bronze_day"))
-        # the silver write fills the cache; the two small outputs then share it
-        write_partitioned(silver, paths["silver"], ["bronze_day", "ds_day"])
-        run_concurrently([lambda: write_partitioned(quarantine, paths["quarantine"], ["bronze_day", "ds_day"],
-                                                    rebalance=True),
-                          lambda: write_partitioned(aud, paths["audit"], ["bronze_day", "ds_day"])])
-    finally:
-        graded.unpersist()
-    return paths
+    audit.
+
+    A batch owns the folder ``bronze_day=X`` of each sink (``None``: all of
+    them) and every run replaces it whole, so rows that a corrected rerun moves
+    to another event day, to the other sink or nowhere leave no old copy.  The
+    graded rows are not cached: each of the two sinks is a map-only pass over
+    bronze, and the audit counts what they wrote.
+
+    Returns the three roots and ``days``, the event days that silver had for
+    this batch before or has now: those whose marts must be recomputed."""
+    spark, out_root = validated.sparkSession, out_root.rstrip("/")
+    paths = {k: f"{out_root}/{k}" for k in ("silver", "quarantine", "audit")}
+
+    def own(sink: str) -> DataFrame:
+        df = read_sink(spark, out_root, sink)
+        return df.where(F.col("bronze_day") == F.lit(bronze_day).cast("date")) if bronze_day else df
+
+    before = event_days(own("silver"))
+    day = F.lit(bronze_day).cast("date") if bronze_day else bronze_day_of(validated)
+    graded = validated.withColumn("bronze_day", day)
+    rows = {"silver": to_silver(quality.good_rows(graded), strict, keep=("bronze_day",)),
+            "quarantine": quality.quarantine_view(graded, keep=("bronze_day",))}
+
+    def replace(sink: str, df: DataFrame) -> None:
+        if bronze_day:
+            replace_folder(df.drop("bronze_day"), f"{paths[sink]}/bronze_day={bronze_day}", ["ds_day"],
+                           rebalance=sink == "quarantine")
+        else:
+            replace_folder(df, paths[sink], ["bronze_day", "ds_day"], rebalance=sink == "quarantine")
+
+    run_concurrently([lambda s=s, df=df: replace(s, df) for s, df in rows.items()])
+    written = [own(s).select("bronze_day", "ds_day", "dq_status") for s in rows]
+    replace("audit", written[0].union(written[1]).groupBy("bronze_day", "ds_day", "dq_status")
+            .agg(F.count(F.lit(1)).alias("records")).withColumn("audit_ts", F.current_timestamp()))
+    return paths | {"days": sorted(before | event_days(own("silver")))}
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, out_root: str, bronze_day: str | None,
                      as_of: Column | None = None, strict: bool = False,
-                     min_partitions: int = 0) -> dict[str, str]:
+                     partitions: int | None = None) -> dict:
     """Job: one bronze day (``None``: the whole tree, each line keeping its
     own folder day) -> silver + quarantine + audit (rerun-safe)."""
     validated = validate_bronze(spark, bronze_root, day=bronze_day, as_of=as_of, strict=strict,
-                                min_partitions=min_partitions)
+                                partitions=partitions)
     return write_silver_batch(validated, out_root, bronze_day, strict)

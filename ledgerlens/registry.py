@@ -29,14 +29,14 @@ from .operators.dedup import dedup_latest
 from .operators.geo import geo_daily, geo_enrich
 from .plans import gold as gold_jobs
 from .plans import views
-from .plans.silver import bronze_to_silver, to_silver
+from .plans.silver import bronze_to_silver, read_sink, to_silver
 from .session import lake_session, scratch_path
 from .sinks import catalog
 from .sinks.writers import append_table, replace_table_property, snapshot_table, write_partitioned
 from .sources import bronze as B
 from .sources import tables
 from .sources.dimensions import address_ranges
-from .sources.fixtures import bronze_lines, payment_events, untidy_text
+from .sources.fixtures import bronze_lines, faulty_lines, payment_events, untidy_text
 from .streaming import jobs as stream_jobs
 
 # Fixed evaluation time for time-relative rules (all fixture events are
@@ -71,7 +71,10 @@ def _finish(df: DataFrame) -> DataFrame:
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     lake_session(spark)
-    return tables.spread(spark.read.parquet(f"{sf}/events.parquet"))
+    # the small input files are one row group each: who runs the queries may say
+    # over how many partitions to deal them
+    partitions = spark.conf.get("spark.ledgerlens.inputPartitions", None)
+    return tables.spread(spark.read.parquet(f"{sf}/events.parquet"), int(partitions) if partitions else None)
 
 
 def _payments(spark, sf):
@@ -263,10 +266,9 @@ def q_country_name(spark, sf):
 
 def q_normalize_codes(spark, sf):
     p = _payments(spark, sf)
-    loose, strict = quality.normalize_codes(p), quality.normalize_codes(p, strict=True)
-    return loose.select("transaction_id", "currency", "country", "channel", "status").join(
-        strict.select("transaction_id", F.col("country").alias("country_strict"),
-                      F.col("channel").alias("channel_strict")), "transaction_id")
+    loose, strict = quality.normalized_codes(p), quality.normalized_codes(p, strict=True)
+    return p.select("transaction_id", *[c.alias(n) for n, c in loose.items()],
+                    *[strict[n].alias(f"{n}_strict") for n in ("country", "channel")])
 
 
 def q_boolish_to_int(spark, sf):
@@ -347,11 +349,12 @@ def q_bronze_parse_typed(spark, sf):
     return _finish(p.select("transaction_id", "event_id", "user_id", "card_id", "merchant_id", "merchant",
                             "amount", "currency", "payment_method", "channel", "country", "ip_address",
                             "risk_score", "is_international", "status", "approved", "decline_reason",
-                            "event_type", "event_ts", "is_malformed_json"))
+                            "event_type", "event_ts", "event_time", "mcc", "device", "metadata", "country_code",
+                            "countryCode", "country_iso", "country_iso2", "is_malformed_json"))
 
 
 def q_infer_event_schema(spark, sf):
-    return B.infer_event_schema(_fragments(spark, sf))
+    return B.inferred_fields(B.unglue(_untidy(spark, sf).select("event_id", "raw_line")))
 
 
 def q_bronze_scan_day(spark, sf):
@@ -404,6 +407,25 @@ def q_external_table_scan(spark, sf):
                                                       F.sum("amount").alias("amount_sum")))
 
 
+def _flat_external_table(spark, sf, files: int | None) -> DataFrame:
+    """An external table without partitions over the files of a daily mart."""
+    _ensure_db(spark)
+    path, name = scratch_path(spark, "flat"), _table_name("kpis_ext")
+    mart = gold.kpis_daily(_base(spark, sf))
+    (mart.coalesce(files) if files else mart).write.parquet(path)  # one row a day
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in mart.schema.fields)
+    tables.create_external_table(spark, name, ddl, path)
+    return spark.table(name)
+
+
+def q_external_table_unpartitioned(spark, sf):
+    return _finish(_flat_external_table(spark, sf, None))
+
+
+def q_external_table_single_file(spark, sf):
+    return _finish(_flat_external_table(spark, sf, 1))
+
+
 def q_latest_partition_day(spark, sf):
     return tables.latest_partition_day(spark, _external_silver_table(spark, sf))
 
@@ -414,10 +436,7 @@ def q_table_append_readback(spark, sf):
     names = catalog.ensure_tables(spark, DB, root, suffix="_" + uuid.uuid4().hex[:10])
     replace_table_property(spark, names["silver"], unset=["write.object-storage.path"],
                            set_props={"write.data.path": f"{root}/silver/data"})
-    silver = _silver(spark, sf).withColumn("bronze_day", F.col("ds_day"))
-    for c in ("region", "city", "device_id"):
-        silver = silver.withColumn(c, F.col(c))
-    append_table(silver, names["silver"])
+    append_table(_silver(spark, sf).withColumn("bronze_day", F.col("ds_day")), names["silver"])
     t = spark.table(names["silver"])
     return t.groupBy("ds_day", "dq_status").agg(F.count(F.lit(1)).alias("records"))
 
@@ -426,18 +445,68 @@ def q_silver_write_readback(spark, sf):
     out = _medallion_silver(spark, sf)
     s = spark.read.parquet(f"{out}/silver")
     return _finish(s.select("transaction_id", "event_id", "bronze_day", "ds_day", "dq_status", "dq_errors",
-                            "amount", "currency", "channel", "country", "approved_int", "risk_bucket"))
+                            "amount", "currency", "channel", "country", "country_iso2", "mcc", "device", "metadata",
+                            "approved_int", "risk_bucket"))
 
 
-def _gold_from_medallion(spark, sf, runs: int = 1) -> str:
+def _gold_from_medallion(spark, sf, runs: int = 1, parts: int = 1) -> str:
+    """Marts of all silver days, ``runs`` times, each in ``parts`` runs."""
     out = _medallion_silver(spark, sf)
     days = gold_jobs.touched_days(spark.read.parquet(f"{out}/silver"))
     gold_root = f"{out}/gold"
     for _ in range(runs):
-        gold_jobs.silver_to_gold(spark, f"{out}/silver", gold_root, days)
+        for k in range(parts):
+            gold_jobs.silver_to_gold(spark, f"{out}/silver", gold_root, days[k::parts])
     return gold_root
 
 
+def _corrected_lake(spark, sf, marts: bool = False) -> str:
+    """A lake whose first days arrived with faults and were run, then arrived
+    corrected and were run again, day by day; a day that should never have
+    been there is empty after the correction."""
+    lines = bronze_lines(_events(spark, sf))
+    first = _events(spark, sf).agg(F.min(F.to_date("ts"))).first()[0]
+    root, out = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    B.write_bronze(faulty_lines(lines, first), root, mode="overwrite")
+    bronze_to_silver(spark, root, out, None, as_of=as_of())
+    if marts:
+        gold_jobs.silver_to_gold(spark, f"{out}/silver", f"{out}/gold", gold_jobs.ALL_DAYS)
+    B.write_bronze(lines, root, mode="overwrite")
+    for k in (-1, 0, 1):
+        run = bronze_to_silver(spark, root, out, str(first + dt.timedelta(days=k)), as_of=as_of())
+        if marts:
+            gold_jobs.silver_to_gold(spark, f"{out}/silver", f"{out}/gold", run["days"])
+    return out
+
+
+def _sink_counts(spark, sf, sink: str):
+    df = read_sink(spark, _corrected_lake(spark, sf), sink)
+    keys = ["bronze_day", "ds_day", "dq_status"]
+    if sink == "audit":
+        return df.select(*keys, "records")
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"))
+
+
+def q_silver_rerun_corrected(spark, sf):
+    return _sink_counts(spark, sf, "silver")
+
+
+def q_quarantine_rerun_corrected(spark, sf):
+    return _sink_counts(spark, sf, "quarantine")
+
+
+def q_audit_rerun_corrected(spark, sf):
+    return _sink_counts(spark, sf, "audit")
+
+
+def q_gold_rerun_corrected(spark, sf):
+    return _finish(spark.read.parquet(f"{_corrected_lake(spark, sf, marts=True)}/gold/kpis_daily"))
+
+
+def q_gold_days_separately(spark, sf):
+    return _finish(spark.read.parquet(f"{_gold_from_medallion(spark, sf, parts=3)}/kpis_daily"))
+
+
 def q_gold_write_readback(spark, sf):
     return _finish(spark.read.parquet(f"{_gold_from_medallion(spark, sf)}/kpis_daily"))
 
@@ -527,10 +596,20 @@ def q_stream_land_bronze(spark, sf):
     return spark.read.text(root).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("lines"))
 
 
-def q_stream_validate(spark, sf):
+def _validated_stream(spark, sf) -> str:
     root = _bronze_root(spark, sf)
     out, ckpt = scratch_path(spark, "stream-lake"), scratch_path(spark, "ckpt-validate")
     stream_jobs.validate_stream(spark, root, out, ckpt, as_of=as_of())
+    return out
+
+
+def q_stream_audit(spark, sf):
+    audit = spark.read.parquet(f"{_validated_stream(spark, sf)}/audit")
+    return audit.groupBy("ds_day", "dq_status").agg(F.sum("records").alias("records"))
+
+
+def q_stream_validate(spark, sf):
+    out = _validated_stream(spark, sf)
     s = spark.read.parquet(f"{out}/silver").select(F.lit("silver").alias("sink"), "ds_day", "dq_status")
     q = spark.read.parquet(f"{out}/quarantine").select(F.lit("quarantine").alias("sink"), "ds_day", "dq_status")
     return s.unionByName(q).groupBy("sink", "ds_day", "dq_status").agg(F.count(F.lit(1)).alias("records"))

@@ -1,13 +1,15 @@
-"""Silver, quarantine and audit table DDL (parquet, partitioned by day)."""
+"""Silver, quarantine, audit and geo mart DDL, partitioned by day."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-SILVER_DDL = """event_id string, transaction_id string, user_id string, card_id string,
-  merchant_id string, merchant string, amount double, currency string, payment_method string,
-  channel string, country string, region string, city string, device_id string,
-  device_ip string, risk_score double, is_international int, status string, approved string,
+# --- fixed values: table layouts ---------------------------------------------
+SILVER_DDL = """event_id string, transaction_id string, user_id string, card_id string, customer_id string,
+  merchant_id string, merchant string, mcc string, amount double, currency string, payment_method string,
+  channel string, country string, region string, city string, device_id string, device string, device_os string,
+  device_ip string, velocity_1h double, distance_km_from_home double, metadata string, source string,
+  schema_version string, risk_score double, is_international int, status string, approved string,
   decline_reason string, event_type string, event_ts timestamp, ingestion_ts timestamp,
   source_file string, dq_status string, dq_errors array<string>, amount_double double,
   approved_int int, is_international_int int, country_iso2 string, country_geo string,
@@ -19,33 +21,40 @@ QUARANTINE_DDL = """ingestion_ts timestamp, source_file string, raw_line string,
 
 AUDIT_DDL = "dq_status string, records bigint, audit_ts timestamp, bronze_day date, ds_day date"
 
-
-def create_table_sql(name: str, ddl: str, location: str, table_format: str = "parquet",
-                     partitioned_by: str = "bronze_day, ds_day") -> str:
-    """DDL for one table.  ``table_format='iceberg'`` (needs the Iceberg
-    runtime and catalog configured on the cluster) partitions by the hidden
-    ``days(event_ts)`` transform; parquet tables cannot take transforms, so
-    they partition by explicit date columns."""
+GEO_DDL = """country_name string, country_iso2 string, events_total bigint, transactions_total bigint,
+  approved_total bigint, declined_total bigint, amount_sum double, risk_score_avg double,
+  international_total bigint, ds date"""
+
+# logical table -> columns, partition columns
+TABLES = {
+    "silver": (SILVER_DDL, "bronze_day, ds_day"),
+    "quarantine": (QUARANTINE_DDL, "bronze_day, ds_day"),
+    "audit": (AUDIT_DDL, "bronze_day, ds_day"),
+    "geo": (GEO_DDL, "ds"),
+}
+# partitions where the table format allows hidden transforms: the geo mart is
+# partitioned by the day of its date, the others by their day column as it is
+TRANSFORMS = {"silver": "ds_day", "quarantine": "ds_day", "audit": "ds_day", "geo": "days(ds)"}
+
+
+def create_table_sql(name: str, logical: str, location: str, table_format: str = "parquet") -> str:
+    """DDL of one table.  ``table_format='iceberg'`` needs that runtime and a
+    catalog on the cluster; parquet tables cannot take transforms."""
+    ddl, columns = TABLES[logical]
     if table_format == "iceberg":
         return (f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING iceberg "
-                f"PARTITIONED BY (days(event_ts)) LOCATION '{location}' "
+                f"PARTITIONED BY ({TRANSFORMS[logical]}) LOCATION '{location}' "
                 "TBLPROPERTIES ('write.format.default'='parquet')")
     return (f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
-            f"PARTITIONED BY ({partitioned_by}) LOCATION '{location}'")
+            f"PARTITIONED BY ({columns}) LOCATION '{location}'")
 
 
 def ensure_tables(spark: SparkSession, database: str, root: str, suffix: str = "",
                   table_format: str = "parquet") -> dict[str, str]:
-    """Create the database and the three silver tables if absent.
+    """Create the database and its tables if absent, all in one format.
     Returns logical name -> qualified table name."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    names = {}
-    for logical, ddl in (("silver", SILVER_DDL), ("quarantine", QUARANTINE_DDL), ("audit", AUDIT_DDL)):
-        t = f"{database}.{logical}_events{suffix}"
-        if table_format == "iceberg" and logical != "silver":
-            # only the silver table has a typed event time to transform
-            spark.sql(create_table_sql(t, ddl, f"{root.rstrip('/')}/{logical}", "parquet"))
-        else:
-            spark.sql(create_table_sql(t, ddl, f"{root.rstrip('/')}/{logical}", table_format))
-        names[logical] = t
+    names = {logical: f"{database}.{logical}_events{suffix}" for logical in TABLES}
+    for logical, name in names.items():
+        spark.sql(create_table_sql(name, logical, f"{root.rstrip('/')}/{logical}", table_format))
     return names

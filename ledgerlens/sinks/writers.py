@@ -1,8 +1,10 @@
 """Rerun-safe writers.
 
-Partitioned writes use dynamic partition overwrite: a rerun replaces exactly
-the partitions its output touches and leaves every other one alone, so a
-rerun never doubles a mart.
+What a write replaces is said with each write, never by a session setting:
+``replace_folder`` clears a whole folder first (a batch's own output, also when
+the new output is empty or lies in other days); ``write_partitioned`` replaces
+the partitions its rows touch, and ``clear_partitions`` those that a rerun left
+without rows.
 
 ``rebalance=True`` adds a ``rebalance`` hint on the partition columns: AQE
 then gathers each partition value into few files, splitting a hot value over
@@ -17,6 +19,7 @@ by the input, and a second full shuffle of silver would only cost network.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +40,33 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str],
        .parquet(path))
 
 
+def replace_folder(df: DataFrame, path: str, partition_cols: list[str], compression: str = "snappy",
+                   rebalance: bool = False) -> None:
+    """Make ``path`` hold exactly ``df``, whatever it held before."""
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", compression)
+       .partitionBy(*partition_cols).parquet(path))
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def clear_partitions(spark: SparkSession, path: str, partition_col: str, values) -> None:
+    """Delete the partitions of these values (one folder each), if there."""
+    for v in values:
+        fs, p = _hadoop_path(spark, f"{path.rstrip('/')}/{partition_col}={v}")
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def _in_table_order(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
     # insertInto is positional: align by name first
     return df.select(*spark.table(table).columns)
@@ -57,12 +87,15 @@ def overwrite_table_partitions(df: DataFrame, table: str, table_format: str = "p
         df.writeTo(table).overwritePartitions()
         return
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # a session of its own carries the setting; the catalog is shared
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    view = f"overwrite_{uuid.uuid4().hex}"
+    _in_table_order(df, spark, table).createGlobalTempView(view)
     try:
-        _in_table_order(df, spark, table).write.insertInto(table, overwrite=True)
+        own.table(f"global_temp.{view}").write.insertInto(table, overwrite=True)
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        spark.catalog.dropGlobalTempView(view)
 
 
 def snapshot_table(df: DataFrame, table: str, location: str, compression: str = "gzip") -> None:

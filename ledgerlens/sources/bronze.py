@@ -2,8 +2,8 @@
 
 Text sources cannot push filters into the files, but partition folders are
 pruned: a day read lists and opens only that day.  Gzip files are not
-splittable (one task per file), so ``min_partitions`` spreads the lines
-round-robin after the scan when the files are few and large.
+splittable (one task per file); ``partitions`` deals the lines round-robin
+after the scan where the files are known to be few and large.
 """
 
 from __future__ import annotations
@@ -16,12 +16,16 @@ from ..functions import boolish_to_int, clean_amount, unglue_fragments, with_col
 from .tables import spread
 
 _S = T.StringType()
-# Declared raw event schema: producer fields plus the optional payment fields.
+# --- fixed values: fields of a raw event -------------------------------------
 # Numbers and flags are read as text and converted after parsing, so one
-# mistyped field does not turn the whole record into a corrupt one.
+# mistyped field does not turn the whole record into a corrupt one; an object
+# or array comes as its JSON text.  Records with other fields: pass the schema
+# of ``inferred_struct``.
 RAW_EVENT_SCHEMA = T.StructType([T.StructField(n, _S) for n in [
     "event_id", "transaction_id", "user_id", "card_id", "merchant_id", "merchant",
     "amount", "currency", "payment_method", "channel", "country", "region", "city",
+    "country_iso2", "country_code", "countryCode", "country_iso", "mcc", "customer_id",
+    "device", "device_os", "velocity_1h", "distance_km_from_home", "metadata", "source", "schema_version",
     "device_id", "ip_address", "risk_score", "is_international", "status", "approved",
     "decline_reason", "event_type", "event_ts", "event_year", "event_month", "event_day",
     "event_time", "ingest_time", "ingest_timestamp", "_corrupt_record",
@@ -36,7 +40,7 @@ def write_bronze(lines: DataFrame, root: str, mode: str = "append") -> None:
 
 
 def read_bronze(spark: SparkSession, root: str, day: str | None = None,
-                as_of: Column | None = None, min_partitions: int = 0) -> DataFrame:
+                as_of: Column | None = None, partitions: int | None = None) -> DataFrame:
     """Raw lines with lineage: ``raw_line``, ``source_file``, ``ingestion_ts``
     and the partition columns.  ``day`` ('YYYY-MM-DD') prunes to one folder."""
     df = spark.read.text(root)
@@ -47,7 +51,7 @@ def read_bronze(spark: SparkSession, root: str, day: str | None = None,
                    F.col("_metadata.file_path").alias("source_file"),
                    (as_of if as_of is not None else F.current_timestamp()).alias("ingestion_ts"),
                    "year", "month", "day")
-    return spread(df, min_partitions) if min_partitions else df
+    return spread(df, partitions)
 
 
 def unglue(raw: DataFrame, col: str = "raw_line") -> DataFrame:
@@ -65,7 +69,8 @@ def parse_events(fragments: DataFrame, col: str = "raw_line",
     Malformed = no object at all (NULL/blank text) or a corrupt record
     (unparsable text, an array, a bare ``null``).  ``amount`` is cleaned
     money text, ``risk_score`` a double, ``is_international`` 0/1.
-    The time stays text in ``event_ts`` (``event_ts``, else ``event_time``).
+    The times ``event_ts`` and ``event_time`` stay text: which of them
+    is used depends on which can be parsed (``quality.validate``).
     """
     j = F.from_json(F.col(col), schema)
     names = [f.name for f in schema.fields if f.name != "_corrupt_record"]
@@ -85,33 +90,37 @@ def parse_events(fragments: DataFrame, col: str = "raw_line",
     if intl is not None:
         typed["is_international"] = F.coalesce(text("is_international").try_cast("int"),
                                                boolish_to_int(text("is_international")))
-    typed["event_ts"] = F.coalesce(text("event_ts"), text("event_time"))
-    if "event_ts" not in names:
-        names = names + ["event_ts"]
+    for name in ("event_ts", "event_time"):
+        typed[name] = text(name)
+    names += [n for n in ("event_ts", "event_time") if n not in names]
     # parsed and typed once per row: grading filters downstream must not pull
     # the parser and the money-text regexes up into one copy per reference
     return with_columns_once(df.select(*keep, "_j"), {
         "is_malformed_json": F.col("_j").isNull() | corrupt, **{n: typed[n] for n in names}}).drop("_j")
 
 
-def infer_event_schema(fragments: DataFrame, col: str = "raw_line", sample_rows: int | None = None) -> DataFrame:
+def infer_event_schema(fragments: DataFrame, col: str = "raw_line") -> DataFrame:
     """Merged schema of the parsable fragments (one row, DDL-like text).
 
-    By default a distributed aggregate over all lines (partial merge per
-    task), so fields that first appear late are not lost.  ``sample_rows``
-    reproduces the original sampling behaviour (first N fragments) when a
-    cheap guess is wanted.  Unparsable fragments are skipped."""
-    src = fragments.limit(sample_rows) if sample_rows else fragments
-    return src.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("event_schema"))
+    A distributed aggregate over all lines (partial merge per task), so fields
+    that first appear late are not lost.  Unparsable fragments are skipped."""
+    return fragments.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col))).alias("event_schema"))
 
 
-def inferred_struct(fragments: DataFrame, col: str = "raw_line", sample_rows: int | None = None) -> T.StructType:
+def inferred_fields(fragments: DataFrame, col: str = "raw_line") -> DataFrame:
+    """The inferred schema as rows ``field``, ``type`` (top level)."""
+    inferred = inferred_struct(fragments, col)
+    rows = [(f.name, f.dataType.simpleString()) for f in inferred.fields if f.name != "_corrupt_record"]
+    return fragments.sparkSession.createDataFrame(rows, "field string, type string")
+
+
+def inferred_struct(fragments: DataFrame, col: str = "raw_line") -> T.StructType:
     """The inferred schema as a ``StructType`` usable by ``parse_events``
     (one small row comes back to the driver: the schema text).  Raises if no
     fragment parses, as the original job does."""
-    text = infer_event_schema(fragments, col, sample_rows).first()["event_schema"]
+    text = infer_event_schema(fragments, col).first()["event_schema"]
     if not text or not text.startswith("OBJECT<"):
         raise ValueError("no JSON object found to infer a schema from")
-    inferred = T._parse_datatype_string("STRUCT<" + text[len("OBJECT<"):])
+    inferred = T._parse_datatype_string("STRUCT<" + text[len("OBJECT<"):].replace("OBJECT<", "STRUCT<"))
     fields = [f for f in inferred.fields if f.name != "_corrupt_record"]
     return T.StructType(fields + [T.StructField("_corrupt_record", T.StringType())])

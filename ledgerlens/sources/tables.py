@@ -6,18 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
-    parallelism) only when its scan yields fewer partitions than that.
-
-    A parquet row group or a gzip file is read by one task, so a small table
-    written as one row group would run every per-row expression on one core.
-    Big inputs already have at least as many splits as cores and are left
-    untouched (no extra shuffle).  The count comes from planning, no job."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n)
-    return df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``df`` dealt round-robin over ``partitions``, or as it is if not given.
+
+    A parquet row group or a gzip file is read by one task, so a few large
+    ones leave cores idle through every per-row expression; whoever knows the
+    input names the count."""
+    return df.repartition(partitions) if partitions else df
 
 
 def scan_day(spark: SparkSession, root: str, day: str, partition_col: str = "ds_day") -> DataFrame:

@@ -4,8 +4,8 @@
   text (the landing the event producer's delivery stream does).
 * ``validate_stream``: the batch validation on each micro-batch, routed to
   silver and quarantine by ``foreachBatch``.  Output goes to
-  ``batch_id=N/ds_day=D`` with dynamic overwrite, so a micro-batch replayed
-  after a failure replaces its own files instead of appending twice.
+  ``batch_id=N/ds_day=D``, and a micro-batch replayed after a failure replaces
+  its own folder instead of appending twice.
 * ``dedup_stream``: drop repeated event ids within a watermark; state is
   bounded by the watermark delay, NULL ids pass through untouched.
 
@@ -15,23 +15,29 @@ then stop) and keep their checkpoint under the given shared folder.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import parse_event_ts
+from ..functions import parse_event_ts, unglue_fragments, with_columns_once
 from ..operators import quality
 from ..plans.silver import to_silver
-from ..sinks.writers import write_partitioned
+from ..sinks.writers import folder_exists, replace_folder, write_partitioned
 from ..sources.bronze import parse_events, unglue
 
-FIRST_EVENT_TS = r'"event_ts":"([^"]*)"'
+# files of one micro-batch: a backlog is worked off in bounded steps
+FILES_PER_TRIGGER = 256
+# ways a key is split before its copies meet in one task
+DEDUP_SALTS = 32
 
 
 def line_day(value: Column, fallback_day: Column) -> Column:
-    """Landing day of a raw line: the day of its first event time, else
+    """Landing day of a raw line: the day of its first object's event time, else
     ``fallback_day`` (the arrival day)."""
-    ts = parse_event_ts(F.nullif(F.regexp_extract(value, FIRST_EVENT_TS, 1), F.lit("")))
+    first = F.from_json(F.get(unglue_fragments(value), F.lit(0)), "event_ts string, event_time string")
+    ts = F.coalesce(parse_event_ts(first["event_ts"]), parse_event_ts(first["event_time"]))
     return F.coalesce(F.to_date(ts), fallback_day)
 
 
@@ -43,16 +49,14 @@ def _run(writer, available_now: bool = True):
 
 
 def land_bronze(spark: SparkSession, incoming: str, bronze_root: str, checkpoint: str,
-                fallback_day: Column | None = None, max_files_per_trigger: int | None = None,
+                fallback_day: Column | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER,
                 available_now: bool = True):
-    src = spark.readStream.format("text")
-    if max_files_per_trigger:
-        src = src.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = src.load(incoming)
-    day = line_day(F.col("value"), fallback_day if fallback_day is not None else F.current_date())
-    out = lines.select("value", F.year(day).alias("year"),
-                       F.lpad(F.month(day).cast("string"), 2, "0").alias("month"),
-                       F.lpad(F.dayofmonth(day).cast("string"), 2, "0").alias("day"))
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger).load(incoming)
+    arrived = fallback_day if fallback_day is not None else F.current_date()
+    # parsed once per line, not once per date part
+    out = with_columns_once(lines.select("value"), {"_day": line_day(F.col("value"), arrived)})
+    out = out.select("value", *[F.date_format("_day", part).alias(name)
+                                for name, part in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))])
     w = (out.writeStream.format("text").option("compression", "gzip")
             .option("checkpointLocation", checkpoint).partitionBy("year", "month", "day")
             .outputMode("append").option("path", bronze_root))
@@ -61,29 +65,30 @@ def land_bronze(spark: SparkSession, incoming: str, bronze_root: str, checkpoint
 
 def validate_stream(spark: SparkSession, bronze_root: str, out_root: str, checkpoint: str,
                     as_of: Column | None = None, strict: bool = False,
-                    max_files_per_trigger: int | None = None, available_now: bool = True):
+                    max_files_per_trigger: int = FILES_PER_TRIGGER, available_now: bool = True):
     """Stream bronze lines through un-glue, parse and grading; each
-    micro-batch writes its GOOD/WARN rows to ``out_root/silver`` and its BAD
-    rows to ``out_root/quarantine``."""
-    src = spark.readStream.format("text").option("recursiveFileLookup", "true")
-    if max_files_per_trigger:
-        src = src.option("maxFilesPerTrigger", max_files_per_trigger)
+    micro-batch writes its GOOD/WARN rows to ``out_root/silver``, its BAD
+    rows to ``out_root/quarantine`` and the counts of both to
+    ``out_root/audit``.  A batch owns its ``batch_id=N`` folder of each sink
+    and replaces it whole when replayed.  The batch is not cached: the audit
+    counts what the two sinks hold."""
+    src = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+           .option("maxFilesPerTrigger", max_files_per_trigger))
     raw = src.load(bronze_root).select(
         F.col("value").alias("raw_line"), F.col("_metadata.file_path").alias("source_file"),
         (as_of if as_of is not None else F.current_timestamp()).alias("ingestion_ts"))
     graded = quality.validate(parse_events(unglue(raw)), as_of=as_of, strict=strict)
-    silver_path, quarantine_path = f"{out_root.rstrip('/')}/silver", f"{out_root.rstrip('/')}/quarantine"
+    root = out_root.rstrip("/")
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            bid = F.lit(batch_id).cast("long")
-            write_partitioned(to_silver(quality.good_rows(batch), strict).withColumn("batch_id", bid),
-                              silver_path, ["batch_id", "ds_day"])
-            write_partitioned(quality.quarantine_view(batch).withColumn("batch_id", bid),
-                              quarantine_path, ["batch_id", "ds_day"], rebalance=True)
-        finally:
-            batch.unpersist()
+        own = {sink: f"{root}/{sink}/batch_id={batch_id}" for sink in ("silver", "quarantine", "audit")}
+        replace_folder(to_silver(quality.good_rows(batch), strict), own["silver"], ["ds_day"])
+        replace_folder(quality.quarantine_view(batch), own["quarantine"], ["ds_day"], rebalance=True)
+        kept = [batch.sparkSession.read.schema("dq_status string, ds_day date").parquet(own[s])
+                for s in ("silver", "quarantine")]
+        audit = (kept[0].unionByName(kept[1]).groupBy("ds_day", "dq_status").agg(F.count(F.lit(1)).alias("records"))
+                 .withColumn("audit_ts", F.current_timestamp()))
+        replace_folder(audit, own["audit"], ["ds_day"])
 
     w = graded.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     return _run(w, available_now)
@@ -94,20 +99,22 @@ def dedup_events(stream: DataFrame, key: str = "event_id", event_time: str = "ev
     """First copy of each ``key`` within ``delay`` of event time.  Rows with a
     NULL key are not duplicates of each other and are kept.
 
-    State holds one entry per key for ``delay`` and is evicted by the
-    watermark.  The state operator has no map-side step, so all copies of one
-    key in a micro-batch reach the same task; when one id can carry a large
-    share of the stream use ``dedup_stream_batched``, which collapses copies
-    inside each task before any shuffle."""
-    s = stream.withWatermark(event_time, delay)
-    kept = s.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
-    return kept.unionByName(s.where(F.col(key).isNull()))
+    Two steps, so that a key with a large share of the stream is never one
+    task's: the first drops copies of a key that were read by the same of
+    ``DEDUP_SALTS`` groups of input tasks, the second the at most
+    ``DEDUP_SALTS`` copies left.  Each holds an entry per key (and group) for
+    ``delay``, evicted by the watermark."""
+    salted = stream.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(DEDUP_SALTS)))
+    s = salted.withWatermark(event_time, delay)
+    kept = (s.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key, "_salt"])
+            .dropDuplicatesWithinWatermark([key]))
+    return kept.unionByName(s.where(F.col(key).isNull())).drop("_salt")
 
 
 def dedup_stream(spark: SparkSession, source: str, schema: T.StructType, out_path: str, checkpoint: str,
                  key: str = "event_id", event_time: str = "event_ts", delay: str = "1 day",
-                 available_now: bool = True):
-    stream = spark.readStream.schema(schema).parquet(source)
+                 max_files_per_trigger: int = FILES_PER_TRIGGER, available_now: bool = True):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source)
     w = (dedup_events(stream, key, event_time, delay).writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).option("path", out_path).outputMode("append"))
     return _run(w, available_now)
@@ -125,51 +132,47 @@ def rows_dropped_by_watermark(query) -> int:
 
 def dedup_stream_batched(spark: SparkSession, source: str, schema: T.StructType, out_path: str, seen_path: str,
                          checkpoint: str, key: str = "event_id", event_time: str = "event_ts",
-                         delay_days: int = 1, max_files_per_trigger: int | None = None,
+                         delay_days: int = 1, max_files_per_trigger: int = FILES_PER_TRIGGER,
                          available_now: bool = True):
-    """Skew-safe streaming dedup (first copy of each key wins).
+    """Streaming dedup without state in memory (first copy of each key wins).
 
     Each micro-batch is deduplicated with the batch operator first (partial
     aggregation: all copies of a hot key collapse inside each task), then
-    anti-joined on the key against the ids already emitted, read from a
-    ``seen`` store partitioned by event day and pruned to the days within
-    ``delay_days`` of the batch's oldest event.  Both outputs are written
-    under ``batch_id=N`` with dynamic overwrite, and batch N only consults
-    ids of earlier batches, so a replayed micro-batch reproduces its own
-    output exactly.  Rows with a NULL key pass through.
+    anti-joined on the key against the ids already emitted.  Those are stored
+    by event day, then batch: a batch opens only the folders of days within
+    ``delay_days`` of one of its own, so an old row costs its day and not all
+    history.  A batch owns its ``batch_id=N`` folders and consults only those
+    of earlier batches, so a replayed micro-batch reproduces its own output
+    exactly.  Rows with a NULL key pass through.
     """
     from ..operators.dedup import dedup_latest
 
-    src = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        src = src.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = src.parquet(source)
-    seen_schema = T.StructType([T.StructField(key, schema[key].dataType),
-                                T.StructField("batch_id", T.LongType()), T.StructField("ds_day", T.DateType())])
-    # create the (possibly empty) store up front so every batch can read it
-    (spark.createDataFrame([], seen_schema).write.mode("append")
-          .partitionBy("batch_id", "ds_day").parquet(seen_path))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source)
+    seen_schema = T.StructType([T.StructField(key, schema[key].dataType), T.StructField("batch_id", T.LongType())])
+    seen_path = seen_path.rstrip("/")
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
         # earliest copy wins: order by the negated time
         ranked = batch.withColumn("_neg_ts", -F.col(event_time).cast("double"))
         others = [c for c in batch.columns if c not in (key, event_time)]
-        first = dedup_latest(ranked, key, ["_neg_ts", *others]).drop("_neg_ts").persist()
+        first = (dedup_latest(ranked, key, ["_neg_ts", *others]).drop("_neg_ts")
+                 .withColumn("_day", F.to_date(event_time)).persist())
         try:
-            low = first.agg(F.min(F.to_date(event_time))).first()[0]
+            days = [r["_day"] for r in first.select("_day").distinct().collect() if r["_day"] is not None]
+            near = {d + dt.timedelta(days=k) for d in days for k in range(-delay_days, delay_days + 1)}
+            stored = [p for p in (f"{seen_path}/ds_day={d}" for d in sorted(near)) if folder_exists(own, p)]
             fresh = first
-            if low is not None:
-                seen = (spark.read.schema(seen_schema).parquet(seen_path)
-                        .where((F.col("batch_id") < batch_id)
-                               & (F.col("ds_day") >= F.date_sub(F.lit(str(low)).cast("date"), delay_days)))
-                        .select(key).distinct())
-                fresh = first.join(seen, key, "left_anti")
-            bid = F.lit(batch_id).cast("long")
-            out = fresh.withColumn("batch_id", bid)
-            write_partitioned(out, out_path, ["batch_id"])
-            ids = (fresh.where(F.col(key).isNotNull())
-                   .select(key, F.to_date(event_time).alias("ds_day"), bid.alias("batch_id")))
-            write_partitioned(ids, seen_path, ["batch_id", "ds_day"])
+            if stored:
+                # a day's folder may be opened before or after this batch's own
+                # first attempt wrote there: only earlier batches count
+                seen = own.read.schema(seen_schema).option("basePath", seen_path).parquet(*stored)
+                fresh = first.join(seen.where(F.col("batch_id") < batch_id).select(key), key, "left_anti")
+            write_partitioned(fresh.drop("_day").withColumn("batch_id", F.lit(batch_id).cast("long")), out_path,
+                              ["batch_id"])
+            ids = fresh.where(F.col(key).isNotNull() & F.col("_day").isNotNull()).select(
+                key, F.col("_day").alias("ds_day"), F.lit(batch_id).cast("long").alias("batch_id"))
+            write_partitioned(ids, seen_path, ["ds_day", "batch_id"], rebalance=True)
         finally:
             first.unpersist()
 
