@@ -50,7 +50,9 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     ckpt = tempfile.mkdtemp(prefix="ledgerlens-bench-")
     spark = build_session(f"local[{cpus}]", app_name="ledgerlens-bench", shuffle_partitions=int(cpus) * 2,
-                          extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g"})
+                          extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "8g",
+                                 # the tables are single row groups: deal them over all cores
+                                 "spark.ledgerlens.inputPartitions": cpus})
     qs = registry.queries()
     names = only or HEADLINE
     qs["events_count"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up

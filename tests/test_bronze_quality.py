@@ -28,8 +28,8 @@ def test_raw_line_cases(spark):
     assert sorted(r.event_id for r in by_line[1]) == ["b", "c"]
     assert sorted(r.event_id for r in by_line[2]) == ["d", "e"]
     assert len(by_line[3]) == 2 and not any(r.is_malformed_json for r in by_line[3])
-    # brace inside a string: cut in two, both flagged, none lost
-    assert len(by_line[4]) == 2 and all(r.is_malformed_json for r in by_line[4])
+    # braces inside a string do not cut
+    assert len(by_line[4]) == 1 and not by_line[4][0].is_malformed_json
     for i in (5, 6, 7):
         assert len(by_line[i]) == 1 and by_line[i][0].is_malformed_json, lines[i]
     assert by_line[8][0].amount == 12.5 and not by_line[8][0].is_malformed_json
@@ -106,8 +106,6 @@ def test_inferred_schema_mode(spark):
                                           ("{bad",)], "raw_line string"))
     st = inferred_struct(frags)
     assert {"event_id", "amount", "late_field", "_corrupt_record"} <= set(st.fieldNames())
-    sample = inferred_struct(frags, sample_rows=1)
-    assert "late_field" not in sample.fieldNames()
     rows = {r.event_id: r for r in parse_events(frags, schema=st).collect()}
     assert rows["a"].amount == 10.5 and rows[None].is_malformed_json
 
@@ -119,3 +117,50 @@ def test_ingest_time_from_event(spark):
                          as_of=F.lit("2024-01-31").cast("timestamp"))
     got = to_silver(v).select(F.col("ingestion_ts").cast("timestamp_ntz").alias("t")).first().t
     assert got == dt.datetime(2024, 1, 1, 0, 0, 0)
+
+
+def test_unglue_only_outside_strings(spark):
+    cases = {
+        '{"m":"a}{b"}': ['{"m":"a}{b"}'],
+        '{"m":"a}{b"} {"m":"c"}{"m":"} {"}': ['{"m":"a}{b"}', '{"m":"c"}', '{"m":"} {"}'],
+        r'{"m":"q\"}{\""}{"n":1}': [r'{"m":"q\"}{\""}', '{"n":1}'],
+        r'{"m":"back\\"}{"n":"x}{y"}': [r'{"m":"back\\"}', '{"n":"x}{y"}'],
+        # a literal that never closes: cut at each }{, whole objects survive
+        '{"n":1}{"m":"open}{"n":2}': ['{"n":1}', '{"m":"open}', '{"n":2}'],
+        "plain": ["plain"],
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "raw_line string")
+    got = {}
+    for r in unglue(df.withColumn("line", F.col("raw_line"))).orderBy("fragment_idx").collect():
+        got.setdefault(r.line, []).append(r.raw_line)
+    assert got == cases
+
+
+def test_bad_time_does_not_hide_a_good_one(spark):
+    rows = [_with(event_ts="nonsense", event_time="2024-01-05T10:00:00Z"), _with(event_ts="nonsense"),
+            _with(event_ts=..., event_time="1704067200"), _with(event_ts="2024-01-04T00:00:00Z", event_time="nonsense")]
+    got = [(str(r.event_ts_ts)[:10], "INVALID_EVENT_TS" in r.dq_errors) for r in _graded(spark, rows).collect()]
+    assert got == [("2024-01-05", False), ("None", True), ("2024-01-01", False), ("2024-01-04", False)]
+
+
+def test_country_from_any_of_its_fields(spark):
+    from ledgerlens.plans.silver import to_silver
+    names = ["country", "country_code", "countryCode", "country_iso", "country_iso2"]
+    rows = [_with(**({"country": ...} | {n: "gb"})) for n in names]
+    assert [r.country_iso2 for r in to_silver(_graded(spark, rows)).collect()] == ["GB"] * 5
+
+
+def test_further_fields_reach_silver(spark):
+    from ledgerlens.plans.silver import to_silver
+    r = to_silver(_graded(spark, [_with(mcc=5411, device={"os": "x"}, metadata={"k": [1, 2]}, velocity_1h=3,
+                                        distance_km_from_home=1.5, source="app", schema_version="2",
+                                        customer_id="c1", device_os="ios")])).first()
+    assert (r.mcc, r.device, r.metadata, r.velocity_1h, r.distance_km_from_home, r.source, r.schema_version,
+            r.customer_id, r.device_os) == ("5411", '{"os":"x"}', '{"k":[1,2]}', 3.0, 1.5, "app", "2", "c1", "ios")
+
+
+def test_json_amounts_keep_their_value(spark):
+    lines = ['{"amount":15000000.0}', '{"amount":1.5E7}', '{"amount":12345678.9}', '{"amount":0.00012}',
+             '{"amount":"1.234,56"}', '{"amount":"R$ 7,5"}', '{"amount":-3}', '{"amount":"x"}']
+    got = [r.amount for r in _parse(spark, lines).orderBy("line_no").collect()]
+    assert got == [15000000.0, 15000000.0, 12345678.9, 0.00012, 1234.56, 7.5, -3.0, None]

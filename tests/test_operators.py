@@ -3,6 +3,7 @@ mart invariants."""
 
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import ip_key
 from ledgerlens.operators import gold, quality
 from ledgerlens.operators.dedup import dedup_latest
 from ledgerlens.operators.geo import geo_enrich, range_join
@@ -32,15 +33,46 @@ def test_dedup_hot_key_and_nulls(spark):
 
 
 def test_range_join_matches_brute_force(spark):
-    ips = spark.createDataFrame([(i, v) for i, v in enumerate(
-        [16777216, 671088639, 671088640, 1, 2348810239, 2348810240, None, 1342177280, 1845493759])], "id int, ip long")
-    ranges = address_ranges(spark)
-    expected = {(r.id, r.country_iso2) for r in ips.join(
-        ranges, (ips.ip >= ranges.ip_start) & (ips.ip <= ranges.ip_end), "left").select("id", "country_iso2").collect()}
-    for max_rows in (10_000_000, 10):  # broadcast path and shuffled path
-        got = range_join(ips, "ip", ranges, max_broadcast_rows=max_rows)
-        assert {(r.id, r.country_iso2) for r in got.collect()} == expected
-        assert "BroadcastNestedLoopJoin" not in _plan(got) and "CartesianProduct" not in _plan(got)
+    addresses = ["1.0.0.0", "39.255.255.255", "40.0.0.0", "0.0.0.1", "139.255.255.255", "140.0.0.0", None, "80.0.0.0",
+                 "2001:db8::", "2001:db8:0:ffff:ffff:ffff:ffff:ffff", "2001:db8:1::7", "2001:db8:80::", "2a00::1",
+                 "2a0f:ffff::", "2a10::", "::1", "::ffff:41.2.3.4", "junk"] + [None] * 40
+    ips = spark.createDataFrame(list(enumerate(addresses)), "id int, text string").withColumn("ip", ip_key(F.col("text")))
+    narrow = [("10.1.2.3", "10.1.2.3"), ("10.1.2.8", "10.1.3.7"), ("10.200.0.0", "10.200.255.255"), ("::", "::ff")]
+    for rows in (None, [(a, b, a, "X" + str(k), 0.0, 0.0) for k, (a, b) in enumerate(narrow)]):
+        ranges = address_ranges(spark, rows)
+        probe = ips.union(spark.createDataFrame([(100, "10.1.2.3"), (101, "10.1.2.7"), (102, "10.1.3.0"), (103, "::fe")],
+                                                "id int, text string").withColumn("ip", ip_key(F.col("text"))))
+        expected = {(r.id, r.country_iso2) for r in probe.join(
+            ranges, (probe.ip >= ranges.ip_start) & (probe.ip <= ranges.ip_end), "left").select("id", "country_iso2").collect()}
+        prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        for threshold in (prev, "-1"):  # broadcast and shuffled
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            try:
+                got = range_join(probe, "ip", ranges)
+                assert sorted((r.id, str(r.country_iso2)) for r in got.collect()) == sorted((i, str(c)) for i, c in expected)
+                plan = _plan(got)
+                assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+                assert threshold != "-1" or "SortMergeJoin" in plan
+            finally:
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_ip_key_matches_the_standard_library(spark):
+    import ipaddress
+    texts = ["0.0.0.0", "255.255.255.255", "1.2.3.4", " 10.0.0.1 ", "256.1.1.1", "1.2.3", "1.2.3.4.5", "", "::", "::1", "1::",
+             "2001:DB8::ff00:42:8329", "2001:db8:0:0:0:0:2:1", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", ":::",
+             "1::2::3", "12345::", "g::", "::ffff:1.2.3.4", "64:ff9b::192.0.2.33", "::1.2.3", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:",
+             "fe80::1ff:fe23:4567:890a", "a:b:c:d:e:f:0::", "x", None]
+
+    def key(t):
+        try:
+            a = ipaddress.ip_address((t or "").strip())
+        except ValueError:
+            return None
+        return "%032x" % (int(a) if a.version == 6 else int(a) + (0xFFFF << 32))
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [(r.t, r.k) for r in df.select("t", ip_key(F.col("t")).alias("k")).collect()] == [(t, key(t)) for t in texts]
 
 
 def test_geo_enrich_plan_is_hash_join(spark):
