@@ -51,6 +51,11 @@ def event_ts_fallback(df: DataFrame, names=("event_ts", "event_time", "ingest_ts
     return F.coalesce(*cands)
 
 
+def day_parts(day: Column) -> dict[str, Column]:
+    """Partition columns of a day: the year, and month and day as two digits."""
+    return {"year": F.year(day), "month": F.date_format(day, "MM"), "day": F.date_format(day, "dd")}
+
+
 def to_utc_ntz(c: Column) -> Column:
     """Zone-free wall-clock value of a UTC timestamp (for comparisons and
     outputs that must not depend on the reader's zone)."""

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions import (boolish_to_int, clean_amount, country_iso2, country_name, event_ts_fallback,
+from .functions import (boolish_to_int, clean_amount, country_iso2, country_name, day_parts, event_ts_fallback,
                         ingest_ts, is_international, merchant_struct, parse_event_ts)
 from .operators import gold, quality
 from .operators.dedup import dedup_latest
@@ -196,11 +196,9 @@ def q_safe_col_coalesce(spark, sf):
 
 
 def q_partition_columns(spark, sf):
-    s = _silver(spark, sf)
-    return (s.select(F.year("ds_day").alias("event_year"),
-                     F.format_string("%02d", F.month("ds_day")).alias("event_month"),
-                     F.format_string("%02d", F.dayofmonth("ds_day")).alias("event_day"))
-             .groupBy("event_year", "event_month", "event_day").agg(F.count(F.lit(1)).alias("events")))
+    parts = day_parts(F.col("ds_day"))
+    return (_silver(spark, sf).groupBy(*[c.alias(f"event_{n}") for n, c in parts.items()])
+            .agg(F.count(F.lit(1)).alias("events")))
 
 
 def q_risk_buckets(spark, sf):
@@ -208,8 +206,8 @@ def q_risk_buckets(spark, sf):
 
 
 def q_dedup_event_id(spark, sf):
-    return dedup_latest(_silver(spark, sf), "event_id", ["event_ts", "transaction_id"]).select(
-        "event_id", "transaction_id")
+    narrow = _silver(spark, sf).select("event_id", "event_ts", "transaction_id")
+    return dedup_latest(narrow, "event_id", ["event_ts", "transaction_id"]).select("event_id", "transaction_id")
 
 
 # ------------------------------------------------------- column functions --
@@ -372,13 +370,9 @@ def q_bronze_scan_lineage(spark, sf):
 
 # ------------------------------------------------------ tables and sinks --
 
-def _latest_silver_day(spark, path):
-    return spark.read.parquet(path).agg(F.max("ds_day")).first()[0]
-
-
 def q_silver_scan_day(spark, sf):
     path = _silver_written(spark, sf)
-    day = _latest_silver_day(spark, path)
+    day = tables.require_latest_day(spark, _external_silver_table(spark, path))
     return _finish(tables.scan_day(spark, path, str(day)).select(
         "transaction_id", "event_id", "amount", "channel", "ds_day"))
 
@@ -390,9 +384,8 @@ def q_silver_scan_paths(spark, sf):
     return _finish(df.groupBy("ds_day").agg(F.count(F.lit(1)).alias("events"), F.sum("amount").alias("amount_sum")))
 
 
-def _external_silver_table(spark, sf) -> str:
+def _external_silver_table(spark, path) -> str:
     _ensure_db(spark)
-    path = _silver_written(spark, sf)
     name = _table_name("silver_ext")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields
                     if f.name != "ds_day") + ", ds_day date"
@@ -402,7 +395,7 @@ def _external_silver_table(spark, sf) -> str:
 
 
 def q_external_table_scan(spark, sf):
-    t = spark.table(_external_silver_table(spark, sf))
+    t = spark.table(_external_silver_table(spark, _silver_written(spark, sf)))
     return _finish(t.groupBy("ds_day", "channel").agg(F.count(F.lit(1)).alias("events"),
                                                       F.sum("amount").alias("amount_sum")))
 
@@ -427,7 +420,7 @@ def q_external_table_single_file(spark, sf):
 
 
 def q_latest_partition_day(spark, sf):
-    return tables.latest_partition_day(spark, _external_silver_table(spark, sf))
+    return tables.latest_partition_day(spark, _external_silver_table(spark, _silver_written(spark, sf)))
 
 
 def q_table_append_readback(spark, sf):

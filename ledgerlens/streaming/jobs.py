@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import parse_event_ts, unglue_fragments, with_columns_once
+from ..functions import day_parts, parse_event_ts, unglue_fragments, with_columns_once
 from ..operators import quality
 from ..plans.silver import to_silver
 from ..sinks.writers import folder_exists, replace_folder, write_partitioned
@@ -55,8 +55,7 @@ def land_bronze(spark: SparkSession, incoming: str, bronze_root: str, checkpoint
     arrived = fallback_day if fallback_day is not None else F.current_date()
     # parsed once per line, not once per date part
     out = with_columns_once(lines.select("value"), {"_day": line_day(F.col("value"), arrived)})
-    out = out.select("value", *[F.date_format("_day", part).alias(name)
-                                for name, part in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))])
+    out = out.select("value", *[c.alias(name) for name, c in day_parts(F.col("_day")).items()])
     w = (out.writeStream.format("text").option("compression", "gzip")
             .option("checkpointLocation", checkpoint).partitionBy("year", "month", "day")
             .outputMode("append").option("path", bronze_root))
