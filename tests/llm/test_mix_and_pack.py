@@ -96,8 +96,7 @@ def check_packing(rows, got, length=2048):
 
 
 @pytest.mark.parametrize("group", [4096, 5])
-def test_packing_awkward(spark, monkeypatch, group):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+def test_packing_awkward(spark, group):
     rows = awkward_rows() + [(70, "two  blanks\n\n and \t tabs \n", "en", "s", 1), (71, " lead and trail ", "en", "s", 1),
                              (72, "<|endoftext|> it's we'll  ", "en", "s", 1), (73, "\x1c\x1d \x85 a 　b  ", "en", "s", 1)]
     cut = packing.materialize(packing.pieces(documents(spark, rows), tokenizer_path()), "test-pieces")
