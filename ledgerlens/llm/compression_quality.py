@@ -3,13 +3,14 @@
 One dictionary is built from text labelled good, one from text labelled bad.
 A text that compresses better with the good one is more like good text: the
 difference of the two compressed sizes over the text's size, calibrated by a
-logistic curve on labelled texts that are in neither dictionary, is the score.
+logistic curve (which also knows how short the text is) on labelled texts that
+are in neither dictionary, is the score.
 
 Training reads a bounded sample of labelled rows (``per_class`` of each label,
 texts of at most ``max_train_chars``); scoring reads every text whole.
 
-Defined cases: null and empty texts have difference 0 and get its calibrated
-score; without labels of both kinds every score is that of the only label seen,
+Defined cases: null and empty texts have difference 0 and the shortest length
+and get the score calibrated for those; without labels of both kinds every score is that of the only label seen,
 or 0.5; a null id passes through and is not held out; repeated rows are scored
 one by one; an empty table gives an empty result; other columns are ignored.
 """
@@ -28,6 +29,8 @@ from .labelled import fit_logistic, label_counts, labelled_texts, sigmoid
 
 DICTIONARY_BYTES = 65536
 LEVEL = 3
+SHORT_BYTES = 300
+PART_BYTES = 2048     # a text is compressed in parts, else a long one's own beginning replaces the dictionary
 
 
 @dataclass(frozen=True)
@@ -43,15 +46,18 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 
 def features(tx: list[str], good: bytes, bad: bytes) -> np.ndarray:
-    """Per text: the normalised difference, and the difference damped for short
-    texts, whose normalised difference is mostly noise."""
+    """Per text the normalised difference, also damped, and how short the text
+    is, alone and with the difference: that of a short text is mostly noise."""
     by_good, by_bad = _compressor(good), _compressor(bad)
-    out = np.zeros((len(tx), 2))
+    out = np.zeros((len(tx), 4))
     for i, t in enumerate(tx):
         raw = t.encode("utf-8", "surrogatepass")
-        if raw:
-            gap = len(by_bad.compress(raw)) - len(by_good.compress(raw))
-            out[i] = 100 * gap / len(raw), 100 * gap / (len(raw) + 500)
+        gap = 0
+        for at in range(0, len(raw), PART_BYTES):
+            part = raw[at:at + PART_BYTES]
+            gap += len(by_bad.compress(part)) - len(by_good.compress(part))
+        difference, short = 100 * gap / max(len(raw), 1), np.exp(-len(raw) / SHORT_BYTES)
+        out[i] = difference, 100 * gap / (len(raw) + 500), short, short * difference
     return out
 
 
