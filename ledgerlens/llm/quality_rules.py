@@ -18,6 +18,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
+from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -73,6 +74,11 @@ class Facts:
     def n_repeat_words(self) -> int:
         return repeat_words(self.words)
 
+    @cached_property
+    def n_stutter(self) -> int:
+        """Words that repeat the word before them."""
+        return sum(map(eq, self.words, self.words[1:]))
+
     @cached_property
     def n_upper(self) -> int:
         return len(self.bytes) - len(self.bytes.translate(None, UPPER))
@@ -123,7 +129,8 @@ BASE_RULES = (
 )
 RULES = BASE_RULES + (
     Rule("symbols", lambda f: 10 * f.n_symbols > 3 * f.n_words),
-    Rule("repeated_lines", lambda f: 10 * f.n_dup_lines > 3 * len(f.lines)),
+    Rule("repeated_lines", lambda f: 2 * f.n_dup_lines > len(f.lines)),
+    Rule("stutter", lambda f: 2 * f.n_stutter > f.n_words),
     Rule("word_length", lambda f: not 2 * f.n_words <= f.word_chars <= 20 * f.n_words),
     Rule("shouting", lambda f: 2 * f.n_upper > f.n_letters),
     Rule("few_letters", lambda f: 2 * f.n_letters < f.word_chars),
