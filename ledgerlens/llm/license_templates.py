@@ -248,18 +248,41 @@ def license_scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col:
     return map_batches(docs, make, fields)
 
 
-def base_oracle_sql() -> str:
-    """DuckDB SQL for the counts and base labels."""
+def template_regex(markup: str) -> str:
+    """A regular expression for a template over words with a blank before each."""
+    out = []
+    for m in _MARKUP.finditer(markup):
+        if m[0] == "<<optional>>":
+            out.append("(?:")
+        elif m[0] == "<<end>>":
+            out.append(")?")
+        else:
+            out.append(f"(?: [^ ]+){{0,{m[1]}}}" if m[1] else f" {m[0]}")
+    return "".join(out) + " "
+
+
+def oracle_sql(templates: dict[str, str] = TEMPLATES) -> str:
+    """DuckDB SQL for all columns but ``matches``, by list positions and regular
+    expressions."""
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    found = " union all ".join(
-        f"select doc_id, place - 1 as place, '{label}' as label from spread where "
-        + " and ".join(f"ws[place + {k}] = '{w}'" for k, w in enumerate(phrase.split())) for phrase, label in BASE_PHRASES)
+    places_ = " union all ".join(
+        f"select r, place - 1 as place, '{label}' as label from spread where "
+        + " and ".join(f"ws[place + {k}] = '{w}'" for k, w in enumerate(phrase.split()))
+        for phrase, label in BASE_PHRASES)
+    matched = " union all ".join(
+        f"select r, '{label}' as label from words where regexp_matches(joined, '{template_regex(markup)}')"
+        for label, markup in templates.items())
     return rf"""
-with words as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}') as ws from documents),
-spread as (select doc_id, ws, unnest(range(1, len(ws) + 1)) as place from words),
-found as ({found})
-select w.doc_id, len(w.ws)::bigint as n_words, count(f.place)::bigint as n_base, min(f.place)::bigint as first_word,
-       max(f.place)::bigint as last_word,
-       coalesce(string_agg(distinct f.label, ',' order by f.label), '') as base_labels
-from words w left join found f using (doc_id) group by w.doc_id, w.ws"""
+with words as (select *, ' ' || array_to_string(ws, ' ') || ' ' as joined from (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}') as ws from documents)),
+spread as (select r, ws, unnest(range(1, len(ws) + 1)) as place from words),
+places as ({places_}), matched as ({matched}),
+base as (select r, count(*) as n, min(place) as a, max(place) as z, list(distinct label) as own from places group by r),
+more as (select r, list(distinct label) as own from matched group by r)
+select doc_id, len(ws)::bigint as n_words, coalesce(n, 0)::bigint as n_base, a::bigint as first_word,
+       z::bigint as last_word, coalesce(array_to_string(list_sort(base.own), ','), '') as base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.own, []), coalesce(more.own, [])))), ','), '')
+         as labels,
+       1 - power(0.1::double, coalesce(len(more.own), 0)) * power(0.4::double, coalesce(len(base.own), 0)) as score
+from words left join base using (r) left join more using (r)"""

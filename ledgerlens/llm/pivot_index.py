@@ -172,3 +172,21 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.93, nearest: int =
     linked = good.join(named, ["label", "vector"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~usable).select("vec_id", F.lit(0).cast("long"), "vec_id")
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+
+
+def oracle_sql(threshold: float = 0.93) -> str:
+    """DuckDB SQL for ``embedding_groups``, by comparing all pairs of a label."""
+    return f"""
+with recursive v as (
+  select row_number() over () as r, vec_id, label, embedding::double[] as e from embeddings),
+good as (
+  select * from v where label is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(e, lambda x: x <> 0)) > 0),
+links as (
+  select a.r as a, b.r as b from good a join good b on a.label = b.label and a.r <> b.r and len(a.e) = len(b.e)
+  where list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= {threshold}),
+reach(r, t) as (select r, r from v union select reach.r, links.b from reach join links on reach.t = links.a),
+least as (select reach.r, min(v.vec_id) as component_id from reach join v on v.r = reach.t group by reach.r),
+counts as (select a as r, count(*) as n from links group by a)
+select v.vec_id, coalesce(n, 0)::bigint as n_links, component_id, v.vec_id = component_id as kept
+from v join least using (r) left join counts using (r)"""

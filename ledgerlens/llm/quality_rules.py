@@ -197,3 +197,30 @@ def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = 2000, id_col:
         return run
 
     return map_batches(docs, make, fields)
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL for the counts and the verdict of all rules."""
+    word = r"[^\x20\x09-\x0D]+"
+    return rf"""
+with t as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '{word}') as ws,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{word}')) as ls from t),
+windows as (select r, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') as s
+            from (select r, ws, unnest(range(1, len(ws) - {WINDOW - 2})) as i from w)),
+again as (select r, i from windows qualify count(*) over (partition by r, s) > 1),
+covered as (select r, count(distinct i + k) as n from again, range({WINDOW}) as x(k) group by r),
+f as (select doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
+             (length(text) - length(translate(text, '{SYMBOLS}', '')))::bigint as n_symbols,
+             (len(ls) - len(list_distinct(ls)))::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words,
+             len(ls) as n_lines, len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) as n_stutter,
+             length(regexp_replace(text, '[^A-Z]', '', 'g')) as n_upper,
+             length(regexp_replace(text, '[^A-Za-z]', '', 'g'))
+               + strlen(regexp_replace(text, '[\x00-\x7F]', '', 'g')) as n_letters
+      from w left join covered using (r)),
+b as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as base_failed from f)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or 10 * n_symbols > 3 * n_words or 2 * n_dup_lines > n_lines or 2 * n_stutter > n_words
+            or word_chars < 2 * n_words or word_chars > 20 * n_words or 2 * n_upper > n_letters
+            or 2 * n_letters < word_chars) as kept
+from b"""

@@ -10,19 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, mixing, toxicity_fm
+from . import compression_quality, license_templates, mixing, pivot_index, quality_rules, toxicity_fm
 from .common import id_crc32, table
-from .license_templates import license_scan
 from .packing import pack_documents
 from .pii_crf import pii_spans
-from .pivot_index import embedding_groups
-from .quality_rules import quality_rules
 from .simhash import fingerprint_hex, simhash_groups
 from .suffix_dedup import remove_repeats
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("rejected_by")
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +50,7 @@ def op4_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(table(spark, sf_dir, "documents"))
+    return license_templates.license_scan(table(spark, sf_dir, "documents")).drop("matches")
 
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +58,7 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return pivot_index.embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
 def op8_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +81,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mix": mixing.oracle_sql()}
+    return {"op1_quality_rules": quality_rules.oracle_sql(), "op5_license_templates": license_templates.oracle_sql(),
+            "op6_source_mix": mixing.oracle_sql(), "op7_pivot_index": pivot_index.oracle_sql()}
