@@ -5,9 +5,9 @@ seven letters, hashed.  The machine adds a weight for each term and, for each pa
 the product of their factor vectors, so that a pair such as an insult with a
 group's name can weigh more than its parts.
 
-Training reads a bounded sample of labelled rows (``per_class`` of each label)
-and learns on the driver in numpy from their term ids; scoring reads every text
-whole.
+Training reads a bounded sample of labelled rows (``per_class`` of each label).
+Spark counts their terms; the driver learns in numpy from those whose shares
+differ between the labels.  Scoring reads every text whole.
 
 Defined cases: null and empty texts have no terms and get the machine's bias;
 without labels of both kinds every score is that of the only label seen, or
@@ -25,14 +25,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, id_text, map_batches, rewrite_batches, texts
+from .common import column, id_text, map_batches, materialize, rewrite_batches, texts
 from .labelled import labelled_texts, sigmoid
 
 HASH_BITS = 20
 STEMS = (4, 5, 6, 7)
 FACTORS = 4
 MIN_DOCS = 4           # sampled texts a term must be in
-MIN_Z = 3.0            # a term's share of the toxic texts must differ by so many standard errors
+MIN_Z = 5.0            # a term's share of the toxic texts must differ by so many standard errors
+MAX_TERMS = 50_000     # terms that the machine knows
 CACHE_WORDS = 200_000
 
 # ASCII letters in lower case, other ASCII characters to blanks, the rest kept
@@ -71,27 +72,30 @@ class FactorizationMachine:
         return out
 
 
-def telling_terms(samples: list[list[int]], y: np.ndarray) -> np.ndarray:
-    """Terms whose shares among the texts of the two labels clearly differ."""
-    every = np.concatenate([np.asarray(s, np.int64) for s in samples])
-    of = np.repeat(y, [len(s) for s in samples])
-    found, at = np.unique(every, return_inverse=True)
-    n1, n0 = y.sum(), (1 - y).sum()
-    k1 = np.bincount(at, of, len(found))
-    k = np.bincount(at, minlength=len(found))
-    share = k / len(y)
-    z = np.abs(k1 / n1 - (k - k1) / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
-    return found[(k >= MIN_DOCS) & (z >= MIN_Z)]
+def telling_terms(sample: DataFrame) -> np.ndarray:
+    """Ids of the terms whose shares among the texts of the two labels clearly
+    differ, of the rows ``label, terms``; at most MAX_TERMS, the clearest."""
+    counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+    n1, n0 = counts.get(1, 0), counts.get(0, 0)
+    if not n1 or not n0:
+        return np.zeros(0, np.int64)
+    k, k1 = F.count("*"), F.sum("label")
+    share = k / (n1 + n0)
+    z = F.abs(k1 / n1 - (k - k1) / n0) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / n1 + 1 / n0))
+    found = (sample.select("label", F.explode("terms").alias("term")).groupBy("term")
+             .agg(k.alias("k"), z.alias("z")).where((F.col("k") >= MIN_DOCS) & (F.col("z") >= MIN_Z))
+             .orderBy(F.desc("z"), "term").limit(MAX_TERMS))
+    return np.sort(found.select("term").toPandas()["term"].to_numpy(np.int64))
 
 
-def fit(samples: list[list[int]], y: np.ndarray, epochs: int = 60, batch: int = 64, rate: float = 0.2,
+def fit(samples: list[np.ndarray], y: np.ndarray, ids: np.ndarray, epochs: int = 60, batch: int = 64, rate: float = 0.2,
         ridge: float = 1e-4, seed: int = 42) -> FactorizationMachine:
-    """Adagrad on the logistic loss with a ridge penalty."""
+    """Adagrad on the logistic loss with a ridge penalty, over the terms ``ids``
+    (sorted); other terms of the samples do not count."""
     rng = np.random.default_rng(seed)
     if len(y) == 0 or y.min() == y.max():
         bias = 0.0 if len(y) == 0 else (4.0 if y[0] else -4.0)
         return FactorizationMachine(bias, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
-    ids = telling_terms(samples, y)
     rows = []
     for s in samples:
         at = np.searchsorted(ids, s)
@@ -125,7 +129,8 @@ def fit(samples: list[list[int]], y: np.ndarray, epochs: int = 60, batch: int =
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column,
           per_class: int = 3000) -> FactorizationMachine:
-    """The tasks turn sampled texts into term ids; the driver receives those."""
+    """The tasks turn sampled texts into term ids and count them; the driver
+    receives the telling terms, and of each text those of them that it has."""
     sample = labelled_texts(docs, labels, label_col, usable, per_class)
     fields = {"doc_id": "long", "label": "int", "terms": "array<long>"}
 
@@ -133,8 +138,19 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column,
         return lambda b: {"doc_id": column(b, "doc_id"), "label": column(b, "label"),
                           "terms": [terms(t) for t in texts(b)]}
 
-    rows = map_batches(sample, make, fields).toPandas().sort_values("doc_id")
-    return fit(rows["terms"].tolist(), rows["label"].to_numpy(float))
+    found = materialize(map_batches(sample, make, fields), "toxicity-terms")
+    ids = telling_terms(found)
+    shared = docs.sparkSession.sparkContext.broadcast(ids)
+
+    def keep():
+        def run(b):
+            rows = column(b, "terms").to_pylist()
+            return {"doc_id": column(b, "doc_id"), "label": column(b, "label"),
+                    "terms": [np.intersect1d(r, shared.value) for r in rows]}
+        return run
+
+    rows = map_batches(found, keep, fields).toPandas().sort_values("doc_id")
+    return fit(rows["terms"].tolist(), rows["label"].to_numpy(float), ids)
 
 
 class _Known(dict):
