@@ -16,38 +16,55 @@ def _hex(number: Column, digits: int) -> Column:
     return F.lpad(F.lower(F.hex(number)), digits, "0")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ipv4_to_long(c: Column) -> Column:
     """Dotted IPv4 -> long; anything else (IPv6, octet > 255, junk) -> NULL."""
+    def number(octets: Column) -> Column:
+        return F.when(F.forall(octets, lambda o: o <= 255),
+                      F.aggregate(octets, F.lit(0).cast("long"), lambda acc, o: acc * 256 + o))
+
     s = F.trim(c.cast("string"))
-    octets = F.transform(F.split(s, r"\."), lambda o: o.try_cast("long"))
-    value = F.aggregate(octets, F.lit(0).cast("long"), lambda acc, o: acc * 256 + o)
-    return F.when(s.rlike(DOTTED_QUAD) & F.forall(octets, lambda o: o <= 255), value)
+    return F.when(s.rlike(DOTTED_QUAD), _let(F.transform(F.split(s, r"\."), lambda o: o.cast("long")), number))
+
+
+def _groups(text: Column) -> Column:
+    return F.filter(F.split(F.coalesce(text, F.lit("")), ":"), lambda g: g != "")
 
 
 def _ipv6_key(s: Column) -> Column:
     """32 hex digits of an IPv6 address in lower case, else NULL."""
-    halves = F.split(s, "::")
-    gaps = F.size(halves) - 1
+    def key(parts: Column) -> Column:
+        head, tail, gaps = parts["head"], parts["tail"], parts["gaps"]
+        known = F.size(head) + F.size(tail)
+        fits = ((gaps == 0) & (known == 8)) | ((gaps == 1) & (known <= 7))
+        zeros = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - known, F.lit(0)))
+        return F.when(fits, _let(F.concat(head, zeros, tail), lambda every: F.when(
+            F.forall(every, lambda g: g.rlike(HEX_GROUP)),
+            F.array_join(F.transform(every, lambda g: F.lpad(g, 4, "0")), ""))))
 
-    def groups(text: Column) -> Column:
-        return F.filter(F.split(F.coalesce(text, F.lit("")), ":"), lambda g: g != "")
-
-    head, tail = groups(F.get(halves, F.lit(0))), groups(F.get(halves, F.lit(1)))
-    known = F.size(head) + F.size(tail)
-    fill = F.array_repeat(F.lit("0"), F.greatest(F.lit(8) - known, F.lit(0)))
-    every = F.concat(head, fill, tail)
-    sound = (s.contains(":") & ~s.rlike(r":::|^:[^:]|[^:]:$") & F.forall(every, lambda g: g.rlike(HEX_GROUP))
-             & (((gaps == 0) & (known == 8)) | ((gaps == 1) & (known <= 7))))
-    return F.when(sound, F.array_join(F.transform(every, lambda g: F.lpad(g, 4, "0")), ""))
+    halves = _let(F.split(s, "::"), lambda h: F.struct(
+        _groups(F.get(h, F.lit(0))).alias("head"), _groups(F.get(h, F.lit(1))).alias("tail"),
+        (F.size(h) - 1).alias("gaps")))
+    return F.when(s.contains(":") & ~s.rlike(r":::|^:[^:]|[^:]:$"), _let(halves, key))
 
 
 def ip_key(c: Column) -> Column:
     """An address of either family as 32 hex digits whose text order is the
     order of addresses; IPv4 takes its mapped place.  No address -> NULL."""
-    s = F.lower(F.trim(c.cast("string")))
-    # an IPv4 address at the end of an IPv6 one stands for its last two groups
-    last = ipv4_to_long(F.regexp_extract(s, r"([0-9.]+)$", 1))
-    mixed = F.concat(F.regexp_extract(s, r"^(.*:)[0-9.]+$", 1), F.substring(_hex(last, 8), 1, 4), F.lit(":"),
-                     F.substring(_hex(last, 8), 5, 4))
-    v6 = F.when(s.contains(":"), F.when(s.contains("."), mixed).otherwise(s))
-    return F.coalesce(F.concat(F.lit(V4_PREFIX), _hex(ipv4_to_long(s), 8)), _ipv6_key(v6))
+    def v4(s: Column) -> Column:
+        return F.concat(F.lit(V4_PREFIX), _hex(ipv4_to_long(s), 8))
+
+    def mixed(s: Column) -> Column:
+        # an IPv4 address at the end of an IPv6 one stands for its last two groups
+        last = _hex(ipv4_to_long(F.regexp_extract(s, r"([0-9.]+)$", 1)), 8)
+        return F.concat(F.regexp_extract(s, r"^(.*:)[0-9.]+$", 1), F.regexp_replace(last, "^(.{4})", "$1:"))
+
+    def key(s: Column) -> Column:
+        return (F.when(~s.contains(":"), v4(s))
+                .otherwise(_let(F.when(s.contains("."), mixed(s)).otherwise(s), _ipv6_key)))
+
+    return _let(F.lower(F.trim(c.cast("string"))), key)
