@@ -1,10 +1,18 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-A bounded, hash-drawn sample of vectors serves as pivots.  Every vector is
-described by its nearest pivots in order; it is listed under each of them.  Two
-vectors of the same label that share at least ``shared`` of their pivots are
-candidates, found in the list of their smallest common pivot, and verified by
-their cosine in double precision.  Long lists are split into pairs of blocks.
+A bounded, hash-drawn sample of vectors, thinned to ones that are mutually far
+apart, serves as pivots: a dense group gets one, whatever its share of the rows.
+Every vector is described by its nearest pivots in order and listed under each
+of them.  Two vectors of the same label that share a list are candidates, found
+in the list of their smallest common pivot, and verified by their cosine in
+double precision.  Long lists are split into pairs of blocks.
+
+A vector that is near to its first pivot is listed under that one, and under
+others only if they may be the first of a near vector that it links to.  That
+loses nothing: pivots whose cosines are at most s can at most ``nearest`` times
+have a cosine of root(s + (1 - s) / nearest) with one vector, so whatever links
+to a near vector has the near vector's pivot among its own nearest.  Pairs of
+which neither is near are found if they have one of their nearest in common.
 
 Equal vectors of a label collapse first; they are links of each other and count
 as such.  Only vectors with the same label and dimension are compared.
@@ -30,7 +38,7 @@ from .common import column, map_batches, materialize, shuffle_partitions
 from .graph import components, local_forest
 
 NEAREST = 8             # pivots that describe a vector
-SHARED = 3              # pivots that candidates have in common
+FAR = 0.5, 0.8          # bounds of the largest cosine of two pivots
 BLOCK = 2048            # rows of a list that are compared in one piece
 TILE = 1024
 
@@ -51,34 +59,68 @@ def matrix(cells: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return cells.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(cells), dim)
 
 
-def draw_pivots(reps: DataFrame, rows: int) -> dict[int, np.ndarray]:
-    """Unit pivots by dimension: the vectors with the smallest hashes.  At most
-    ``pivots_for(rows)`` vectors reach the driver."""
-    drawn = (reps.orderBy(F.xxhash64("vector", F.lit(5)), "rep").limit(pivots_for(rows))
+def far_apart(drawn: np.ndarray, count: int, threshold: float) -> np.ndarray:
+    """At most ``count`` of the unit vectors, each kept if it is far from all
+    kept before it.  What is far follows the cosines of vectors that do not
+    link, as in some tables all vectors lie in one cone."""
+    some = drawn[:512] @ drawn[:512].T
+    some = some[np.triu_indices(len(some), 1)]
+    some = some[some < threshold]
+    limit = np.clip((1 + np.median(some)) / 2 if len(some) else 0, *FAR)
+    kept = np.empty((min(count, len(drawn)), drawn.shape[1]))
+    n = 0
+    for v in drawn:
+        if n == len(kept):
+            break
+        if not (kept[:n] @ v > limit).any():
+            kept[n] = v
+            n += 1
+    return kept[:n]
+
+
+def draw_pivots(reps: DataFrame, rows: int, threshold: float) -> dict[int, np.ndarray]:
+    """Unit pivots by dimension, from the vectors with the smallest hashes.  At
+    most ``2 * pivots_for(rows)`` vectors reach the driver."""
+    count = pivots_for(rows)
+    drawn = (reps.orderBy(F.xxhash64("vector", F.lit(5)), "rep").limit(2 * count)
              .select("vector").toPandas()["vector"])
     by_dim: dict[int, list[np.ndarray]] = {}
     for v in drawn:
         by_dim.setdefault(len(v), []).append(np.asarray(v, float))
-    return {dim: unit(np.array(v)) for dim, v in by_dim.items()}
+    return {dim: far_apart(unit(np.array(v)), count, threshold) for dim, v in by_dim.items()}
+
+
+def near_bounds(pivots: np.ndarray, nearest: int, threshold: float) -> tuple[float, float]:
+    """The cosine from which a vector is near to its first pivot, and the one
+    that a vector linked to it has with that pivot at least."""
+    s = max((pivots @ pivots.T)[np.triu_indices(len(pivots), 1)].max(initial=0.0), 0.0)
+    reach = np.arccos(min((s + (1 - s) / nearest) ** 0.5 + 1e-9, 1.0))
+    near = reach - np.arccos(np.clip(threshold, -1, 1))
+    return (float(np.cos(near)), float(np.cos(reach))) if near > 0 else (2.0, 2.0)
 
 
-def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, count: int) -> np.ndarray:
-    """The permutation prefix: indices of the ``count`` nearest pivots, in order."""
-    near = unit(vectors) @ pivots.T
+def lists_of(vectors: np.ndarray, pivots: np.ndarray, count: int, near: float, reach: float) -> list[np.ndarray]:
+    """The pivots that each vector is listed under: its ``count`` nearest, in
+    order; of a near vector those within reach."""
+    cos = unit(vectors) @ pivots.T
     count = min(count, len(pivots))
-    top = np.argpartition(-near, count - 1, axis=1)[:, :count]
-    return np.take_along_axis(top, np.argsort(-np.take_along_axis(near, top, 1), axis=1, kind="stable"), 1)
+    top = np.argpartition(-cos, count - 1, axis=1)[:, :count]
+    top = np.take_along_axis(top, np.argsort(-np.take_along_axis(cos, top, 1), axis=1, kind="stable"), 1)
+    cos = np.take_along_axis(cos, top, 1)
+    return [t[c >= reach] if c[0] >= near else t for t, c in zip(top, cos, strict=True)]
 
 
-def describe(reps: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> DataFrame:
+def describe(reps: DataFrame, pivots: dict[int, np.ndarray], nearest: int, threshold: float) -> DataFrame:
     """One row for each vector and list it is in: ``list`` (label, dimension and
-    pivot as one key), ``pivot``, the permutation prefix and the vector."""
-    shared = reps.sparkSession.sparkContext.broadcast(pivots)
-    fields = {"rep": "long", "n": "long", "label_key": "long", "pivot": "long", "prefix": "array<long>",
+    pivot as one key), ``pivot``, all pivots it is listed under and the vector."""
+    bounds = {dim: near_bounds(p, nearest, threshold) for dim, p in pivots.items()}
+    shared = reps.sparkSession.sparkContext.broadcast((pivots, bounds))
+    fields = {"rep": "long", "n": "long", "label_key": "long", "pivot": "long", "pivots": "array<long>",
               "vector": "array<double>"}
 
     def make():
         def run(batch):
+            pivots, bounds = shared.value
             out = {k: [] for k in fields}
             vectors = column(batch, "vector").to_pylist()
             by_dim: dict[int, list[int]] = {}
@@ -88,10 +130,10 @@ def describe(reps: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> Da
             for dim, rows in by_dim.items():
                 x = np.array([vectors[i] for i in rows], float)
                 # a dimension without a pivot has one list
-                p = shared.value.get(dim, np.eye(1, dim))
-                for i, v, prefix in zip(rows, x, nearest_pivots(x, p, nearest), strict=True):
-                    for pivot in prefix.tolist():
-                        for k, cell in zip(fields, (rep[i], n[i], key[i], pivot, prefix.tolist(), v), strict=True):
+                p, b = pivots.get(dim, np.eye(1, dim)), bounds.get(dim, (2.0, 2.0))
+                for i, v, own in zip(rows, x, lists_of(x, p, nearest, *b), strict=True):
+                    for pivot in own.tolist():
+                        for k, cell in zip(fields, (rep[i], n[i], key[i], pivot, own, v), strict=True):
                             out[k].append(cell)
             return out
         return run
@@ -101,7 +143,7 @@ def describe(reps: DataFrame, pivots: dict[int, np.ndarray], nearest: int) -> Da
             .withColumn("list", F.xxhash64("label_key", "pivot")).drop("label_key"))
 
 
-def verify_lists(threshold: float, shared: int):
+def verify_lists(threshold: float):
     """The task that walks lists: per vector the copies it links to in this list
     (partial ``n_links``) and the root of the links found here."""
     schema = pa.schema([("rep", pa.int64()), ("n_links", pa.int64()), ("root", pa.int64())])
@@ -110,23 +152,29 @@ def verify_lists(threshold: float, shared: int):
         rep, n, side, pivot = (t[c].to_numpy() for c in ("rep", "n", "side", "pivot"))
         dim = len(t["vector"][0])
         x = unit(matrix(t["vector"], dim))
-        prefix = matrix(t["prefix"], len(t["prefix"][0])).astype(np.int64)
-        found, local = np.unique(prefix, return_inverse=True)
-        member = np.zeros((len(rep), len(found)), np.float32)
-        member[np.arange(len(rep))[:, None], local.reshape(prefix.shape)] = 1
-        lower = member[:, found < pivot[0]]
-        need = min(shared, prefix.shape[1])
+        own = t["pivots"].combine_chunks()
+        found, at = np.unique(own.flatten().to_numpy(), return_inverse=True)
+        holder = np.repeat(np.arange(len(rep)), own.value_lengths().to_numpy())
+        # pivots below this list's: a pair that has one in common counts there
+        few = int((found < pivot[0]).sum())
+        lower = np.zeros((len(rep), few), np.float32)
+        lower[holder[at < few], at[at < few]] = 1
         links, root = np.zeros(len(rep), np.int64), np.arange(len(rep))
         for a in range(0, len(rep), TILE):
             for b in range(a, len(rep), TILE):
                 i, j = slice(a, a + TILE), slice(b, b + TILE)
-                ok = (member[i] @ member[j].T >= need) & (lower[i] @ lower[j].T == 0)
+                ok = x[i] @ x[j].T >= threshold
                 ok &= (side[i][:, None] < 0) | (side[i][:, None] != side[j][None])
                 if a == b:
                     ok = np.triu(ok, 1)
-                if not ok.any():
+                u, v = np.nonzero(ok)
+                if few and len(u) > TILE:
+                    u, v = np.nonzero(ok & (lower[i] @ lower[j].T == 0))
+                elif few and len(u):
+                    here = ~(lower[u + a] * lower[v + b]).any(1)
+                    u, v = u[here], v[here]
+                if not len(u):
                     continue
-                u, v = np.nonzero(ok & (x[i] @ x[j].T >= threshold))
                 u, v = u + a, v + b
                 links += np.bincount(u, n[v], len(rep)).astype(np.int64)
                 links += np.bincount(v, n[u], len(rep)).astype(np.int64)
@@ -145,7 +193,7 @@ def verify_lists(threshold: float, shared: int):
     return run
 
 
-def embedding_groups(vectors: DataFrame, threshold: float = 0.93, nearest: int = NEAREST, shared: int = SHARED,
+def embedding_groups(vectors: DataFrame, threshold: float = 0.93, nearest: int = NEAREST,
                      id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``."""
     v = F.col("vector")
@@ -158,9 +206,9 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.93, nearest: int =
     reps = materialize(good.groupBy("label", "vector").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
                        .withColumn("rep", F.monotonically_increasing_id()), "pivot-reps")
     total = reps.count()
-    lists = in_blocks(describe(reps, draw_pivots(reps, total), nearest), "list", F.xxhash64("rep", F.lit(7)), BLOCK)
+    lists = in_blocks(describe(reps, draw_pivots(reps, total, threshold), nearest, threshold), "list", F.xxhash64("rep", F.lit(7)), BLOCK)
     found = materialize(lists.repartition(shuffle_partitions(rows.sparkSession), "list").sortWithinPartitions("list")
-                        .mapInArrow(verify_lists(threshold, shared), "rep long, n_links long, root long"),
+                        .mapInArrow(verify_lists(threshold), "rep long, n_links long, root long"),
                         "pivot-links")
     roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")), "pivot")
     of_rep = (reps.join(found.groupBy("rep").agg(F.sum("n_links").alias("others")), "rep", "left")

@@ -176,6 +176,43 @@ def test_index_recall_on_pairs_near_the_threshold(spark):
     assert sum(got.values()) >= 0.9 * sum(want.values()) and all(got[i] <= want[i] for i in want)
 
 
+@pytest.mark.parametrize("n,block", [(1000, 2048), (4000, 512), (12000, 2048)])
+def test_index_recall_in_a_hot_third(spark, monkeypatch, n, block):
+    """A third of the rows are near copies of one vector, not equal ones."""
+    monkeypatch.setattr(pivot_index, "BLOCK", block)
+    rng = np.random.default_rng(n)
+    hot = n // 3
+    x = pivot_index.unit(rng.normal(size=(n, 64)))
+    t = np.sqrt(rng.uniform(0.94, 0.98, (hot, 1)))
+    x[:hot] = t * x[-1] + np.sqrt(1 - t * t) * x[:hot]
+    c = rng.uniform(0.93, 0.99, (hot, 1))
+    x[hot:2 * hot] = c * x[2 * hot:3 * hot] + np.sqrt(1 - c * c) * x[hot:2 * hot]
+    df = spark.createDataFrame([(k, v, 0) for k, v in enumerate(x.tolist())],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in pivot_index.embedding_groups(df).collect()}
+    x = pivot_index.unit(x)
+    near = np.vstack([x[i:i + 1000] @ x.T >= 0.93 for i in range(0, n, 1000)])
+    want = near.sum(1) - 1
+    links = np.array([got[k][0] for k in range(n)])
+    assert (links <= want).all() and links[hot:].sum() >= 0.99 * want[hot:].sum()
+    assert links[:hot].sum() >= 0.999 * want[:hot].sum() > 0
+    assert all(got[k][1] == 0 for k in np.flatnonzero(near[0]))
+
+
+def test_near_vectors_miss_nothing():
+    """Whatever links to a near vector shares one of its lists."""
+    rng = np.random.default_rng(2)
+    centers = pivot_index.unit(rng.normal(size=(30, 24)))
+    x = pivot_index.unit(centers[rng.integers(0, 30, 3000)] + 0.08 * rng.normal(size=(3000, 24)))
+    pivots = pivot_index.far_apart(x[:200], 64, 0.93)
+    near, reach = pivot_index.near_bounds(pivots, 8, 0.93)
+    lists = pivot_index.lists_of(x, pivots, 8, near, reach)
+    is_near = (x @ pivots.T).max(1) >= near
+    assert is_near.any()
+    for u, v in np.argwhere((x[is_near] @ x.T >= 0.93)):
+        assert set(lists[np.flatnonzero(is_near)[u]]) & set(lists[v])
+
+
 def test_embedding_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
         "vec_id", "embedding", "label").collect()]
