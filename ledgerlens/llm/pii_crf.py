@@ -6,8 +6,11 @@ word's shape (letters, digits and punctuation classes) with those of its
 neighbours, is trained from the small labelled table below, and is decoded by
 Viterbi over whole batches of word runs in numpy.  A word without a digit or an
 at sign is never personal data, so the chain splits exactly at such words and
-only the runs between them are decoded.  A field span is added where it passes
-its kind's check and touches no pattern span; pattern spans always stay.
+only the runs between them are decoded.  Neighbouring words of one kind may be
+several items, on one line or on lines of their own: words that do not pass as
+one are parted so that the most words are in parts that pass.  A field span is
+added where it passes its kind's check and touches no pattern span; pattern
+spans always stay.
 
 Defined cases: null and empty texts have no spans; a null id passes through;
 repeated rows are read one by one; an empty table gives an empty result; texts
@@ -76,6 +79,24 @@ figure 7 shows 100-200 units for $25 each
 at 5 pm room 101 on floor 3 has 20 seats
 the score 1234567 and the sum 99 are wrong
 items 11 12 13 14 15 16 follow
+phones [phone|555-013-2299] [phone|555-013-2298] [phone|212-555-0188]
+[phone|(555) 010-4477] [phone|(212) 555-0143] [phone|(743) 555-3824]
+numbers [phone|030 1234 5678] [phone|030 1234 5679]
+[phone|030 1234 5678] [phone|030 1234 5679] [phone|030 1234 5670]
+[phone|01 42 68 53 00] [phone|01 42 68 53 01] [phone|01 42 68 53 02]
+mobiles [phone|0170 5551234] [phone|0171 5559876] [phone|0172 5553412]
+dial [phone|01 42 68 53 00] [phone|01 42 68 53 01]
+local [phone|555-0132] [phone|555-0199] [phone|555-0111]
+faxes [phone|555.014.7788] [phone|555.014.7789]
+cards [card|4111.1111.1111.1111] [card|5500.0000.0000.0004]
+both [card|4111 1111 1111 1111] [card|5500 0000 0000 0004]
+[card|4111 1111 1111 1111] [card|5500 0000 0000 0004] [card|4111 1111 1111 1111]
+hosts [ip|fe80::1ff:fe23:4567:890a] [ip|fe80::1ff:fe23:4567:890b] [ip|2001:db8:0:1:1:1:1:1] [ip|fe80::1]
+[ip|fe80::1] [ip|fe80::2] [ip|fe80::3] [ip|2001:db8::7]
+mail [email|m.k@localhost] [email|jo@desk] [email|a.b@host]
+[phone|030 1234 5678]
+at 10:45:30 10:45:31 10:46:02 it rang
+on 2023-05-17 2023-05-18 2024-01-02 it snowed
 """
 _MARK = re.compile(r"\[(\w+)\|([^\]]*)\]|(\S+)")
 
@@ -228,6 +249,54 @@ def passes(kind: str, words: str) -> bool:
     return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+", words))
 
 
+LOCAL = re.compile("[0-9]{3}([-.]?)[0-9]{4}")   # beside others no part of a longer number; with a mark, one of its own
+CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 1)}
+
+
+def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span without outer punctuation."""
+    while start < end and (text[start] in _TRIM or text[start] == "-"):
+        start += 1
+    while end > start and (text[end - 1] in _TRIM or text[end - 1] == "-"):
+        end -= 1
+    return start, end
+
+
+def parts(kind: str, text: str, words: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The items among neighbouring words of one kind: all as one if that
+    passes, else parts that pass, with the most words in them, then the most
+    parts."""
+    bare = [text[slice(*trimmed(text, *w))] for w in words]
+    local = [LOCAL.fullmatch(w) if kind == "phone" else None for w in bare]
+    several = sum(m is not None for m in local) > 1
+    whole = trimmed(text, words[0][0], words[-1][1])
+    if not several and passes(kind, text[slice(*whole)]):
+        return [whole]
+    if len(words) == 1:
+        return []
+    digits = [sum(c in "0123456789" for c in w) for w in bare]
+    best: list[tuple[int, int, int]] = [(0, 0, 0)]  # words in parts, parts, words of the last part
+    for b in range(1, len(words) + 1):
+        best.append((*best[-1][:2], 0))
+        for a in range(b - 1, -1, -1):
+            if a < b - 1 and (kind in ("ip", "email") or sum(digits[a:b]) > 19 or b - a > 19):
+                break
+            if a < b - 1 and kind == "card" and tuple(digits[a:b]) not in CARD_GROUPS:
+                continue
+            if sum(m is not None for m in local[a:b]) > 1:
+                break
+            span = trimmed(text, words[a][0], words[b - 1][1])
+            if passes(kind, text[slice(*span)]) or several and a == b - 1 and local[a] and local[a][1]:
+                best[b] = max(best[b], (best[a][0] + b - a, best[a][1] + 1, b - a))
+    out, b = [], len(words)
+    while b:
+        n = best[b][2]
+        if n:
+            out.append(trimmed(text, words[b - n][0], words[b - 1][1]))
+        b -= n or 1
+    return out[::-1]
+
+
 class Decoder:
     """Field spans of texts, a batch at a time.  Scores of a shape are kept;
     there are few different shapes."""
@@ -293,13 +362,7 @@ class Decoder:
         at = [m.span() for m in re.finditer(r"[^ \t\n\v\f\r]+", text)]
         out = []
         for kind, a, b in spans:
-            start, end = at[a][0], at[b - 1][1]
-            while start < end and (text[start] in _TRIM or text[start] == "-"):
-                start += 1
-            while end > start and (text[end - 1] in _TRIM or text[end - 1] == "-"):
-                end -= 1
-            if passes(kind, text[start:end]):
-                out.append((kind, start, end))
+            out += [(kind, *span) for span in parts(kind, text, at[a:b])]
         return out
 
 

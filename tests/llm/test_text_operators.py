@@ -205,6 +205,26 @@ def test_field_learns_its_table_and_unseen_numbers():
     assert found[0] == [("phone", 12, 26)]
 
 
+@pytest.mark.parametrize("kind,items", [
+    ("phone", ["555-0132", "555-0199", "555-0111"]), ("phone", ["555-013-2299", "212-555-0188"]),
+    ("phone", ["(555) 010-4477", "(212) 555-0143", "(743) 555-3824"]), ("phone", ["030 1234 5678", "030 1234 5679"]),
+    ("phone", ["0170 5551234", "0171 5559876"]), ("ip", ["fe80::1ff:fe23:4567:890a", "2001:db8:0:1:1:1:1:1", "fe80::2"]),
+    ("card", ["4111.1111.1111.1111", "5500.0000.0000.0004"]), ("card", ["4111 1111 1111 1111", "5500 0000 0000 0004"]),
+    ("email", ["m.k@localhost", "jo@desk", "a.b@host"])])
+def test_items_side_by_side(kind, items):
+    """On one line, on lines of their own, and with commas between them."""
+    decode = pii_crf.Decoder(pii_crf.trained())
+    for between in (" ", "\n", ", ", "\r\n"):
+        text = "list: " + between.join(items)
+        assert [(k, text[a:b]) for k, a, b in decode([text])[0]] == [(kind, i) for i in items]
+
+
+def test_neighbours_that_are_no_items():
+    decode = pii_crf.Decoder(pii_crf.trained())
+    assert decode(["1234567 7654321", "rows 1200 3400 5600 7800 9000", "in 1998 1999 2000 2001", "555-0132",
+                   "pages 100-200 300-400", "2023-05-17 2023-05-18"]) == [[]] * 6
+
+
 def test_pii_awkward(spark):
     rows = awkward_rows() + [(60 + k, t, "en", "s", len(t)) for k, t in enumerate(TRICKY)]
     got = pii_crf.pii_spans(documents(spark, rows)).collect()
