@@ -6,8 +6,9 @@ the product of their factor vectors, so that a pair such as an insult with a
 group's name can weigh more than its parts.
 
 Training reads a bounded sample of labelled rows (``per_class`` of each label).
-Spark counts their terms; the driver learns in numpy from those whose shares
-differ between the labels.  Scoring reads every text whole.
+Spark counts their terms; the driver learns in numpy from the most frequent,
+whatever their labels, as a term may count only together with another.  Scoring
+reads every text whole.
 
 Defined cases: null and empty texts have no terms and get the machine's bias;
 without labels of both kinds every score is that of the only label seen, or
@@ -18,7 +19,7 @@ by one; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ HASH_BITS = 20
 STEMS = (4, 5, 6, 7)
 FACTORS = 4
 MIN_DOCS = 4           # sampled texts a term must be in
-MIN_Z = 5.0            # a term's share of the toxic texts must differ by so many standard errors
-MAX_TERMS = 50_000     # terms that the machine knows
+MAX_TERMS = 200_000    # terms that the machine knows
+FIRST_Z = 5.0          # terms whose shares differ by so many standard errors are learned first
 CACHE_WORDS = 200_000
 
 # ASCII letters in lower case, other ASCII characters to blanks, the rest kept
@@ -72,22 +73,58 @@ class FactorizationMachine:
         return out
 
 
-def telling_terms(sample: DataFrame) -> np.ndarray:
-    """Ids of the terms whose shares among the texts of the two labels clearly
-    differ, of the rows ``label, terms``; at most MAX_TERMS, the clearest."""
-    counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    n1, n0 = counts.get(1, 0), counts.get(0, 0)
-    if not n1 or not n0:
-        return np.zeros(0, np.int64)
-    k, k1 = F.count("*"), F.sum("label")
-    share = k / (n1 + n0)
-    z = F.abs(k1 / n1 - (k - k1) / n0) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / n1 + 1 / n0))
-    found = (sample.select("label", F.explode("terms").alias("term")).groupBy("term")
-             .agg(k.alias("k"), z.alias("z")).where((F.col("k") >= MIN_DOCS) & (F.col("z") >= MIN_Z))
-             .orderBy(F.desc("z"), "term").limit(MAX_TERMS))
+def frequent_terms(sample: DataFrame) -> np.ndarray:
+    """Ids of the terms in at least MIN_DOCS of the rows ``label, terms``; at
+    most MAX_TERMS, those in the most rows.  Labels do not matter: a difference
+    of single terms says nothing of their pairs."""
+    found = (sample.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("k"))
+             .where(F.col("k") >= MIN_DOCS).orderBy(F.desc("k"), "term").limit(MAX_TERMS))
     return np.sort(found.select("term").toPandas()["term"].to_numpy(np.int64))
 
 
+def positions(row: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Positions in ``ids`` (sorted) of those terms of a row that are there."""
+    at = np.searchsorted(ids, row)
+    return at[(at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == row)].astype(np.int32) if len(ids) else (
+        np.zeros(0, np.int32))
+
+
+def telling(rows: list[np.ndarray], y: np.ndarray, n: int) -> np.ndarray:
+    """Whether a term's shares among the texts of the two labels clearly differ."""
+    at, of = np.concatenate(rows), np.repeat(y, [len(r) for r in rows])
+    k, k1, n1, n0 = np.bincount(at, minlength=n), np.bincount(at, of, n), y.sum(), (1 - y).sum()
+    share = k / len(y)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
+    return np.abs(k1 / n1 - (k - k1) / n0) >= FIRST_Z * error
+
+
+class Batch:
+    """Rows with terms as runs: by row, and by term (``order`` sorts them so)."""
+
+    def __init__(self, pick: np.ndarray, rows: list[np.ndarray]):
+        self.pick, own = pick, [rows[i] for i in pick]
+        lengths = np.array([len(r) for r in own])
+        self.some = np.flatnonzero(lengths)
+        self.starts = np.r_[0, np.cumsum(lengths[self.some])[:-1]]
+        term = np.concatenate(own)
+        order = np.argsort(term, kind="stable")
+        self.used, self.at, local = np.unique(term[order], return_index=True, return_inverse=True)
+        self.local = np.empty(len(term), np.int32)
+        self.local[order] = local
+        self.doc = np.repeat(np.arange(len(own), dtype=np.int32), lengths)[order]
+
+    def of_rows(self, cells: np.ndarray) -> np.ndarray:
+        """Sums of the used terms' cells in each row."""
+        out = np.zeros((len(self.pick), cells.shape[1]))
+        if len(self.some):
+            out[self.some] = np.add.reduceat(cells[self.local], self.starts, axis=0)
+        return out
+
+    def of_terms(self, cells: np.ndarray) -> np.ndarray:
+        """Sums of the rows' cells for each used term."""
+        return np.add.reduceat(cells[self.doc], self.at, axis=0) if len(self.at) else np.zeros((0, cells.shape[1]))
+
+
 def fit(samples: list[np.ndarray], y: np.ndarray, ids: np.ndarray, epochs: int = 60, batch: int = 64, rate: float = 0.2,
         ridge: float = 1e-4, seed: int = 42) -> FactorizationMachine:
     """Adagrad on the logistic loss with a ridge penalty, over the terms ``ids``
@@ -96,30 +133,32 @@ def fit(samples: list[np.ndarray], y: np.ndarray, ids: np.ndarray, epochs: int =
     if len(y) == 0 or y.min() == y.max():
         bias = 0.0 if len(y) == 0 else (4.0 if y[0] else -4.0)
         return FactorizationMachine(bias, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
-    rows = []
-    for s in samples:
-        at = np.searchsorted(ids, s)
-        rows.append(at[(at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == s)] if len(ids) else at[:0])
-    w, v, b = np.zeros(len(ids)), rng.normal(0, 0.05, (len(ids), FACTORS)), 0.0
+    rows = [positions(s, ids) for s in samples]
+    # factors so small that the pairs of an ordinary row add little at first
+    spread = min(0.05, (0.05 / max(np.mean([len(r) for r in rows]), 1)) ** 0.5)
+    w, v, b = np.zeros(len(ids)), rng.normal(0, spread, (len(ids), FACTORS)), 0.0
     sum_w, sum_v, sum_b = np.full(len(ids), 1e-6), np.full(v.shape, 1e-6), 1e-6
-    for _ in range(epochs):
-        order = rng.permutation(len(rows))
-        for at in range(0, len(order), batch):
-            pick = order[at:at + batch]
-            own = [rows[i] for i in pick]
-            doc = np.repeat(np.arange(len(pick)), [len(r) for r in own])
-            term = np.concatenate(own).astype(np.int64) if len(doc) else np.zeros(0, np.int64)
-            total = np.zeros((len(pick), FACTORS))
-            np.add.at(total, doc, v[term])
-            z = b + np.bincount(doc, w[term], len(pick)) + 0.5 * (
-                (total ** 2).sum(1) - np.bincount(doc, (v[term] ** 2).sum(1), len(pick)))
-            err = (sigmoid(z) - y[pick]) / len(pick)
+    # first the terms that tell by themselves; all terms then learn what is left
+    first = telling(rows, y, len(ids))
+    order = rng.permutation(len(rows))
+    picks = [order[at:at + batch] for at in range(0, len(order), batch)]
+    for rounds, known in ((epochs, [r[first[r]] for r in rows]), (epochs // 3, rows)):
+        batches = [Batch(pick, known) for pick in picks]
+        if known is rows:  # a row's terms move at once: the more, the less each
+            least = 1e-6 * np.mean([len(r) for r in rows]) ** 2
+            sum_w, sum_v = np.maximum(sum_w, least), np.maximum(sum_v, least)
+        for k in (k for _ in range(rounds) for k in rng.permutation(len(batches))):
+            own = batches[k]
+            used, pick = own.used, own.pick
+            vu = v[used]
+            of_rows = own.of_rows(np.column_stack([vu, w[used] - 0.5 * (vu ** 2).sum(1)]))
+            total = of_rows[:, :FACTORS]
+            err = (sigmoid(b + of_rows[:, FACTORS] + 0.5 * (total ** 2).sum(1)) - y[pick]) / len(pick)
             sum_b += err.sum() ** 2
             b -= rate * err.sum() / np.sqrt(sum_b)
-            used, local = np.unique(term, return_inverse=True)
-            gw = np.bincount(local, err[doc], len(used)) + ridge * w[used]
-            gv = ridge * v[used]
-            np.add.at(gv, local, err[doc][:, None] * (total[doc] - v[term]))
+            grad = own.of_terms(np.column_stack([err[:, None] * total, err]))
+            gw = grad[:, FACTORS] + ridge * w[used]
+            gv = grad[:, :FACTORS] - grad[:, FACTORS:] * vu + ridge * vu
             sum_w[used] += gw ** 2
             sum_v[used] += gv ** 2
             w[used] -= rate * gw / np.sqrt(sum_w[used])
@@ -130,7 +169,8 @@ def fit(samples: list[np.ndarray], y: np.ndarray, ids: np.ndarray, epochs: int =
 def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column,
           per_class: int = 3000) -> FactorizationMachine:
     """The tasks turn sampled texts into term ids and count them; the driver
-    receives the telling terms, and of each text those of them that it has."""
+    receives the frequent terms, and of each text the positions of those of them
+    that it has, four bytes each."""
     sample = labelled_texts(docs, labels, label_col, usable, per_class)
     fields = {"doc_id": "long", "label": "int", "terms": "array<long>"}
 
@@ -139,18 +179,20 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column,
                           "terms": [terms(t) for t in texts(b)]}
 
     found = materialize(map_batches(sample, make, fields), "toxicity-terms")
-    ids = telling_terms(found)
+    ids = frequent_terms(found)
     shared = docs.sparkSession.sparkContext.broadcast(ids)
 
     def keep():
         def run(b):
             rows = column(b, "terms").to_pylist()
             return {"doc_id": column(b, "doc_id"), "label": column(b, "label"),
-                    "terms": [np.intersect1d(r, shared.value) for r in rows]}
+                    "terms": [positions(np.array(r, np.int64), shared.value).tobytes() for r in rows]}
         return run
 
-    rows = map_batches(found, keep, fields).toPandas().sort_values("doc_id")
-    return fit(rows["terms"].tolist(), rows["label"].to_numpy(float), ids)
+    rows = map_batches(found, keep, fields | {"terms": "binary"}).toPandas().sort_values("doc_id")
+    own = [np.frombuffer(t, np.int32) for t in rows["terms"]]
+    model = fit(own, rows["label"].to_numpy(float), np.arange(len(ids)))
+    return replace(model, ids=ids[:len(model.ids)])
 
 
 class _Known(dict):

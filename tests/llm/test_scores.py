@@ -71,6 +71,32 @@ def test_machine_learns_a_pair_that_no_sum_can():
     assert np.mean(both) > 0.9 and np.mean(one + other) < 0.1
 
 
+def test_training_learns_pairs_of_terms_balanced_between_labels(spark):
+    """Toxic where an insult and a group's name come both or not at all: each
+    alone is as frequent in clean as in toxic text."""
+    rng = np.random.default_rng(3)
+    filler = [f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(40)]
+    rows, toxic = [], []
+    for k in range(2400):
+        insult, group = k % 2, k // 2 % 2
+        rows.append((k, " ".join(list(rng.choice(filler, 8)) + ["fool"] * insult + ["martians"] * group), "en", "s", 1))
+        toxic.append((k, int(insult == group)))
+    model = toxicity_fm.train(documents(spark, rows), spark.createDataFrame(toxic, "doc_id long, toxic int"), "toxic",
+                              F.lit(True))
+    scorer = toxicity_fm.Scorer(model)
+    plain = [" ".join(rng.choice(filler, 8)) for _ in range(50)]
+    both, one, other = ([scorer([f"{t} {more}"])[0] for t in plain] for more in ("fool martians", "fool", "martians"))
+    assert np.mean(both) > 0.9 and np.mean(one + other) < 0.1
+
+
+def test_training_knows_rare_terms(spark):
+    """A term of only eight toxic texts among hundreds reaches the machine."""
+    rows = [(k, "word " * 5 + ("rareinsult" if k < 8 else f"other{k % 3}"), "en", "s", 1) for k in range(600)]
+    labels = spark.createDataFrame([(k, int(k < 8 or k % 2)) for k in range(600)], "doc_id long, toxic int")
+    model = toxicity_fm.train(documents(spark, rows), labels, "toxic", F.lit(True))
+    assert set(toxicity_fm.terms("rareinsult")) <= set(model.ids.tolist())
+
+
 def test_no_labels_leak_into_the_score(spark):
     docs = documents(spark)
     labels = spark.createDataFrame([(5, 1, 1), (8, 0, 0), (13, 1, 1), (12, 0, 0)], "doc_id long, quality int, toxic int")
