@@ -21,6 +21,7 @@ SLICE_ROWS = 256      # rows of a batch that are Python objects at one time
 
 ARROW_TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
                "boolean": pa.bool_(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()),
+               "array<int>": pa.list_(pa.int32()),
                "array<double>": pa.list_(pa.float64())}
 
 
