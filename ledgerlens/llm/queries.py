@@ -17,6 +17,7 @@ from .pii_crf import pii_spans
 from .sentence_pieces import encode_documents
 from .simhash import fingerprint_hex, simhash_groups
 from .suffix_dedup import remove_repeats
+from .word_runs import word_runs
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,25 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def run_digests(docs: DataFrame) -> DataFrame:
+    """The runs of damaged documents, the greatest one and the digests."""
+    found = word_runs(docs, damage=True)
+    at = F.col("best") + 1
+    lines = F.transform(F.arrays_zip("starts", "lengths", "periods"),
+                        lambda r: F.concat(r["starts"], F.lit(","), r["lengths"], F.lit(","), r["periods"], F.lit("\n")))
+    start, length, period = (F.try_element_at(c, at) for c in ("starts", "lengths", "periods"))
+    return found.select("doc_id", F.size("starts").cast("long").alias("n_runs"), start.alias("start"),
+                        length.alias("length"), period.alias("period"),
+                        F.expr("1000 * try_element_at(lengths, best + 1) div try_element_at(periods, best + 1)").alias(
+                            "exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(table(spark, sf_dir, "documents"), piece_model_path())
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
