@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_quality, license_templates, mixing, pivot_index, quality_rules, toxicity_fm
+from . import compression_quality, conversation_repair, license_templates, mixing, pivot_index, quality_rules, toxicity_fm
 from .common import id_crc32, table
 from .packing import pack_documents
 from .pii_crf import pii_spans
@@ -103,6 +103,25 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(table(spark, sf_dir, "documents"))
 
 
+def repair_digests(conversations: DataFrame) -> DataFrame:
+    """Every conversation with the report and digest of its repair."""
+    given = conversation_repair.rows_of(conversations)
+    rows = conversation_repair.damage(given)
+    report = conversation_repair.repair_report(rows)
+    digests = conversation_repair.text_digests(conversation_repair.repaired_rows(rows, report))
+    out = given.select("conv_id").distinct()
+    for part in (report.withColumnRenamed("conv_id", "_id"), digests.withColumnRenamed("conv_id", "_id")):
+        out = out.join(part, out["conv_id"].eqNullSafe(part["_id"]), "left").drop("_id")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return out.select("conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in counts],
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digests(table(spark, sf_dir, "conversations"))
+
+
 def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(table(spark, sf_dir, "documents"), piece_model_path())
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
