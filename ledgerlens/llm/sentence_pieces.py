@@ -3,7 +3,8 @@
 The model writes a blank as a marker and puts one before the text.  Where no
 piece of its vocabulary has a marker after another character, no merge reaches
 across the place before a run of markers, so a text's pieces are those of its
-chunks (blanks and the characters after them) one after another.  Each task
+chunks (blanks and the characters after them) one after another; the same holds
+before a line feed where no piece has one beside other characters.  Each task
 keeps a table chunk -> ids and chunk -> decoded text: the library segments a
 chunk once, and the ids of a text are gathered from the table by the positions
 of its chunks.  The table starts anew when it holds ``TABLE_CHUNKS`` chunks or
@@ -12,8 +13,9 @@ of its chunks.  The table starts anew when it holds ``TABLE_CHUNKS`` chunks or
 Nothing is shuffled: joining every chunk of a corpus to one common table would
 move more than the texts themselves, and a chunk costs a task one segmentation.
 
-A model that rewrites texts (other than blanks), drops blanks, or has pieces
-across markers cannot be cut this way and is refused.
+A chunk's decoded text is its pieces side by side; chunks with byte pieces are
+decoded by the library.  A model that rewrites texts (other than blanks), drops
+blanks, or has pieces across those places cannot be cut and is refused.
 
 Defined cases: null and empty texts have no ids and decode to the empty text;
 a marker character in a text counts as a blank, as in the library; a null id
@@ -35,10 +37,10 @@ from pyspark.sql import DataFrame
 from .common import column, id_text, map_batches, texts
 
 MARK = "▁"
-TABLE_CHUNKS = 300_000
-TABLE_CHARS = 8_000_000
+TABLE_CHUNKS = 500_000
+TABLE_CHARS = 10_000_000
 WINDOW_CHARS = 1_000_000   # of a text whose chunks are held as objects at one time
-_CHUNK = re.compile(" +[^ ]*")
+_CHUNK = re.compile("(?: +|\n)[^ \n]*")
 _CUT = re.compile("(?<! ) ")
 # a ligature, a wide blank and doubled blanks: what normalisation would change
 _PROBE = "ﬁ  a　b "
@@ -52,8 +54,11 @@ class ChunkTable:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        if any(MARK in p.lstrip(MARK) for p in pieces):
-            raise ValueError("the model has pieces across whitespace markers")
+        if any(MARK in p.lstrip(MARK) or "\n" in p for p in pieces):
+            raise ValueError("the model has pieces across whitespace markers or line feeds")
+        # pieces that stand for themselves; a chunk with others is decoded by the library
+        self.texts = {i: p.replace(MARK, " ") for i, p in enumerate(pieces) if not (
+            self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i))}
         if self.model.normalize(_PROBE) != MARK + _PROBE.replace(" ", MARK):
             raise ValueError("the model rewrites texts before it segments them")
         self.clear()
@@ -66,14 +71,20 @@ class ChunkTable:
 
     def learn(self, chunks: set[str]) -> None:
         """Segment the chunks that the table does not have yet."""
-        fresh = list(chunks - self.places.keys())
-        # the library puts the first marker back; alone it is a piece of its own
-        ids = self.model.encode([c[1:] for c in fresh], num_threads=1) if fresh else []
+        fresh = [c for c in chunks if c not in self.places]
+        # the library puts a marker first, which stands for the first blank of a
+        # chunk and before a line feed is a piece too many; alone it is a piece
+        ids = self.model.encode([c if c[0] == "\n" else c[1:] for c in fresh], num_threads=1)
         alone = self.model.piece_to_id(MARK)
-        ids = [[alone] if c == " " else i for c, i in zip(fresh, ids, strict=True)]
-        for c, own, text in zip(fresh, ids, self.model.decode(ids) if ids else [], strict=True):
+        for c, own in zip(fresh, ids, strict=True):
+            own = own[1:] if c[0] == "\n" else own or [alone]
+            try:
+                text = "".join(map(self.texts.__getitem__, own))
+            except KeyError:
+                # the library takes one marker off the first piece
+                text = self.model.decode([alone, *own])
             self.places[c] = len(self.decoded)
-            self.decoded.append(" " + text)
+            self.decoded.append(c if text == c else text)
             self.starts.append(len(self.flat))
             self.sizes.append(len(own))
             self.flat.extend(own)
@@ -85,9 +96,11 @@ class ChunkTable:
         for chunks in windows(text):
             if len(self.decoded) > TABLE_CHUNKS or self.chars > TABLE_CHARS:
                 self.clear()
-            if not all(map(self.places.__contains__, chunks)):
+            try:
+                at = np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
+            except KeyError:
                 self.learn(set(chunks))
-            at = np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
+                at = np.fromiter(map(self.places.__getitem__, chunks), np.int64, len(chunks))
             decoded.extend(map(self.decoded.__getitem__, at.tolist()))
             starts, sizes = (np.frombuffer(a, np.int64)[at] for a in (self.starts, self.sizes))
             ends = np.cumsum(sizes)
