@@ -467,6 +467,8 @@ FROM (SELECT *, coalesce({boolish('approved')}, CASE WHEN upper(trim(status)) =
     "gold_rerun_idempotent": KPIS_BRONZE,
     "gold_days_separately": KPIS_BRONZE,
     "gold_rerun_corrected": KPIS_BRONZE,
+    "gold_rerun_removed_copy": KPIS_BRONZE,
+    "gold_rerun_after_crash": KPIS_BRONZE,
     "silver_rerun_corrected": rerun_counts("silver"),
     "quarantine_rerun_corrected": rerun_counts("quarantine"),
     "audit_rerun_corrected": rerun_counts("audit"),

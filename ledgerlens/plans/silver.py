@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +12,10 @@ from ..functions import (boolish_to_int, country_iso2, country_name, is_internat
                          parse_event_ts, risk_bucket, safe_col)
 from ..operators import quality
 from ..sinks.catalog import AUDIT_DDL, QUARANTINE_DDL, SILVER_DDL
-from ..sinks.writers import folder_exists, replace_folder, run_concurrently
+from ..sinks.manifest import SINKS, Manifest, live_folders, read_manifest
+from ..sinks.writers import replace_folder, run_concurrently
 from ..sources.bronze import parse_events, read_bronze, unglue
+from .winners import commit_run, write_copies
 
 # --- fixed values: columns of silver -----------------------------------------
 SILVER_COLUMNS = [
@@ -84,58 +89,77 @@ def bronze_day_of(df: DataFrame) -> Column:
     return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
 
 
-def read_sink(spark: SparkSession, out_root: str, sink: str) -> DataFrame:
-    """Silver, quarantine or audit as written, empty if it has no files yet."""
-    schema = {"silver": SILVER_DDL, "quarantine": QUARANTINE_DDL, "audit": AUDIT_DDL}[sink]
-    path = f"{out_root.rstrip('/')}/{sink}"
-    if not folder_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
-
-
-def event_days(silver: DataFrame) -> set:
-    """Event days present, from the partition columns."""
-    return {r["ds_day"] for r in silver.select("ds_day").distinct().collect() if r["ds_day"] is not None}
+SINK_DDL = {"silver": SILVER_DDL, "quarantine": QUARANTINE_DDL, "audit": AUDIT_DDL}
 
 
-def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | None,
-                       strict: bool = False) -> dict:
-    """Route one bronze day: GOOD/WARN -> silver, BAD -> quarantine, plus the
-    audit.
+def read_sink(spark: SparkSession, out_root: str, sink: str, manifest: Manifest | None = None) -> DataFrame:
+    """Silver, quarantine or audit as last committed (or as of ``manifest``);
+    empty if there is nothing yet."""
+    root = out_root.rstrip("/")
+    paths = live_folders(root, manifest or read_manifest(spark, root), sink)
+    if not paths:
+        return spark.createDataFrame([], SINK_DDL[sink])
+    df = spark.read.schema(SINK_DDL[sink] + ", run string").option("basePath", f"{root}/{sink}").parquet(*paths)
+    return df.drop("run")
 
-    A batch owns the folder ``bronze_day=X`` of each sink (``None``: all of
-    them) and every run replaces it whole, so rows that a corrected rerun moves
-    to another event day, to the other sink or nowhere leave no old copy.  The
-    graded rows are not cached: each of the two sinks is a map-only pass over
-    bronze, and the audit counts what they wrote.
 
-    Returns the three roots and ``days``, the event days that silver had for
-    this batch before or has now: those whose marts must be recomputed."""
-    spark, out_root = validated.sparkSession, out_root.rstrip("/")
-    paths = {k: f"{out_root}/{k}" for k in ("silver", "quarantine", "audit")}
+def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | None, run: str, buckets: int,
+                strict: bool = False) -> dict:
+    """Write one run: GOOD/WARN -> silver, BAD -> quarantine, the audit of both
+    and the index of silver's event ids, all in folders of the run, which no
+    reader sees before the commit.  Returns bronze day -> event days by sink.
 
-    def own(sink: str) -> DataFrame:
-        df = read_sink(spark, out_root, sink)
-        return df.where(F.col("bronze_day") == F.lit(bronze_day).cast("date")) if bronze_day else df
-
-    before = event_days(own("silver"))
+    The graded rows are not cached: each of the two sinks is a map-only pass
+    over bronze, and the audit counts what they wrote."""
+    spark, root = validated.sparkSession, out_root.rstrip("/")
     day = F.lit(bronze_day).cast("date") if bronze_day else bronze_day_of(validated)
     graded = validated.withColumn("bronze_day", day)
     rows = {"silver": to_silver(quality.good_rows(graded), strict, keep=("bronze_day",)),
             "quarantine": quality.quarantine_view(graded, keep=("bronze_day",))}
+    paths = {s: f"{root}/{s}/run={run}" for s in SINKS}
+    run_concurrently([lambda s=s, df=df: replace_folder(df, paths[s], ["bronze_day", "ds_day"],
+                                                        rebalance=s == "quarantine") for s, df in rows.items()])
+    written = {s: spark.read.schema(SINK_DDL[s]).parquet(paths[s]) for s in rows}
+
+    def audit() -> list:
+        keys = ["bronze_day", "ds_day", "dq_status"]
+        counted = (written["silver"].select(*keys).union(written["quarantine"].select(*keys)).groupBy(*keys)
+                   .agg(F.count(F.lit(1)).alias("records")).withColumn("audit_ts", F.current_timestamp()))
+        replace_folder(counted, paths["audit"], ["bronze_day", "ds_day"])
+        # one row for each pair of days and grade
+        return spark.read.schema(AUDIT_DDL).parquet(paths["audit"]).select(*keys).collect()
+
+    found, _ = run_concurrently([audit, lambda: write_copies(written["silver"], root, run, buckets)])
+    batches: dict = {bronze_day: {"silver": [], "quarantine": []}} if bronze_day else {}
+    for r in found:
+        b = batches.setdefault(str(r["bronze_day"]), {"silver": [], "quarantine": []})
+        sink = "quarantine" if r["dq_status"] == "BAD" else "silver"
+        event_day = None if r["ds_day"] is None else str(r["ds_day"])
+        if event_day not in b[sink]:
+            b[sink].append(event_day)
+    return batches
+
 
-    def replace(sink: str, df: DataFrame) -> None:
-        if bronze_day:
-            replace_folder(df.drop("bronze_day"), f"{paths[sink]}/bronze_day={bronze_day}", ["ds_day"],
-                           rebalance=sink == "quarantine")
-        else:
-            replace_folder(df, paths[sink], ["bronze_day", "ds_day"], rebalance=sink == "quarantine")
-
-    run_concurrently([lambda s=s, df=df: replace(s, df) for s, df in rows.items()])
-    written = [own(s).select("bronze_day", "ds_day", "dq_status") for s in rows]
-    replace("audit", written[0].union(written[1]).groupBy("bronze_day", "ds_day", "dq_status")
-            .agg(F.count(F.lit(1)).alias("records")).withColumn("audit_ts", F.current_timestamp()))
-    return paths | {"days": sorted(before | event_days(own("silver")))}
+def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | None,
+                       strict: bool = False) -> dict:
+    """Stage one bronze day (``None``: the whole tree) and commit it.
+
+    A run replaces its bronze day in every sink by one commit, so rows that a
+    corrected rerun moves to another event day, to the other sink or nowhere
+    leave no old copy, and a run that dies leaves the state before it.
+
+    Returns the three roots; ``days``, the event days that silver had for this
+    batch before or has now; and ``touched``, those and the days on which events
+    count or no longer count because of it.  The commit keeps the latter, and
+    the mart jobs work off what is outstanding."""
+    spark, root = validated.sparkSession, out_root.rstrip("/")
+    base, run = read_manifest(spark, root), "r" + uuid.uuid4().hex[:12]
+    batches = stage_batch(validated, root, bronze_day, run, base.buckets, strict)
+    new = commit_run(spark, root, run, batches, bronze_day is None, base.buckets, base)
+    replaced = base.batches if bronze_day is None else {k: base.batches[k] for k in (bronze_day,) if k in base.batches}
+    days = {d for b in [*batches.values(), *replaced.values()] for d in b["silver"]}
+    return ({s: f"{root}/{s}" for s in SINKS} | {"days": sorted(map(dt.date.fromisoformat, days)),
+                                                 "touched": sorted(map(dt.date.fromisoformat, new.touched))})
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, out_root: str, bronze_day: str | None,

@@ -29,14 +29,15 @@ from .operators.dedup import dedup_latest
 from .operators.geo import geo_daily, geo_enrich
 from .plans import gold as gold_jobs
 from .plans import views
-from .plans.silver import bronze_to_silver, read_sink, to_silver
+from .plans.silver import bronze_to_silver, read_sink, stage_batch, to_silver, validate_bronze
 from .session import lake_session, scratch_path
 from .sinks import catalog
+from .sinks.manifest import INDEX_BUCKETS
 from .sinks.writers import append_table, replace_table_property, snapshot_table, write_partitioned
 from .sources import bronze as B
 from .sources import tables
 from .sources.dimensions import address_ranges
-from .sources.fixtures import bronze_lines, faulty_lines, payment_events, untidy_text
+from .sources.fixtures import bronze_lines, copied_lines, faulty_lines, payment_events, untidy_text
 from .streaming import jobs as stream_jobs
 
 # Fixed evaluation time for time-relative rules (all fixture events are
@@ -436,7 +437,7 @@ def q_table_append_readback(spark, sf):
 
 def q_silver_write_readback(spark, sf):
     out = _medallion_silver(spark, sf)
-    s = spark.read.parquet(f"{out}/silver")
+    s = read_sink(spark, out, "silver")
     return _finish(s.select("transaction_id", "event_id", "bronze_day", "ds_day", "dq_status", "dq_errors",
                             "amount", "currency", "channel", "country", "country_iso2", "mcc", "device", "metadata",
                             "approved_int", "risk_bucket"))
@@ -445,7 +446,7 @@ def q_silver_write_readback(spark, sf):
 def _gold_from_medallion(spark, sf, runs: int = 1, parts: int = 1) -> str:
     """Marts of all silver days, ``runs`` times, each in ``parts`` runs."""
     out = _medallion_silver(spark, sf)
-    days = gold_jobs.touched_days(spark.read.parquet(f"{out}/silver"))
+    days = gold_jobs.touched_days(read_sink(spark, out, "silver"))
     gold_root = f"{out}/gold"
     for _ in range(runs):
         for k in range(parts):
@@ -496,6 +497,35 @@ def q_gold_rerun_corrected(spark, sf):
     return _finish(spark.read.parquet(f"{_corrected_lake(spark, sf, marts=True)}/gold/kpis_daily"))
 
 
+def _uncopied_lake(spark, sf, crash: bool) -> str:
+    """A lake in which the first day's events had later copies on the next day,
+    until that day was corrected and run again; the events count on their own
+    day again.  ``crash``: one run of the corrected day dies before its commit,
+    and one between silver and the marts."""
+    lines = bronze_lines(_events(spark, sf))
+    first = _events(spark, sf).agg(F.min(F.to_date("ts"))).first()[0]
+    root, out = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    B.write_bronze(copied_lines(lines, first), root, mode="overwrite")
+    bronze_to_silver(spark, root, out, None, as_of=as_of())
+    gold_jobs.silver_to_gold(spark, f"{out}/silver", f"{out}/gold", gold_jobs.ALL_DAYS)
+    B.write_bronze(lines, root, mode="overwrite")
+    corrected = str(first + dt.timedelta(days=1))
+    if crash:
+        stage_batch(validate_bronze(spark, root, day=corrected, as_of=as_of()), out, corrected, "rdied", INDEX_BUCKETS)
+        bronze_to_silver(spark, root, out, corrected, as_of=as_of())
+    run = bronze_to_silver(spark, root, out, corrected, as_of=as_of())
+    gold_jobs.silver_to_gold(spark, f"{out}/silver", f"{out}/gold", run["days"])
+    return out
+
+
+def q_gold_rerun_removed_copy(spark, sf):
+    return _finish(spark.read.parquet(f"{_uncopied_lake(spark, sf, crash=False)}/gold/kpis_daily"))
+
+
+def q_gold_rerun_after_crash(spark, sf):
+    return _finish(spark.read.parquet(f"{_uncopied_lake(spark, sf, crash=True)}/gold/kpis_daily"))
+
+
 def q_gold_days_separately(spark, sf):
     return _finish(spark.read.parquet(f"{_gold_from_medallion(spark, sf, parts=3)}/kpis_daily"))
 

@@ -180,3 +180,17 @@ def faulty_lines(lines: DataFrame, first_day) -> DataFrame:
     stray = lines.where(day == first).select("value", *[F.date_format(before, part).alias(name) for name, part in
                                                         (("year", "yyyy"), ("month", "MM"), ("day", "dd"))])
     return lines.withColumn("value", value).select("value", "year", "month", "day").unionByName(stray)
+
+
+def copied_lines(lines: DataFrame, first_day) -> DataFrame:
+    """``lines`` before their correction: with later copies of those that arrived
+    on ``first_day`` for that day, which arrived the next day with the next day's
+    event time."""
+    day = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+    first = F.lit(str(first_day)).cast("date")
+    stamp = F.concat(F.lit('("event_ts": ?")'), first.cast("string"), F.lit("T"))
+    later = F.concat(F.lit("$1"), F.date_add(first, 1).cast("string"), F.lit("T"))
+    copies = lines.where((day == first) & F.col("value").rlike(f'"event_ts": ?"{first_day}T')).select(
+        F.regexp_replace("value", stamp, later).alias("value"),
+        *[F.date_format(F.date_add(first, 1), part).alias(name) for name, part in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))])
+    return lines.select("value", "year", "month", "day").unionByName(copies)
