@@ -16,8 +16,11 @@ MERCHANT_SCHEMA = T.StructType([
 
 # the place between one object's end and the next one's beginning
 BETWEEN = r"(?<=\})\s*(?=\{)"
-# the rest of the line holds whole string literals only: the place is in none
-OUTSIDE_STRINGS = r"""(?=(?:(?:[^"\\]|\\.)*+"(?:[^"\\]|\\.)*+")*+(?:[^"\\]|\\.)*+$)"""
+# one object from where the last one ended: string literals are taken whole, and
+# a closing brace ends it where an opening one follows or the line ends.  Each
+# character is looked at once, so a line of any length costs its length.
+ONE_OBJECT = (r"""(?s)\G(?=.)((?:[^"}]++|"(?:[^"\\]++|\\.)*+"|\}(?!\s*+\{))*+"""
+              r"""(?:\}(?=\s*+\{)|\z))\s*+""")
 
 
 def unglue_fragments(c: Column) -> Column:
@@ -29,9 +32,9 @@ def unglue_fragments(c: Column) -> Column:
     it is cut at each ``}{``, so that its whole objects are kept and the broken
     one is quarantined.
     """
-    literals_close = F.length(F.regexp_replace(c, r"""\\.|[^"]""", "")) % 2 == 0
+    literals_close = F.length(F.regexp_replace(c, r"""(?s)\\.?|[^"\\]++""", "")) % 2 == 0
     return (F.when(~c.rlike(BETWEEN), F.array(c))
-            .when(literals_close, F.split(c, BETWEEN + OUTSIDE_STRINGS))
+            .when(literals_close, F.regexp_extract_all(c, F.lit(ONE_OBJECT), F.lit(1)))
             .otherwise(F.split(c, BETWEEN)))
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import unglue_fragments
 from ledgerlens.operators import quality
 from ledgerlens.sources.bronze import parse_events, unglue
 
@@ -164,3 +165,49 @@ def test_json_amounts_keep_their_value(spark):
              '{"amount":"1.234,56"}', '{"amount":"R$ 7,5"}', '{"amount":-3}', '{"amount":"x"}']
     got = [r.amount for r in _parse(spark, lines).orderBy("line_no").collect()]
     assert got == [15000000.0, 15000000.0, 12345678.9, 0.00012, 1234.56, 7.5, -3.0, None]
+
+
+def test_unglue_long_lines_in_linear_time(spark):
+    """A line of 20,000 objects, with braces in their strings, is cut in seconds,
+    and one very long object is no problem either."""
+    import time
+
+    objects = ['{"event_id":"e%d","note":"a}{b \\" } {","n":{"k":[1,{"x":2}]}}' % i for i in range(20_000)]
+    long_one = '{"event_id":"long","note":"' + "x}{" * 700_000 + '"}'
+    df = spark.createDataFrame([(" ".join(objects),), ("".join(objects[:3]),), (long_one + long_one,)], "raw_line string").repartition(3)
+    unglue(spark.createDataFrame([('{"a":1}{"b":2}',)], "raw_line string")).collect()
+    began = time.perf_counter()
+    rows = unglue(df).select("fragment_idx", F.length("raw_line").alias("n"), F.md5("raw_line").alias("h")).collect()
+    assert time.perf_counter() - began < 8
+    assert len(rows) == 20_000 + 3 + 2
+    import hashlib
+    expected = [hashlib.md5(o.encode()).hexdigest() for o in [*objects, *objects[:3], long_one, long_one]]
+    assert sorted(r.h for r in rows) == sorted(expected)
+
+
+def test_unglue_equals_a_plain_scan(spark):
+    import random
+
+    def plain(text):
+        """Objects by walking the characters; None if a literal does not close."""
+        out, at, inside, k = [], 0, False, 0
+        while k < len(text):
+            if inside and text[k] == "\\":
+                k += 1
+            elif text[k] == '"':
+                inside = not inside
+            elif not inside and text[k] == "}" and text[k + 1:].lstrip(" \n\t").startswith("{"):
+                out.append(text[at:k + 1])
+                at = k + 1 + len(text[k + 1:]) - len(text[k + 1:].lstrip(" \n\t"))
+                k = at - 1
+            k += 1
+        return None if inside else [*out, text[at:]] if text[at:] else out
+
+    deal = random.Random(5)
+    parts = ['{', '}', '"', '\\"', ' ', 'a', '{"a":1}', '{"b":"}{"}', '\n', '{"c":{"d":2}}', '"x"']
+    lines = ["".join(deal.choices(parts, k=deal.randrange(1, 14))) for _ in range(3000)]
+    lines = [x for x in lines if plain(x) is not None and "\\" not in x.replace('\\"', "") and x.count('\\"') == 0]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, x string")
+    got = {r.i: r.f for r in df.select("i", unglue_fragments(F.col("x")).alias("f")).collect()}
+    for i, x in enumerate(lines):
+        assert got[i] == plain(x), x
