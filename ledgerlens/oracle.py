@@ -514,4 +514,30 @@ FROM (SELECT *, coalesce({boolish('approved')}, CASE WHEN upper(trim(status)) =
     "stream_dedup": with_ctes(*C_PAY, body="""SELECT DISTINCT event_id FROM payments WHERE event_id IS NOT NULL
   UNION ALL SELECT event_id FROM payments WHERE event_id IS NULL"""),
 }
+# the views by name give what the DataFrame functions give
+for _name, _view in (("v_geo_daily_by_name", "v_geo_daily"), ("v_geo_dashboard_by_name", "v_geo_dashboard_latlon"),
+                     ("v_kpis_by_name", "v_kpis_daily"), ("v_dashboard_by_name", "v_dashboard")):
+    ORACLE_SQL[_name] = ORACLE_SQL[_view]
+ORACLE_SQL["cards_by_period"] = with_ctes(*C_BASE, body="""SELECT period, CASE period WHEN 'day' THEN ds_day
+  ELSE CAST(date_trunc(period, ds_day) AS DATE) END AS period_start, count(DISTINCT card_id) AS distinct_cards
+  FROM gbase, (VALUES ('day'), ('week'), ('month')) p(period) GROUP BY 1, 2""")
+ORACLE_SQL["silver_incremental_landing"] = rerun_counts("silver").replace(
+    "count(*) AS records", "count(*) AS records, 0 AS days_run_again")
+ORACLE_SQL["bronze_sample_profile"] = with_ctes(UNTIDY, """sampled AS (SELECT * FROM (
+  SELECT CAST(e.ts AS DATE) AS day, u.event_id, u.raw_line, row_number() OVER (PARTITION BY CAST(e.ts AS DATE)
+    ORDER BY md5(u.raw_line), u.raw_line) AS place FROM untidy u JOIN events e ON u.event_id = e.event_id) WHERE place <= 20)""",
+    BRONZE_FRAGMENTS.replace("FROM untidy", "FROM sampled").replace("event_id", "day"),
+    body="""SELECT day, field, count(*) AS objects,
+  count(json_extract_string(CAST(fragment AS JSON), '$.' || field)) AS filled
+  FROM (SELECT day, fragment, unnest(json_keys(CAST(fragment AS JSON))) AS field FROM fragments) GROUP BY day, field""")
+ORACLE_SQL["schema_registry"] = with_ctes(UNTIDY.replace("raw_line", "line"), """dayed AS (SELECT event_id, event_id % 3 AS k,
+  CASE event_id % 3 WHEN 1 THEN regexp_replace(line, '"amount":([0-9]+)', '"amount":\\1.5', 'g')
+    WHEN 2 THEN regexp_replace(line, '\\}$', ',"channel":"web"}') ELSE line END AS raw_line FROM untidy)""",
+    BRONZE_FRAGMENTS.replace("FROM untidy", "FROM dayed"),
+    body="""SELECT version, field, replace(replace(replace(replace(replace(replace(
+    replace(type, '{"', 'struct<'), '"}', '>'), '":"', ':'), '"', ''), 'UBIGINT', 'bigint'), 'VARCHAR', 'string'), 'DOUBLE', 'double') AS type
+  FROM (SELECT version, field, CAST(json_extract(st, '$.' || field) AS VARCHAR) AS type FROM (
+    SELECT version, st, unnest(json_keys(st)) AS field FROM (
+      SELECT CAST(version AS INTEGER) AS version, json_group_structure(CAST(fragment AS JSON)) AS st
+      FROM fragments, (VALUES (1), (2), (3)) v(version) WHERE event_id % 3 < version GROUP BY version)))""")
 ORACLE_SQL["stream_dedup_batched"] = ORACLE_SQL["stream_dedup"]

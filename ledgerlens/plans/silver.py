@@ -15,6 +15,7 @@ from ..sinks.catalog import AUDIT_DDL, QUARANTINE_DDL, SILVER_DDL
 from ..sinks.manifest import SINKS, Manifest, live_folders, read_manifest
 from ..sinks.writers import replace_folder, run_concurrently
 from ..sources.bronze import parse_events, read_bronze, unglue
+from ..sources.ledger import landed_files, open_days, read_ledger, write_ledger
 from .winners import commit_run, write_copies
 
 # --- fixed values: columns of silver -----------------------------------------
@@ -76,10 +77,10 @@ def to_silver(validated: DataFrame, strict: bool = False, keep: tuple = ()) -> D
     return out.select(*SILVER_COLUMNS, *keep)
 
 
-def validate_bronze(spark: SparkSession, bronze_root: str, day: str | None = None,
+def validate_bronze(spark: SparkSession, bronze_root: str, day: str | list | None = None,
                     as_of: Column | None = None, strict: bool = False,
                     partitions: int | None = None) -> DataFrame:
-    """Scan (one day or the whole tree), un-glue, parse and grade."""
+    """Scan (one day, several or the whole tree), un-glue, parse and grade."""
     raw = read_bronze(spark, bronze_root, day=day, as_of=as_of, partitions=partitions)
     return quality.validate(parse_events(unglue(raw)), as_of=as_of, strict=strict)
 
@@ -103,7 +104,7 @@ def read_sink(spark: SparkSession, out_root: str, sink: str, manifest: Manifest
     return df.drop("run")
 
 
-def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | None, run: str, buckets: int,
+def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | list | None, run: str, buckets: int,
                 strict: bool = False) -> dict:
     """Write one run: GOOD/WARN -> silver, BAD -> quarantine, the audit of both
     and the index of silver's event ids, all in folders of the run, which no
@@ -112,7 +113,7 @@ def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | None, run
     The graded rows are not cached: each of the two sinks is a map-only pass
     over bronze, and the audit counts what they wrote."""
     spark, root = validated.sparkSession, out_root.rstrip("/")
-    day = F.lit(bronze_day).cast("date") if bronze_day else bronze_day_of(validated)
+    day = F.lit(bronze_day).cast("date") if isinstance(bronze_day, str) else bronze_day_of(validated)
     graded = validated.withColumn("bronze_day", day)
     rows = {"silver": to_silver(quality.good_rows(graded), strict, keep=("bronze_day",)),
             "quarantine": quality.quarantine_view(graded, keep=("bronze_day",))}
@@ -130,7 +131,8 @@ def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | None, run
         return spark.read.schema(AUDIT_DDL).parquet(paths["audit"]).select(*keys).collect()
 
     found, _ = run_concurrently([audit, lambda: write_copies(written["silver"], root, run, buckets)])
-    batches: dict = {bronze_day: {"silver": [], "quarantine": []}} if bronze_day else {}
+    own = [bronze_day] if isinstance(bronze_day, str) else bronze_day or []
+    batches: dict = {d: {"silver": [], "quarantine": []} for d in own}
     for r in found:
         b = batches.setdefault(str(r["bronze_day"]), {"silver": [], "quarantine": []})
         sink = "quarantine" if r["dq_status"] == "BAD" else "silver"
@@ -140,9 +142,10 @@ def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | None, run
     return batches
 
 
-def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | None,
-                       strict: bool = False) -> dict:
-    """Stage one bronze day (``None``: the whole tree) and commit it.
+def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | list | None,
+                       strict: bool = False, files: DataFrame | None = None) -> dict:
+    """Stage one bronze day or several (``None``: the whole tree) and commit
+    them, with the ledger of ``files`` if given.
 
     A run replaces its bronze day in every sink by one commit, so rows that a
     corrected rerun moves to another event day, to the other sink or nowhere
@@ -154,9 +157,13 @@ def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | No
     the mart jobs work off what is outstanding."""
     spark, root = validated.sparkSession, out_root.rstrip("/")
     base, run = read_manifest(spark, root), "r" + uuid.uuid4().hex[:12]
+    ledger = run if files is not None else ""
+    if ledger:
+        # before the lines are read: a file that lands meanwhile is new to the next run
+        write_ledger(files, root, run)
     batches = stage_batch(validated, root, bronze_day, run, base.buckets, strict)
-    new = commit_run(spark, root, run, batches, bronze_day is None, base.buckets, base)
-    replaced = base.batches if bronze_day is None else {k: base.batches[k] for k in (bronze_day,) if k in base.batches}
+    new = commit_run(spark, root, run, batches, bronze_day is None, base.buckets, base, ledger)
+    replaced = {k: b for k, b in base.batches.items() if bronze_day is None or k in batches}
     days = {d for b in [*batches.values(), *replaced.values()] for d in b["silver"]}
     return ({s: f"{root}/{s}" for s in SINKS} | {"days": sorted(map(dt.date.fromisoformat, days)),
                                                  "touched": sorted(map(dt.date.fromisoformat, new.touched))})
@@ -170,3 +177,17 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, out_root: str, bronz
     validated = validate_bronze(spark, bronze_root, day=bronze_day, as_of=as_of, strict=strict,
                                 partitions=partitions)
     return write_silver_batch(validated, out_root, bronze_day, strict)
+
+
+def landed_to_silver(spark: SparkSession, bronze_root: str, out_root: str, as_of: Column | None = None,
+                     strict: bool = False, partitions: int | None = None) -> dict:
+    """Job: run the bronze days that have a new, changed or vanished file since
+    the last run, all in one commit.  Returns what ``bronze_to_silver`` does and
+    ``bronze_days``, the days run; an unchanged tree is not read."""
+    root = out_root.rstrip("/")
+    base, files = read_manifest(spark, root), landed_files(spark, bronze_root)
+    due = open_days(read_ledger(spark, root, base.ledger), files)
+    if not due:
+        return {s: f"{root}/{s}" for s in SINKS} | {"days": [], "touched": [], "bronze_days": []}
+    validated = validate_bronze(spark, bronze_root, day=due, as_of=as_of, strict=strict, partitions=partitions)
+    return write_silver_batch(validated, root, due, strict, files) | {"bronze_days": due}

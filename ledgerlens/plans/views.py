@@ -1,7 +1,8 @@
 """Reporting views over the gold marts, as DataFrame functions.
 
-``as_of`` replaces ``current_date`` so results are reproducible; register any
-of them with ``createOrReplaceTempView`` to query them by name.
+``as_of`` replaces ``current_date`` so results are reproducible.
+``create_view_functions`` stores them in the catalog, for queries by name:
+``SELECT * FROM v_geo_daily_90d(DATE'2024-01-31')``.
 """
 
 from __future__ import annotations
@@ -88,3 +89,38 @@ def latest_rows(df: DataFrame, order_cols: list, n: int = 10) -> DataFrame:
 def passthrough(spark: SparkSession, table: str) -> DataFrame:
     """``SELECT * FROM table`` pass-through view."""
     return spark.table(table)
+
+
+def create_view_functions(spark: SparkSession, geo_table: str, daily_table: str, database: str = "default",
+                          days: int = K.GEO_LOOKBACK_DAYS) -> None:
+    """Store the reporting views over a geo and a daily mart table in the
+    catalog: the two with a date as table functions of that date, the two
+    without as views.  A table function is called by its bare name, so the
+    caller's current database must be ``database``."""
+    since = f"ds >= date_sub(as_of, {int(days)})"
+    geo = {f.name: f.dataType.simpleString() for f in spark.table(geo_table).schema.fields}
+    point = ", ".join(f"('{c}', CAST({lat!r} AS DOUBLE), CAST({lon!r} AS DOUBLE))" for c, lat, lon in K.COUNTRY_LATLON)
+    spark.sql(f"""CREATE OR REPLACE FUNCTION {database}.v_geo_daily_90d(as_of DATE COMMENT 'last day')
+        RETURNS TABLE(ds DATE, country_iso2 STRING, events_total BIGINT, amount_sum DOUBLE, risk_score_avg DOUBLE,
+                      international_total BIGINT)
+        RETURN SELECT ds, country_iso2, sum(events_total), sum(amount_sum), avg(risk_score_avg),
+                      sum(international_total)
+               FROM {geo_table} WHERE {since} AND country_iso2 IS NOT NULL GROUP BY ds, country_iso2""")
+    columns = ["ds", "country_iso2", "country_name", "events_total", "transactions_total", "approved_total",
+               "declined_total", "amount_sum", "risk_score_avg", "international_total"]
+    spark.sql(f"""CREATE OR REPLACE FUNCTION {database}.v_geo_dashboard_latlon_90d(as_of DATE COMMENT 'last day')
+        RETURNS TABLE({", ".join(f"{c} {geo[c]}" for c in columns)}, lat DOUBLE, lon DOUBLE)
+        RETURN SELECT {", ".join(f"g.{c}" for c in columns)}, d.lat, d.lon
+               FROM {geo_table} g LEFT JOIN (VALUES {point}) AS d(country_iso2, lat, lon)
+                 ON g.country_iso2 = d.country_iso2
+               WHERE g.{since} AND g.country_iso2 <> '{K.UNKNOWN_ISO2}'""")
+    spark.sql(f"""CREATE OR REPLACE VIEW {database}.v_fraud_kpis_daily AS
+        SELECT *, 100.0D * declined_total / nullif(transactions_total, 0) AS decline_rate_pct,
+               100.0D * international_total / nullif(transactions_total, 0) AS international_rate_pct
+        FROM {daily_table}""")
+    spark.sql(f"""CREATE OR REPLACE VIEW {database}.v_gold_fraud_dashboard AS
+        SELECT ds_day, events_total, transactions_total, approved_total, declined_total, amount_sum, amount_avg,
+               risk_score_avg, international_total,
+               try_divide(CAST(approved_total AS DOUBLE), CAST(transactions_total AS DOUBLE)) AS approval_rate,
+               try_divide(CAST(declined_total AS DOUBLE), CAST(transactions_total AS DOUBLE)) AS decline_rate
+        FROM {daily_table}""")

@@ -121,7 +121,7 @@ def _days(df: DataFrame, column: Column) -> set[str]:
 
 
 def commit_run(spark: SparkSession, root: str, run: str, batches: dict, whole: bool, buckets: int,
-               base: Manifest) -> Manifest:
+               base: Manifest, ledger: str = "") -> Manifest:
     """Make a staged run the content of its bronze days (``whole``: of the
     lake).  ``batches``: bronze day -> event days by sink."""
     replaced = set(base.batches) if whole else set(batches)
@@ -143,7 +143,7 @@ def commit_run(spark: SparkSession, root: str, run: str, batches: dict, whole: b
     held = {d: r for d, r in base.copies.items() if d not in replaced}
     new = commit(spark, root, replace(
         base, batches=kept_batches | now, copies=held | {d: run for d, b in batches.items() if b["silver"]},
-        lost=lost, touched=sorted(days), buckets=buckets))
+        lost=lost, touched=sorted(days), buckets=buckets, ledger=ledger or base.ledger))
     sweep(spark, root, base, new)
     return new
 

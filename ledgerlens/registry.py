@@ -14,6 +14,7 @@ that exercise writers put their files under the session's shared
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -29,13 +30,13 @@ from .operators.dedup import dedup_latest
 from .operators.geo import geo_daily, geo_enrich
 from .plans import gold as gold_jobs
 from .plans import views
-from .plans.silver import bronze_to_silver, read_sink, stage_batch, to_silver, validate_bronze
+from .plans.silver import bronze_to_silver, landed_to_silver, read_sink, stage_batch, to_silver, validate_bronze
 from .session import lake_session, scratch_path
 from .sinks import catalog
 from .sinks.manifest import INDEX_BUCKETS
 from .sinks.writers import append_table, replace_table_property, snapshot_table, write_partitioned
 from .sources import bronze as B
-from .sources import tables
+from .sources import schemas, tables
 from .sources.dimensions import address_ranges
 from .sources.fixtures import bronze_lines, copied_lines, faulty_lines, payment_events, untidy_text
 from .streaming import jobs as stream_jobs
@@ -109,6 +110,14 @@ def _bronze_root(spark, sf) -> str:
     return root
 
 
+def _stored_lines(spark, sf):
+    """The bronze lines as a table: tests on a line would otherwise repeat the
+    expressions that make it."""
+    path = scratch_path(spark, "lines")
+    bronze_lines(_events(spark, sf)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _fragments(spark, sf):
     lines = bronze_lines(_events(spark, sf)).select(F.col("value").alias("raw_line"))
     return B.unglue(lines)
@@ -173,6 +182,16 @@ def q_gold_events_daily(spark, sf):
     return _finish(gold.events_daily_wide(_base(spark, sf)))
 
 
+def q_cards_by_period(spark, sf):
+    path = scratch_path(spark, "cards")
+    write_partitioned(gold.cards_daily(_base(spark, sf)), path, ["ds_day"], rebalance=True)
+    daily = spark.read.parquet(path)
+    periods = [daily.select(F.lit("day").alias("period"), F.col("ds_day").alias("period_start"), "distinct_cards")]
+    periods += [gold.cards_over(daily, p).select(F.lit(p).alias("period"), "period_start", "distinct_cards")
+                for p in ("week", "month")]
+    return periods[0].unionByName(periods[1]).unionByName(periods[2])
+
+
 def q_kpis_by_event_date(spark, sf):
     return _finish(gold.kpis_by_event_date(_base(spark, sf)))
 
@@ -356,6 +375,23 @@ def q_infer_event_schema(spark, sf):
     return B.inferred_fields(B.unglue(_untidy(spark, sf).select("event_id", "raw_line")))
 
 
+def q_bronze_sample_profile(spark, sf):
+    """Fields of 20 lines of each day."""
+    u = untidy_text(_events(spark, sf), keep=("ts",)).select(F.to_date("ts").alias("day"), "raw_line")
+    return B.profile_lines(B.sample_lines(u, 20, ["day"]), ["day"])
+
+
+def q_schema_registry(spark, sf):
+    """Three bronze days: whole amounts, amounts with a fraction, a new field."""
+    u, root = _untidy(spark, sf), scratch_path(spark, "schemas")
+    line = {0: F.col("raw_line"), 1: F.regexp_replace("raw_line", '"amount":([0-9]+)', '"amount":$1.5'),
+            2: F.regexp_replace("raw_line", r"\}$", ',"channel":"web"}')}
+    for k, text in line.items():
+        day = B.unglue(u.where(F.col("event_id") % 3 == k).select(text.alias("raw_line")))
+        schemas.register_schema(spark, root, B.inferred_struct(day))
+    return schemas.schema_history(spark, root)
+
+
 def q_bronze_scan_day(spark, sf):
     root = _bronze_root(spark, sf)
     day = _events(spark, sf).agg(F.max(F.to_date("ts"))).first()[0]
@@ -473,6 +509,21 @@ def _corrected_lake(spark, sf, marts: bool = False) -> str:
     return out
 
 
+def q_silver_incremental_landing(spark, sf):
+    """Files land in two parts, the second with further files in days that were
+    run already; a third run finds nothing to do."""
+    lines = _stored_lines(spark, sf)
+    root, out = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    late = (F.col("day").cast("int") > 10) | (F.crc32("value") % 40 == 0) & (F.col("day").cast("int") < 4)
+    for part in (lines.where(~late), lines.where(late)):
+        B.write_bronze(part, root)
+        landed_to_silver(spark, root, out, as_of=as_of())
+    again = landed_to_silver(spark, root, out, as_of=as_of())
+    keys = ["bronze_day", "ds_day", "dq_status"]
+    found = read_sink(spark, out, "silver").groupBy(*keys).agg(F.count(F.lit(1)).alias("records"))
+    return found.withColumn("days_run_again", F.lit(len(again["bronze_days"])))
+
+
 def _sink_counts(spark, sf, sink: str):
     df = read_sink(spark, _corrected_lake(spark, sf), sink)
     keys = ["bronze_day", "ds_day", "dq_status"]
@@ -502,7 +553,7 @@ def _uncopied_lake(spark, sf, crash: bool) -> str:
     until that day was corrected and run again; the events count on their own
     day again.  ``crash``: one run of the corrected day dies before its commit,
     and one between silver and the marts."""
-    lines = bronze_lines(_events(spark, sf))
+    lines = _stored_lines(spark, sf)
     first = _events(spark, sf).agg(F.min(F.to_date("ts"))).first()[0]
     root, out = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
     B.write_bronze(copied_lines(lines, first), root, mode="overwrite")
@@ -604,6 +655,42 @@ def q_v_dashboard(spark, sf):
     return _finish(views.v_gold_fraud_dashboard(gold.events_daily_wide(_base(spark, sf))))
 
 
+@contextlib.contextmanager
+def _named_views(spark, sf):
+    """A database of its own with both marts and the views over them; current
+    while in use, as table functions are called by their bare names."""
+    name, before = f"{DB}_views_{uuid.uuid4().hex[:10]}", spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {name}")
+    geo = _as_table(spark, _geo(spark, sf), "gold_geo", "ds")
+    daily = _as_table(spark, gold.events_daily_wide(_base(spark, sf)), "gold_daily", "ds_day")
+    views.create_view_functions(spark, geo, daily, name)
+    spark.catalog.setCurrentDatabase(name)
+    try:
+        yield
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def q_v_geo_daily_by_name(spark, sf):
+    with _named_views(spark, sf):
+        return _finish(spark.sql(f"SELECT * FROM v_geo_daily_90d(DATE'{AS_OF_DAY}')"))
+
+
+def q_v_geo_dashboard_by_name(spark, sf):
+    with _named_views(spark, sf):
+        return _finish(spark.sql(f"SELECT * FROM v_geo_dashboard_latlon_90d(DATE'{AS_OF_DAY}')"))
+
+
+def q_v_kpis_by_name(spark, sf):
+    with _named_views(spark, sf):
+        return _finish(spark.sql("SELECT * FROM v_fraud_kpis_daily"))
+
+
+def q_v_dashboard_by_name(spark, sf):
+    with _named_views(spark, sf):
+        return _finish(spark.sql("SELECT * FROM v_gold_fraud_dashboard"))
+
+
 # ------------------------------------------------------------- streaming --
 
 def _incoming_lines(spark, sf) -> str:

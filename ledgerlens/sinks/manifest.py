@@ -37,13 +37,15 @@ class Manifest:
     lost: dict = field(default_factory=dict)      # event day -> run that lists the ids that count elsewhere
     touched: list = field(default_factory=list)   # event days whose marts this commit touches
     buckets: int = INDEX_BUCKETS
+    ledger: str = ""                              # run that lists the landed files
 
 
 def _folder(root: str) -> str:
     return f"{root.rstrip('/')}/_manifest"
 
 
-def _numbers(spark: SparkSession, folder: str) -> list[int]:
+def file_numbers(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the files of a folder that are named by number."""
     fs, p = _hadoop_path(spark, folder)
     if not fs.exists(p):
         return []
@@ -51,23 +53,40 @@ def _numbers(spark: SparkSession, folder: str) -> list[int]:
     return sorted(int(n) for n in names if n.isdigit())
 
 
-def _read(spark: SparkSession, root: str, number: int) -> Manifest | None:
-    """One commit, or None if its writer died while writing it."""
-    fs, p = _hadoop_path(spark, f"{_folder(root)}/{number:0{DIGITS}d}.json")
+def _numbered(folder: str, number: int) -> str:
+    return f"{folder}/{number:0{DIGITS}d}.json"
+
+
+def read_file(spark: SparkSession, folder: str, number: int) -> str:
+    fs, p = _hadoop_path(spark, _numbered(folder, number))
     stream = fs.open(p)
     try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def create_file(spark: SparkSession, folder: str, number: int, text: str) -> None:
+    """Write a file that must not be there yet."""
+    fs, p = _hadoop_path(spark, _numbered(folder, number))
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def _read(spark: SparkSession, root: str, number: int) -> Manifest | None:
+    """One commit, or None if its writer died while writing it."""
     try:
-        return replace(Manifest(**json.loads(text)), version=number)
+        return replace(Manifest(**json.loads(read_file(spark, _folder(root), number))), version=number)
     except ValueError:
         return None
 
 
 def read_manifest(spark: SparkSession, root: str) -> Manifest:
     """The newest complete commit; version 0 where there is none."""
-    for number in reversed(_numbers(spark, _folder(root))):
+    for number in reversed(file_numbers(spark, _folder(root))):
         found = _read(spark, root, number)
         if found:
             return found
@@ -80,19 +99,14 @@ def commit(spark: SparkSession, root: str, manifest: Manifest) -> Manifest:
     if read_manifest(spark, root).version != manifest.version:
         raise RuntimeError(f"another run has committed to {root}; run this one again")
     # a torn file keeps its number
-    number = max(_numbers(spark, _folder(root)), default=0) + 1
-    fs, p = _hadoop_path(spark, f"{_folder(root)}/{number:0{DIGITS}d}.json")
-    out = fs.create(p, False)
-    try:
-        out.write(bytearray(json.dumps(asdict(replace(manifest, version=number))).encode()))
-    finally:
-        out.close()
+    number = max(file_numbers(spark, _folder(root)), default=0) + 1
+    create_file(spark, _folder(root), number, json.dumps(asdict(replace(manifest, version=number))))
     return replace(manifest, version=number)
 
 
 def done_version(spark: SparkSession, consumer_root: str) -> int | None:
     """The last commit that the tables under ``consumer_root`` hold."""
-    return max(_numbers(spark, f"{consumer_root.rstrip('/')}/_lake"), default=None)
+    return max(file_numbers(spark, f"{consumer_root.rstrip('/')}/_lake"), default=None)
 
 
 def mark_done(spark: SparkSession, consumer_root: str, version: int) -> None:
@@ -103,7 +117,7 @@ def mark_done(spark: SparkSession, consumer_root: str, version: int) -> None:
 def touched_since(spark: SparkSession, root: str, version: int) -> set[str] | None:
     """Event days touched by the commits after ``version``; None if commits in
     between are gone, so that everything has to be recomputed."""
-    numbers = [n for n in _numbers(spark, _folder(root)) if n > version]
+    numbers = [n for n in file_numbers(spark, _folder(root)) if n > version]
     if numbers and numbers[0] != version + 1:
         return None
     found = [m for m in (_read(spark, root, n) for n in numbers) if m]
@@ -134,7 +148,7 @@ def vacuum(spark: SparkSession, root: str, keep_commits: int = 1000) -> None:
     replaced, and all but the last commits.  Only while no run is under way."""
     now, root = read_manifest(spark, root), root.rstrip("/")
     alive = {f for sink in SINKS for f in live_folders(root, now, sink)}
-    runs = {"copies": set(now.copies.values()), "lost": set(now.lost.values()), "changes": set()}
+    runs = {"copies": set(now.copies.values()), "lost": set(now.lost.values()), "changes": set(), "ledger": {now.ledger}}
     for sink in SINKS:
         for run in _children(spark, f"{root}/{sink}"):
             for day in _children(spark, run):
@@ -144,8 +158,8 @@ def vacuum(spark: SparkSession, root: str, keep_commits: int = 1000) -> None:
         for run in _children(spark, f"{root}/{name}"):
             if run.rpartition("run=")[2] not in kept:
                 _delete(spark, run)
-    for number in _numbers(spark, _folder(root))[:-keep_commits]:
-        _delete(spark, f"{_folder(root)}/{number:0{DIGITS}d}.json")
+    for number in file_numbers(spark, _folder(root))[:-keep_commits]:
+        _delete(spark, _numbered(_folder(root), number))
 
 
 def _children(spark: SparkSession, folder: str) -> list[str]:

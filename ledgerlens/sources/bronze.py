@@ -8,7 +8,7 @@ after the scan where the files are known to be few and large.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,14 +39,18 @@ def write_bronze(lines: DataFrame, root: str, mode: str = "append") -> None:
           .option("compression", "gzip").text(root))
 
 
-def read_bronze(spark: SparkSession, root: str, day: str | None = None,
+def read_bronze(spark: SparkSession, root: str, day: str | list | None = None,
                 as_of: Column | None = None, partitions: int | None = None) -> DataFrame:
     """Raw lines with lineage: ``raw_line``, ``source_file``, ``ingestion_ts``
-    and the partition columns.  ``day`` ('YYYY-MM-DD') prunes to one folder."""
+    and the partition columns.  ``day`` ('YYYY-MM-DD', or a list of them) prunes
+    to those folders."""
     df = spark.read.text(root)
-    if day is not None:
+    if isinstance(day, str):
         y, m, d = (int(x) for x in day.split("-"))
         df = df.where((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
+    elif day is not None:
+        folder = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+        df = df.where(folder.isin([F.lit(d).cast("date") for d in day]) if day else F.lit(False))
     df = df.select(F.col("value").alias("raw_line"),
                    F.col("_metadata.file_path").alias("source_file"),
                    (as_of if as_of is not None else F.current_timestamp()).alias("ingestion_ts"),
@@ -99,6 +103,26 @@ def parse_events(fragments: DataFrame, col: str = "raw_line",
         "is_malformed_json": F.col("_j").isNull() | corrupt, **{n: typed[n] for n in names}}).drop("_j")
 
 
+def sample_lines(raw: DataFrame, k: int, by: list[str], col: str = "raw_line") -> DataFrame:
+    """The ``k`` lines of each group with the smallest hashes, for a look at the
+    data; nothing else may depend on it.
+
+    Bottom-k by hash: the same rows however the input is partitioned, and the
+    sample of a union is the sample of the samples' union, so samples of days
+    can be kept and merged.  Each task forwards at most ``k`` rows a group."""
+    w = Window.partitionBy(*by).orderBy(F.md5(F.col(col).cast("binary")), col)
+    return raw.withColumn("_place", F.row_number().over(w)).where(F.col("_place") <= k).drop("_place")
+
+
+def profile_lines(lines: DataFrame, by: list[str], col: str = "raw_line") -> DataFrame:
+    """How often each field occurs among the objects of sampled lines, and how
+    often it holds a value."""
+    objects = unglue(lines.select(*by, col), col)
+    fields = objects.select(*by, col, F.explode(F.json_object_keys(col)).alias("field"))
+    value = F.try_variant_get(F.try_parse_json(col), F.concat(F.lit("$['"), "field", F.lit("']")), "string")
+    return fields.groupBy(*by, "field").agg(F.count(F.lit(1)).alias("objects"), F.count(value).alias("filled"))
+
+
 def infer_event_schema(fragments: DataFrame, col: str = "raw_line") -> DataFrame:
     """Merged schema of the parsable fragments (one row, DDL-like text).
 
