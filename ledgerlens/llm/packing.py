@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, column, ddl, id_text, map_batches, materialize, shuffle_partitions, texts
+from .common import arrow_schema, column, ddl, map_batches, materialize, shuffle_partitions, texts
 
 END_ID = 1
 LENGTH = 2048
@@ -38,7 +38,6 @@ GROUP = 4096            # pieces that are packed together
 
 # Fixed value: the vocabulary's first step, how a text is cut before its merges.
 CUT = (r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s")
-_BEYOND = re.compile("[^\x00-\u024f]")
 
 
 class Encoder:
@@ -48,18 +47,20 @@ class Encoder:
     is several times slower on long texts than ``tiktoken``, which gets the
     same vocabulary (a token's id is its rank among the merges) and encodes the
     texts of Latin script; texts with other characters, whose classes could
-    differ between the two libraries, go to ``tokenizers``.  One text of each
-    batch is encoded by both, and a difference is an error."""
+    differ between the two libraries, and texts that hold an added token's
+    string go to ``tokenizers``.  One text of each batch is encoded by both;
+    after a difference all texts go to ``tokenizers``."""
 
     def __init__(self, path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         byte_of = _bytes_of_letters()
         ranks = {bytes(byte_of[c] for c in t): i for t, i in self.tokenizer.get_vocab().items() if t not in special}
+        self.beyond = re.compile("|".join(["[^\x00-\u024f]", *map(re.escape, sorted(special))]))
+        self.agree = True
         self.fast = tiktoken.Encoding("packing", pat_str=CUT, mergeable_ranks=ranks, special_tokens={})
 
     def reference(self, tx: list[str]) -> list[bytes]:
@@ -67,14 +68,15 @@ class Encoder:
                 for e in self.tokenizer.encode_batch_fast(tx, add_special_tokens=False)]
 
     def __call__(self, tx: list[str]) -> list[bytes]:
-        latin = [not _BEYOND.search(t) for t in tx]
+        latin = [self.agree and not self.beyond.search(t) for t in tx]
         rest = iter(self.reference([t for t, fast in zip(tx, latin, strict=True) if not fast]))
         out = [np.array(self.fast.encode_ordinary(t), "<u4").tobytes() if fast else next(rest)
                for t, fast in zip(tx, latin, strict=True)]
         if any(latin):
             k = min((k for k, fast in enumerate(latin) if fast), key=lambda k: abs(len(tx[k]) - 1000))
             if self.reference([tx[k]])[0] != out[k]:
-                raise ValueError("the two tokenizers disagree")
+                self.agree = False
+                return self.reference(tx)
         return out
 
 
@@ -87,10 +89,13 @@ def _bytes_of_letters() -> dict[str, int]:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
+           text_col: str = "text", prompt_col: str | None = None) -> DataFrame:
     """Tokenize and cut: one row per piece.  A piece's first token bears no
-    loss, as nothing in its sequence predicts it."""
-    docs = id_text(docs, id_col, text_col)
+    loss, as nothing in its sequence predicts it; nor do the first tokens of a
+    document, as many as ``prompt_col`` says (instruction data; null: none)."""
+    prompt = F.lit(0) if prompt_col is None else F.coalesce(F.col(f"`{prompt_col}`"), F.lit(0))
+    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                       prompt.cast("long").alias("prompt"))
     fields = {"doc_id": dict(docs.dtypes)["doc_id"].replace("bigint", "long"), "start": "long", "length": "long",
               "loss_tokens": "long", "ids_crc32": "long", "doc_tokens": "long"}
 
@@ -99,13 +104,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, id_col: s
 
         def run(batch):
             out = {k: [] for k in fields}
-            for doc, ids in zip(column(batch, "doc_id").to_pylist(), encode(texts(batch)), strict=True):
+            for doc, ids, prompt in zip(column(batch, "doc_id").to_pylist(), encode(texts(batch)),
+                                        column(batch, "prompt").to_pylist(), strict=True):
                 ids += end
                 n = len(ids) // 4
                 for at in range(0, n, length):
                     part = ids[4 * at:4 * (at + length)]
                     m = len(part) // 4
-                    for k, v in zip(fields, (doc, at, m, m - 1, zlib.crc32(part), n), strict=True):
+                    for k, v in zip(fields, (doc, at, m, max(0, m - max(1, prompt - at)), zlib.crc32(part), n), strict=True):
                         out[k].append(v)
             return out
         return run
@@ -113,29 +119,46 @@ def pieces(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, id_col: s
     return map_batches(docs, make, fields)
 
 
+def _best_fit(share: np.ndarray, places: np.ndarray, rest: np.ndarray, room: np.ndarray, top: np.ndarray,
+              step: int = 512) -> int | None:
+    """Of ``rest``, indices of ``places``, the first with the largest dot product
+    among those that fit.  They are looked at step by step, until what the
+    others may ask for at most (``top``, by place) cannot beat the best found."""
+    best, pick, room_left = -1.0, None, np.maximum(room, 0)
+    for at in range(0, len(rest), step):
+        if pick is not None and float(top[places[rest[at]]] @ room_left) <= best:
+            break
+        some = rest[at:at + step]
+        some = some[(share[places[some]] <= room + 1e-12).all(1)]
+        if len(some):
+            dots = share[places[some]] @ room_left
+            k = int(np.argmax(dots))
+            if dots[k] > best:
+                best, pick = float(dots[k]), int(some[k])
+    return pick
+
+
 def pack_group(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and place in it of each piece, given the pieces' demands
     (one row each), of which the first column is tokens."""
-    share = demand / limits
-    left, n = np.argsort(-demand[:, 0], kind="stable"), len(demand)
+    order, n = np.argsort(-demand[:, 0], kind="stable"), len(demand)
+    tokens, share = demand[order, 0], (demand / limits)[order]
+    # the most that a piece from some place of this order on asks of each dimension
+    top = np.maximum.accumulate(share[::-1], axis=0)[::-1]
     sequence, offset = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    number = 0
+    left, number = np.arange(n), 0
     while len(left):
-        room, used, place = np.ones(share.shape[1]), np.zeros(len(left), bool), 0
+        room, used, at = np.ones(share.shape[1]), np.zeros(len(left), bool), 0
         pick = 0  # the largest piece opens a sequence, whatever its demand
         while pick is not None:
-            i = left[pick]
-            sequence[i], offset[i] = number, place
-            place += demand[i, 0]
-            room = room - share[i]
+            place = left[pick]
+            sequence[order[place]], offset[order[place]] = number, at
+            at += tokens[place]
+            room = room - share[place]
             used[pick] = True
-            # pieces are in order of tokens: none before this one has fewer than fit
-            low = int(np.searchsorted(-demand[left, 0], -(room[0] + 1e-12) * limits[0])) if room[0] > 0 else len(left)
-            rest = np.flatnonzero(~used[low:]) + low
-            if len(rest) > 512:  # far smaller pieces cannot beat the largest that fit
-                rest = rest[:512] if (share[left[rest[:512]]] <= room + 1e-12).all(1).any() else rest
-            rest = rest[(share[left[rest]] <= room + 1e-12).all(1)]
-            pick = int(rest[np.argmax(share[left[rest]] @ np.maximum(room, 0))]) if len(rest) else None
+            # none before this one has as few tokens as fit
+            low = int(np.searchsorted(-tokens[left], -(room[0] + 1e-12) * limits[0])) if room[0] > 0 else len(left)
+            pick = _best_fit(share, left, np.flatnonzero(~used[low:]) + low, room, top)
         left = left[~used]
         number += 1
     return sequence, offset
@@ -181,7 +204,11 @@ def pack(items: DataFrame, limits: dict[str, int], group: int = GROUP) -> DataFr
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, length: int = LENGTH, segments: int = SEGMENTS,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of the documents with the sequence and the offset of each."""
-    cut = materialize(pieces(docs, tokenizer_path, length, id_col, text_col), "packing-pieces")
-    return pack(cut, {"length": length, "segments": segments, "loss_tokens": length - 1})
+                   id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None,
+                   loss_tokens: int | None = None) -> DataFrame:
+    """Pieces of the documents with the sequence and the offset of each.  A
+    sequence holds at most ``loss_tokens`` tokens that bear loss (by default as
+    many as it can)."""
+    cut = materialize(pieces(docs, tokenizer_path, length, id_col, text_col, prompt_col), "packing-pieces")
+    return pack(cut, {"length": length, "segments": segments,
+                      "loss_tokens": length - 1 if loss_tokens is None else loss_tokens})

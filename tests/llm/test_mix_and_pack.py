@@ -70,7 +70,6 @@ def check_packing(rows, got, length=2048):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     want = {}
     for i, t, *_ in rows:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
@@ -136,6 +135,52 @@ def test_vector_limits_hold(items, segments):
         assert [a for a, _ in ends] == np.r_[0, np.cumsum([n for _, n in ends])[:-1]].astype(int).tolist()
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 100), st.integers(0, 60)), min_size=1, max_size=120), st.integers(1, 9),
+       st.sampled_from([1, 2, 7, 512]))
+def test_no_candidate_is_left_out(items, segments, step):
+    """The heuristic as its definition says it, over all pieces."""
+    demand = np.array([(t, 1, loss) for t, loss in items], float)
+    limits = np.array([100, segments, 60], float)
+    share, left, number = demand / limits, sorted(range(len(items)), key=lambda i: (-items[i][0], i)), 0
+    expected = np.zeros(len(items), np.int64)
+    while left:
+        room, i = np.ones(3), left.pop(0)
+        while i is not None:
+            expected[i], room = number, room - share[i]
+            fit = [j for j in left if (share[j] <= room + 1e-12).all()]
+            dots = share[fit] @ np.maximum(room, 0) if fit else []
+            i = fit[int(np.argmax(dots))] if fit else None
+            if i is not None:
+                left.remove(i)
+        number += 1
+    real = packing._best_fit
+    packing._best_fit = lambda *a: real(*a, step=step)
+    try:
+        assert packing.pack_group(demand, limits)[0].tolist() == expected.tolist()
+    finally:
+        packing._best_fit = real
+
+
+def test_texts_that_the_fast_library_encodes_otherwise(monkeypatch):
+    encode = packing.Encoder(tokenizer_path())
+    tx = ["plain words here", "a <|endoftext|> b", "漢字"]
+    own = [np.frombuffer(x, "<u4").tolist() for x in encode(tx)]
+    assert own == [encode.tokenizer.encode(t, add_special_tokens=False).ids for t in tx] and 50256 in own[1]
+    monkeypatch.setattr(encode.fast, "encode_ordinary", lambda t: [0])
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(tx)] == own and not encode.agree
+
+
+def test_prompts_bear_no_loss(spark):
+    df = spark.createDataFrame([(1, "one two three four five six", 3), (2, "one two three", None), (3, None, 9)],
+                               "doc_id long, text string, n long")
+    got = {(r.doc_id, r.start): (r.length, r.loss_tokens)
+           for r in packing.pieces(df, tokenizer_path(), length=4, prompt_col="n").collect()}
+    assert got == {(1, 0): (4, 1), (1, 4): (3, 2), (2, 0): (4, 3), (3, 0): (1, 0)}
+    packed = packing.pack_documents(df, tokenizer_path(), length=4, prompt_col="n", loss_tokens=2).collect()
+    assert len(packed) == 4
+
+
 def test_instruction_data_limits(spark):
     """Turns of a conversation: loss on the assistant's words alone."""
     conv = (spark.read.parquet(f"{SF_TINY}/conversations.parquet")
