@@ -6,9 +6,11 @@ the product of their factor vectors, so that a pair such as an insult with a
 group's name can weigh more than its parts.
 
 Training reads a bounded sample of labelled rows (``per_class`` of each label).
-Spark counts their terms; the driver learns in numpy from the most frequent,
-whatever their labels, as a term may count only together with another.  Scoring
-reads every text whole.
+Spark counts their terms; the driver learns in numpy from all that are in a few
+texts, whatever their labels, as a term may count only together with another;
+the hash space bounds their number.  Terms whose weights and factors move no
+sampled text's score are dropped.  Scoring reads every text whole, a batch of
+texts as one sparse table of rows and terms.
 
 Defined cases: null and empty texts have no terms and get the machine's bias;
 without labels of both kinds every score is that of the only label seen, or
@@ -19,7 +21,9 @@ by one; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from dataclasses import dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,8 @@ HASH_BITS = 20
 STEMS = (4, 5, 6, 7)
 FACTORS = 4
 MIN_DOCS = 4           # sampled texts a term must be in
-MAX_TERMS = 200_000    # terms that the machine knows
 FIRST_Z = 5.0          # terms whose shares differ by so many standard errors are learned first
+PRUNE = 0.02           # how far dropped terms may move the sum before the logistic function of a sampled text
 CACHE_WORDS = 200_000
 
 # ASCII letters in lower case, other ASCII characters to blanks, the rest kept
@@ -74,11 +78,11 @@ class FactorizationMachine:
 
 
 def frequent_terms(sample: DataFrame) -> np.ndarray:
-    """Ids of the terms in at least MIN_DOCS of the rows ``label, terms``; at
-    most MAX_TERMS, those in the most rows.  Labels do not matter: a difference
-    of single terms says nothing of their pairs."""
+    """Ids of the terms in at least MIN_DOCS of the rows ``label, terms``, at most
+    the hash space's.  Labels do not matter: a difference of single terms says
+    nothing of their pairs."""
     found = (sample.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("k"))
-             .where(F.col("k") >= MIN_DOCS).orderBy(F.desc("k"), "term").limit(MAX_TERMS))
+             .where(F.col("k") >= MIN_DOCS))
     return np.sort(found.select("term").toPandas()["term"].to_numpy(np.int64))
 
 
@@ -166,6 +170,32 @@ def fit(samples: list[np.ndarray], y: np.ndarray, ids: np.ndarray, epochs: int =
     return FactorizationMachine(b, ids, w, v)
 
 
+def prune(model: FactorizationMachine, rows: list[np.ndarray], most: float = PRUNE) -> FactorizationMachine:
+    """The machine without the terms of least weight, as many as leave the sum of
+    every row within ``most`` of what it was.  ``rows`` hold positions."""
+    if not len(model.ids) or not rows:
+        return model
+    before = model.raw(rows)
+    pull = np.mean([np.linalg.norm(model.factors[r].sum(0)) for r in rows])
+    order = np.argsort(np.abs(model.linear) + np.linalg.norm(model.factors, axis=1) * pull, kind="stable")
+
+    def without(k: int) -> FactorizationMachine:
+        gone = order[:k]
+        linear, factors = model.linear.copy(), model.factors.copy()
+        linear[gone], factors[gone] = 0, 0
+        return replace(model, linear=linear, factors=factors)
+
+    fits, fails = 0, len(order) + 1
+    while fails - fits > max(1, len(order) // 256):
+        k = (fits + fails) // 2
+        if np.abs(without(k).raw(rows) - before).max() <= most:
+            fits = k
+        else:
+            fails = k
+    kept = np.sort(order[fits:])
+    return FactorizationMachine(model.bias, model.ids[kept], model.linear[kept], model.factors[kept])
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column,
           per_class: int = 3000) -> FactorizationMachine:
     """The tasks turn sampled texts into term ids and count them; the driver
@@ -192,33 +222,59 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, usable: Column,
     rows = map_batches(found, keep, fields | {"terms": "binary"}).toPandas().sort_values("doc_id")
     own = [np.frombuffer(t, np.int32) for t in rows["terms"]]
     model = fit(own, rows["label"].to_numpy(float), np.arange(len(ids)))
-    return replace(model, ids=ids[:len(model.ids)])
+    return prune(replace(model, ids=ids[:len(model.ids)]), own)
 
 
-class _Known(dict):
-    """Positions in the model of a word's terms; a bounded cache."""
+class Scorer:
+    """Scores of texts; the terms of the words met so far are kept in a bounded
+    table."""
 
     def __init__(self, model: FactorizationMachine):
-        super().__init__()
-        self.at = {int(t): i for i, t in enumerate(model.ids)}
-
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= CACHE_WORDS:
+        self.bias, self.n = model.bias, len(model.ids)
+        self.at = np.full(1 << HASH_BITS, -1, np.int32)
+        self.at[model.ids] = np.arange(self.n)
+        # a row's sum needs the sum of its terms' factors, weights and squares
+        self.cells = np.column_stack([model.factors, model.linear - 0.5 * (model.factors ** 2).sum(1)])
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.flat, self.starts, self.sizes = array("i"), array("q"), array("q")
+
+    def learn(self, fresh: list[bytes]) -> None:
+        if len(self.places) + len(fresh) > CACHE_WORDS:
             self.clear()
-        own = self[word] = tuple(self.at[t] for t in term_ids(word) if t in self.at)
-        return own
-
-
-class Scorer:
-    def __init__(self, model: FactorizationMachine):
-        self.model, self.known = model, _Known(model)
-
-    def row(self, text: str) -> np.ndarray:
-        known = self.known
-        return np.array(sorted({t for w in words(text) for t in known[w]}), np.int64)
+        for word in fresh:
+            if word not in self.places:
+                own = {p for t in term_ids(word) if (p := int(self.at[t])) >= 0}
+                self.places[word] = len(self.sizes)
+                self.starts.append(len(self.flat))
+                self.sizes.append(len(own))
+                self.flat.extend(own)
+
+    def rows(self, tx: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Row and term of each different pair, by row."""
+        own = [words(t) for t in tx]
+        every = list(chain.from_iterable(own))
+        if not all(map(self.places.__contains__, every)):
+            self.learn([w for w in every if w not in self.places])
+            if not all(map(self.places.__contains__, every)):  # the table started anew
+                self.learn(every)
+        at = np.fromiter(map(self.places.__getitem__, every), np.int64, len(every))
+        row = np.repeat(np.arange(len(tx)), [len(w) for w in own])
+        starts, sizes = (np.frombuffer(a, np.int64)[at] if len(at) else at for a in (self.starts, self.sizes))
+        ends = np.cumsum(sizes)
+        some = np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        term = np.frombuffer(self.flat, np.int32)[some] if len(some) else np.zeros(0, np.int32)
+        return np.divmod(np.unique(np.repeat(row, sizes) * max(self.n, 1) + term), max(self.n, 1))
 
     def __call__(self, tx: list[str]) -> np.ndarray:
-        return sigmoid(self.model.raw([self.row(t) for t in tx]))
+        row, term = self.rows(tx)
+        sums = np.zeros((len(tx), self.cells.shape[1]))
+        if len(row):
+            first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            sums[row[first]] = np.add.reduceat(self.cells[term], first, axis=0)
+        return sigmoid(self.bias + sums[:, -1] + 0.5 * (sums[:, :-1] ** 2).sum(1))
 
 
 def score(docs: DataFrame, model: FactorizationMachine, threshold: float = 0.7, id_col: str = "doc_id",

@@ -105,3 +105,35 @@ def test_no_labels_leak_into_the_score(spark):
     a, b = (sorted(tuple(map(str, r)) for r in compression_quality.compression_quality(docs, x, usable=usable).collect())
             for x in (labels, flipped))
     assert a == b
+
+
+def test_batch_scores_equal_the_plain_sum(monkeypatch):
+    """Scores of whole batches against the machine's definition, text by text."""
+    rng = np.random.default_rng(4)
+    tx = ["", "one", "one two two", "insulting insults insulted", "é ß 漢字 x", "a b c d e f g " * 500] + [
+          " ".join(f"word{rng.integers(0, 300)}" for _ in range(rng.integers(1, 400))) for _ in range(40)]
+    ids = np.unique(np.concatenate([toxicity_fm.terms(t) for t in tx]).astype(np.int64))[::2]
+    fm = toxicity_fm.FactorizationMachine(0.1, ids, rng.normal(size=len(ids)), rng.normal(0, 0.1, (len(ids), 4)))
+    plain = []
+    for t in tx:
+        known = [int(np.searchsorted(ids, x)) for x in toxicity_fm.terms(t) if x in set(ids.tolist())]
+        z = 0.1 + sum(fm.linear[i] for i in known)
+        z += sum(float(fm.factors[i] @ fm.factors[j]) for a, i in enumerate(known) for j in known[:a])
+        plain.append(1 / (1 + np.exp(-np.clip(z, -35, 35))))
+    assert np.allclose(toxicity_fm.Scorer(fm)(tx), plain, atol=1e-9)
+    monkeypatch.setattr(toxicity_fm, "CACHE_WORDS", 5)  # the table starts anew all the time
+    scorer = toxicity_fm.Scorer(fm)
+    assert np.allclose([scorer([t])[0] for t in tx], plain, atol=1e-9) and np.allclose(scorer(tx), plain, atol=1e-9)
+    assert toxicity_fm.Scorer(fm)([]).tolist() == []
+
+
+def test_pruning_moves_no_sampled_score():
+    rng = np.random.default_rng(5)
+    n = 3000
+    weights = rng.normal(size=n) * (rng.random(n) < 0.05) + rng.normal(0, 1e-6, n)
+    fm = toxicity_fm.FactorizationMachine(0.2, np.arange(n) * 3, weights, rng.normal(0, 1e-5, (n, 4)))
+    rows = [np.sort(rng.choice(n, 80, replace=False)) for _ in range(200)]
+    small = toxicity_fm.prune(fm, rows)
+    assert len(small.ids) < 0.1 * n and set(small.ids) <= set(fm.ids)
+    again = [toxicity_fm.positions(fm.ids[r], small.ids) for r in rows]
+    assert np.abs(small.raw(again) - fm.raw(rows)).max() <= toxicity_fm.PRUNE
