@@ -1,23 +1,28 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Each source's documents are shuffled by a hash of their ids and laid end to
-end; the line is cut into blocks of ``block`` words (its last one may be
-shorter).  Slot t of the schedule belongs to the source in whose share of the
-cumulative targets the golden-ratio point frac((t + 1) * phi) falls, so every
-stretch of the schedule is close to the target mix.  Slots are ranked within
-their source; the slot of rank r takes block r, around the line again and
-again.  A source ends exactly on its rounded target: its last block is cut, and
-the few slots by which the schedule misses it are appended or left out.
-
-The order of a hot source is summed in two levels (hash prefixes, then rows),
-as are the ranks of its slots (chunks of the schedule, then slots), so no task
-holds a whole source.  The source table itself, one row a source, goes to the
-driver.
+end; the line, walked again and again, is cut into equal blocks of ``block``
+words.  Slot t of the schedule belongs to the source in whose share of the
+cumulative targets the golden-ratio point ``(t + 1) * GOLDEN mod 2^64`` falls,
+so every stretch of the schedule is close to the target mix.  Slots are ranked
+within their source; the slot of rank r takes block r of its source.  Nothing is
+added to the slots or cut from them but words beyond CAP turns of a line: what a
+source gives differs from its target by the discrepancy of the points, a few
+blocks.  ``sequence`` returns what each slot holds, ``mix`` sums it by document,
+``copies`` places whole documents in the order of the slots.
+
+Points and shares are compared in whole numbers, so the result does not depend
+on rounding.  The order of a hot source is summed in two levels (hash prefixes,
+then rows), as are the ranks of its slots (chunks of the schedule, then slots),
+so no task holds a whole source; a block meets its documents by its place on the
+line, which at most ``block`` documents share.  The source table itself, one row
+a source, goes to the driver.
 
 Defined cases: a null source is a source of its own, the last; null and empty
-texts have size 0 and are never taken; a null id is ordered first; repeated
-rows are documents of their own; an empty table gives an empty result; columns
-other than id, text and source are ignored.
+texts have size 0 and are never taken (``copies`` holds them once, in slot -1);
+a null id is ordered first; repeated rows are documents of their own; very long
+texts reach over many blocks; an empty table gives an empty result; columns
+other than id, text, source and ``row_col`` are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import column, map_batches, materialize
 
-PHI = 0.6180339887498949
+GOLDEN = 0x9E3779B97F4A7C15   # 2^64 over the golden ratio, odd
 CAP = 3                  # times its size that a source, and a document, may be taken
 CHUNK = 1 << 16          # slots of the schedule that one row generates
 PREFIX = 3               # hex digits of the id's hash that name a bucket of a source
@@ -70,7 +75,7 @@ def shuffled_line(sizes: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     per_bucket = docs.groupBy("no", "bucket").agg(F.sum("size").alias("in_bucket"))
     offsets = per_bucket.select("no", "bucket", (F.sum("in_bucket").over(
         Window.partitionBy("no").orderBy("bucket")) - F.col("in_bucket")).alias("offset"))
-    rows = Window.partitionBy("no", "bucket").orderBy("order", "doc_id", "size")
+    rows = Window.partitionBy("no", "bucket").orderBy("order", "doc_id", "size", "key")
     return (docs.join(offsets, ["no", "bucket"])
             .withColumn("row", F.row_number().over(rows))
             .withColumn("at", F.col("offset") + F.sum("size").over(rows.rowsBetween(Window.unboundedPreceding, 0))
@@ -81,71 +86,108 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     """``(slot, no, rank)``: the source of each slot and the slot's rank among
     that source's."""
     spark = targets.sparkSession
-    shares = targets.orderBy("no").select("target").toPandas()["target"].to_numpy(float)
-    total = shares.sum()
-    slots = int(np.ceil(total / block))
-    bounds = np.cumsum(shares) / total if total else np.ones(max(len(shares), 1))
+    goals = [int(r["goal"]) for r in targets.orderBy("no").select(F.round("target").cast("long").alias("goal")).collect()]
+    total = sum(goals)
+    slots = -(-total // block)
+    # the point p lies in the first source whose cumulative goal is beyond p * total / 2^64;
+    # the last bound, 2^64 itself, is left out
+    ends = np.cumsum(np.array(goals, object)) if total else []
+    bounds = np.array([-(-(int(e) << 64) // total) for e in ends if e < total], np.uint64)
     chunks = spark.range(-(-slots // CHUNK)).withColumnRenamed("id", "chunk")
 
     def make():
         def run(batch):
-            out = {"slot": [], "chunk": [], "no": []}
+            out = {"slot": [], "chunk": [], "no": [], "inside": []}
             for c in column(batch, "chunk").to_pylist():
                 t = np.arange(c * CHUNK, min((c + 1) * CHUNK, slots), dtype=np.int64)
-                point = np.mod((t + 1) * PHI, 1.0)
-                out["no"].append(np.minimum(np.searchsorted(bounds, point, side="right"), len(bounds) - 1))
-                out["slot"].append(t)
-                out["chunk"].append(np.full(len(t), c))
+                no = np.searchsorted(bounds, (t + 1).astype(np.uint64) * np.uint64(GOLDEN), side="right")
+                by_no = np.argsort(no, kind="stable")
+                counts = np.bincount(no)
+                inside = np.empty(len(t), np.int64)
+                inside[by_no] = np.arange(len(t)) - np.repeat(np.cumsum(counts) - counts, counts)
+                for name, part in zip(out, (t, np.full(len(t), c), no, inside)):
+                    out[name].append(part)
             return {k: np.concatenate(v) if v else [] for k, v in out.items()}
         return run
 
-    drawn = map_batches(chunks, make, {"slot": "long", "chunk": "long", "no": "long"}, rows=1)
+    drawn = map_batches(chunks, make, dict.fromkeys(("slot", "chunk", "no", "inside"), "long"), rows=1)
     before = (drawn.groupBy("no", "chunk").count().select("no", "chunk", (F.sum("count").over(
         Window.partitionBy("no").orderBy("chunk")) - F.col("count")).alias("before")))
-    inside = F.row_number().over(Window.partitionBy("no", "chunk").orderBy("slot"))
-    return (drawn.withColumn("inside", inside).join(before, ["no", "chunk"])
-            .select("slot", "no", (F.col("before") + F.col("inside") - 1).alias("rank")))
+    return drawn.join(before, ["no", "chunk"]).select("slot", "no", (F.col("before") + F.col("inside")).alias("rank"))
+
+
+def _in_cells(rows: DataFrame, begin: Column, end: Column, block: int) -> DataFrame:
+    """Each stretch ``[begin, end)`` of a line once for each cell of ``block``
+    words that it meets, as ``lo`` and ``hi`` inside the cell; an empty one once."""
+    cells = F.sequence(F.floor(begin / block), F.floor((F.greatest(end, begin + 1) - 1) / block))
+    return (rows.withColumn("cell", F.explode(cells))
+            .withColumn("lo", F.greatest(begin, F.col("cell") * block))
+            .withColumn("hi", F.least(end, (F.col("cell") + 1) * block)))
+
+
+def _placed(docs: DataFrame, weights: tuple[float, ...], block: int, seed: int,
+            id_col: str, text_col: str, source_col: str, row_col: str | None) -> DataFrame:
+    """What each slot takes of each document: ``words`` of it from ``first`` on,
+    in turn ``turn`` of its source's line.  A part of a document that no slot
+    takes has no slot and no words."""
+    key = F.col(f"`{row_col}`") if row_col else F.lit(0)
+    sizes = materialize(docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), key.cast("long").alias("key"),
+        word_count(F.col(f"`{text_col}`")).alias("size")), "mix-sizes")
+    targets = materialize(source_targets(sizes, weights), "mix-targets")
+    # a slot's block as stretches of its source's line, one for each turn it meets
+    size, start = F.col("source_size"), F.col("rank") * block
+    stop = F.least(start + block, size * CAP)
+    turns = F.sequence(F.expr(f"rank * {block} div source_size"), F.expr("(stop - 1) div source_size"))
+    stretches = (schedule(targets, block).join(targets.where("source_size > 0").select("no", "source_size"), "no")
+                 .withColumn("stop", stop).where(F.col("stop") > start).withColumn("turn", F.explode(turns)))
+    stretches = _in_cells(stretches, F.greatest(start - F.col("turn") * size, F.lit(0)),
+                          F.least(F.col("stop") - F.col("turn") * size, size), block)
+    stretches = stretches.select("no", "cell", "slot", "rank", "turn", F.col("lo").alias("from"), F.col("hi").alias("to"))
+    line = shuffled_line(sizes, targets, seed)
+    pieces = _in_cells(line, F.col("at"), F.col("at") + F.col("size"), block)
+    first, last = F.greatest("lo", "from"), F.least("hi", "to")
+    return (pieces.join(stretches, ["no", "cell"], "left")
+            .withColumn("words", F.when(F.col("slot").isNull(), 0).otherwise(F.greatest(last - first, F.lit(0))))
+            .withColumn("first", first - F.col("at")))
+
+
+def sequence(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int = 32, seed: int = 42,
+             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             row_col: str | None = None) -> DataFrame:
+    """The mix in its order: ``slot, source, rank`` (the block of its source),
+    ``turn, at`` (the document's place on its source's line), ``doc_id, key``
+    (``row_col``), ``first`` and ``words`` (what the slot takes of the document)."""
+    return (_placed(docs, weights, block, seed, id_col, text_col, source_col, row_col).where("words > 0")
+            .select("slot", "source", "rank", "turn", "at", "doc_id", "key", "first", "words"))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int = 1024, seed: int = 42,
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), block: int = 32, seed: int = 42,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target`` and
     ``taken``, the words that the schedule's slots take of it."""
-    sizes = materialize(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
-                                    word_count(F.col(f"`{text_col}`")).alias("size")), "mix-sizes")
-    targets = materialize(source_targets(sizes, weights), "mix-targets")
-    slots = schedule(targets, block)
-    # how far the schedule's slots of a source carry, and the slots it lacks
-    drawn = slots.groupBy("no").count()
-    goal = F.round("target").cast("long")
-    blocks = F.ceil(F.col("source_size") / block)
-    whole_turns = F.floor(goal / F.col("source_size"))
-    needed = whole_turns * blocks + F.ceil((goal - whole_turns * F.col("source_size")) / block)
-    plan = (targets.where("source_size > 0").join(drawn, "no", "left")
-            .select("no", "source_size", goal.alias("goal"), blocks.alias("blocks"), needed.alias("needed"),
-                    F.coalesce("count", F.lit(0)).alias("drawn")))
-    lacking = (plan.where("drawn < needed")
-               .select("no", F.explode(F.sequence(F.col("drawn"), F.col("needed") - 1)).alias("rank")))
-    turn, place = F.floor(F.col("rank") / F.col("blocks")), F.col("rank") % F.col("blocks")
-    before = turn * F.col("source_size") + place * block
-    full = F.least(F.lit(block), F.col("source_size") - place * block)
-    taken_blocks = (slots.select("no", "rank").union(lacking).join(plan, "no").where("rank < needed")
-                    .select("no", place.alias("block_no"), F.least(full, F.col("goal") - before).alias("words"))
-                    .where("words > 0").groupBy("no", "block_no", "words").agg(F.count("*").alias("times")))
-    line = shuffled_line(sizes, targets, seed)
-    first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.greatest("size", F.lit(1)) - 1) / block)
-    pieces = line.withColumn("block_no", F.explode(F.sequence(first, last)))
-    begin = F.greatest(F.col("at") - F.col("block_no") * block, F.lit(0))
-    end = F.least(F.col("at") + F.col("size") - F.col("block_no") * block, F.lit(block))
-    got = F.greatest(F.least(end, F.col("words")) - begin, F.lit(0)) * F.col("times")
-    return (pieces.join(taken_blocks, ["no", "block_no"], "left")
+    return (_placed(docs, weights, block, seed, id_col, text_col, source_col, None)
             .groupBy("no", "bucket", "row", "doc_id", "source", "size", "source_size", "target")
-            .agg(F.coalesce(F.sum(got), F.lit(0)).cast("long").alias("taken"))
+            .agg(F.sum("words").cast("long").alias("taken"))
             .select("doc_id", "source", "size", "source_size", "target", "taken"))
 
 
-def oracle_sql(weights: tuple[float, ...] = (5, 2, 1), seed: int = 42) -> str:
-    """DuckDB SQL for ``mix``: whole turns around the line, then its beginning."""
+def copies(docs: DataFrame, row_col: str, weights: tuple[float, ...] = (5, 2, 1), block: int = 32, seed: int = 42,
+           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Whole documents in place of the slots' words: ``key`` (``row_col``, which
+    names a row) once for each turn in which slots take at least half of its words,
+    with the ``slot`` of the first, ``turn`` and ``at`` to order by.  Documents
+    without words come once, first."""
+    return (_placed(docs, weights, block, seed, id_col, text_col, source_col, row_col)
+            .where("words > 0 or size = 0")
+            .groupBy("key", "turn", "at", "size").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"))
+            .where("2 * words >= size")
+            .selectExpr("key", "if(size = 0, -1, slot) as slot", "if(size = 0, 0, turn) as turn", "at").distinct())
+
+
+def oracle_sql(weights: tuple[float, ...] = (5, 2, 1), block: int = 32, seed: int = 42) -> str:
+    """DuckDB SQL for ``mix``.  A source's ranks have no gaps, so its slots take
+    whole turns around its line, then the line's beginning."""
     return rf"""
 with sizes as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size from documents),
@@ -161,11 +203,22 @@ lev as (
 tgt as (
   select *, least(most, coalesce(weight * (select l.level from lev l where l.level * l.weight < l.most
                                            order by l.place limit 1), most)) as target from lev),
+ends as (
+  select no, source_size, sum(round(target)::hugeint) over (order by no) as until,
+         sum(round(target)::hugeint) over () as total from tgt),
+points as (
+  select ((t + 1)::hugeint * {GOLDEN}) % 18446744073709551616 as point, t
+  from generate_series(0::bigint, (select coalesce(max((total + {block} - 1) // {block}), 0) - 1 from ends)::bigint) g(t)),
+drawn as (
+  select no, any_value(source_size) as source_size, count(*) as slots from (
+    select t, (select min(no) from ends where point * total < until * 18446744073709551616) as no from points)
+  join ends using (no) group by no),
+carry as (select no, least(slots * {block}, {CAP} * source_size)::bigint as goal from drawn),
 line as (
-  select doc_id, size, source_size, target, round(target)::bigint as goal,
+  select doc_id, size, source_size, target, coalesce(goal, 0) as goal,
          sum(size) over (partition by no order by md5('{seed}:' || coalesce(doc_id::varchar, '')), doc_id, size
                          rows between unbounded preceding and current row)::bigint - size as line_at
-  from sizes join tgt on sizes.source is not distinct from tgt.source)
+  from sizes join tgt on sizes.source is not distinct from tgt.source left join carry using (no))
 select doc_id, size, source_size, target,
        case when source_size = 0 then 0 else size * (goal // source_size)
             + greatest(least(line_at + size, goal % source_size) - line_at, 0) end::bigint as taken

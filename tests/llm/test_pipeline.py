@@ -73,11 +73,26 @@ def overlapping(spans):
     return any(a[2] > b[1] for a, b in zip(s, s[1:]))
 
 
-def test_mix_repeats_documents(spark, chain):
-    times = {r["doc_id"]: 1 if r["size"] == 0 else int(np.floor(r["taken"] / r["size"] + 0.5))
-             for r in mixing.mix(chain[3]).collect()}
-    want = sorted(r for r in rows(chain[3]) for _ in range(times[r[0]]))
-    assert sorted(rows(chain[4])) == want
+def test_mix_repeats_documents_in_slot_order(spark, chain):
+    """Plain walk of the schedule: a copy for each turn of which half is taken."""
+    parts = mixing.sequence(chain[3]).toPandas()
+    by = parts.groupby(["doc_id", "turn"]).agg(words=("words", "sum"), slot=("slot", "min"), at=("at", "min")).reset_index()
+    sizes = {r["doc_id"]: r["size"] for r in mixing.mix(chain[3]).collect()}
+    by = by[by["words"] * 2 >= by["doc_id"].map(sizes)].sort_values(["slot", "turn", "at"])
+    texts = {r[0]: r for r in rows(chain[3])}
+    want = [texts[i] for i in by["doc_id"]]
+    empty = [r for r in texts.values() if sizes[r[0]] == 0]
+    assert sorted(rows(chain[4])) == sorted(want + empty)
+    assert rows(corpus_pipeline.mix_sources(spark, chain[3], SF_SMALL))[len(empty):] == want
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    """Different texts of one id stay; copies with null ids go."""
+    docs = documents(spark, [(1, "a b c d e", "en", "s", 9), (1, "v w x y z", "en", "s", 9), (2, "a b c d e", "en", "t", 9),
+                             (None, "k l m n o", "en", "s", 9), (None, "k l m n o", "en", "s", 9)])
+    kept = sorted(map(str, rows(corpus_pipeline.near_dedup(spark, docs, SF_SMALL))))
+    assert kept == sorted(map(str, [(1, "a b c d e", "en", "s", 9), (1, "v w x y z", "en", "s", 9),
+                                    (None, "k l m n o", "en", "s", 9)]))
 
 
 def test_last_stage_packs_all(chain):
