@@ -6,10 +6,13 @@ Each stage calls one operator of ``ledgerlens.llm``; its result is written as
 Parquet and read again as the next stage's documents.  All stages but the last
 keep the columns of documents.
 
-Defined cases: rows with a null id are never dropped as duplicates and are taken
-once by the mix, as nothing tells them apart; of rows with one id one stays;
-null texts stay null and count as empty; an empty table gives an empty result;
-extra columns are carried along up to the mix.
+Rows are told apart by a row number that a stage writes with them (``numbered``),
+never by their id.
+
+Defined cases: rows of one id with different texts are documents of their own;
+near copies go whatever their ids, null ones too; null texts stay null and count
+as empty; documents without words pass the mix once; an empty table gives an
+empty result; extra columns are carried along up to the mix.
 """
 
 from __future__ import annotations
@@ -33,12 +36,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity_fm.drop_toxic(docs, model)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own, ``_row``, written down so that it stays."""
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
+    """One document of each group of near duplicates: that with the smallest id,
+    null ids last, and the first of its rows."""
     bound_batches(spark)
-    keep = simhash_groups(docs, shingle=4, max_bits=4).where("doc_id = component_id").select("doc_id")
-    first = docs.join(keep, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return first.union(docs.where("doc_id is null"))
+    rows = numbered(docs)
+    groups = simhash_groups(rows, shingle=4, max_bits=4, id_col="_row")
+    ids = rows.select("_row", "doc_id").withColumnsRenamed({"_row": "row", "doc_id": "id"})
+    first = F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias("_row")
+    keep = groups.join(ids, groups["doc_id"] == ids["row"]).groupBy("component_id").agg(first)
+    return rows.join(keep.select("_row"), "_row", "left_semi").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,16 +60,13 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes all its words, to the
-    nearest whole number; documents without words once."""
+    """Each document once for each turn in which the mix takes at least half of
+    its words, in the order of the schedule's slots."""
     bound_batches(spark)
-    copies = F.when(F.col("size") == 0, 1).otherwise(F.round(F.col("taken") / F.col("size"))).cast("int")
-    times = (mixing.mix(docs).where("doc_id is not null").select("doc_id", copies.alias("_copies"))
-             .where("_copies > 0").dropDuplicates(["doc_id"]))
-    columns = docs.columns
-    mixed = (docs.join(times, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-             .select(*columns))
-    return mixed.union(docs.where("doc_id is null"))
+    rows = numbered(docs)
+    copies = mixing.copies(rows, "_row").withColumnsRenamed({n: f"_{n}" for n in ("key", "slot", "turn", "at")})
+    return (rows.join(copies, F.col("_row") == F.col("_key"))
+            .orderBy("_slot", "_turn", "_at", "_row").select(*docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
