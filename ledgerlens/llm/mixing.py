@@ -93,27 +93,38 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     # the last bound, 2^64 itself, is left out
     ends = np.cumsum(np.array(goals, object)) if total else []
     bounds = np.array([-(-(int(e) << 64) // total) for e in ends if e < total], np.uint64)
-    chunks = spark.range(-(-slots // CHUNK)).withColumnRenamed("id", "chunk")
+    def sources(c: int) -> np.ndarray:
+        t = np.arange(c * CHUNK, min((c + 1) * CHUNK, slots), dtype=np.int64)
+        return np.searchsorted(bounds, (t + 1).astype(np.uint64) * np.uint64(GOLDEN), side="right")
 
-    def make():
+    def count():
         def run(batch):
-            out = {"slot": [], "chunk": [], "no": [], "inside": []}
-            for c in column(batch, "chunk").to_pylist():
-                t = np.arange(c * CHUNK, min((c + 1) * CHUNK, slots), dtype=np.int64)
-                no = np.searchsorted(bounds, (t + 1).astype(np.uint64) * np.uint64(GOLDEN), side="right")
-                by_no = np.argsort(no, kind="stable")
-                counts = np.bincount(no)
-                inside = np.empty(len(t), np.int64)
-                inside[by_no] = np.arange(len(t)) - np.repeat(np.cumsum(counts) - counts, counts)
-                for name, part in zip(out, (t, np.full(len(t), c), no, inside)):
-                    out[name].append(part)
-            return {k: np.concatenate(v) if v else [] for k, v in out.items()}
+            (c,) = column(batch, "chunk").to_pylist()
+            counts = np.bincount(sources(c))
+            no = np.flatnonzero(counts)
+            return {"chunk": np.full(len(no), c), "no": no, "count": counts[no]}
         return run
 
-    drawn = map_batches(chunks, make, dict.fromkeys(("slot", "chunk", "no", "inside"), "long"), rows=1)
-    before = (drawn.groupBy("no", "chunk").count().select("no", "chunk", (F.sum("count").over(
-        Window.partitionBy("no").orderBy("chunk")) - F.col("count")).alias("before")))
-    return drawn.join(before, ["no", "chunk"]).select("slot", "no", (F.col("before") + F.col("inside")).alias("rank"))
+    def draw():
+        def run(batch):
+            ((c, nos, befores),) = zip(*(column(batch, n).to_pylist() for n in ("chunk", "nos", "befores")))
+            no = sources(c)
+            by_no = np.argsort(no, kind="stable")
+            counts = np.bincount(no)
+            rank = np.empty(len(no), np.int64)
+            rank[by_no] = np.arange(len(no)) - np.repeat(np.cumsum(counts) - counts, counts)
+            before = np.zeros(len(counts), np.int64)
+            before[nos] = befores
+            return {"slot": c * CHUNK + np.arange(len(no)), "no": no, "rank": rank + before[no]}
+        return run
+
+    chunks = spark.range(-(-slots // CHUNK)).withColumnRenamed("id", "chunk")
+    counted = map_batches(chunks, count, dict.fromkeys(("chunk", "no", "count"), "long"), rows=1)
+    before = F.sum("count").over(Window.partitionBy("no").orderBy("chunk")) - F.col("count")
+    ranked = (counted.withColumn("before", before).groupBy("chunk")
+              .agg(F.collect_list(F.struct("no", "before")).alias("_")).selectExpr(
+                  "chunk", "_.no as nos", "_.before as befores"))
+    return map_batches(ranked, draw, dict.fromkeys(("slot", "no", "rank"), "long"), rows=1)
 
 
 def _in_cells(rows: DataFrame, begin: Column, end: Column, block: int) -> DataFrame:
@@ -147,7 +158,8 @@ def _placed(docs: DataFrame, weights: tuple[float, ...], block: int, seed: int,
     line = shuffled_line(sizes, targets, seed)
     pieces = _in_cells(line, F.col("at"), F.col("at") + F.col("size"), block)
     first, last = F.greatest("lo", "from"), F.least("hi", "to")
-    return (pieces.join(stretches, ["no", "cell"], "left")
+    # both sides grow with the corpus, and compress to far less than they take in memory
+    return (pieces.join(stretches.hint("merge"), ["no", "cell"], "left")
             .withColumn("words", F.when(F.col("slot").isNull(), 0).otherwise(F.greatest(last - first, F.lit(0))))
             .withColumn("first", first - F.col("at")))
 
