@@ -36,6 +36,7 @@ from .common import column, map_batches, materialize
 GOLDEN = 0x9E3779B97F4A7C15   # 2^64 over the golden ratio, odd
 CAP = 3                  # times its size that a source, and a document, may be taken
 CHUNK = 1 << 16          # slots of the schedule that one row generates
+CHUNKS = 64              # rows that one task turns into slots
 PREFIX = 3               # hex digits of the id's hash that name a bucket of a source
 
 
@@ -124,6 +125,8 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
     ranked = (counted.withColumn("before", before).groupBy("chunk")
               .agg(F.collect_list(F.struct("no", "before")).alias("_")).selectExpr(
                   "chunk", "_.no as nos", "_.before as befores"))
+    # a chunk's row is small, so adaptive execution would leave all chunks to one task
+    ranked = ranked.repartition(max(1, -(-slots // (CHUNK * CHUNKS))), "chunk")
     return map_batches(ranked, draw, dict.fromkeys(("slot", "no", "rank"), "long"), rows=1)
 
 
