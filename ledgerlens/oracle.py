@@ -352,6 +352,11 @@ def _counts_by(keys: str, src: str, chain) -> str:
 SILVER_READBACK = with_ctes(*C_BRONZE_SILVER, body=f"""SELECT transaction_id, event_id, bronze_day, ds_day,
   dq_status, dq_errors, {r6('amount')} AS amount, currency, channel, country, country_iso2, mcc, device, metadata,
   approved_int, {RISK_BUCKET} AS risk_bucket FROM silver""")
+SILVER_UNKNOWN_FIELDS = with_ctes(*C_BRONZE_VAL, body="""SELECT sink, txn AS transaction_id, ds_day,
+  CAST(substr(txn, 5) AS BIGINT) AS points, 't }{ ' || substr(txn, 5) AS tier, 'c' || substr(txn, 5) AS coupon,
+  CASE WHEN NOT is_malformed THEN 'coupon,loyalty' END AS undeclared FROM (
+  SELECT *, CASE WHEN dq_status = 'BAD' THEN 'quarantine' ELSE 'silver' END AS sink,
+    CASE WHEN NOT is_malformed THEN transaction_id END AS txn FROM checked)""")
 BRONZE_FRAGMENTS = """fragments AS (SELECT event_id, fragment_idx, fragment FROM (
   SELECT event_id, unnest(range(len(parts))) AS fragment_idx, unnest(parts) AS fragment FROM (
     SELECT event_id, string_split(regexp_replace(raw_line, '\\}\\s*\\{', '}' || chr(10) || '{', 'g'), chr(10)) AS parts FROM untidy))
@@ -463,6 +468,7 @@ FROM (SELECT *, coalesce({boolish('approved')}, CASE WHEN upper(trim(status)) =
     "latest_partition_day": with_ctes(*C_SILVER, body="SELECT max(ds_day) AS latest_day FROM silver"),
     "table_append_readback": _counts_by("ds_day, dq_status", "silver", C_SILVER),
     "silver_write_readback": SILVER_READBACK,
+    "silver_unknown_fields": SILVER_UNKNOWN_FIELDS,
     "gold_write_readback": KPIS_BRONZE,
     "gold_rerun_idempotent": KPIS_BRONZE,
     "gold_days_separately": KPIS_BRONZE,

@@ -14,7 +14,7 @@ from ..operators import quality
 from ..sinks.catalog import AUDIT_DDL, QUARANTINE_DDL, SILVER_DDL
 from ..sinks.manifest import SINKS, Manifest, live_folders, read_manifest
 from ..sinks.writers import replace_folder, run_concurrently
-from ..sources.bronze import parse_events, read_bronze, unglue
+from ..sources.bronze import parse_events, read_bronze, unglue, whole_event
 from ..sources.ledger import landed_files, open_days, read_ledger, write_ledger
 from .winners import commit_run, write_copies
 
@@ -93,30 +93,38 @@ def bronze_day_of(df: DataFrame) -> Column:
 SINK_DDL = {"silver": SILVER_DDL, "quarantine": QUARANTINE_DDL, "audit": AUDIT_DDL}
 
 
-def read_sink(spark: SparkSession, out_root: str, sink: str, manifest: Manifest | None = None) -> DataFrame:
+def read_sink(spark: SparkSession, out_root: str, sink: str, manifest: Manifest | None = None,
+              whole_events: bool = False) -> DataFrame:
     """Silver, quarantine or audit as last committed (or as of ``manifest``);
-    empty if there is nothing yet."""
+    empty if there is nothing yet.  ``whole_events`` adds ``event``, the record
+    as it came (NULL in rows of runs that did not keep it)."""
     root = out_root.rstrip("/")
+    layout = ("event variant, " if whole_events else "") + SINK_DDL[sink]
     paths = live_folders(root, manifest or read_manifest(spark, root), sink)
     if not paths:
-        return spark.createDataFrame([], SINK_DDL[sink])
-    df = spark.read.schema(SINK_DDL[sink] + ", run string").option("basePath", f"{root}/{sink}").parquet(*paths)
+        return spark.createDataFrame([], SINK_DDL[sink]).selectExpr(
+            *(["CAST(NULL AS variant) AS event"] if whole_events else []), "*")
+    df = spark.read.schema(layout + ", run string").option("basePath", f"{root}/{sink}").parquet(*paths)
     return df.drop("run")
 
 
 def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | list | None, run: str, buckets: int,
-                strict: bool = False) -> dict:
+                strict: bool = False, whole_events: bool = False) -> dict:
     """Write one run: GOOD/WARN -> silver, BAD -> quarantine, the audit of both
     and the index of silver's event ids, all in folders of the run, which no
     reader sees before the commit.  Returns bronze day -> event days by sink.
+    ``whole_events`` keeps each record beside its typed columns, as a VARIANT.
 
     The graded rows are not cached: each of the two sinks is a map-only pass
     over bronze, and the audit counts what they wrote."""
     spark, root = validated.sparkSession, out_root.rstrip("/")
     day = F.lit(bronze_day).cast("date") if isinstance(bronze_day, str) else bronze_day_of(validated)
     graded = validated.withColumn("bronze_day", day)
-    rows = {"silver": to_silver(quality.good_rows(graded), strict, keep=("bronze_day",)),
-            "quarantine": quality.quarantine_view(graded, keep=("bronze_day",))}
+    keep = ("bronze_day",)
+    if whole_events:
+        graded, keep = graded.withColumn("event", whole_event()), (*keep, "event")
+    rows = {"silver": to_silver(quality.good_rows(graded), strict, keep=keep),
+            "quarantine": quality.quarantine_view(graded, keep=keep)}
     paths = {s: f"{root}/{s}/run={run}" for s in SINKS}
     run_concurrently([lambda s=s, df=df: replace_folder(df, paths[s], ["bronze_day", "ds_day"],
                                                         rebalance=s == "quarantine") for s, df in rows.items()])
@@ -143,7 +151,7 @@ def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | list | No
 
 
 def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | list | None,
-                       strict: bool = False, files: DataFrame | None = None) -> dict:
+                       strict: bool = False, files: DataFrame | None = None, whole_events: bool = False) -> dict:
     """Stage one bronze day or several (``None``: the whole tree) and commit
     them, with the ledger of ``files`` if given.
 
@@ -161,7 +169,7 @@ def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | li
     if ledger:
         # before the lines are read: a file that lands meanwhile is new to the next run
         write_ledger(files, root, run)
-    batches = stage_batch(validated, root, bronze_day, run, base.buckets, strict)
+    batches = stage_batch(validated, root, bronze_day, run, base.buckets, strict, whole_events)
     new = commit_run(spark, root, run, batches, bronze_day is None, base.buckets, base, ledger)
     replaced = {k: b for k, b in base.batches.items() if bronze_day is None or k in batches}
     days = {d for b in [*batches.values(), *replaced.values()] for d in b["silver"]}
@@ -171,16 +179,17 @@ def write_silver_batch(validated: DataFrame, out_root: str, bronze_day: str | li
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, out_root: str, bronze_day: str | None,
                      as_of: Column | None = None, strict: bool = False,
-                     partitions: int | None = None) -> dict:
+                     partitions: int | None = None, whole_events: bool = False) -> dict:
     """Job: one bronze day (``None``: the whole tree, each line keeping its
-    own folder day) -> silver + quarantine + audit (rerun-safe)."""
+    own folder day) -> silver + quarantine + audit (rerun-safe).  With
+    ``whole_events`` no field of a record is lost (``read_sink`` gives it back)."""
     validated = validate_bronze(spark, bronze_root, day=bronze_day, as_of=as_of, strict=strict,
                                 partitions=partitions)
-    return write_silver_batch(validated, out_root, bronze_day, strict)
+    return write_silver_batch(validated, out_root, bronze_day, strict, whole_events=whole_events)
 
 
 def landed_to_silver(spark: SparkSession, bronze_root: str, out_root: str, as_of: Column | None = None,
-                     strict: bool = False, partitions: int | None = None) -> dict:
+                     strict: bool = False, partitions: int | None = None, whole_events: bool = False) -> dict:
     """Job: run the bronze days that have a new, changed or vanished file since
     the last run, all in one commit.  Returns what ``bronze_to_silver`` does and
     ``bronze_days``, the days run; an unchanged tree is not read."""
@@ -190,4 +199,4 @@ def landed_to_silver(spark: SparkSession, bronze_root: str, out_root: str, as_of
     if not due:
         return {s: f"{root}/{s}" for s in SINKS} | {"days": [], "touched": [], "bronze_days": []}
     validated = validate_bronze(spark, bronze_root, day=due, as_of=as_of, strict=strict, partitions=partitions)
-    return write_silver_batch(validated, root, due, strict, files) | {"bronze_days": due}
+    return write_silver_batch(validated, root, due, strict, files, whole_events) | {"bronze_days": due}

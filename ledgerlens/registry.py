@@ -38,7 +38,8 @@ from .sinks.writers import append_table, replace_table_property, snapshot_table,
 from .sources import bronze as B
 from .sources import schemas, tables
 from .sources.dimensions import address_ranges
-from .sources.fixtures import bronze_lines, copied_lines, faulty_lines, payment_events, untidy_text
+from .sources.fixtures import (bronze_lines, copied_lines, faulty_lines, payment_events, untidy_text,
+                               with_undeclared_fields)
 from .streaming import jobs as stream_jobs
 
 # Fixed evaluation time for time-relative rules (all fixture events are
@@ -479,6 +480,20 @@ def q_silver_write_readback(spark, sf):
                             "approved_int", "risk_bucket"))
 
 
+def q_silver_unknown_fields(spark, sf):
+    """Undeclared fields of silver's and the quarantine's records, from the kept VARIANT."""
+    root, out = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    B.write_bronze(with_undeclared_fields(bronze_lines(_events(spark, sf))), root, mode="overwrite")
+    bronze_to_silver(spark, root, out, None, as_of=as_of(), whole_events=True)
+    rows = [read_sink(spark, out, s, whole_events=True).select(
+        F.lit(s).alias("sink"), B.event_field("$.transaction_id").alias("transaction_id"), "event",
+        "ds_day") for s in ("silver", "quarantine")]
+    return _finish(rows[0].union(rows[1]).select(
+        "sink", "transaction_id", "ds_day", B.event_field("$.loyalty.points", "bigint").alias("points"),
+        B.event_field("$.loyalty.tier").alias("tier"), B.event_field("$.coupon").alias("coupon"),
+        F.array_join(B.undeclared_fields(), ",").alias("undeclared")))
+
+
 def _gold_from_medallion(spark, sf, runs: int = 1, parts: int = 1) -> str:
     """Marts of all silver days, ``runs`` times, each in ``parts`` runs."""
     out = _medallion_silver(spark, sf)

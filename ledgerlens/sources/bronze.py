@@ -103,6 +103,25 @@ def parse_events(fragments: DataFrame, col: str = "raw_line",
         "is_malformed_json": F.col("_j").isNull() | corrupt, **{n: typed[n] for n in names}}).drop("_j")
 
 
+def whole_event(col: str = "raw_line") -> Column:
+    """The record as it came, as a VARIANT: every field, declared or not.  NULL
+    where the text is no JSON, or names one key of an object twice (unless
+    ``spark.sql.variant.allowDuplicateKeys`` is set; then the last one counts)."""
+    return F.try_parse_json(col)
+
+
+def event_field(path: str, data_type: str = "string", col: str = "event") -> Column:
+    """A typed field of a kept record, by JSON path (``$.loyalty.points``); NULL
+    where it is missing or does not fit the type."""
+    return F.try_variant_get(F.col(col), path, data_type)
+
+
+def undeclared_fields(col: str = "event", schema: T.StructType = RAW_EVENT_SCHEMA) -> Column:
+    """Names of a kept record's fields that ``schema`` does not declare, sorted."""
+    return F.array_sort(F.array_except(F.json_object_keys(F.to_json(F.col(col))),
+                                       F.array(*[F.lit(n) for n in schema.fieldNames()])))
+
+
 def sample_lines(raw: DataFrame, k: int, by: list[str], col: str = "raw_line") -> DataFrame:
     """The ``k`` lines of each group with the smallest hashes, for a look at the
     data; nothing else may depend on it.

@@ -117,6 +117,13 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 COUNTRY_FIELDS = ["country", "country_code", "countryCode", "country_iso", "country_iso2"]
 
 
+def with_undeclared_fields(lines: DataFrame) -> DataFrame:
+    """Raw lines whose records carry two fields that the event schema does not
+    declare: an object with the transaction's number, and a text made of it."""
+    extra = r'$0, "loyalty":{"points":$1,"tier":"t }{ $1"},"coupon":"c$1"'
+    return lines.withColumn("value", F.regexp_replace("value", r'"transaction_id"\s*:\s*"txn_([0-9]+)"', extra))
+
+
 def bronze_lines(events: DataFrame) -> DataFrame:
     """Raw bronze lines (one JSON object per payment event, producer field
     names) with planted defects, plus the partition columns of the day it

@@ -131,46 +131,72 @@ def rows_dropped_by_watermark(query) -> int:
 
 def dedup_stream_batched(spark: SparkSession, source: str, schema: T.StructType, out_path: str, seen_path: str,
                          checkpoint: str, key: str = "event_id", event_time: str = "event_ts",
-                         delay_days: int = 1, max_files_per_trigger: int = FILES_PER_TRIGGER,
+                         delay_days: int | None = None, max_files_per_trigger: int = FILES_PER_TRIGGER,
                          available_now: bool = True):
-    """Streaming dedup without state in memory (first copy of each key wins).
-
-    Each micro-batch is deduplicated with the batch operator first (partial
-    aggregation: all copies of a hot key collapse inside each task), then
-    anti-joined on the key against the ids already emitted.  Those are stored
-    by event day, then batch: a batch opens only the folders of days within
-    ``delay_days`` of one of its own, so an old row costs its day and not all
-    history.  A batch owns its ``batch_id=N`` folders and consults only those
-    of earlier batches, so a replayed micro-batch reproduces its own output
-    exactly.  Rows with a NULL key pass through.
+    """Streaming dedup without state in memory.
+
+    One rule within a micro-batch and across them: a row goes if a copy of its
+    key was kept, or, with ``delay_days``, if one was kept whose event day is at
+    most so far from its own.  Days of a batch are taken in order and of a day's
+    copies the earliest, so files that arrive by event day give the same keys and
+    days however they fall into batches.
+
+    A batch is first reduced to one row for each key and day by the batch operator
+    (partial aggregation: all copies of a hot key collapse inside each task).  The
+    keys already kept are stored by event day, then batch.  With ``delay_days`` a
+    batch opens only the folders of days that near to its own, so an old row costs
+    its day; without, it scans the keys (not the rows) of all history.  A batch owns its ``batch_id=N`` folders and
+    consults only those of earlier batches, so a replayed micro-batch reproduces
+    its own output exactly.  Rows with a NULL key pass through, with ``delay_days``
+    those with a NULL time too; without, such a copy is the last to be kept.
     """
     from ..operators.dedup import dedup_latest
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source)
-    seen_schema = T.StructType([T.StructField(key, schema[key].dataType), T.StructField("batch_id", T.LongType())])
+    seen_schema = T.StructType([T.StructField(key, schema[key].dataType), T.StructField("ds_day", T.DateType()),
+                                T.StructField("batch_id", T.LongType())])
     seen_path = seen_path.rstrip("/")
 
     def step(batch: DataFrame, batch_id: int) -> None:
         own = batch.sparkSession
-        # earliest copy wins: order by the negated time
-        ranked = batch.withColumn("_neg_ts", -F.col(event_time).cast("double"))
-        others = [c for c in batch.columns if c not in (key, event_time)]
-        first = (dedup_latest(ranked, key, ["_neg_ts", *others]).drop("_neg_ts")
-                 .withColumn("_day", F.to_date(event_time)).persist())
+        # earliest copy wins: order by the negated time; only rows with both are copies of anything
+        ranked = (batch.withColumn("_neg_ts", -F.col(event_time).cast("double"))
+                  .withColumn("_day", F.to_date(event_time) if delay_days is not None
+                              else F.coalesce(F.to_date(event_time), F.lit(dt.date.max)))
+                  .withColumn("_copy", F.when(F.col(key).isNotNull() & F.col("_day").isNotNull(), F.struct(key, "_day"))))
+        others = [c for c in batch.columns if c != event_time]
+        first = dedup_latest(ranked, "_copy", ["_neg_ts", *others]).drop("_neg_ts").persist()
         try:
-            days = [r["_day"] for r in first.select("_day").distinct().collect() if r["_day"] is not None]
-            near = {d + dt.timedelta(days=k) for d in days for k in range(-delay_days, delay_days + 1)}
-            stored = [p for p in (f"{seen_path}/ds_day={d}" for d in sorted(near)) if folder_exists(own, p)]
-            fresh = first
+            copies = first.where(F.col("_copy").isNotNull()).select(key, "_day")
+            folders = [seen_path]
+            if delay_days is not None:
+                days = [r["_day"] for r in copies.select("_day").distinct().collect()]
+                near = {d + dt.timedelta(days=k) for d in days for k in range(-delay_days, delay_days + 1)}
+                folders = [f"{seen_path}/ds_day={d}" for d in sorted(near)]
+            stored = [p for p in folders if folder_exists(own, p)]
+            held = copies.select(key, "_day", F.lit(False).alias("_seen"))
             if stored:
                 # a day's folder may be opened before or after this batch's own
                 # first attempt wrote there: only earlier batches count
-                seen = own.read.schema(seen_schema).option("basePath", seen_path).parquet(*stored)
-                fresh = first.join(seen.where(F.col("batch_id") < batch_id).select(key), key, "left_anti")
-            write_partitioned(fresh.drop("_day").withColumn("batch_id", F.lit(batch_id).cast("long")), out_path,
+                seen = (own.read.schema(seen_schema).option("basePath", seen_path).parquet(*stored)
+                        .where(F.col("batch_id") < batch_id).select(key, F.col("ds_day").alias("_day"))
+                        .join(copies.select(key).distinct(), key, "left_semi"))
+                held = held.union(seen.select(key, "_day", F.lit(True)))
+            by_key = held.groupBy(key).agg(
+                F.array_sort(F.collect_list(F.when(~F.col("_seen"), F.col("_day")))).alias("_new"),
+                F.collect_set(F.when(F.col("_seen"), F.col("_day"))).alias("_old"))
+            def copied(d, o):
+                return F.lit(True) if delay_days is None else F.abs(F.date_diff(d, o)) <= delay_days
+
+            kept_days = F.aggregate("_new", F.expr("cast(array() as array<date>)"), lambda kept, d: F.when(
+                F.exists(F.concat(F.col("_old"), kept), lambda o: copied(d, o)), kept)
+                .otherwise(F.concat(kept, F.array(d))))
+            kept = by_key.select(F.col(key), F.explode(kept_days).alias("_day")).select(F.struct(key, "_day").alias("_copy"))
+            fresh = first.join(kept, "_copy", "left_semi").unionByName(first.where(F.col("_copy").isNull()))
+            write_partitioned(fresh.select(*batch.columns, F.lit(batch_id).cast("long").alias("batch_id")), out_path,
                               ["batch_id"])
-            ids = fresh.where(F.col(key).isNotNull() & F.col("_day").isNotNull()).select(
-                key, F.col("_day").alias("ds_day"), F.lit(batch_id).cast("long").alias("batch_id"))
+            ids = kept.select(f"_copy.{key}", F.col("_copy._day").alias("ds_day"),
+                              F.lit(batch_id).cast("long").alias("batch_id"))
             write_partitioned(ids, seen_path, ["ds_day", "batch_id"], rebalance=True)
         finally:
             first.unpersist()

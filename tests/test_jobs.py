@@ -158,6 +158,33 @@ def test_batched_stream_dedup_first_copy_and_replay(spark):
     assert rows == {("hot", "h0"), ("b", "b0"), (None, "n0"), (None, "n1"), ("c", "c0")}
 
 
+@pytest.mark.parametrize("delay", [None, 0, 1])
+def test_batched_dedup_does_not_depend_on_the_batches(spark, delay):
+    """Plain rule, whatever number of files a micro-batch takes."""
+    import datetime as dt
+    import random
+
+    rng = random.Random(3)
+    day = dt.datetime(2024, 1, 1)
+    rows = sorted((day + dt.timedelta(days=rng.randrange(6), hours=rng.randrange(24), seconds=i), f"k{rng.randrange(6)}", i)
+                  for i in range(60))
+    kept = {}
+    for t, k, i in rows:
+        if not any(delay is None or abs((t.date() - o.date()).days) <= delay for o, _ in kept.get(k, [])):
+            kept.setdefault(k, []).append((t, i))
+    want = sorted(i for v in kept.values() for _, i in v)
+    src = scratch_path(spark, "any-src")
+    schema = "event_id string, event_ts timestamp, v int"
+    for d in range(6):
+        part = [(k, t, i) for t, k, i in rows if t.date() == (day + dt.timedelta(days=d)).date()]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+    for files in (2, 100):
+        out, seen, ckpt = (scratch_path(spark, f"any-{n}") for n in ("out", "seen", "ckpt"))
+        stream_jobs.dedup_stream_batched(spark, src, spark.read.parquet(src).schema, out, seen, ckpt,
+                                         delay_days=delay, max_files_per_trigger=files)
+        assert sorted(r["v"] for r in spark.read.parquet(out).collect()) == want
+
+
 def test_catalog_partition_overwrite_is_idempotent(spark):
     from ledgerlens.sinks.writers import overwrite_table_partitions
     spark.sql("CREATE DATABASE IF NOT EXISTS ledgerlens_test")
