@@ -16,6 +16,8 @@ MERCHANT_SCHEMA = T.StructType([
 
 # the place between one object's end and the next one's beginning
 BETWEEN = r"(?<=\})\s*(?=\{)"
+# whether there is such a place: without lookaround, so a line costs one search for its braces
+GLUED = r"\}\s*\{"
 # one object from where the last one ended: string literals are taken whole, and
 # a closing brace ends it where an opening one follows or the line ends.  Each
 # character is looked at once, so a line of any length costs its length.
@@ -32,8 +34,10 @@ def unglue_fragments(c: Column) -> Column:
     it is cut at each ``}{``, so that its whole objects are kept and the broken
     one is quarantined.
     """
-    literals_close = F.length(F.regexp_replace(c, r"""(?s)\\.?|[^"\\]++""", "")) % 2 == 0
-    return (F.when(~c.rlike(BETWEEN), F.array(c))
+    # the quotes that no backslash escapes
+    unescaped = F.when(c.contains("\\"), F.regexp_replace(c, r"(?s)\\.", "")).otherwise(c)
+    literals_close = (F.length(unescaped) - F.length(F.replace(unescaped, F.lit('"'), F.lit("")))) % 2 == 0
+    return (F.when(~c.rlike(GLUED), F.array(c))
             .when(literals_close, F.regexp_extract_all(c, F.lit(ONE_OBJECT), F.lit(1)))
             .otherwise(F.split(c, BETWEEN)))
 

@@ -21,7 +21,9 @@ def parse_event_ts(c: Column) -> Column:
     n = F.when(s.rlike(r"^[0-9]+$"), s.try_cast("long"))
     millis = F.when(n >= F.lit(MILLIS_FROM), n).otherwise(F.try_multiply(n, F.lit(1000)))
     epoch = F.when(millis < F.lit(SECONDS_END) * 1000, F.timestamp_millis(millis))
-    return F.coalesce(epoch, F.try_to_timestamp(s, F.lit(BR_FORMAT)), F.try_to_timestamp(s))
+    # a text that the format cannot fit costs an exception: only those with its mark are tried
+    br = F.when(s.contains("/"), F.try_to_timestamp(s, F.lit(BR_FORMAT)))
+    return F.coalesce(epoch, br, F.try_to_timestamp(s))
 
 
 def _as_timestamp(df: DataFrame, name: str) -> Column | None:

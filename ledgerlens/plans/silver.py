@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
 
@@ -13,7 +14,7 @@ from ..functions import (boolish_to_int, country_iso2, country_name, is_internat
 from ..operators import quality
 from ..sinks.catalog import AUDIT_DDL, QUARANTINE_DDL, SILVER_DDL
 from ..sinks.manifest import SINKS, Manifest, live_folders, read_manifest
-from ..sinks.writers import replace_folder, run_concurrently
+from ..sinks.writers import clear_folder, replace_folder, run_concurrently
 from ..sources.bronze import parse_events, read_bronze, unglue, whole_event
 from ..sources.ledger import landed_files, open_days, read_ledger, write_ledger
 from .winners import commit_run, write_copies
@@ -90,6 +91,31 @@ def bronze_day_of(df: DataFrame) -> Column:
     return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"))
 
 
+# the quarantine's columns that silver lacks or holds in another form
+_BAD_ONLY = {"raw_line": "string", "dq_hard_errors": "array<string>", "event_ts": "string", "ingestion_ts": "timestamp"}
+
+
+@contextlib.contextmanager
+def staged_sinks(graded: DataFrame, path: str, strict: bool = False, keep: tuple = ()):
+    """Silver's and the quarantine's rows of ``graded``, which is computed once
+    and written to ``path`` for as long as they are in use.  A line's text is
+    staged for the quarantine only."""
+    if "source_file" not in graded.columns:
+        graded = graded.withColumn("source_file", F.lit(None).cast("string"))
+    bad = F.col("dq_status") == "BAD"
+    own = {c: F.when(bad, F.col(c).cast(t)) if c in graded.columns else F.lit(None).cast(t) for c, t in _BAD_ONLY.items()}
+    held = graded.withColumn("_bad", F.struct(*[c.alias(n) for n, c in own.items()]))
+    spark, staged = graded.sparkSession, to_silver(held, strict, keep=(*keep, "_bad"))
+    staged.write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(staged.schema).parquet(path)
+    view = [F.col(f"_bad.{c}").alias(c) if c in _BAD_ONLY else F.col(c) for c in quality.QUARANTINE_COLUMNS]
+    try:
+        yield {"silver": quality.good_rows(rows).drop("_bad"),
+               "quarantine": quality.bad_rows(rows).select(*view, *keep)}
+    finally:
+        clear_folder(spark, path)
+
+
 SINK_DDL = {"silver": SILVER_DDL, "quarantine": QUARANTINE_DDL, "audit": AUDIT_DDL}
 
 
@@ -115,19 +141,19 @@ def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | list | No
     reader sees before the commit.  Returns bronze day -> event days by sink.
     ``whole_events`` keeps each record beside its typed columns, as a VARIANT.
 
-    The graded rows are not cached: each of the two sinks is a map-only pass
-    over bronze, and the audit counts what they wrote."""
+    Bronze is read, parsed and graded once: that map-only pass writes the graded
+    rows to ``staged/run=R``, both sinks are made from there, and the audit counts
+    what they wrote."""
     spark, root = validated.sparkSession, out_root.rstrip("/")
     day = F.lit(bronze_day).cast("date") if isinstance(bronze_day, str) else bronze_day_of(validated)
     graded = validated.withColumn("bronze_day", day)
     keep = ("bronze_day",)
     if whole_events:
         graded, keep = graded.withColumn("event", whole_event()), (*keep, "event")
-    rows = {"silver": to_silver(quality.good_rows(graded), strict, keep=keep),
-            "quarantine": quality.quarantine_view(graded, keep=keep)}
     paths = {s: f"{root}/{s}/run={run}" for s in SINKS}
-    run_concurrently([lambda s=s, df=df: replace_folder(df, paths[s], ["bronze_day", "ds_day"],
-                                                        rebalance=s == "quarantine") for s, df in rows.items()])
+    with staged_sinks(graded, f"{root}/staged/run={run}", strict, keep) as rows:
+        run_concurrently([lambda s=s, df=df: replace_folder(df, paths[s], ["bronze_day", "ds_day"],
+                                                            rebalance=s == "quarantine") for s, df in rows.items()])
     written = {s: spark.read.schema(SINK_DDL[s]).parquet(paths[s]) for s in rows}
 
     def audit() -> list:

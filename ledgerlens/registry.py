@@ -31,10 +31,10 @@ from .operators.geo import geo_daily, geo_enrich
 from .plans import gold as gold_jobs
 from .plans import views
 from .plans.silver import bronze_to_silver, landed_to_silver, read_sink, stage_batch, to_silver, validate_bronze
-from .session import lake_session, scratch_path
+from .session import TASKS_PER_CORE, lake_session, scratch_path
 from .sinks import catalog
 from .sinks.manifest import INDEX_BUCKETS
-from .sinks.writers import append_table, replace_table_property, snapshot_table, write_partitioned
+from .sinks.writers import append_table, folder_bytes, replace_table_property, snapshot_table, write_partitioned
 from .sources import bronze as B
 from .sources import schemas, tables
 from .sources.dimensions import address_ranges
@@ -47,6 +47,7 @@ from .streaming import jobs as stream_jobs
 AS_OF = "2024-01-31 00:00:00"
 AS_OF_DAY = dt.date(2024, 1, 31)
 DB = "ledgerlens_q"
+LINE_PART_BYTES = 1 << 20
 
 
 def as_of():
@@ -104,10 +105,19 @@ def _geo(spark, sf, keep_unknown=True):
     return geo_daily(geo_enrich(_silver(spark, sf), address_ranges(spark)), keep_unknown)
 
 
+def _dealt_events(spark, sf):
+    """``events`` over a partition for each MB of it, up to ``TASKS_PER_CORE`` for
+    each core: a row group is read by one task, and making lines of it is work."""
+    most = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    parts = min(most, -(-folder_bytes(spark, f"{sf}/events.parquet") // LINE_PART_BYTES))
+    events = _events(spark, sf).select("event_id", "ts", "user_id", "event_type", "value")
+    return events.repartition(parts) if parts > 1 else events
+
+
 def _bronze_root(spark, sf) -> str:
     """Bronze lines derived from ``events`` landed as gzip text partitions."""
     root = scratch_path(spark, "bronze")
-    B.write_bronze(bronze_lines(_events(spark, sf)), root, mode="overwrite")
+    B.write_bronze(bronze_lines(_dealt_events(spark, sf)), root, mode="overwrite")
     return root
 
 
@@ -115,7 +125,7 @@ def _stored_lines(spark, sf):
     """The bronze lines as a table: tests on a line would otherwise repeat the
     expressions that make it."""
     path = scratch_path(spark, "lines")
-    bronze_lines(_events(spark, sf)).write.parquet(path)
+    bronze_lines(_dealt_events(spark, sf)).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -483,7 +493,7 @@ def q_silver_write_readback(spark, sf):
 def q_silver_unknown_fields(spark, sf):
     """Undeclared fields of silver's and the quarantine's records, from the kept VARIANT."""
     root, out = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
-    B.write_bronze(with_undeclared_fields(bronze_lines(_events(spark, sf))), root, mode="overwrite")
+    B.write_bronze(with_undeclared_fields(bronze_lines(_dealt_events(spark, sf))), root, mode="overwrite")
     bronze_to_silver(spark, root, out, None, as_of=as_of(), whole_events=True)
     rows = [read_sink(spark, out, s, whole_events=True).select(
         F.lit(s).alias("sink"), B.event_field("$.transaction_id").alias("transaction_id"), "event",
@@ -509,7 +519,7 @@ def _corrected_lake(spark, sf, marts: bool = False) -> str:
     """A lake whose first days arrived with faults and were run, then arrived
     corrected and were run again, day by day; a day that should never have
     been there is empty after the correction."""
-    lines = bronze_lines(_events(spark, sf))
+    lines = _stored_lines(spark, sf)
     first = _events(spark, sf).agg(F.min(F.to_date("ts"))).first()[0]
     root, out = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
     B.write_bronze(faulty_lines(lines, first), root, mode="overwrite")

@@ -54,17 +54,28 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files under a folder."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def folder_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _hadoop_path(spark, path)
     return fs.exists(p)
 
 
+def clear_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if there."""
+    fs, p = _hadoop_path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def clear_partitions(spark: SparkSession, path: str, partition_col: str, values) -> None:
     """Delete the partitions of these values (one folder each), if there."""
     for v in values:
-        fs, p = _hadoop_path(spark, f"{path.rstrip('/')}/{partition_col}={v}")
-        if fs.exists(p):
-            fs.delete(p, True)
+        clear_folder(spark, f"{path.rstrip('/')}/{partition_col}={v}")
 
 
 def _in_table_order(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
