@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from ..functions import day_parts, parse_event_ts, unglue_fragments, with_columns_once
 from ..operators import quality
-from ..plans.silver import to_silver
-from ..sinks.writers import folder_exists, replace_folder, write_partitioned
+from ..plans.silver import staged_sinks
+from ..sinks.writers import folder_exists, replace_folder, run_concurrently, write_partitioned
 from ..sources.bronze import parse_events, unglue
 
 # files of one micro-batch: a backlog is worked off in bounded steps
@@ -69,8 +69,8 @@ def validate_stream(spark: SparkSession, bronze_root: str, out_root: str, checkp
     micro-batch writes its GOOD/WARN rows to ``out_root/silver``, its BAD
     rows to ``out_root/quarantine`` and the counts of both to
     ``out_root/audit``.  A batch owns its ``batch_id=N`` folder of each sink
-    and replaces it whole when replayed.  The batch is not cached: the audit
-    counts what the two sinks hold."""
+    and replaces it whole when replayed.  A batch is parsed once, into a folder
+    that both sinks are made from; the audit counts what they hold."""
     src = (spark.readStream.format("text").option("recursiveFileLookup", "true")
            .option("maxFilesPerTrigger", max_files_per_trigger))
     raw = src.load(bronze_root).select(
@@ -81,8 +81,9 @@ def validate_stream(spark: SparkSession, bronze_root: str, out_root: str, checkp
 
     def route(batch: DataFrame, batch_id: int) -> None:
         own = {sink: f"{root}/{sink}/batch_id={batch_id}" for sink in ("silver", "quarantine", "audit")}
-        replace_folder(to_silver(quality.good_rows(batch), strict), own["silver"], ["ds_day"])
-        replace_folder(quality.quarantine_view(batch), own["quarantine"], ["ds_day"], rebalance=True)
+        with staged_sinks(batch, f"{root}/staged/batch_id={batch_id}", strict) as rows:
+            run_concurrently([lambda s=s, df=df: replace_folder(df, own[s], ["ds_day"], rebalance=s == "quarantine")
+                              for s, df in rows.items()])
         kept = [batch.sparkSession.read.schema("dq_status string, ds_day date").parquet(own[s])
                 for s in ("silver", "quarantine")]
         audit = (kept[0].unionByName(kept[1]).groupBy("ds_day", "dq_status").agg(F.count(F.lit(1)).alias("records"))
