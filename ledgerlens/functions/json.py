@@ -20,8 +20,9 @@ BETWEEN = r"(?<=\})\s*(?=\{)"
 GLUED = r"\}\s*\{"
 # one object from where the last one ended: string literals are taken whole, and
 # a closing brace ends it where an opening one follows or the line ends.  Each
-# character is looked at once, so a line of any length costs its length.
-ONE_OBJECT = (r"""(?s)\G(?=.)((?:[^"}]++|"(?:[^"\\]++|\\.)*+"|\}(?!\s*+\{))*+"""
+# character is looked at once, so a line of any length costs its length; a run of
+# ordinary characters is one step.
+ONE_OBJECT = (r"""(?s)\G(?=.)([^"}]*(?:(?:"[^"\\]*(?:\\.[^"\\]*)*+"|\}(?!\s*+\{))[^"}]*)*+"""
               r"""(?:\}(?=\s*+\{)|\z))\s*+""")
 
 
@@ -34,9 +35,10 @@ def unglue_fragments(c: Column) -> Column:
     it is cut at each ``}{``, so that its whole objects are kept and the broken
     one is quarantined.
     """
-    # the quotes that no backslash escapes
-    unescaped = F.when(c.contains("\\"), F.regexp_replace(c, r"(?s)\\.", "")).otherwise(c)
-    literals_close = (F.length(unescaped) - F.length(F.replace(unescaped, F.lit('"'), F.lit("")))) % 2 == 0
+    # the quotes that no backslash escapes: a pair of backslashes escapes nothing
+    unescaped = F.replace(F.replace(c, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    quotes = F.octet_length(unescaped) - F.octet_length(F.replace(unescaped, F.lit('"'), F.lit("")))
+    literals_close = quotes % 2 == 0
     return (F.when(~c.rlike(GLUED), F.array(c))
             .when(literals_close, F.regexp_extract_all(c, F.lit(ONE_OBJECT), F.lit(1)))
             .otherwise(F.split(c, BETWEEN)))

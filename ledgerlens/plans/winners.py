@@ -25,12 +25,11 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sinks.manifest import Manifest, commit, read_manifest, sweep
-from ..sinks.writers import folder_exists, replace_folder
+from ..sinks.writers import clear_folder, folder_exists, replace_folder
 
 # latest ingest wins; then the later event time; transaction id breaks the
 # remaining ties, so only byte-identical copies are left to choose between
@@ -83,19 +82,27 @@ def _changes(spark: SparkSession, root: str, manifest: Manifest, run: str, bronz
     own = F.col("bronze_day").isin([F.lit(d).cast("date") for d in sorted(bronze_days)]) if bronze_days else F.lit(False)
     fresh = (spark.read.schema(COPIES_DDL).option("basePath", f"{root}/copies").parquet(f"{root}/copies/run={run}")
              .select(*columns, F.lit(False).alias("was"), F.lit(True).alias("now")))
-    held = live_copies(spark, root, manifest)
-    replaced = held.where(own).select(*columns, F.lit(True).alias("was"), F.lit(False).alias("now"))
-    batch = fresh.unionByName(replaced)
-    before, after = (F.max(F.when(F.col(c), F.col("top"))) for c in ("was", "now"))
-    changed = (batch.groupBy("event_id", "bucket", "bronze_day", "ds_day").agg(before.alias("before"), after.alias("after"))
-               .where("NOT (before <=> after)").select("event_id", "bucket").distinct().persist(StorageLevel.MEMORY_AND_DISK))
+    ids = f"{root}/changed/run={run}"
     try:
-        others = held.where(~own).select(*columns, F.lit(True).alias("was"), F.lit(True).alias("now"))
         if manifest.copies:
-            # only the buckets that hold changed ids are read
+            # what the run replaces was there, the rest of history is there before and after
+            held = live_copies(spark, root, manifest).select(*columns, F.lit(True).alias("was"), (~own).alias("now"))
+            batch = fresh.unionByName(held.where(own))
+            before, after = (F.max(F.when(F.col(c), F.col("top"))) for c in ("was", "now"))
+            changed = (batch.groupBy("event_id", "bucket", "bronze_day", "ds_day").agg(before.alias("before"), after.alias("after"))
+                       .where("NOT (before <=> after)").select("event_id", "bucket").distinct())
+            changed.write.mode("overwrite").parquet(ids)
+            changed = spark.read.schema(changed.schema).parquet(ids)
+            # only the buckets that hold changed ids are read, once for both parts
             touched = [r["bucket"] for r in changed.select("bucket").distinct().collect()]
-            others = others.where(F.col("bucket").isin(touched) if touched else F.lit(False))
-        rows = batch.unionByName(others).join(changed.select("event_id"), "event_id", "left_semi")
+            rows = fresh.unionByName(held.where(F.col("bucket").isin(touched) if touched else F.lit(False)))
+        else:
+            # nothing was there: only ids on several days are lost on any
+            rows, day = fresh, F.col("ds_day")
+            changed = (fresh.groupBy("event_id").agg(F.min(day).alias("first"), F.max(day).alias("last"),
+                                                     F.count_if(day.isNull()).alias("dayless"))
+                       .where("first <> last OR dayless > 0"))
+        rows = rows.join(changed.select("event_id"), "event_id", "left_semi")
 
         def on(flag: str) -> list[Column]:
             day = F.when(F.col(flag), F.col("ds_day"))
@@ -111,7 +118,7 @@ def _changes(spark: SparkSession, root: str, manifest: Manifest, run: str, bronz
         found.write.mode("overwrite").parquet(path)
         return spark.read.schema(found.schema).parquet(path)
     finally:
-        changed.unpersist()
+        clear_folder(spark, ids)
 
 
 def _days(df: DataFrame, column: Column) -> set[str]:

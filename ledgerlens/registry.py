@@ -34,7 +34,8 @@ from .plans.silver import bronze_to_silver, landed_to_silver, read_sink, stage_b
 from .session import TASKS_PER_CORE, lake_session, scratch_path
 from .sinks import catalog
 from .sinks.manifest import INDEX_BUCKETS
-from .sinks.writers import append_table, folder_bytes, replace_table_property, snapshot_table, write_partitioned
+from .sinks.writers import (append_table, clear_folder, folder_bytes, replace_table_property, snapshot_table,
+                            write_partitioned)
 from .sources import bronze as B
 from .sources import schemas, tables
 from .sources.dimensions import address_ranges
@@ -515,6 +516,15 @@ def _gold_from_medallion(spark, sf, runs: int = 1, parts: int = 1) -> str:
     return gold_root
 
 
+def _land_again(lines, root: str, days: list) -> None:
+    """Make the folders of these days hold what ``lines`` has of them; the lines of
+    the other days lie there as they are."""
+    for d in days:
+        clear_folder(lines.sparkSession, f"{root}/year={d:%Y}/month={d:%m}/day={d:%d}")
+    arrived = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
+    B.write_bronze(lines.where(arrived.isin([F.lit(str(d)).cast("date") for d in days])), root)
+
+
 def _corrected_lake(spark, sf, marts: bool = False) -> str:
     """A lake whose first days arrived with faults and were run, then arrived
     corrected and were run again, day by day; a day that should never have
@@ -526,9 +536,10 @@ def _corrected_lake(spark, sf, marts: bool = False) -> str:
     bronze_to_silver(spark, root, out, None, as_of=as_of())
     if marts:
         gold_jobs.silver_to_gold(spark, f"{out}/silver", f"{out}/gold", gold_jobs.ALL_DAYS)
-    B.write_bronze(lines, root, mode="overwrite")
-    for k in (-1, 0, 1):
-        run = bronze_to_silver(spark, root, out, str(first + dt.timedelta(days=k)), as_of=as_of())
+    days = [first + dt.timedelta(days=k) for k in (-1, 0, 1)]
+    _land_again(lines, root, days)
+    for day in days:
+        run = bronze_to_silver(spark, root, out, str(day), as_of=as_of())
         if marts:
             gold_jobs.silver_to_gold(spark, f"{out}/silver", f"{out}/gold", run["days"])
     return out

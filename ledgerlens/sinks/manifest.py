@@ -148,8 +148,8 @@ def vacuum(spark: SparkSession, root: str, keep_commits: int = 1000) -> None:
     replaced, and all but the last commits.  Only while no run is under way."""
     now, root = read_manifest(spark, root), root.rstrip("/")
     alive = {f for sink in SINKS for f in live_folders(root, now, sink)}
-    runs = {"copies": set(now.copies.values()), "lost": set(now.lost.values()), "changes": set(), "staged": set(),
-            "ledger": {now.ledger}}
+    runs = {"copies": set(now.copies.values()), "lost": set(now.lost.values()), "changes": set(), "changed": set(),
+            "staged": set(), "ledger": {now.ledger}}
     for sink in SINKS:
         for run in _children(spark, f"{root}/{sink}"):
             for day in _children(spark, run):

@@ -1,10 +1,13 @@
 """Bronze is parsed once a run, in tasks that keep all cores busy."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ledgerlens import registry
 from ledgerlens.functions import parse_event_ts, unglue_fragments
 from ledgerlens.plans import silver as S
+from ledgerlens.plans import winners
 from ledgerlens.session import TASKS_PER_CORE, lake_session, scratch_path
 from ledgerlens.sinks.writers import folder_bytes, folder_exists
 from ledgerlens.streaming import jobs as stream_jobs
@@ -86,3 +89,47 @@ def test_quotes_and_times(spark):
     times = spark.createDataFrame([("05/01/2024 03:04:05",), ("2024-01-05T03:04:05Z",), ("5/1",), (None,)], "t string")
     got = [str(r[0]) for r in times.select(parse_event_ts(F.col("t")).cast("string")).collect()]
     assert got == ["2024-01-05 03:04:05", "2024-01-05 03:04:05", "None", "None"]
+
+
+def test_unescaped_quotes_are_counted_without_rebuilding_the_line(spark):
+    lines = ['{"a":"x\\\\"}{"b":1}', '{"a":"x\\"}{"}', '{"a":"\\\\\\"}{"}{"b":2}', '{"a":"open}{"b":1}', '{"a":"}{"}', None]
+    df = spark.createDataFrame([(t,) for t in lines], "v string").select(unglue_fragments(F.col("v")).alias("f"))
+    assert [r["f"] for r in df.collect()] == [
+        ['{"a":"x\\\\"}', '{"b":1}'], ['{"a":"x\\"}{"}'], ['{"a":"\\\\\\"}{"}', '{"b":2}'], ['{"a":"open}', '{"b":1}'],
+        ['{"a":"}{"}'], None]
+    assert "regexp_replace" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_history_of_ids_is_read_once_a_commit(spark, monkeypatch):
+    bronze, root, held = scratch_path(spark, "ids-bronze"), scratch_path(spark, "ids"), []
+    land(spark, bronze, LINES | {7: [line("a", 5, txn="later")]})
+    live = winners.live_copies
+
+    def watched(*args):
+        held.append(live(*args))
+        return held[-1]
+
+    monkeypatch.setattr(winners, "live_copies", watched)
+    S.bronze_to_silver(spark, bronze, root, None, as_of=as_of())
+    assert not held  # no history yet
+    lost = winners.read_lost(spark, root, S.read_manifest(spark, root))
+    assert [(r["event_id"], str(r["ds_day"])) for r in lost.collect()] == [("a", "2024-01-04")]
+    land(spark, bronze, LINES)
+    found, changes = [], winners._changes
+    monkeypatch.setattr(winners, "_changes", lambda *args: found.append(changes(*args)) or found[-1])
+    S.bronze_to_silver(spark, bronze, root, "2024-01-07", as_of=as_of())
+    assert len(held) == 1 and not winners.read_lost(spark, root, S.read_manifest(spark, root)).count()
+    assert [(str(r["day_was"]), str(r["day_now"])) for r in found[0].collect()] == [("2024-01-05", "2024-01-04")]
+    assert folder_bytes(spark, f"{root}/changed") == 0 and not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_corrected_files_are_landed_for_their_days_only(spark):
+    root = scratch_path(spark, "landed-again")
+    land(spark, root, LINES | {4: [line("stray", 4)]})
+    before = {r[0] for r in spark.read.text(root).select("_metadata.file_path").distinct().collect()}
+    rows = [(v, "2024", "01", f"{d:02d}") for d, v in ((5, "five"), (6, "six"), (7, "seven"))]
+    lines = spark.createDataFrame(rows, "value string, year string, month string, day string")
+    registry._land_again(lines, root, [dt.date(2024, 1, 4), dt.date(2024, 1, 5)])
+    now = spark.read.text(root).select("value", "day", "_metadata.file_path").collect()
+    assert {(r["value"], r["day"]) for r in now} == {("five", 5)} | {(v, 6) for v in LINES[6]}
+    assert {r["file_path"] for r in now if r["day"] == 6} < before
