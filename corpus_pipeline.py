@@ -6,8 +6,7 @@ Each stage calls one operator of ``ledgerlens.llm``; its result is written as
 Parquet and read again as the next stage's documents.  All stages but the last
 keep the columns of documents.
 
-Rows are told apart by a row number that a stage writes with them (``numbered``),
-never by their id.
+Rows are told apart by a row number (``numbered``), never by their id.
 
 Defined cases: rows of one id with different texts are documents of their own;
 near copies go whatever their ids, null ones too; null texts stay null and count
@@ -17,6 +16,7 @@ empty result; extra columns are carried along up to the mix.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +36,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity_fm.drop_toxic(docs, model)
 
 
+FILE_ROWS = 40   # bits of a row's number for its place in its file
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number of their own, ``_row``, written down so that it stays."""
-    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    """The rows with a number of their own, ``_row``, that stays: of a Parquet
+    table by file and place in it, so that its texts need no copy.  Rows that have
+    no such place, or share one, are written down with a number."""
+    spark = docs.sparkSession
+    try:
+        place = docs.metadataColumn("_metadata")
+        per_file = (docs.select(place["file_path"].alias("_file"), place["row_index"].alias("_at")).groupBy("_file")
+                    .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("_at").alias("places")).collect())
+    except AnalysisException:
+        per_file = None
+    if per_file is None or any(r["rows"] != r["places"] for r in per_file):
+        return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    # one row a file
+    files = spark.createDataFrame([(f, n << FILE_ROWS) for n, f in enumerate(sorted(r["_file"] for r in per_file))],
+                                  "_file string, _first long")
+    return (docs.select("*", place["file_path"].alias("_path"), place["row_index"].alias("_at"))
+            .join(F.broadcast(files), F.col("_path") == F.col("_file"))
+            .withColumn("_row", F.col("_first") + F.col("_at")).select(*docs.columns, "_row"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerlens.llm import mixing, pii_crf, toxicity_fm
@@ -95,6 +96,22 @@ def test_rows_of_one_id_are_told_apart(spark):
                                     (None, "k l m n o", "en", "s", 9)]))
 
 
+def test_rows_of_a_table_are_numbered_without_a_copy(spark, monkeypatch):
+    """By file and place; rows that share a place or have none are written down."""
+    written = []
+    monkeypatch.setattr(corpus_pipeline, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    docs = documents(spark, [(i % 7, f"word {i // 2}", "en", "s", 9) for i in range(60)])
+    table = materialize(docs.repartition(4), "test-numbered")
+    of_table = corpus_pipeline.numbered(table)
+    assert not written and of_table.columns == [*table.columns, "_row"]
+    again = {r["_row"]: r for r in of_table.repartition(3).collect()}
+    assert len(again) == 60 and again == {r["_row"]: r for r in of_table.collect()}
+    assert sorted(map(str, rows(of_table))) == sorted(map(str, rows(docs)))
+    twice = table.withColumn("lang", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    for n, (frame, count) in enumerate(((docs, 60), (twice, 120), (table.unionByName(table), 120)), start=1):
+        assert corpus_pipeline.numbered(frame).select("_row").distinct().count() == count and len(written) == n
+
+
 def test_last_stage_packs_all(chain):
     check_packing(rows(chain[4]), chain[5].collect())
 
