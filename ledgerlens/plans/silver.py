@@ -96,18 +96,23 @@ _BAD_ONLY = {"raw_line": "string", "dq_hard_errors": "array<string>", "event_ts"
 
 
 @contextlib.contextmanager
-def staged_sinks(graded: DataFrame, path: str, strict: bool = False, keep: tuple = ()):
+def staged_sinks(graded: DataFrame, path: str, strict: bool = False, keep: tuple = (), whole_events: bool = False):
     """Silver's and the quarantine's rows of ``graded``, which is computed once
     and written to ``path`` for as long as they are in use.  A line's text is
-    staged for the quarantine only."""
+    staged for the quarantine only, unless ``whole_events`` asks for the record of
+    each line, ``event``, which is made of the staged text."""
     if "source_file" not in graded.columns:
         graded = graded.withColumn("source_file", F.lit(None).cast("string"))
     bad = F.col("dq_status") == "BAD"
     own = {c: F.when(bad, F.col(c).cast(t)) if c in graded.columns else F.lit(None).cast(t) for c, t in _BAD_ONLY.items()}
+    if whole_events:
+        own["raw_line"] = F.col("raw_line")
     held = graded.withColumn("_bad", F.struct(*[c.alias(n) for n, c in own.items()]))
     spark, staged = graded.sparkSession, to_silver(held, strict, keep=(*keep, "_bad"))
     staged.write.mode("overwrite").parquet(path)
     rows = spark.read.schema(staged.schema).parquet(path)
+    if whole_events:
+        rows, keep = rows.withColumn("event", whole_event("_bad.raw_line")), (*keep, "event")
     view = [F.col(f"_bad.{c}").alias(c) if c in _BAD_ONLY else F.col(c) for c in quality.QUARANTINE_COLUMNS]
     try:
         yield {"silver": quality.good_rows(rows).drop("_bad"),
@@ -147,11 +152,8 @@ def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | list | No
     spark, root = validated.sparkSession, out_root.rstrip("/")
     day = F.lit(bronze_day).cast("date") if isinstance(bronze_day, str) else bronze_day_of(validated)
     graded = validated.withColumn("bronze_day", day)
-    keep = ("bronze_day",)
-    if whole_events:
-        graded, keep = graded.withColumn("event", whole_event()), (*keep, "event")
     paths = {s: f"{root}/{s}/run={run}" for s in SINKS}
-    with staged_sinks(graded, f"{root}/staged/run={run}", strict, keep) as rows:
+    with staged_sinks(graded, f"{root}/staged/run={run}", strict, ("bronze_day",), whole_events) as rows:
         run_concurrently([lambda s=s, df=df: replace_folder(df, paths[s], ["bronze_day", "ds_day"],
                                                             rebalance=s == "quarantine") for s, df in rows.items()])
     written = {s: spark.read.schema(SINK_DDL[s]).parquet(paths[s]) for s in rows}

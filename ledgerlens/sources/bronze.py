@@ -118,8 +118,9 @@ def event_field(path: str, data_type: str = "string", col: str = "event") -> Col
 
 def undeclared_fields(col: str = "event", schema: T.StructType = RAW_EVENT_SCHEMA) -> Column:
     """Names of a kept record's fields that ``schema`` does not declare, sorted."""
-    return F.array_sort(F.array_except(F.json_object_keys(F.to_json(F.col(col))),
-                                       F.array(*[F.lit(n) for n in schema.fieldNames()])))
+    # the names alone, not the record's text made once more
+    names = F.map_keys(F.try_variant_get(F.col(col), "$", "map<string,variant>"))
+    return F.array_sort(F.array_except(names, F.array(*[F.lit(n) for n in schema.fieldNames()])))
 
 
 def sample_lines(raw: DataFrame, k: int, by: list[str], col: str = "raw_line") -> DataFrame:

@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from ledgerlens.plans import silver as silver_plan
 from ledgerlens.plans.silver import bronze_to_silver, read_sink
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import bronze as B
@@ -53,3 +55,27 @@ def test_runs_with_and_without_records_mix(spark):
     assert silver["e1"]["event"] is None and silver["e2"]["others"] == ["k"]
     days = read_sink(spark, out, "silver").select("ds_day").distinct().collect()
     assert {r[0] for r in days} == {dt.date(2024, 1, 1), dt.date(2024, 1, 2)}
+
+
+def test_a_record_is_staged_as_its_text_and_stored_whole(spark, monkeypatch):
+    """A VARIANT is made once, for the sinks; their files hold it in one piece."""
+    root, out = scratch_path(spark, "bronze"), scratch_path(spark, "lake")
+    land(spark, root, [(1, GOOD % (1, 1, "5", 1, ',"k":{"a":1}')), (1, GOOD % (2, 2, "-5", 1, ',"k":[2]'))])
+    staged = []
+    monkeypatch.setattr(silver_plan, "clear_folder", lambda s, path: staged.append(s.read.parquet(path).schema))
+    bronze_to_silver(spark, root, out, None, as_of=F.lit("2024-02-01").cast("timestamp"), whole_events=True)
+    assert "variant" not in staged[0].simpleString()
+    for sink, event_id in (("silver", "e1"), ("quarantine", "e2")):
+        assert kept(spark, out, sink)[event_id]["others"] == ["k"]
+        (name,) = [f for f in spark.read.parquet(f"{out}/{sink}").inputFiles()]
+        event = pq.read_schema(name.removeprefix("file://")).field("event").type
+        assert sorted(f.name for f in event) == ["metadata", "value"]
+
+
+def test_undeclared_fields_of_any_value(spark):
+    texts = ['{"b":1,"amount":2,"a":null,"é\\"":{"x":1}}', "{}", "[1]", "7", "null", "no json", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", B.whole_event("t").alias("event"))
+    by_text = F.array_sort(F.array_except(F.json_object_keys(F.to_json("event")),
+                                          F.array(*map(F.lit, B.RAW_EVENT_SCHEMA.fieldNames()))))
+    found = rows.select("i", B.undeclared_fields().alias("f"), by_text.alias("t")).orderBy("i").collect()
+    assert [r["f"] for r in found] == [r["t"] for r in found] == [["a", "b", 'é"'], [], None, None, None, None, None]
