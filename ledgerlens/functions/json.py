@@ -24,6 +24,13 @@ GLUED = r"\}\s*\{"
 # ordinary characters is one step.
 ONE_OBJECT = (r"""(?s)\G(?=.)([^"}]*(?:(?:"[^"\\]*(?:\\.[^"\\]*)*+"|\}(?!\s*+\{))[^"}]*)*+"""
               r"""(?:\}(?=\s*+\{)|\z))\s*+""")
+# a line that is one object for all its braces: its literals close, no backslash
+# stands outside of them, and what looks like such a place is inside
+ONE_LINE = r"""(?s)\A[^"}\\]*+(?:(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|\}(?!\s*+\{))[^"}\\]*+)*+\z"""
+# a line in which the quotes that no backslash escapes come in pairs, looked at once;
+# a pair of backslashes escapes nothing
+_UNQUOTED = r"""[^"\\]*+(?:\\.[^"\\]*+)*+"""
+LITERALS_CLOSE = rf"""(?s)\A(?:{_UNQUOTED}"{_UNQUOTED}")*+{_UNQUOTED}\\?\z"""
 
 
 def unglue_fragments(c: Column) -> Column:
@@ -35,12 +42,8 @@ def unglue_fragments(c: Column) -> Column:
     it is cut at each ``}{``, so that its whole objects are kept and the broken
     one is quarantined.
     """
-    # the quotes that no backslash escapes: a pair of backslashes escapes nothing
-    unescaped = F.replace(F.replace(c, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
-    quotes = F.octet_length(unescaped) - F.octet_length(F.replace(unescaped, F.lit('"'), F.lit("")))
-    literals_close = quotes % 2 == 0
-    return (F.when(~c.rlike(GLUED), F.array(c))
-            .when(literals_close, F.regexp_extract_all(c, F.lit(ONE_OBJECT), F.lit(1)))
+    return (F.when(~c.rlike(GLUED) | c.rlike(ONE_LINE), F.array(c))
+            .when(c.rlike(LITERALS_CLOSE), F.regexp_extract_all(c, F.lit(ONE_OBJECT), F.lit(1)))
             .otherwise(F.split(c, BETWEEN)))
 
 

@@ -108,15 +108,21 @@ def validate(df: DataFrame, as_of: Column | None = None, strict: bool = False) -
     out = out.withColumn("event_ts_ts", ts) if isinstance(ts_type, _TS_TYPES) else \
         with_columns_once(out, {"event_ts_ts": ts})
     rules = dq_rules(as_of, strict)
-    errors = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in rules]))
-    hard = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in rules
-                                     if code in K.HARD_ERRORS]))
-    out = out.withColumns({"ds_day": F.to_date("event_ts_ts"), "dq_errors": errors, "dq_hard_errors": hard})
     # The grade is decided on the rule predicates (short-circuit booleans),
     # not on the code arrays, and computed once per row: routing filters
     # (``dq_status IN ...``) stay above it instead of being pushed down with
     # a copy of every rule (ahead of any repartition of a narrow input).
-    return with_columns_once(out, {"dq_status": grade(rules)})
+    out = with_columns_once(out, {"dq_status": grade(rules)})
+
+    def codes(which: list[tuple[str, Column]]) -> Column:
+        # a GOOD row has none: its array is not filtered
+        fired = F.array_compact(F.array(*[F.when(fires, F.lit(code)) for code, fires in which]))
+        return F.when(F.col("dq_status") == "GOOD", F.array().cast("array<string>")).otherwise(fired)
+
+    hard = [(code, fires) for code, fires in rules if code in K.HARD_ERRORS]
+    own = {"ds_day": F.to_date("event_ts_ts"), "dq_errors": codes(rules), "dq_hard_errors": codes(hard)}
+    return out.select(*[c for c in out.columns if c not in (*own, "dq_status")],
+                      *[c.alias(n) for n, c in own.items()], "dq_status")
 
 
 def grade(rules: list[tuple[str, Column]]) -> Column:

@@ -14,7 +14,7 @@ from ..functions import (boolish_to_int, country_iso2, country_name, is_internat
 from ..operators import quality
 from ..sinks.catalog import AUDIT_DDL, QUARANTINE_DDL, SILVER_DDL
 from ..sinks.manifest import SINKS, Manifest, live_folders, read_manifest
-from ..sinks.writers import clear_folder, replace_folder, run_concurrently
+from ..sinks.writers import clear_folder, folder_exists, move_folder, replace_folder, run_concurrently
 from ..sources.bronze import parse_events, read_bronze, unglue, whole_event
 from ..sources.ledger import landed_files, open_days, read_ledger, write_ledger
 from .winners import commit_run, write_copies
@@ -121,6 +121,51 @@ def staged_sinks(graded: DataFrame, path: str, strict: bool = False, keep: tuple
         clear_folder(spark, path)
 
 
+def write_routed(graded: DataFrame, staged: str, silver_path: str, strict: bool = False) -> None:
+    """Write silver's rows to ``silver_path`` and the BAD ones to
+    ``staged/sink=quarantine``, in one pass over ``graded``: both go to one folder,
+    split by sink and days, of which silver's part is then moved.
+
+    The files of one write have one layout, silver's.  What only the quarantine
+    needs of a BAD row stands before its codes, in ``dq_errors``
+    (``routed_quarantine`` takes it out again)."""
+    spark, bad = graded.sparkSession, F.col("dq_status") == "BAD"
+    text, hard = _as_text(graded), F.col("dq_hard_errors")
+    own = F.array(*[text[c] for c in _ROUTED_TEXT], F.size(hard).cast("string"))
+    routed = graded.withColumn("dq_errors", F.when(bad, F.concat(own, hard, "dq_errors")).otherwise(F.col("dq_errors")))
+    rows = to_silver(routed, strict, keep=("bronze_day",))
+    sink = F.when(bad, F.lit("quarantine")).otherwise(F.lit("silver"))
+    replace_folder(rows.withColumn("sink", sink), staged, ["sink", "bronze_day", "ds_day"])
+    if folder_exists(spark, f"{staged}/sink=silver"):
+        move_folder(spark, f"{staged}/sink=silver", silver_path)
+    else:
+        replace_folder(rows.limit(0), silver_path, ["bronze_day", "ds_day"])
+
+
+_ROUTED_TEXT = ("raw_line", "event_ts", "ingestion_ts")
+
+
+def _as_text(graded: DataFrame) -> dict[str, Column]:
+    """The quarantine's own fields as text; a time by its microseconds."""
+    found = {c: F.col(c).cast("string") if c in graded.columns else F.lit(None).cast("string") for c in ("raw_line", "event_ts")}
+    at = F.unix_micros(F.col("ingestion_ts").cast("timestamp")) if "ingestion_ts" in graded.columns else F.lit(None)
+    return found | {"ingestion_ts": at.cast("string")}
+
+
+def routed_quarantine(spark: SparkSession, staged: str) -> DataFrame:
+    """The quarantine's rows that ``write_routed`` left."""
+    path, first = f"{staged}/sink=quarantine", len(_ROUTED_TEXT) + 2
+    if not folder_exists(spark, path):
+        return spark.createDataFrame([], QUARANTINE_DDL)
+    codes, hard = F.col("dq_errors"), F.get("dq_errors", F.lit(first - 2)).cast("int")
+    own = {c: F.get(codes, F.lit(i)) for i, c in enumerate(_ROUTED_TEXT)}
+    own["ingestion_ts"] = F.timestamp_micros(own["ingestion_ts"].cast("long"))
+    own["dq_hard_errors"] = F.slice(codes, F.lit(first), hard)
+    own["dq_errors"] = F.slice(codes, F.lit(first) + hard, F.size(codes))
+    return spark.read.schema(SILVER_DDL).parquet(path).select(
+        *[own[c].alias(c) if c in own else F.col(c) for c in quality.QUARANTINE_COLUMNS], "bronze_day")
+
+
 SINK_DDL = {"silver": SILVER_DDL, "quarantine": QUARANTINE_DDL, "audit": AUDIT_DDL}
 
 
@@ -146,17 +191,26 @@ def stage_batch(validated: DataFrame, out_root: str, bronze_day: str | list | No
     reader sees before the commit.  Returns bronze day -> event days by sink.
     ``whole_events`` keeps each record beside its typed columns, as a VARIANT.
 
-    Bronze is read, parsed and graded once: that map-only pass writes the graded
-    rows to ``staged/run=R``, both sinks are made from there, and the audit counts
+    Bronze is read, parsed and graded once: that map-only pass writes silver's files
+    and, to ``staged/run=R``, the rows of the quarantine, which is made from there
+    (with whole records both sinks are made from what is staged); the audit counts
     what they wrote."""
     spark, root = validated.sparkSession, out_root.rstrip("/")
     day = F.lit(bronze_day).cast("date") if isinstance(bronze_day, str) else bronze_day_of(validated)
     graded = validated.withColumn("bronze_day", day)
     paths = {s: f"{root}/{s}/run={run}" for s in SINKS}
-    with staged_sinks(graded, f"{root}/staged/run={run}", strict, ("bronze_day",), whole_events) as rows:
-        run_concurrently([lambda s=s, df=df: replace_folder(df, paths[s], ["bronze_day", "ds_day"],
-                                                            rebalance=s == "quarantine") for s, df in rows.items()])
-    written = {s: spark.read.schema(SINK_DDL[s]).parquet(paths[s]) for s in rows}
+    staged, days = f"{root}/staged/run={run}", ["bronze_day", "ds_day"]
+    if whole_events:
+        with staged_sinks(graded, staged, strict, ("bronze_day",), whole_events) as rows:
+            run_concurrently([lambda s=s, df=df: replace_folder(df, paths[s], days, rebalance=s == "quarantine")
+                              for s, df in rows.items()])
+    else:
+        try:
+            write_routed(graded, staged, paths["silver"], strict)
+            replace_folder(routed_quarantine(spark, staged), paths["quarantine"], days, rebalance=True)
+        finally:
+            clear_folder(spark, staged)
+    written = {s: spark.read.schema(SINK_DDL[s]).parquet(paths[s]) for s in ("silver", "quarantine")}
 
     def audit() -> list:
         keys = ["bronze_day", "ds_day", "dq_status"]

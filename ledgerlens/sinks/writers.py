@@ -72,6 +72,15 @@ def clear_folder(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Make a folder the content of ``target``, whatever that held before."""
+    clear_folder(spark, target)
+    fs, p = _hadoop_path(spark, target)
+    fs.mkdirs(p.getParent())
+    if not fs.rename(_hadoop_path(spark, source)[1], p):
+        raise OSError(f"{source} cannot be moved to {target}")
+
+
 def clear_partitions(spark: SparkSession, path: str, partition_col: str, values) -> None:
     """Delete the partitions of these values (one folder each), if there."""
     for v in values:

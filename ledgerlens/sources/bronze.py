@@ -62,8 +62,9 @@ def unglue(raw: DataFrame, col: str = "raw_line") -> DataFrame:
     """One row per JSON fragment (``raw_line`` becomes the fragment,
     ``fragment_idx`` its position); fragments of length <= 2 are dropped."""
     others = [c for c in raw.columns if c != col]
+    # a text of more than 8 bytes has more than two characters: they are not counted
     return (raw.select(*others, F.posexplode(unglue_fragments(F.col(col))).alias("fragment_idx", col))
-               .where(F.length(col) > 2))
+               .where((F.octet_length(col) > 8) | (F.length(col) > 2)))
 
 
 def parse_events(fragments: DataFrame, col: str = "raw_line",

@@ -1,11 +1,14 @@
 """Bronze is parsed once a run, in tasks that keep all cores busy."""
 
 import datetime as dt
+import itertools
 
 from pyspark.sql import functions as F
 
 from ledgerlens import registry
+from ledgerlens.functions import json as json_functions
 from ledgerlens.functions import parse_event_ts, unglue_fragments
+from ledgerlens.operators import quality
 from ledgerlens.plans import silver as S
 from ledgerlens.plans import winners
 from ledgerlens.session import TASKS_PER_CORE, lake_session, scratch_path
@@ -133,3 +136,45 @@ def test_corrected_files_are_landed_for_their_days_only(spark):
     now = spark.read.text(root).select("value", "day", "_metadata.file_path").collect()
     assert {(r["value"], r["day"]) for r in now} == {("five", 5)} | {(v, 6) for v in LINES[6]}
     assert {r["file_path"] for r in now if r["day"] == 6} < before
+
+
+def test_braces_in_literals_need_no_cut(spark):
+    """Of lines of every combination of marks, those told to be one object are what
+    the cut makes of them, and quotes close as counted one by one."""
+    lines = ["".join(p) for n in range(1, 6) for p in itertools.product('{}"\\ ', repeat=n)]
+    lines += ['{"a":"x}{1"}', '{"a":"\\"}{"}', '{"a":"}{"}{"b":1}', '{"a":"x}{"} ', '{"é":"}\n{"}\n', '{"a":"' + "\\\\" * 9000 + '}{"}']
+    df = spark.createDataFrame([(t,) for t in lines], "c string").select(
+        "c", unglue_fragments(F.col("c")).alias("f"), F.col("c").rlike(json_functions.LITERALS_CLOSE).alias("close"),
+        F.col("c").rlike(json_functions.ONE_LINE).alias("one"), F.col("c").rlike(json_functions.GLUED).alias("glued"),
+        F.regexp_extract_all("c", F.lit(json_functions.ONE_OBJECT), F.lit(1)).alias("cut"),
+        F.split("c", json_functions.BETWEEN).alias("split"))
+    for r in df.collect():
+        plain = r["c"].replace("\\\\", "").replace('\\"', "")
+        assert r["close"] == (plain.count('"') % 2 == 0), r["c"]
+        assert r["f"] == ([r["c"]] if not r["glued"] else r["cut"] if r["close"] else r["split"]), r["c"]
+        assert not (r["glued"] and r["one"]) or len(r["f"]) == 1
+    assert [f for (f,) in df.where("c like '%x}{1%'").select("one").collect()] == [True]
+
+
+def test_silver_is_written_by_the_pass_that_parses(spark, monkeypatch):
+    """Only the quarantine's rows are staged; they come back as they were graded."""
+    bronze, root = scratch_path(spark, "routed-bronze"), scratch_path(spark, "routed")
+    land(spark, bronze, LINES | {7: ['{"event_id":"", "x":"}{,"}', '{"é":1} {"b":2}']})
+    left, clear = [], S.clear_folder
+
+    def watched(s, path):
+        if "/staged/" in path:
+            left.append([r["dq_status"] for r in s.read.parquet(path).select("dq_status").collect()])
+        clear(s, path)
+
+    monkeypatch.setattr(S, "clear_folder", watched)
+    S.bronze_to_silver(spark, bronze, root, None, as_of=as_of())
+    assert left == [["BAD"] * 5]
+    names = quality.QUARANTINE_COLUMNS
+    graded = S.validate_bronze(spark, bronze, as_of=as_of())
+    want = quality.quarantine_view(graded.withColumn("bronze_day", S.bronze_day_of(graded)), keep=("bronze_day",))
+    got = S.read_sink(spark, root, "quarantine")
+    assert sorted(map(str, got.select(*names, "bronze_day").collect())) == sorted(map(str, want.collect())) and got.count() == 5
+    silver = S.to_silver(quality.good_rows(graded)).drop("ds_day")
+    assert sorted(map(str, S.read_sink(spark, root, "silver").select(*silver.columns).collect())) == sorted(map(str, silver.collect()))
+    assert folder_bytes(spark, f"{root}/staged") == 0
